@@ -3,7 +3,7 @@
 from importlib import import_module
 from types import ModuleType
 
-MODULES = ("q_dims", "q_graph", "q_facts", "q_activity", "q_patterns", "q_experiments")
+MODULES = ("q_dims", "q_graph", "q_facts", "q_activity", "q_patterns", "q_batch", "q_streaming", "q_experiments")
 
 
 def load() -> ModuleType:

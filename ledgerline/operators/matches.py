@@ -24,6 +24,12 @@ def matches_by(joined: DataFrame, column: str) -> DataFrame:
     return joined.groupBy(column).agg(F.count_distinct("match_id").alias("n_matches"))
 
 
+def name_maps(df: DataFrame, maps: DataFrame) -> DataFrame:
+    """Replace the map id by the map's name."""
+    named = checked_broadcast(maps.select("mapid", F.col("name").alias("map_name")))
+    return df.join(named, "mapid").drop("mapid")
+
+
 def medals_by_map(medal_counts: DataFrame, matches: DataFrame, medals: DataFrame, maps: DataFrame) -> DataFrame:
     """Medals won per map and medal.
 
@@ -37,9 +43,7 @@ def medals_by_map(medal_counts: DataFrame, matches: DataFrame, medals: DataFrame
         .agg(F.sum("_n").alias("n_medals"))
     )
     named = per_map.join(checked_broadcast(medals.select("medal_id", F.col("name").alias("medal"))), "medal_id")
-    return named.join(checked_broadcast(maps.select("mapid", F.col("name").alias("map_name"))), "mapid").select(
-        "map_name", "medal", "n_medals"
-    )
+    return name_maps(named, maps).select("map_name", "medal", "n_medals")
 
 
 def top(df: DataFrame, value: str, tie: str, k: int = 1) -> DataFrame:

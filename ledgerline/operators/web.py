@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from ledgerline.operators.grouping import collect_in_parts
 
 
-def user_device_hits(events: DataFrame) -> DataFrame:
-    """Hits and the distinct hosts of each (user, device)."""
-    per_host = (
-        events.filter(F.col("user_id").isNotNull())
-        .groupBy("user_id", "device_id", "host")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return per_host.groupBy("user_id", "device_id").agg(
+def user_device_hits(events: DataFrame, *extra: str) -> DataFrame:
+    """Hits and the distinct hosts of each (user, device); ``extra`` columns join the key."""
+    keys = [*extra, "user_id", "device_id"]
+    known = events.filter(F.col("user_id").isNotNull())
+    per_host = known.groupBy(*keys, "host").agg(F.count(F.lit(1)).alias("_n"))
+    return per_host.groupBy(*keys).agg(
         F.sum("_n").alias("event_counts"), F.sort_array(F.collect_list("host")).alias("host_array")
     )
 

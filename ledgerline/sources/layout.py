@@ -8,13 +8,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.grouping import group_parts
+from ledgerline.operators.grouping import group_parts, spread
 from ledgerline.session import scratch_path
 
 
-def sorted_within(df: DataFrame, by: Sequence[str], sort: Sequence[str], partitions: int) -> DataFrame:
-    """Hash partitions by ``by``, each sorted on its own: one shuffle, no global order."""
-    return df.repartition(partitions, *[F.col(c) for c in by]).sortWithinPartitions(*sort)
+def spread_by(df: DataFrame, by: Sequence[str], partitions: int, max_rows: int = 5_000_000) -> DataFrame:
+    """Hash partitions by ``by``; a value with more than ``max_rows`` rows is dealt out over several."""
+    dealt = spread(df, by, df.columns, max_rows, "_part")
+    return dealt.repartition(partitions, *[F.col(c) for c in by], F.col("_part")).drop("_part")
+
+
+def sorted_within(
+    df: DataFrame, by: Sequence[str], sort: Sequence[str], partitions: int, max_rows: int = 5_000_000
+) -> DataFrame:
+    """Hash partitions by ``by``, each sorted on its own: no global order, no range sampling."""
+    return spread_by(df, by, partitions, max_rows).sortWithinPartitions(*sort)
 
 
 def sorted_global(df: DataFrame, sort: Sequence[str]) -> DataFrame:

@@ -58,8 +58,12 @@ def to_messages(df: DataFrame) -> DataFrame:
 
 
 def read_table_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A parquet file or folder as a stream, with the table's own schema."""
+    """A parquet file or folder as a stream, with the table's own schema.
+
+    The last part of the path is given as a pattern: a plain path must be a folder.
+    """
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return reader.parquet(f"{parent}/{{{name}}}")
