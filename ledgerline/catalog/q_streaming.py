@@ -157,8 +157,8 @@ def t12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GAP_SECONDS = 2 * 3600
 SESSIONS = f"""(SELECT ip, host, min(event_time) AS s, max(event_time) + INTERVAL {GAP_SECONDS} SECOND AS e, count(*) AS n
-        FROM (SELECT *, sum(brk) OVER (PARTITION BY ip, host ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS grp
-              FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY ip, host ORDER BY event_time, event_id)
+        FROM (SELECT *, sum(brk) OVER (PARTITION BY ip, host ORDER BY event_time) AS grp
+              FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY ip, host ORDER BY event_time)
                                      <= INTERVAL {GAP_SECONDS} SECOND THEN 0 ELSE 1 END AS brk FROM web_events))
         GROUP BY ip, host, grp)"""
 
