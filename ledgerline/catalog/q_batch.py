@@ -289,6 +289,40 @@ def s14_medal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medal_map(spark, sf_dir)
 
 
+@query(
+    "s14_three_way",
+    using(
+        """SELECT playlist_id, n_name AS map_name, 'Medal ' || lower(medal_id) AS medal, CAST(sum(n_medals) AS BIGINT) AS n_medals,
+        CAST(sum(kills) AS BIGINT) AS kills, count(DISTINCT match_id) AS n_matches
+        FROM (SELECT match_id, player_gamertag, sum(player_total_kills) AS kills FROM match_details GROUP BY 1, 2) d
+        JOIN matches USING (match_id)
+        JOIN (SELECT match_id, player_gamertag, medal_id, sum(count) AS n_medals FROM medals_players GROUP BY 1, 2, 3) w
+          USING (match_id, player_gamertag)
+        JOIN nation ON n_nationkey = mapid GROUP BY 1, 2, 3""",
+        "match_details",
+        "matches",
+        "medals_players",
+    ),
+)
+def s14_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details, matches and medals bucketed on the match; the two dimensions broadcast."""
+    details = views.match_details(spark, sf_dir).groupBy("match_id", "player_gamertag").agg(
+        F.sum("player_total_kills").alias("kills")
+    )
+    won = views.medals_players(spark, sf_dir).groupBy("match_id", "player_gamertag", "medal_id").agg(
+        F.sum("count").alias("n_medals")
+    )
+    stored, rest = layout.colocate(
+        details,
+        {"matches": (views.matches(spark, sf_dir), None), "won": (won, ["player_gamertag"])},
+        "match_id",
+        ["player_gamertag"],
+    )
+    return matches.match_cube(
+        stored, rest["matches"], rest["won"], views.medals(spark, sf_dir), views.maps(spark, sf_dir)
+    )
+
+
 @query(
     "s14_leaders",
     using(

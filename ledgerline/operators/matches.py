@@ -46,6 +46,24 @@ def medals_by_map(medal_counts: DataFrame, matches: DataFrame, medals: DataFrame
     return name_maps(named, maps).select("map_name", "medal", "n_medals")
 
 
+def match_cube(details: DataFrame, matches: DataFrame, medal_counts: DataFrame, medals: DataFrame, maps: DataFrame) -> DataFrame:
+    """Medals, medal winners' kills and matches per playlist, map and medal.
+
+    ``details`` is unique on (match_id, part, player), ``medal_counts`` on
+    those and the medal: both come bucketed like ``matches``.
+    """
+    place = ["match_id", "part"]
+    joined = details.join(matches, place).join(medal_counts, [*place, "player_gamertag"])
+    per_match = joined.groupBy("playlist_id", "mapid", "medal_id", "match_id").agg(
+        F.sum("n_medals").alias("_medals"), F.sum("kills").alias("_kills")
+    )
+    cube = per_match.groupBy("playlist_id", "mapid", "medal_id").agg(
+        F.sum("_medals").alias("n_medals"), F.sum("_kills").alias("kills"), F.count(F.lit(1)).alias("n_matches")
+    )
+    named = cube.join(checked_broadcast(medals.select("medal_id", F.col("name").alias("medal"))), "medal_id")
+    return name_maps(named, maps).drop("medal_id")
+
+
 def top(df: DataFrame, value: str, tie: str, k: int = 1) -> DataFrame:
     """The k largest rows; ties go to the smaller ``tie`` value."""
     return df.orderBy(F.col(value).desc(), F.col(tie)).limit(k)

@@ -90,6 +90,8 @@ def colocate(
     split here: rows of ``large`` are hashed by ``by`` over the key's parts.
     Another table with its own ``by`` columns is hashed the same way; one given
     with ``None`` is repeated once per part. All are bucketed on (key, part).
+    A join that compares further columns stays in place only with
+    ``spark.sql.requireAllClusterKeysForCoPartition`` off.
     """
     parts = group_parts(large, [key], max_rows)
     count = F.coalesce(F.col("_parts"), F.lit(1))
