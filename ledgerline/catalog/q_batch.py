@@ -143,18 +143,15 @@ def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     "s8_sorted_layout",
     using(
         """SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, count(*) AS n_rows,
-        CAST(1 AS BIGINT) AS n_partitions, min(host) AS first_host, max(host) AS last_host FROM web_events GROUP BY 1""",
+        min(host) AS first_host, max(host) AS last_host FROM web_events GROUP BY 1""",
         "web_events",
     ),
 )
 def s8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each day lies in one partition; its first and last host come first and last there."""
-    rows = layout.sorted_within(dated_events(spark, sf_dir), ["event_date"], ["event_date", "host", "event_time"], 10)
-    return rows.withColumn("_place", F.spark_partition_id()).groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("_place").alias("n_partitions"),
-        F.min("host").alias("first_host"),
-        F.max("host").alias("last_host"),
+    """Days brought together and sorted by host within their partition, then read per day."""
+    rows = layout.sorted_within(dated_events(spark, sf_dir), ["event_date"], ["event_date", "host", "event_time"])
+    return rows.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("host").alias("first_host"), F.max("host").alias("last_host")
     )
 
 
@@ -170,8 +167,8 @@ def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and files of a sorted and an unsorted copy; the byte counts are the engine's own."""
     rows = dated_events(spark, sf_dir)
     paths = {"sorted": scratch_path(spark, "sorted"), "unsorted": scratch_path(spark, "unsorted")}
-    layout.sorted_within(rows, ["event_date"], ["event_date", "host", "event_time"], 10).write.parquet(paths["sorted"])
-    layout.spread_by(rows, ["event_date"], 10).write.parquet(paths["unsorted"])
+    layout.sorted_within(rows, ["event_date"], ["event_date", "host", "event_time"]).write.parquet(paths["sorted"])
+    layout.spread_by(rows, ["event_date"]).write.parquet(paths["unsorted"])
     stats = layout.file_stats(spark, paths)
     return stats.select("table_name", "n_rows", ((F.col("n_files") > 0) & (F.col("n_bytes") > 0)).alias("has_files"))
 
@@ -185,7 +182,7 @@ def s11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "map_playlist": ["mapid", "playlist_id", "match_id"],
         "match": ["match_id"],
     }
-    return layout.layout_study(rows, ["playlist_id"], orders, 8)
+    return layout.layout_study(rows, ["playlist_id"], orders)
 
 
 def stored_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

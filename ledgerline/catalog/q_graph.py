@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.catalog import views
 from ledgerline.catalog.registry import query
-from ledgerline.catalog.sqlviews import DETAIL_COLUMNS, first_row, using
+from ledgerline.catalog.sqlviews import DETAIL_COLUMNS, PICK, first_row, using
 from ledgerline.operators import graph
-from ledgerline.operators.grouping import dedupe
-from ledgerline.operators.patterns import appearances
+from ledgerline.operators.patterns import appearances, one_per_game
 
 TEAM_COLUMNS = ("team_id", "abbreviation", "nickname", "city", "arena", "yearfounded")
 ONE_TEAM = first_row("teams", ["team_id"], TEAM_COLUMNS)
-ONE_APPEARANCE = first_row("game_details", ["player_id", "game_id"], DETAIL_COLUMNS, ("team_id",))
+ONE_APPEARANCE = first_row("game_details", ["player_id", "game_id"], DETAIL_COLUMNS, PICK)
 
 
 def prop(name: str) -> Column:
@@ -32,8 +31,7 @@ def edge_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def one_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Details unique on (player, game)."""
-    return dedupe(views.game_details(spark, sf_dir), ["player_id", "game_id"], ["team_id"])
+    return one_per_game(views.game_details(spark, sf_dir))
 
 
 def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,9 +108,12 @@ def first_row(source: str, keys: list[str], columns: tuple[str, ...], order: tup
     return f"SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {ranking}) = 1"
 
 
+# The order in which one of several rows of a player's game is picked.
+PICK = ("team_id", "team_abbreviation", "pts", "start_position")
+
 APPEARANCES = f"""
 SELECT d.*, g.game_date, g.season, g.home_team_id, (d.team_id = g.home_team_id) = (g.home_team_wins = 1) AS won
-FROM ({first_row("game_details", ["player_id", "game_id"], DETAIL_COLUMNS, ("team_id",))}) d
+FROM ({first_row("game_details", ["player_id", "game_id"], DETAIL_COLUMNS, PICK)}) d
 JOIN games g USING (game_id)
 """
 

@@ -19,7 +19,7 @@ COMMENT_FLAGS = (("DNP", "did_not_play"), ("DND", "did_not_dress"), ("NWT", "not
 FACT_KEY = ("game_id", "team_id", "player_id")
 
 
-def build_facts(details: DataFrame, games: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def build_facts(details: DataFrame, games: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Typed fact rows, one per game, team and player.
 
     Copies are removed before the join with the games, so they are shuffled once.

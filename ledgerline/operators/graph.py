@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ratio
-from ledgerline.operators.grouping import dedupe, group_parts, replicate
+from ledgerline.operators.grouping import assign_part, dedupe, group_parts, replicate, with_parts
 
 # The vertex and edge types of the model.
 VERTEX_TYPES = ("player", "team", "game")
@@ -67,7 +67,7 @@ def player_vertices(details: DataFrame) -> DataFrame:
     return vertex(totals, "player", F.col("player_id"), properties(**{n: F.col(n) for n in names}))
 
 
-def team_vertices(teams: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def team_vertices(teams: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """One vertex per team from a table that repeats teams."""
     one = dedupe(teams, ["team_id"], order)
     props = properties(
@@ -109,14 +109,9 @@ def player_pairs(appearances: DataFrame, max_roster: int = 2_000) -> DataFrame:
     task joins a whole oversized game with itself.
     """
     rows = appearances.select("player_id", "game_id", "team_id", "pts")
-    big = group_parts(rows, ["game_id"], max_roster)
-    subjects = replicate(rows, big, ["game_id"]).alias("a")
-    objects = (
-        rows.join(big, "game_id", "left")
-        .withColumn("part", F.pmod(F.xxhash64("player_id"), F.coalesce(F.col("_parts"), F.lit(1))).cast("int"))
-        .drop("_parts")
-        .alias("b")
-    )
+    sized = with_parts(rows, group_parts(rows, ["game_id"], max_roster), ["game_id"])
+    subjects = replicate(sized).alias("a")
+    objects = assign_part(sized, ["player_id"]).alias("b")
     met = (
         (F.col("a.game_id") == F.col("b.game_id"))
         & (F.col("a.part") == F.col("b.part"))

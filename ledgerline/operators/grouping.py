@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the smallest by ``order``, then by all other columns.
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the first by ``order``, nulls first.
 
-    The order is total, so the pick does not depend on arrival. It is a plain
-    aggregate rather than a numbered window: copies are thinned out before the
-    shuffle, however many copies one key has.
+    Without ``order`` all other columns decide, so the pick never depends on
+    arrival. A given ``order`` must settle every column read later; the
+    columns outside it can then be pruned from the scan. Each task keeps its
+    own first row per key before the shuffle, however many copies a key has.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = [*order, *rest]
+    ranked = [c for c in df.columns if c not in keys] if order is None else list(order)
     if not ranked:
-        return df.select(*keys).distinct()
-    best = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+        return df.dropDuplicates(list(keys))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
@@ -36,25 +36,34 @@ def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, keys: Sequence[str], by: Sequence[str], max_rows: int, part: str = "part") -> DataFrame:
-    """Add ``part``: 0 for ordinary groups, a hash of ``by`` for groups above ``max_rows``.
+def with_parts(df: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_parts``, 1 for ordinary keys. A null key is a key like any other.
 
-    The list of large groups joins back without a hint: adaptive execution
-    broadcasts it when its measured size allows and shuffles otherwise.
+    ``parts`` comes from ``group_parts`` and joins without a hint: adaptive
+    execution broadcasts it when its measured size allows and shuffles
+    otherwise.
     """
-    big = group_parts(df, keys, max_rows)
-    slot = F.pmod(F.xxhash64(*by), F.coalesce(F.col("_parts"), F.lit(1)))
-    return df.join(big, list(keys), "left").withColumn(part, slot.cast("int")).drop("_parts")
+    renamed = parts.withColumnsRenamed({k: f"_big_{k}" for k in keys}).withColumnRenamed("_parts", "_found")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_big_{key}"))
+    joined = df.join(renamed, same, "left")
+    return joined.select(*df.columns, F.coalesce("_found", F.lit(1)).alias("_parts"))
 
 
-def replicate(df: DataFrame, parts: DataFrame, keys: Sequence[str], part: str = "part") -> DataFrame:
-    """The other side of ``spread``: each row once per part of its key."""
-    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-    return (
-        df.join(parts, list(keys), "left")
-        .withColumn(part, F.explode(F.sequence(F.lit(0), last)))
-        .drop("_parts")
-    )
+def spread(df: DataFrame, keys: Sequence[str], by: Sequence[str], max_rows: int, part: str = "part") -> DataFrame:
+    """Add ``part``: 0 for ordinary groups, a hash of ``by`` for groups above ``max_rows``."""
+    return assign_part(with_parts(df, group_parts(df, keys, max_rows), keys), by, part)
+
+
+def assign_part(df: DataFrame, by: Sequence[str], part: str = "part") -> DataFrame:
+    """Replace ``_parts`` by the part each row hashes to."""
+    return df.withColumn(part, F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int")).drop("_parts")
+
+
+def replicate(df: DataFrame, part: str = "part") -> DataFrame:
+    """Replace ``_parts`` by one copy of the row for each part of its key."""
+    return df.withColumn(part, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
 
 def collect_in_parts(

@@ -70,7 +70,7 @@ def growth_backfill(events: DataFrame, user: str, time: str, as_of: date, with_d
     yesterday = F.date_sub(date_col, 1)
     columns = [
         F.col(user),
-        F.get("_all", F.lit(0))["_p"].alias("first_active_date"),
+        F.col("_first").alias("first_active_date"),
         F.col("_now._p").alias("last_active_date"),
         daily_state(known, today, last, yesterday).alias("daily_active_state"),
         weekly_state(known, today, last, yesterday).alias("weekly_active_state"),

@@ -100,9 +100,10 @@ def dashboard(
 def game_sets(appearances: DataFrame) -> DataFrame:
     """Points, games and wins by (player, team), (player, season) and (team).
 
-    ``appearances`` is unique on (player, game) with a ``won`` flag. Player
-    levels add up from one fine aggregate. A team's games are counted as
-    distinct games, so its many players do not multiply them.
+    ``appearances`` is unique on (player, game) with a ``won`` flag. The two
+    player levels are grouping sets over one fine aggregate. The team level is
+    built from one row per team and game, so a team's many players do not
+    multiply its games.
     """
     fine = appearances.groupBy("player_id", "team_id", "season").agg(
         F.sum("pts").alias("points"),
@@ -110,34 +111,20 @@ def game_sets(appearances: DataFrame) -> DataFrame:
         F.count_if("won").alias("wins"),
     )
     player, team, season = F.col("player_id"), F.col("team_id"), F.col("season")
-    level = (
-        F.when(F.grouping("season") == 0, "player_season")
-        .when(F.grouping("player_id") == 0, "player_team")
-        .otherwise("team")
+    level = F.when(F.grouping("season") == 0, "player_season").otherwise("player_team")
+    columns = ["aggregation_level", "player_id", "team_id", "season", "points", "games", "wins"]
+    players = fine.groupingSets([[player, team], [player, season]], player, team, season).agg(
+        level.alias("aggregation_level"), *[F.sum(c).alias(c) for c in columns[4:]]
     )
-    sets = fine.groupingSets([[player, team], [player, season], [team]], player, team, season).agg(
-        level.alias("aggregation_level"),
-        F.sum("points").alias("points"),
-        F.sum("games").alias("_games"),
-        F.sum("wins").alias("_wins"),
+    per_game = appearances.groupBy("team_id", "game_id").agg(
+        F.sum("pts").alias("points"), F.bool_or("won").alias("won")
     )
-    by_team = (
-        appearances.select("team_id", "game_id", "won")
-        .distinct()
-        .groupBy("team_id")
-        .agg(F.count(F.lit(1)).alias("_team_games"), F.count_if("won").alias("_team_wins"))
-        .withColumnRenamed("team_id", "_team")
-    )
-    is_team = F.col("aggregation_level") == "team"
-    return sets.join(by_team, is_team & (F.col("team_id") == F.col("_team")), "left").select(
-        "aggregation_level",
-        "player_id",
-        "team_id",
-        "season",
-        "points",
-        F.when(is_team, F.col("_team_games")).otherwise(F.col("_games")).alias("games"),
-        F.when(is_team, F.col("_team_wins")).otherwise(F.col("_wins")).alias("wins"),
+    teams = per_game.groupBy("team_id").agg(
+        F.sum("points").alias("points"), F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins")
     )
+    absent = {c: F.lit(None).cast(appearances.schema[c].dataType) for c in ("player_id", "season")}
+    teams = teams.withColumns({"aggregation_level": F.lit("team"), **absent})
+    return players.select(*columns).unionByName(teams.select(*columns))
 
 
 def rolling_counts(
@@ -202,12 +189,17 @@ def scoring_streak(appearances: DataFrame, above: int = 10) -> DataFrame:
     return longest_run(rows, ["player_id"], "_month", ["game_date", "game_id"], hit, "longest_streak")
 
 
+def one_per_game(details: DataFrame) -> DataFrame:
+    """Details unique on (player, game): lowest team, then points, then position."""
+    columns = ["player_id", "game_id", "team_id", "team_abbreviation", "pts", "start_position"]
+    return dedupe(details.select(*columns), columns[:2], columns[2:])
+
+
 def appearances(details: DataFrame, games: DataFrame) -> DataFrame:
-    """Details unique on (player, game) with the game's season, date and result."""
-    one = dedupe(details, ["player_id", "game_id"], ["team_id"])
+    """``one_per_game`` with the game's season, date and result."""
     g = games.select("game_id", "game_date", "season", "home_team_id", "home_team_wins")
     at_home = F.col("team_id") == F.col("home_team_id")
-    return one.join(g, "game_id").withColumn("won", at_home == (F.col("home_team_wins") == 1))
+    return one_per_game(details).join(g, "game_id").withColumn("won", at_home == (F.col("home_team_wins") == 1))
 
 
 def unit_profit(lines: DataFrame, unit: str, profit: Column) -> DataFrame:

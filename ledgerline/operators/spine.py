@@ -23,21 +23,24 @@ def period_spine(
     longer than the calendar. One shuffle by key; the gaps between two
     neighbouring entries are then filled within the row.
 
-    Adds ``_all`` (entries in order, each with its period ``_p``), ``_i`` (index
-    of the latest entry), ``_now`` and ``_before`` (latest entry and the one
-    before it) and ``is_active`` (the period has an entry of its own).
+    Adds ``_all`` (entries in order, each with its period ``_p``), ``_first``
+    (the first period), ``_i`` (index of the latest entry), ``_now`` and
+    ``_before`` (latest entry and the one before it) and ``is_active`` (the
+    period has an entry of its own). A caller that does not read ``_all`` does
+    not carry it into the filled rows.
     """
     is_date = isinstance(rows.schema[period].dataType, T.DateType)
     stamped = F.struct(F.col(period).alias("_p"), *entry)
     packed = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(stamped)).alias("_all"), *statics
     )
-    placed = packed.select("*", F.posexplode("_all").alias("_i", "_now"))
     following = F.get("_all", F.col("_i") + 1)["_p"]
     until = F.date_sub(following, 1) if is_date else following - 1
-    filled = placed.select(
+    placed = packed.select("*", F.posexplode("_all").alias("_i", "_now")).select(
         "*",
+        F.get("_all", F.lit(0))["_p"].alias("_first"),
         F.get("_all", F.col("_i") - 1).alias("_before"),
-        F.explode(F.sequence(F.col("_now._p"), F.coalesce(until, last))).alias(period),
+        F.coalesce(until, last).alias("_until"),
     )
+    filled = placed.select("*", F.explode(F.sequence(F.col("_now._p"), F.col("_until"))).alias(period))
     return filled.withColumn("is_active", F.col(period) == F.col("_now._p"))

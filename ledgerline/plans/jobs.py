@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.files import write_partitioned
+
 
 def run_job(
     spark: SparkSession,
@@ -22,10 +24,10 @@ def run_job(
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("a job cannot overwrite the path it reads")
     result = transform(spark.read.parquet(source))
-    writer = result.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(target)
+        write_partitioned(result, target, partition_by)
+    else:
+        result.write.mode("overwrite").parquet(target)
 
 
 def run_table_job(

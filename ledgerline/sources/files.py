@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerline.sources.layout import spread_by
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = False) -> DataFrame:
     """CSV with a header. A schema avoids the extra pass that ``infer`` makes; neither gives text."""
@@ -22,8 +24,12 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> str:
-    """Parquet folders by ``by``; with overwrite only the partitions in ``df`` are replaced."""
-    writer = df.write.mode(mode).partitionBy(*by)
+    """Parquet folders by ``by``; with overwrite only the partitions in ``df`` are replaced.
+
+    Rows of a folder are brought together first, so a folder gets a few sized
+    files instead of one from every task.
+    """
+    writer = spread_by(df, by).write.mode(mode).partitionBy(*by)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

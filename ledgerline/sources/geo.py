@@ -10,7 +10,7 @@ from ledgerline.functions.columns import ip_number
 NO_PLACE = "{}"
 
 
-def covered_prefixes(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
+def covered_prefixes(ranges: DataFrame, prefix_bits: int = 20) -> DataFrame:
     """Each range once per address prefix it touches, so it can join on equality."""
     size = 1 << (32 - prefix_bits)
     first = F.floor(F.col("ip_from") / size)
@@ -19,7 +19,7 @@ def covered_prefixes(ranges: DataFrame, prefix_bits: int = 16) -> DataFrame:
 
 
 def locate(
-    events: DataFrame, ranges: DataFrame, ip: str = "ip", name: str = "geodata", prefix_bits: int = 16
+    events: DataFrame, ranges: DataFrame, ip: str = "ip", name: str = "geodata", prefix_bits: int = 20
 ) -> DataFrame:
     """Add a JSON text with country, state and city; ``{}`` when no range holds the address.
 

@@ -8,20 +8,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.grouping import group_parts, spread
+from ledgerline.operators.grouping import assign_part, group_parts, replicate, spread, with_parts
 from ledgerline.session import scratch_path
 
 
-def spread_by(df: DataFrame, by: Sequence[str], partitions: int, max_rows: int = 5_000_000) -> DataFrame:
-    """Hash partitions by ``by``; a value with more than ``max_rows`` rows is dealt out over several."""
+def spread_by(
+    df: DataFrame, by: Sequence[str], partitions: int | None = None, max_rows: int = 5_000_000
+) -> DataFrame:
+    """Bring rows of the same ``by`` values together, but not more than a task can hold.
+
+    Without ``partitions`` adaptive execution sizes the partitions: it splits
+    large values and joins small ones. With a fixed number, a value above
+    ``max_rows`` is dealt out over several partitions.
+    """
+    columns = [F.col(c) for c in by]
+    if partitions is None:
+        return df.hint("rebalance", *columns)
     dealt = spread(df, by, df.columns, max_rows, "_part")
-    return dealt.repartition(partitions, *[F.col(c) for c in by], F.col("_part")).drop("_part")
+    return dealt.repartition(partitions, *columns, F.col("_part")).drop("_part")
 
 
 def sorted_within(
-    df: DataFrame, by: Sequence[str], sort: Sequence[str], partitions: int, max_rows: int = 5_000_000
+    df: DataFrame, by: Sequence[str], sort: Sequence[str], partitions: int | None = None, max_rows: int = 5_000_000
 ) -> DataFrame:
-    """Hash partitions by ``by``, each sorted on its own: no global order, no range sampling."""
+    """``spread_by`` with each partition sorted on its own: no global order, no range sampling."""
     return spread_by(df, by, partitions, max_rows).sortWithinPartitions(*sort)
 
 
@@ -46,7 +56,7 @@ def file_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def layout_study(
-    df: DataFrame, by: Sequence[str], sort_keys: dict[str, Sequence[str]], partitions: int
+    df: DataFrame, by: Sequence[str], sort_keys: dict[str, Sequence[str]], partitions: int | None = None
 ) -> DataFrame:
     """Write one copy per candidate sort order and report what each takes on disk."""
     spark = df.sparkSession
@@ -58,6 +68,15 @@ def layout_study(
     return file_stats(spark, paths)
 
 
+def buckets_for(df: DataFrame, rows_per_bucket: int = 5_000_000, least: int = 16) -> int:
+    """A power of two, at least ``least``, that keeps a bucket within one task's reach."""
+    wanted = df.count() / rows_per_bucket
+    buckets = least
+    while buckets < wanted:
+        buckets *= 2
+    return buckets
+
+
 def write_bucketed(df: DataFrame, label: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """Store ``df`` in a bucketed, sorted table and return the table.
 
@@ -81,7 +100,7 @@ def colocate(
     others: dict[str, tuple[DataFrame, Sequence[str] | None]],
     key: str,
     by: Sequence[str],
-    buckets: int = 16,
+    buckets: int | None = None,
     max_rows: int = 1_000_000,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Bucket several tables on ``key`` so that they join without a shuffle.
@@ -94,23 +113,12 @@ def colocate(
     ``spark.sql.requireAllClusterKeysForCoPartition`` off.
     """
     parts = group_parts(large, [key], max_rows)
-    count = F.coalesce(F.col("_parts"), F.lit(1))
-
-    def hashed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        slot = F.pmod(F.xxhash64(*columns), count).cast("int")
-        return df.join(parts, key, "left").withColumn("part", slot).drop("_parts")
+    number = buckets or buckets_for(large)
+    keys = [key, "part"]
 
-    def repeated(df: DataFrame) -> DataFrame:
-        return (
-            df.join(parts, key, "left")
-            .withColumn("part", F.explode(F.sequence(F.lit(0), count - 1)))
-            .drop("_parts")
-        )
+    def store(name: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+        sized = with_parts(df, parts, [key])
+        placed = replicate(sized) if columns is None else assign_part(sized, columns)
+        return write_bucketed(placed, name, keys, number)
 
-    keys = [key, "part"]
-    stored = write_bucketed(hashed(large, by), "large", keys, buckets)
-    rest = {
-        name: write_bucketed(repeated(df) if columns is None else hashed(df, columns), name, keys, buckets)
-        for name, (df, columns) in others.items()
-    }
-    return stored, rest
+    return store("large", large, by), {name: store(name, df, columns) for name, (df, columns) in others.items()}

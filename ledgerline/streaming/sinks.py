@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerline.session import scratch_path
 from ledgerline.streaming.events import to_messages
 
 CHECKPOINT_EVERY = "10 seconds"
+MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def _trigger(writer, every: str | None):
@@ -72,6 +74,20 @@ def start_messages(
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+@contextmanager
+def sessions_merged_locally(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside merge the sessions of each task before the shuffle.
+
+    A hot session key then moves as few rows as it has sessions.
+    """
+    before = spark.conf.get(MERGE_LOCALLY)
+    spark.conf.set(MERGE_LOCALLY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(MERGE_LOCALLY, before)
+
+
 def run_to_end(spark: SparkSession, streams: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Process all data at hand, one query per name, and read the results back.
 
@@ -79,9 +95,10 @@ def run_to_end(spark: SparkSession, streams: dict[str, DataFrame]) -> dict[str,
     run side by side over their shared source.
     """
     started: list[tuple[str, str, StreamingQuery]] = []
-    for name, df in streams.items():
-        out = scratch_path(spark, f"{name}-rows")
-        started.append((name, out, start_append(df, out, scratch_path(spark, f"{name}-checkpoint"))))
+    with sessions_merged_locally(spark):
+        for name, df in streams.items():
+            out = scratch_path(spark, f"{name}-rows")
+            started.append((name, out, start_append(df, out, scratch_path(spark, f"{name}-checkpoint"))))
     for _, _, query in started:
         query.awaitTermination()
     return {name: spark.read.schema(streams[name].schema).parquet(out) for name, out, _ in started}

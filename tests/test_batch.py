@@ -130,6 +130,28 @@ def test_sort_within_partitions_needs_no_range_shuffle(spark, events):
     assert "rangepartitioning" in inspect.plan_text(layout.sorted_global(events, ["host", "url"]))
 
 
+def test_rows_are_in_order_where_they_lie(spark, events):
+    placed = layout.sorted_within(events, ["host"], ["host", "url"]).withColumns(
+        {"place": F.spark_partition_id(), "at": F.monotonically_increasing_id()}
+    )
+    found = sorted((r["place"], r["at"], r["host"], r["url"]) for r in placed.collect())
+    for (p1, _, *one), (p2, _, *two) in zip(found, found[1:]):
+        assert p1 != p2 or one <= two
+    assert placed.groupBy("host").agg(F.count_distinct("place").alias("n")).filter("n > 1").count() == 0
+
+
+def test_a_folder_gets_few_files(spark):
+    df = spark.range(200).repartition(8).withColumn("ds", F.col("id") % 2)
+    path = files.write_partitioned(df, scratch_path(spark, "few"), ["ds"])
+    assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 2
+
+
+def test_buckets_grow_with_the_table(spark):
+    df = spark.range(1000)
+    assert layout.buckets_for(df) == 16
+    assert layout.buckets_for(df, rows_per_bucket=20) == 64
+
+
 def test_hot_value_is_dealt_over_partitions(spark):
     df = spark.range(1000).select(F.lit("d").alias("ds"), F.col("id"))
     placed = layout.spread_by(df, ["ds"], 8, max_rows=100).withColumn("p", F.spark_partition_id())
