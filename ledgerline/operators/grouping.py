@@ -23,17 +23,15 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = Non
     return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
-def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows and into how many parts to split them.
+def large_groups(counted: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Keys whose count ``_n`` is above ``max_rows`` and into how many parts to split them."""
+    big = counted.filter(F.col("_n") > max_rows)
+    return big.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts"))
 
-    Holds at most rows/max_rows keys; ordinary keys do not appear.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_rows)
-        .select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts"))
-    )
+
+def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """``large_groups`` of a table: at most rows/max_rows keys, ordinary keys do not appear."""
+    return large_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, max_rows)
 
 
 def with_parts(df: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:

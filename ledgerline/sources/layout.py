@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.grouping import assign_part, group_parts, replicate, spread, with_parts
+from ledgerline.operators.grouping import assign_part, large_groups, replicate, spread, with_parts
 from ledgerline.session import scratch_path
 
 
@@ -68,15 +68,26 @@ def layout_study(
     return file_stats(spark, paths)
 
 
-def buckets_for(df: DataFrame, rows_per_bucket: int = 5_000_000, least: int = 16) -> int:
+def buckets_for(rows: int, rows_per_bucket: int = 5_000_000, least: int = 16) -> int:
     """A power of two, at least ``least``, that keeps a bucket within one task's reach."""
-    wanted = df.count() / rows_per_bucket
     buckets = least
-    while buckets < wanted:
+    while buckets * rows_per_bucket < rows:
         buckets *= 2
     return buckets
 
 
+def stored_parts(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, int]:
+    """``group_parts`` of one key, kept in a small table, and the row count, in one pass."""
+    spark = df.sparkSession
+    seen = Observation()
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    watched = counted.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+    big = large_groups(watched, [key], max_rows)
+    path = scratch_path(spark, "parts")
+    big.write.parquet(path)
+    return spark.read.schema(big.schema).parquet(path), seen.get["rows"]
+
+
 def write_bucketed(df: DataFrame, label: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
     """Store ``df`` in a bucketed, sorted table and return the table.
 
@@ -112,8 +123,8 @@ def colocate(
     A join that compares further columns stays in place only with
     ``spark.sql.requireAllClusterKeysForCoPartition`` off.
     """
-    parts = group_parts(large, [key], max_rows)
-    number = buckets or buckets_for(large)
+    parts, rows = stored_parts(large, key, max_rows)
+    number = buckets or buckets_for(rows)
     keys = [key, "part"]
 
     def store(name: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:

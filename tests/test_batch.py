@@ -147,9 +147,14 @@ def test_a_folder_gets_few_files(spark):
 
 
 def test_buckets_grow_with_the_table(spark):
-    df = spark.range(1000)
-    assert layout.buckets_for(df) == 16
-    assert layout.buckets_for(df, rows_per_bucket=20) == 64
+    assert layout.buckets_for(1000) == 16
+    assert layout.buckets_for(1000, rows_per_bucket=20) == 64
+
+
+def test_stored_parts_count_and_large_keys(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 60, 0).otherwise(F.col("id")).alias("k"))
+    parts, n = layout.stored_parts(df, "k", 25)
+    assert (rows(parts), n) == ([(0, 3)], 100)
 
 
 def test_hot_value_is_dealt_over_partitions(spark):
