@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n_rows") -> DataFrame:
@@ -68,3 +69,10 @@ def enforce_not_null(df: DataFrame, required: Sequence[str]) -> DataFrame:
         for c in df.columns
     ]
     return df.select(*checked)
+
+
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in the shape of ``schema``: its columns by name, cast, required ones enforced."""
+    required = [f.name for f in schema.fields if not f.nullable]
+    picked = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return enforce_not_null(picked, required)

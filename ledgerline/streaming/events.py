@@ -13,6 +13,11 @@ PROCESSED_SCHEMA = "ip string, event_time string, referrer string, host string,
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
+def topic_options(servers: str, topic: str, start: str = "latest", **security: str) -> dict[str, str]:
+    """Reader options for a broker topic; ``security`` entries are passed on as they are."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start, **security}
+
+
 def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None = None, path: str | None = None) -> DataFrame:
     """One text column ``value`` per message.
 
