@@ -237,7 +237,7 @@ def a1(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def a1_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     bought = views.purchases(spark, sf_dir)
-    before = growth.growth_backfill(bought, "user_id", "event_time", BEFORE).filter(F.col("date") == F.lit(BEFORE))
+    before = growth.growth_backfill(bought, "user_id", "event_time", BEFORE, only_last=True)
     rows = growth.growth_step(before, bought, "user_id", "event_time", AS_OF)
     return rows.withColumn("n_dates", F.size("dates_active")).drop("dates_active")
 

@@ -26,7 +26,10 @@ def history_until(spark: SparkSession, sf_dir: str, last: int) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    return history_until(spark, sf_dir, year).filter(F.col("current") == year)
+    rows = views.player_seasons(spark, sf_dir)
+    return dims.cumulate_backfill(
+        rows, "player_name", "season", year, STATICS, HISTORY, "pts", scoring, only_last=True
+    )
 
 
 def states(spark: SparkSession, sf_dir: str, last: int = LAST) -> DataFrame:

@@ -36,15 +36,14 @@ def a3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "a4_funnel",
     using(
-        """SELECT url, count(*) AS n_events, CAST(sum(hit) AS BIGINT) AS n_converted,
-            round(CAST(sum(hit) AS DOUBLE) / count(*), 6) AS conversion
-        FROM (SELECT a.user_id, a.event_time, a.url, max(CASE WHEN b.url = '/signup' THEN 1 ELSE 0 END) AS hit
-              FROM (SELECT DISTINCT user_id, event_time, url FROM web_events WHERE user_id IS NOT NULL) a
-              JOIN (SELECT DISTINCT user_id, event_time, url FROM web_events WHERE user_id IS NOT NULL) b
-                ON a.user_id = b.user_id AND CAST(a.event_time AS DATE) = CAST(b.event_time AS DATE)
-               AND b.event_time > a.event_time GROUP BY 1, 2, 3)
-        GROUP BY url HAVING sum(hit) > 0 AND count(*) > 100""",
-        "web_events",
+        """SELECT url, count(*) AS n_events, count(*) FILTER (hit) AS n_converted,
+            round(CAST(count(*) FILTER (hit) AS DOUBLE) / count(*), 6) AS conversion
+        FROM (SELECT e.url, EXISTS (SELECT 1 FROM hits h WHERE h.user_id = e.user_id AND h.day = e.day
+                                    AND h.event_time > e.event_time AND h.url = '/signup') AS hit
+              FROM hits e WHERE EXISTS (SELECT 1 FROM hits h WHERE h.user_id = e.user_id AND h.day = e.day
+                                        AND h.event_time > e.event_time))
+        GROUP BY url HAVING count(*) FILTER (hit) > 0 AND count(*) > 100""",
+        "hits",
     ),
 )
 def a4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,20 +55,24 @@ AUGMENTED = """(SELECT coalesce(os_type, 'unknown') AS os_type, coalesce(device_
         coalesce(browser_type, 'unknown') AS browser_type FROM web_events JOIN devices USING (device_id))"""
 
 
+def one_level(label: str, *shown: str) -> str:
+    """Hits by the shown dimensions alone; the others read ``(overall)``."""
+    columns = ", ".join(d if d in shown else f"'(overall)' AS {d}" for d in DIMS)
+    return f"SELECT '{label}' AS aggregation_level, {columns}, count(*) AS number_of_hits FROM {AUGMENTED} GROUP BY ALL"
+
+
 def hits_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, devices = views.web_events(spark, sf_dir), views.devices(spark, sf_dir)
-    return events.join(devices, "device_id")
+    """Hits per device id, counted before they meet the devices, with the device's dimensions."""
+    hits = views.web_events(spark, sf_dir).groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+    return hits.join(views.devices(spark, sf_dir), "device_id")
 
 
 @query(
     "a5_grouping_sets",
     using(
-        f"""SELECT CASE WHEN grouping(os_type) = 0 AND grouping(device_type) = 0 AND grouping(browser_type) = 0
-                 THEN 'os_type__device_type__browser' WHEN grouping(browser_type) = 0 THEN 'browser_type'
-                 WHEN grouping(device_type) = 0 THEN 'device_type' ELSE 'os_type' END AS aggregation_level,
-            coalesce(os_type, '(overall)') AS os_type, coalesce(device_type, '(overall)') AS device_type,
-            coalesce(browser_type, '(overall)') AS browser_type, count(*) AS number_of_hits
-        FROM {AUGMENTED} GROUP BY GROUPING SETS ((browser_type, device_type, os_type), (browser_type), (os_type), (device_type))""",
+        " UNION ALL ".join(
+            [one_level("os_type__device_type__browser", *DIMS)] + [one_level(d, d) for d in DIMS]
+        ),
         "web_events",
         "devices",
     ),
@@ -77,7 +80,7 @@ def hits_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = [DIMS, ["browser_type"], ["os_type"], ["device_type"]]
     out = patterns.dashboard(
-        hits_by_device(spark, sf_dir), DIMS, levels, {"number_of_hits": F.count(F.lit(1))}, "os_type__device_type__browser"
+        hits_by_device(spark, sf_dir), DIMS, levels, {"number_of_hits": F.sum("n")}, "os_type__device_type__browser"
     )
     return out.orderBy(F.col("number_of_hits").desc())
 
@@ -114,18 +117,19 @@ DAILY = f"""(SELECT {CHANNEL_SQL} AS channel, url, CAST(event_time AS DATE) AS e
         FROM web_events WHERE referrer IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
-def rolling_sql(this_week: str, last_week: str) -> str:
+def rolling_sql(position: str) -> str:
+    """Sums by joining each day to the days at a distance; ``position`` numbers the days."""
     return using(
-        f"""SELECT channel, url, CAST(event_date AS VARCHAR) AS event_date, count,
-            CAST(m AS BIGINT) AS month_total, CAST(r AS BIGINT) AS running_total, CAST(t AS BIGINT) AS overall_total,
-            CAST(w AS BIGINT) AS weekly_rolling_count, CAST(p AS BIGINT) AS previous_weekly_rolling_count,
-            round(CAST(count AS DOUBLE) / m, 6) AS pct_of_month, round(CAST(count AS DOUBLE) / t, 6) AS pct_of_total
-        FROM (SELECT *, sum(count) OVER (PARTITION BY channel, url, date_trunc('month', event_date)) AS m,
-              sum(count) OVER (PARTITION BY channel, url ORDER BY event_date) AS r,
-              sum(count) OVER (PARTITION BY channel, url) AS t,
-              sum(count) OVER (PARTITION BY channel, url ORDER BY event_date {this_week}) AS w,
-              sum(count) OVER (PARTITION BY channel, url ORDER BY event_date {last_week}) AS p FROM {DAILY})
-        WHERE t > 100""",
+        f"""SELECT channel, url, CAST(event_date AS VARCHAR) AS event_date, count, month_total, running_total, overall_total,
+            weekly_rolling_count, previous_weekly_rolling_count,
+            round(CAST(count AS DOUBLE) / month_total, 6) AS pct_of_month, round(CAST(count AS DOUBLE) / overall_total, 6) AS pct_of_total
+        FROM (SELECT a.channel, a.url, a.event_date, a.count,
+                CAST(sum(b.count) FILTER (date_trunc('month', b.event_date) = date_trunc('month', a.event_date)) AS BIGINT) AS month_total,
+                CAST(sum(b.count) FILTER (b.pos <= a.pos) AS BIGINT) AS running_total, CAST(sum(b.count) AS BIGINT) AS overall_total,
+                CAST(sum(b.count) FILTER (a.pos - b.pos BETWEEN 0 AND 6) AS BIGINT) AS weekly_rolling_count,
+                CAST(sum(b.count) FILTER (a.pos - b.pos BETWEEN 7 AND 13) AS BIGINT) AS previous_weekly_rolling_count
+              FROM (SELECT *, {position} AS pos FROM {DAILY}) a JOIN (SELECT *, {position} AS pos FROM {DAILY}) b ON a.channel = b.channel AND a.url = b.url GROUP BY 1, 2, 3, 4)
+        WHERE overall_total > 100""",
         "web_events",
     )
 
@@ -138,7 +142,7 @@ def daily_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a8_rolling",
-    rolling_sql("ROWS BETWEEN 6 PRECEDING AND CURRENT ROW", "ROWS BETWEEN 13 PRECEDING AND 7 PRECEDING"),
+    rolling_sql("row_number() OVER (PARTITION BY channel, url ORDER BY event_date)"),
 )
 def a8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.rolling_counts(daily_channels(spark, sf_dir), ["channel", "url"], "event_date", "count", 100)
@@ -146,10 +150,7 @@ def a8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a8_rolling_calendar",
-    rolling_sql(
-        "RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW",
-        "RANGE BETWEEN INTERVAL 13 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING",
-    ),
+    rolling_sql("event_date - DATE '2024-01-01'"),
 )
 def a8_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_channels(spark, sf_dir)
@@ -192,17 +193,19 @@ MATCH_ROWS = "(SELECT d.*, playlist_id, CAST(mapid AS VARCHAR) AS mapid, CAST(ye
 
 
 def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per match with the match's dimensions."""
+    totals = views.match_details(spark, sf_dir).groupBy("match_id").agg(
+        F.sum("player_total_kills").alias("kills"),
+        F.sum("player_total_deaths").alias("deaths"),
+        F.count(F.lit(1)).alias("appearances"),
+    )
     season = F.year("completion_date").cast("string").alias("season")
     m = views.matches(spark, sf_dir).select("match_id", "playlist_id", F.col("mapid").cast("string").alias("mapid"), season)
-    return views.match_details(spark, sf_dir).join(m, "match_id")
+    return totals.join(m, "match_id")
 
 
 def match_measures() -> dict[str, Column]:
-    return {
-        "kills": F.sum("player_total_kills"),
-        "deaths": F.sum("player_total_deaths"),
-        "appearances": F.count(F.lit(1)),
-    }
+    return {name: F.sum(name) for name in ("kills", "deaths", "appearances")}
 
 
 @query(
@@ -244,10 +247,14 @@ LINE_PROFIT = """CAST(round(l_extendedprice * 100) AS BIGINT)
         * (100 - CAST(round(l_discount * 100) AS BIGINT) - CAST(round(l_tax * 100) AS BIGINT))"""
 
 
+def line_profit() -> Column:
+    """Hundredths of a cent: price less discount and tax."""
+    return views.cents("l_extendedprice") * (F.lit(100) - views.cents("l_discount") - views.cents("l_tax"))
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profit per order in hundredths of a cent: price less discount and tax."""
-    kept = F.lit(100) - views.cents("l_discount") - views.cents("l_tax")
-    return patterns.unit_profit(views.order_lines(spark, sf_dir), "l_orderkey", views.cents("l_extendedprice") * kept)
+    """Profit per order."""
+    return patterns.unit_profit(views.order_lines(spark, sf_dir), "l_orderkey", line_profit())
 
 
 @query(
@@ -268,6 +275,20 @@ def a12_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.profit_report(units(spark, sf_dir), views.orders_by_day(spark, sf_dir), "l_orderkey", "order_day")
 
 
+@query(
+    "a12_kpis",
+    f"""SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month_start,
+        CAST(sum({LINE_PROFIT}) AS BIGINT) AS profit, CAST(sum({LINE_PROFIT}) AS BIGINT) AS line_profit,
+        count(DISTINCT l_orderkey) AS n_units, true AS agrees
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+)
+def a12_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit-level and aggregate profit side by side."""
+    lines, days = views.order_lines(spark, sf_dir), views.orders_by_day(spark, sf_dir)
+    report = patterns.profit_report(units(spark, sf_dir), days, "l_orderkey", "order_day")
+    return patterns.reconcile(report, lines, days, "l_orderkey", "order_day", line_profit())
+
+
 @query(
     "a12_growth",
     using(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerline.operators.facts import MEASURES
+
 WEB_EVENTS = """
 SELECT event_id, ts AS event_time,
        CASE WHEN event_id % 50 <> 0 THEN user_id END AS user_id,
@@ -126,9 +128,7 @@ SELECT d.game_id AS dim_game_id, g.game_date AS dim_game_date, g.season AS dim_s
        coalesce(contains(d.comment, 'NWT'), false) AS dim_not_with_team,
        TRY_CAST(split_part(d.min, ':', 1) AS DOUBLE)
          + coalesce(TRY_CAST(split_part(d.min, ':', 2) AS DOUBLE), 0.0::DOUBLE) / 60.0::DOUBLE AS m_minutes,
-       fgm AS m_fgm, fga AS m_fga, fg3m AS m_fg3m, fg3a AS m_fg3a, ftm AS m_ftm, fta AS m_fta, oreb AS m_oreb,
-       dreb AS m_dreb, reb AS m_reb, ast AS m_ast, stl AS m_stl, blk AS m_blk, turnovers AS m_turnovers, pf AS m_pf,
-       pts AS m_pts, plus_minus AS m_plus_minus
+       {", ".join(f"{m} AS m_{m}" for m in MEASURES)}
 FROM ({first_row("game_details", ["game_id", "team_id", "player_id"], DETAIL_COLUMNS)}) d
 JOIN games g USING (game_id)
 """
@@ -192,6 +192,10 @@ ACTIVE_DAYS = """
 SELECT DISTINCT user_id, CAST(event_time AS DATE) AS day FROM web_events WHERE user_id IS NOT NULL
 """
 
+HITS = """
+SELECT DISTINCT user_id, event_time, CAST(event_time AS DATE) AS day, url FROM web_events WHERE user_id IS NOT NULL
+"""
+
 # name -> (text, names of the views it reads)
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "web_events": (WEB_EVENTS, ()),
@@ -210,6 +214,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "medals_players": (MEDALS_PLAYERS, ()),
     "purchases_by_user": (PURCHASES_BY_USER, ()),
     "geo_ranges": (GEO_RANGES, ()),
+    "hits": (HITS, ("web_events",)),
     "buying_days": (BUYING_DAYS, ("web_events",)),
     "active_days": (ACTIVE_DAYS, ("web_events",)),
     "growth": (GROWTH, ("buying_days", "web_events")),

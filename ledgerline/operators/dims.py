@@ -57,15 +57,17 @@ def cumulate_backfill(
     hist_cols: Sequence[str],
     value: str,
     classify: Classify,
+    only_last: bool = False,
 ) -> DataFrame:
     """All snapshots up to ``last`` in one pass, same columns as ``cumulate_step``.
 
-    ``rows`` is unique on (key, time). Statics are the maximum seen.
+    ``rows`` is unique on (key, time). Statics are the maximum seen. With
+    ``only_last`` the earlier snapshots are not built.
     """
     known = rows.filter(F.col(time) <= last)
     entry = [F.struct(*hist_cols).alias("entry"), F.col(value).alias("value")]
     statics = [F.max(c).alias(c) for c in static_cols]
-    spine = period_spine(known, [key], time, F.lit(last), entry, statics)
+    spine = period_spine(known, [key], time, F.lit(last), entry, statics, only_last)
     so_far = F.slice("_all", 1, F.col("_i") + 1)
     return spine.select(
         key,

@@ -56,12 +56,17 @@ def game_vertices(games: DataFrame) -> DataFrame:
 
 
 def player_vertices(details: DataFrame) -> DataFrame:
-    """One vertex per player; the team list is a set over the league's few teams."""
-    totals = details.groupBy("player_id").agg(
+    """One vertex per player; rows are added up per team first, so the team list holds each team once."""
+    per_team = details.groupBy("player_id", "team_id").agg(
         F.max("player_name").alias("player_name"),
         F.count(F.lit(1)).alias("number_of_games"),
         F.sum("pts").alias("total_points"),
-        F.array_join(F.sort_array(F.collect_set("team_id")).cast("array<string>"), ",").alias("teams"),
+    )
+    totals = per_team.groupBy("player_id").agg(
+        F.max("player_name").alias("player_name"),
+        F.sum("number_of_games").alias("number_of_games"),
+        F.sum("total_points").alias("total_points"),
+        F.array_join(F.sort_array(F.collect_list("team_id")).cast("array<string>"), ",").alias("teams"),
     )
     names = ("player_name", "number_of_games", "total_points", "teams")
     return vertex(totals, "player", F.col("player_id"), properties(**{n: F.col(n) for n in names}))

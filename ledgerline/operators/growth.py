@@ -54,14 +54,16 @@ def growth_step(prev: DataFrame, events: DataFrame, user: str, time: str, day: d
     )
 
 
-def growth_backfill(events: DataFrame, user: str, time: str, as_of: date, with_dates: bool = True) -> DataFrame:
-    """Every user's state on every day up to ``as_of`` in one pass.
+def growth_backfill(
+    events: DataFrame, user: str, time: str, as_of: date, with_dates: bool = True, only_last: bool = False
+) -> DataFrame:
+    """Every user's state on every day up to ``as_of``, or just on that day, in one pass.
 
     Equal to repeating the step from an empty table. Events shrink to distinct
     (user, day) before the one shuffle by user.
     """
     days = active_days(events.filter(F.to_date(time) <= F.lit(as_of)), [user], time)
-    spine = period_spine(days, [user], "day", F.lit(as_of))
+    spine = period_spine(days, [user], "day", F.lit(as_of), only_last=only_last)
     date_col = F.col("day")
     active = F.col("is_active")
     known = ~(active & (F.col("_i") == 0))

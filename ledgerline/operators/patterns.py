@@ -216,6 +216,19 @@ def profit_report(units: DataFrame, unit_dates: DataFrame, unit: str, day: str)
     )
 
 
+def reconcile(report: DataFrame, lines: DataFrame, unit_dates: DataFrame, unit: str, day: str, profit: Column) -> DataFrame:
+    """A monthly report, perhaps a stored one, next to the same months computed afresh from the lines."""
+    per_unit = lines.groupBy(unit).agg(F.sum(profit).alias("_p"))
+    direct = (
+        per_unit.join(unit_dates.select(unit, day), unit)
+        .groupBy(F.trunc(day, "MM").alias("month_start"))
+        .agg(F.sum("_p").alias("line_profit"))
+    )
+    return report.join(direct, "month_start", "full_outer").withColumn(
+        "agrees", F.col("profit").eqNullSafe(F.col("line_profit"))
+    )
+
+
 def daily_growth(first_seen: DataFrame, day: str) -> DataFrame:
     """New entities per day, the running total and growth over the day before."""
     per_day = first_seen.groupBy(day).agg(F.count(F.lit(1)).alias("n_new"))

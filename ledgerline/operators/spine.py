@@ -16,8 +16,9 @@ def period_spine(
     last: Column,
     entry: Sequence[Column] = (),
     statics: Sequence[Column] = (),
+    only_last: bool = False,
 ) -> DataFrame:
-    """Every key in every period from its first one to ``last``.
+    """Every key in every period from its first one to ``last``, or just in ``last``.
 
     ``rows`` must be unique on (keys, period), so the array kept per key is no
     longer than the calendar. One shuffle by key; the gaps between two
@@ -34,13 +35,16 @@ def period_spine(
     packed = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(stamped)).alias("_all"), *statics
     )
-    following = F.get("_all", F.col("_i") + 1)["_p"]
-    until = F.date_sub(following, 1) if is_date else following - 1
-    placed = packed.select("*", F.posexplode("_all").alias("_i", "_now")).select(
-        "*",
-        F.get("_all", F.lit(0))["_p"].alias("_first"),
-        F.get("_all", F.col("_i") - 1).alias("_before"),
-        F.coalesce(until, last).alias("_until"),
-    )
-    filled = placed.select("*", F.explode(F.sequence(F.col("_now._p"), F.col("_until"))).alias(period))
+    first = F.get("_all", F.lit(0))["_p"].alias("_first")
+    before = F.get("_all", F.col("_i") - 1).alias("_before")
+    if only_last:
+        latest = packed.withColumn("_i", F.size("_all") - 1).withColumn("_now", F.get("_all", F.col("_i")))
+        filled = latest.select("*", first, before, last.alias(period))
+    else:
+        following = F.get("_all", F.col("_i") + 1)["_p"]
+        until = F.coalesce(F.date_sub(following, 1) if is_date else following - 1, last)
+        placed = packed.select("*", F.posexplode("_all").alias("_i", "_now")).select(
+            "*", first, before, until.alias("_until")
+        )
+        filled = placed.select("*", F.explode(F.sequence(F.col("_now._p"), F.col("_until"))).alias(period))
     return filled.withColumn("is_active", F.col(period) == F.col("_now._p"))

@@ -40,6 +40,16 @@ def sorted_global(df: DataFrame, sort: Sequence[str]) -> DataFrame:
     return df.orderBy(*sort)
 
 
+def write_by_year(df: DataFrame, path: str, day: str, sort: Sequence[str] = ()) -> str:
+    """Parquet folders by the year of ``day``, rows of a day kept together and sorted if asked."""
+    dated = df.withColumn("year", F.year(day))
+    placed = spread_by(dated, ["year", day])
+    if sort:
+        placed = placed.sortWithinPartitions("year", *sort)
+    placed.write.partitionBy("year").parquet(path)
+    return path
+
+
 def file_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Files, bytes and rows of each named table, read from file metadata and counts."""
     out = None

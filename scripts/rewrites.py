@@ -13,6 +13,7 @@ import sys
 import time
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -25,66 +26,65 @@ AS_OF = date(2024, 1, 30)
 
 
 def funnel_pair(spark, sf_dir):
+    """Every event against every later one of its user and day."""
     events = views.web_events(spark, sf_dir)
-    events.createOrReplaceTempView("rw_events")
-    plain = spark.sql(
-        """WITH e AS (SELECT DISTINCT user_id, event_time, url FROM rw_events WHERE user_id IS NOT NULL),
-        c AS (SELECT a.user_id, a.event_time, a.url, max(CASE WHEN b.url = '/signup' THEN 1 ELSE 0 END) AS hit
-              FROM e a JOIN e b ON a.user_id = b.user_id AND to_date(a.event_time) = to_date(b.event_time)
-               AND b.event_time > a.event_time GROUP BY 1, 2, 3)
-        SELECT url, count(*) AS n, sum(hit) AS hits FROM c GROUP BY url HAVING sum(hit) > 0"""
-    )
+    hits = events.filter("user_id IS NOT NULL").select("user_id", "event_time", "url").distinct()
+    hits = hits.withColumn("day", F.to_date("event_time"))
+    later = hits.select("user_id", "day", F.col("event_time").alias("then"), F.col("url").alias("target"))
+    pairs = hits.join(later, ["user_id", "day"]).filter(F.col("then") > F.col("event_time"))
+    per_event = pairs.groupBy("user_id", "event_time", "url").agg(F.max(F.col("target") == "/signup").alias("hit"))
+    plain = per_event.groupBy("url").agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits")).filter("hits > 0")
     return plain, patterns.funnel(events, "user_id", "event_time", "url", "/signup")
 
 
 def datelist_pair(spark, sf_dir):
+    """Every user against every one of 32 days."""
     lists = activity.active_dates_backfill(views.web_events(spark, sf_dir), ["user_id"], "event_time", AS_OF)
-    lists.createOrReplaceTempView("rw_lists")
-    plain = spark.sql(
-        """SELECT user_id, sum(CASE WHEN array_contains(dates_active, d) THEN
-              shiftleft(1L, 31 - datediff(DATE '2024-01-30', d)) ELSE 0 END) AS datelist_int
-        FROM rw_lists CROSS JOIN (SELECT explode(sequence(DATE '2023-12-30', DATE '2024-01-30')) AS d) GROUP BY user_id"""
-    )
+    days = spark.range(32).select(F.date_sub(F.lit(AS_OF), F.col("id").cast("int")).alias("day"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), 31 - F.datediff(F.lit(AS_OF), "day"))
+    active = F.when(F.array_contains("dates_active", F.col("day")), bit).otherwise(0)
+    plain = lists.crossJoin(days).groupBy("user_id").agg(F.sum(active).alias("datelist_int"))
     return plain, activity.datelist(lists, AS_OF)
 
 
 def spine_pair(spark, sf_dir):
-    views.player_seasons(spark, sf_dir).createOrReplaceTempView("rw_seasons")
-    plain = spark.sql(
-        """WITH p AS (SELECT player_name, min(season) AS f FROM rw_seasons GROUP BY 1),
-        g AS (SELECT player_name, season FROM p JOIN (SELECT explode(sequence(1995, 2001)) AS season) ON f <= season),
-        w AS (SELECT g.player_name, g.season, collect_list(CASE WHEN s.season IS NOT NULL THEN
-                struct(s.season, s.gp, s.pts, s.reb, s.ast, s.weight) END)
-                OVER (PARTITION BY g.player_name ORDER BY g.season) AS history
-              FROM g LEFT JOIN rw_seasons s ON s.player_name = g.player_name AND s.season = g.season),
-        t AS (SELECT player_name, max(height) AS height, max(college) AS college, max(country) AS country,
-                max(draft_year) AS draft_year, max(draft_round) AS draft_round, max(draft_number) AS draft_number
-              FROM rw_seasons GROUP BY 1)
-        SELECT w.*, t.height, t.college, t.country, t.draft_year, t.draft_round, t.draft_number
-        FROM w JOIN t ON t.player_name = w.player_name"""
+    """A calendar joined by inequality, then a window that collects."""
+    seasons = views.player_seasons(spark, sf_dir)
+    spans = seasons.groupBy("player_name").agg(
+        F.min("season").alias("first"), *[F.max(c).alias(c) for c in q_dims.STATICS]
     )
-    return plain, q_dims.history_until(spark, sf_dir, 2001)
+    calendar = spark.range(q_dims.FIRST, q_dims.LAST + 1).select(F.col("id").cast("int").alias("season"))
+    grid = spans.join(calendar, F.col("first") <= F.col("season"))
+    facts = seasons.select("player_name", "season", F.struct(*q_dims.HISTORY).alias("entry"))
+    order = Window.partitionBy("player_name").orderBy("season")
+    plain = grid.join(facts, ["player_name", "season"], "left").withColumn("history", F.collect_list("entry").over(order))
+    return plain, q_dims.history_until(spark, sf_dir, q_dims.LAST)
 
 
 def incremental_pair(spark, sf_dir):
+    """One join for each kind of record."""
     states = q_dims.states(spark, sf_dir).persist()
     tracked = ["class", "is_active"]
     before = scd.scd2_backfill(states, "player_name", "current", tracked, 2000).persist()
     states.count(), before.count()
-    states.createOrReplaceTempView("rw_states")
-    before.createOrReplaceTempView("rw_before")
-    plain = spark.sql(
-        """WITH o AS (SELECT * FROM rw_before WHERE end_period = 2000), n AS (SELECT * FROM rw_states WHERE current = 2001),
-        same AS (SELECT n.player_name, n.class, n.is_active, o.start_period, n.current AS end_period FROM n JOIN o
-                 ON o.player_name = n.player_name WHERE n.class = o.class AND n.is_active = o.is_active),
-        moved AS (SELECT n.player_name, inline(array(struct(o.class, o.is_active, o.start_period, o.end_period),
-                    struct(n.class, n.is_active, n.current AS start_period, n.current AS end_period))) AS (class, is_active, start_period, end_period)
-                  FROM n LEFT JOIN o ON o.player_name = n.player_name WHERE n.class <> o.class OR n.is_active <> o.is_active),
-        fresh AS (SELECT n.player_name, n.class, n.is_active, n.current AS start_period, n.current AS end_period FROM n LEFT JOIN o
-                  ON o.player_name = n.player_name WHERE o.player_name IS NULL)
-        SELECT player_name, class, is_active, start_period, end_period FROM rw_before WHERE end_period < 2000
-        UNION ALL SELECT * FROM same UNION ALL SELECT * FROM moved UNION ALL SELECT * FROM fresh"""
-    )
+    n = states.filter("current = 2001").alias("n")
+    o = before.filter("end_period = 2000").select("player_name", *tracked, "start_period").alias("o")
+    both = F.col("n.player_name") == F.col("o.player_name")
+    equal = (F.col("n.class") == F.col("o.class")) & (F.col("n.is_active") == F.col("o.is_active"))
+    now = [F.col("n.player_name"), F.col("n.class"), F.col("n.is_active")]
+    was = [F.col("o.player_name"), F.col("o.class"), F.col("o.is_active")]
+    this, start = F.lit(2001), F.col("o.start_period")
+    parts = [
+        before.filter("end_period < 2000").select("player_name", *tracked, "start_period", "end_period"),
+        n.join(o, both & equal).select(*now, start, this),
+        n.join(o, both & ~equal).select(
+            F.inline(F.array(F.struct(*was, start, F.lit(2000)), F.struct(*now, this.alias("start_period"), this)))
+        ),
+        n.join(o, both, "left_anti").select(*now, this, this),
+    ]
+    plain = parts[0]
+    for part in parts[1:]:
+        plain = plain.union(part)
     return plain, scd.scd2_incremental(before, states, "player_name", "current", tracked, 2001)
 
 

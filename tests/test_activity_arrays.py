@@ -164,6 +164,12 @@ def test_growth_fold_equals_backfill(spark, events):
         assert rows(state, *whole.columns) == rows(whole.filter(F.col("date") == F.lit(day)))
 
 
+def test_one_day_equals_the_last_of_all(spark, events):
+    for day in (days()[6], days()[-1]):
+        whole = growth.growth_backfill(events, "u", "t", day).filter(F.col("date") == F.lit(day))
+        assert rows(growth.growth_backfill(events, "u", "t", day, only_last=True), *whole.columns) == rows(whole)
+
+
 def test_daily_states(spark):
     seen = [1, 2, 4]
     df = spark.createDataFrame([(1, 0, "h", datetime(2024, 1, d)) for d in seen], EVENT)

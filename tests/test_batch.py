@@ -140,6 +140,18 @@ def test_rows_are_in_order_where_they_lie(spark, events):
     assert placed.groupBy("host").agg(F.count_distinct("place").alias("n")).filter("n > 1").count() == 0
 
 
+def test_sorted_and_unsorted_copies_by_year(spark, small):
+    df = views.matches(spark, small)
+    paths = {n: scratch_path(spark, n) for n in ("plain", "sorted")}
+    layout.write_by_year(df, paths["plain"], "completion_date")
+    layout.write_by_year(df, paths["sorted"], "completion_date", ["completion_date", "playlist_id"])
+    stats = {r["table_name"]: r["n_rows"] for r in layout.file_stats(spark, paths).collect()}
+    assert stats == {"plain": df.count(), "sorted": df.count()}
+    one = spark.read.parquet(paths["sorted"]).filter("year = 1997")
+    assert "PartitionFilters: [isnotnull(year" in inspect.plan_text(one)
+    assert one.filter("year(completion_date) <> 1997").count() == 0
+
+
 def test_a_folder_gets_few_files(spark):
     df = spark.range(200).repartition(8).withColumn("ds", F.col("id") % 2)
     path = files.write_partitioned(df, scratch_path(spark, "few"), ["ds"])

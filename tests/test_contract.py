@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 
 import __spark_entry__ as contract  # noqa: E402
 import compare  # noqa: E402
+from ledgerline.plans import inspect  # noqa: E402
 
 # Thresholds and single days that the smallest tables never reach.
 MAY_BE_EMPTY = {"a8_rolling", "a8_rolling_calendar", "s17_partition_filter"}
@@ -36,3 +37,9 @@ def test_every_sql_has_a_query():
 def test_query_equals_sql(spark, con, small, name):
     good, note = compare.compare(spark, con, small, name, contract.queries()[name], contract.oracle_sql().get(name))
     assert good or (name in MAY_BE_EMPTY and note.startswith("0 rows equal")), note
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - {"t12_two_outputs"}))
+def test_no_cross_join_and_no_python_in_any_plan(spark, small, name):
+    df = contract.queries()[name](spark, small)
+    assert not inspect.has_cross_join(df) and not inspect.uses_python(df)

@@ -53,6 +53,16 @@ def test_folded_steps_equal_backfill(spark):
         assert rows(snapshot, *want.columns) == rows(want)
 
 
+def test_one_snapshot_equals_the_last_of_all(spark):
+    df = spark.createDataFrame(DATA, SEASON)
+    for year in (1998, 2000):
+        only = dims.cumulate_backfill(
+            df, "name", "season", year, ["college"], ["season", "gp", "pts"], "pts", scoring, only_last=True
+        )
+        want = backfill(df, year).filter(F.col("current") == year)
+        assert rows(only, *want.columns) == rows(want)
+
+
 def test_backfill_uses_one_shuffle_and_no_theta_join(spark):
     plan = inspect.plan_text(backfill(spark.createDataFrame(DATA, SEASON), 2000))
     assert plan.count("Exchange hashpartitioning") == 1

@@ -119,6 +119,9 @@ def test_unit_and_report_profit_agree(spark):
     units = patterns.unit_profit(lines, "o", F.col("p"))
     report = patterns.profit_report(units, when, "o", "d")
     assert units.agg(F.sum("profit")).first()[0] == report.agg(F.sum("profit")).first()[0] == 12
+    stale = report.withColumn("profit", F.when(F.month("month_start") == 2, 99).otherwise(F.col("profit")))
+    checked = patterns.reconcile(stale, lines, when, "o", "d", F.col("p"))
+    assert rows(checked, "line_profit", "agrees") == [(5, False), (7, True)]
 
 
 def test_growth_and_engagement(spark):
