@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import month_of
 
 MONTH_SLOTS = 31
 

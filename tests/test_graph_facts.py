@@ -61,6 +61,15 @@ def test_max_property_and_career(spark):
     assert rows(career, "career_average", "total_points", "num_games") == [(7.5, 15, 2)]
 
 
+def test_decimal_text_is_a_number_and_bad_text_is_skipped(spark):
+    vertex = spark.createDataFrame([(1, "player", {"n": "x"}), (2, "player", {"n": "y"})], "identifier long, type string, properties map<string,string>")
+    edge = spark.createDataFrame(
+        [(1, "player", {"pts": "12.0"}), (1, "player", {"pts": "9"}), (2, "player", {"pts": "n/a"})],
+        "subject_identifier long, subject_type string, properties map<string,string>",
+    )
+    assert rows(graph.max_edge_property(vertex, edge, "n", "pts", "m")) == as_set([(1, "x", 12.0), (2, "y", None)])
+
+
 def test_career_of_nobody_is_null(spark):
     vertex = spark.createDataFrame(
         [(1, "player", {"player_name": "x", "total_points": "0", "number_of_games": "0"})],
