@@ -31,8 +31,8 @@ def s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.user_device_hits(views.web_events(spark, sf_dir))
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.user_device_counts(views.web_events(spark, sf_dir))
 
 
 @query(
@@ -44,7 +44,8 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def s2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits(spark, sf_dir).withColumn("host_array", F.array_join("host_array", ","))
+    rows = web.user_device_hits(views.web_events(spark, sf_dir))
+    return rows.withColumn("host_array", F.array_join("host_array", ",")).drop("part")
 
 
 HITS = "(SELECT user_id, device_id, count(*) AS n FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2)"
@@ -59,7 +60,7 @@ HITS = "(SELECT user_id, device_id, count(*) AS n FROM web_events WHERE user_id
     ),
 )
 def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = web.user_rollup(hits(spark, sf_dir))
+    rows = web.user_rollup(counts(spark, sf_dir))
     ids = F.transform("devices", lambda e: e["device_id"])
     # A user above the part size would show one row per part.
     return rows.select(
@@ -81,7 +82,7 @@ def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def s4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = web.device_rollup(hits(spark, sf_dir), views.devices(spark, sf_dir))
+    rows = web.device_rollup(counts(spark, sf_dir), views.devices(spark, sf_dir))
     ids = F.transform("users", lambda e: e["user_id"])
     return rows.select(
         "device_id",
@@ -370,7 +371,7 @@ def s15(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = web.user_device_hits(rows, "ds")
     path = files.write_partitioned(daily, scratch_path(spark, "staging"), ["ds"])
     back = spark.read.schema(daily.schema).parquet(path)
-    return back.withColumn("host_array", F.array_join("host_array", ","))
+    return back.withColumn("host_array", F.array_join("host_array", ",")).drop("part")
 
 
 @query(

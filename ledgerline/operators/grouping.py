@@ -23,10 +23,12 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = Non
     return df.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
-def large_groups(counted: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+def large_groups(
+    counted: DataFrame, keys: Sequence[str], max_rows: int, carry: Sequence[str] = ()
+) -> DataFrame:
     """Keys whose count ``_n`` is above ``max_rows`` and into how many parts to split them."""
     big = counted.filter(F.col("_n") > max_rows)
-    return big.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts"))
+    return big.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts"), *carry)
 
 
 def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
@@ -34,8 +36,12 @@ def group_parts(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     return large_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, max_rows)
 
 
-def with_parts(df: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_parts``, 1 for ordinary keys. A null key is a key like any other.
+def with_parts(
+    df: DataFrame, parts: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_parts``, 1 for ordinary keys, and ``carry`` columns, null for them.
+
+    A null key is a key like any other.
 
     ``parts`` comes from ``group_parts`` and joins without a hint: adaptive
     execution broadcasts it when its measured size allows and shuffles
@@ -46,7 +52,7 @@ def with_parts(df: DataFrame, parts: DataFrame, keys: Sequence[str]) -> DataFram
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_big_{key}"))
     joined = df.join(renamed, same, "left")
-    return joined.select(*df.columns, F.coalesce("_found", F.lit(1)).alias("_parts"))
+    return joined.select(*df.columns, F.coalesce("_found", F.lit(1)).alias("_parts"), *carry)
 
 
 def spread(df: DataFrame, keys: Sequence[str], by: Sequence[str], max_rows: int, part: str = "part") -> DataFrame:

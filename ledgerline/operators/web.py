@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.grouping import collect_in_parts
+from ledgerline.operators.grouping import assign_part, collect_in_parts, large_groups, with_parts
 
 
-def user_device_hits(events: DataFrame, *extra: str) -> DataFrame:
-    """Hits and the distinct hosts of each (user, device); ``extra`` columns join the key."""
+def user_device_counts(events: DataFrame) -> DataFrame:
+    """Hits of each (user, device); the roll-ups start from this."""
+    known = events.filter(F.col("user_id").isNotNull())
+    return known.groupBy("user_id", "device_id").agg(F.count(F.lit(1)).alias("event_counts"))
+
+
+def user_device_hits(events: DataFrame, *extra: str, max_hosts: int = 100_000) -> DataFrame:
+    """Hits and the distinct hosts of each (user, device); ``extra`` columns join the key.
+
+    A pair with more than ``max_hosts`` hosts has several rows, numbered by
+    ``part``, each with the pair's full hit count.
+    """
     keys = [*extra, "user_id", "device_id"]
     known = events.filter(F.col("user_id").isNotNull())
-    per_host = known.groupBy(*keys, "host").agg(F.count(F.lit(1)).alias("_n"))
-    return per_host.groupBy(*keys).agg(
-        F.sum("_n").alias("event_counts"), F.sort_array(F.collect_list("host")).alias("host_array")
+    per_host = known.groupBy(*keys, "host").agg(F.count(F.lit(1)).alias("_hits"))
+    counted = per_host.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_hits").alias("_total"))
+    big = large_groups(counted, keys, max_hosts, ["_total"])
+    split = assign_part(with_parts(per_host, big, keys, ["_total"]), ["host"])
+    return split.groupBy(*keys, "part").agg(
+        F.coalesce(F.max("_total"), F.sum("_hits")).alias("event_counts"),
+        F.sort_array(F.collect_list("host")).alias("host_array"),
     )
 
 

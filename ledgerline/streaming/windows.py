@@ -51,7 +51,8 @@ def sessions_of_table(
 
     Sessions are first built inside slices of time, so a key with a large part
     of all rows is spread over many tasks; the pieces, one row each, are then
-    merged per key.
+    merged per key. A key has at most one piece per slice and gap of the time
+    covered, whatever its number of events.
     """
     gap = gap_seconds * 1_000_000
     stamped = events.filter(F.col(time).isNotNull()).select(

@@ -30,8 +30,20 @@ def devices(spark):
     )
 
 
+def test_hosts_of_a_pair_are_split_not_cut(spark):
+    df = spark.range(600).select(
+        F.lit(1).alias("user_id"), F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("device_id"),
+        F.concat(F.lit("h"), (F.col("id") % 200).cast("string")).alias("host"),
+    )
+    parts = web.user_device_hits(df, max_hosts=50).filter("device_id = 1").collect()
+    assert len(parts) == 4 and {r["event_counts"] for r in parts} == {400}
+    assert sorted(h for r in parts for h in r["host_array"]) == sorted(f"h{i}" for i in range(200))
+    whole = web.user_device_hits(df)
+    assert whole.agg(F.sum("event_counts")).first()[0] == 600 and whole.filter("part <> 0").count() == 0
+
+
 def test_rollups_do_not_fan_out(spark, events, devices):
-    hits = web.user_device_hits(events)
+    hits = web.user_device_counts(events)
     users = web.user_rollup(hits)
     for r in users.collect():
         ids = [e["device_id"] for e in r["devices"]]
@@ -69,7 +81,7 @@ def test_dataframe_and_sql_forms_agree(spark, events, devices):
 
 
 def test_cached_aggregate_is_used_by_both_rollups(spark, events, devices):
-    hits = web.user_device_hits(events).persist()
+    hits = web.user_device_counts(events).persist()
     try:
         assert "InMemoryTableScan" in inspect.plan_text(web.user_rollup(hits))
         assert "InMemoryTableScan" in inspect.plan_text(web.device_rollup(hits, devices))
