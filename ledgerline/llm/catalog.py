@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import langid, licenses, packing, quality, sharding
+from ledgerline.llm import langid, licenses, packing, quality, sharding, simhash, substrings
 from ledgerline.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir), labels)
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, limit=4)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_rows(documents(spark, sf_dir))
     return dealt.select(
@@ -45,6 +53,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_quality_rules, op5_sharding, op7_language_id, op10_packing)
+    f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op7_language_id, op10_packing)
 }
 SQL: dict[str, str] = {}
