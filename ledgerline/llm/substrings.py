@@ -16,7 +16,7 @@ in one shard, and no document has to pass through every shard.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -344,7 +344,7 @@ def repeated_places(df: DataFrame, most: int = MOST) -> DataFrame:
     return places.unionByName(single.select("doc", "text_key", "lo", "hi"))
 
 
-def _kept(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], with_text: bool, carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 256):
         counts, removed, digests, texts = [], [], [], []
         originals = batch.column("text").to_pylist()
@@ -367,13 +367,20 @@ def _kept(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Rec
         if with_text:
             made.append(pa.array(texts, pa.string()))
             names.append("kept_text")
+        made += [batch.column(f"_{c}") for c in carry]
+        names += carry
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names=names)
 
 
 def remove_repeats(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, most: int = MOST
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_text: bool = False,
+    carry: Sequence[str] = (),
+    most: int = MOST,
 ) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` for every row (and ``kept_text`` on request).
+    """``doc_id, n_words, n_removed, kept_sha256`` for every row (``kept_text`` and ``carry`` columns on request).
 
     A word goes if it stands in a window of 20 words that also starts earlier:
     in a document of smaller id, or earlier in its own. Ids are whole numbers
@@ -387,13 +394,16 @@ def remove_repeats(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("doc"),
         F.col(text_col).cast("string").alias("text"),
+        *[F.col(c).alias(f"_{c}") for c in carry],
     ).withColumn("text_key", F.xxhash64("text"))
     whole = rows.filter("text is not null").select("doc", "text_key", "text")
     places = repeated_places(whole, most).groupBy("doc", "text_key")
     places = places.agg(F.collect_list(F.struct("lo", "hi")).alias("places"))
-    joined = rows.join(places, ["doc", "text_key"], "left").select("doc_id", "text", "places")
+    joined = rows.join(places, ["doc", "text_key"], "left")
+    joined = joined.select("doc_id", "text", "places", *[f"_{c}" for c in carry])
     extra = ", kept_text string" if with_text else ""
+    extra += "".join(f", {c} {type_of(df, c)}" for c in carry)
     return joined.mapInArrow(
-        lambda batches: _kept(batches, with_text),
+        lambda batches: _kept(batches, with_text, tuple(carry)),
         f"doc_id {type_of(df, id_col)}, n_words long, n_removed long, kept_sha256 string{extra}",
     )
