@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import langid, licenses, packing, quality, sharding, simhash, substrings
+from ledgerline.llm import bpe, langid, licenses, packing, quality, sharding, simhash, substrings
 from ledgerline.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -48,11 +48,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer_path())
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op7_language_id, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op7_language_id,
+        op8_bpe_round_trip, op10_packing,
+    )
 }
 SQL: dict[str, str] = {}

@@ -25,11 +25,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """Smaller slices of the incoming batches, so that few texts are Python objects at once."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        step = rows
+        if batch.num_rows and batch.get_total_buffer_size() > size:
+            step = max(1, min(rows, size * batch.num_rows // batch.get_total_buffer_size()))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
