@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, licenses, packing, quality, sharding, simhash, substrings
+from ledgerline.llm import bpe, langid, licenses, lm, packing, quality, sharding, simhash, substrings, vectors
 from ledgerline.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,6 +44,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return lm.cross_entropy_difference(documents(spark, sf_dir), labels.filter("quality = 1 and toxic = 0"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -52,6 +57,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer_path())
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
@@ -59,8 +68,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op7_language_id,
-        op8_bpe_round_trip, op10_packing,
+        op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op6_lm_scoring,
+        op7_language_id, op8_bpe_round_trip, op9_vector_dedup, op10_packing,
     )
 }
 SQL: dict[str, str] = {}
