@@ -16,6 +16,7 @@ in one shard, and no document has to pass through every shard.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,12 +29,12 @@ from ledgerline.llm.common import as_bytes, batch_of, pieces, staged, type_of
 
 WINDOW = 20
 PHRASE = 6
-#: Phrases or passages a task holds before it passes them on.
-HELD = 400_000
+#: Phrases and passages a task holds before it passes them on.
+HELD, HELD_PASSAGES = 400_000, 50_000
 #: Passages of one phrase that a task takes together; a larger set is dealt out by window.
-MOST = 20_000
+MOST = 5_000
 #: Passages compiled into one automaton (more only if one phrase has more).
-COMPILED = 2_000
+COMPILED = 1_000
 _FIRST = -(1 << 63)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -201,7 +202,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo, end, own in zip(first[hit].tolist(), last[hit].tolist(), owner[hit].view(np.int64).tolist()):
                 hi = end + WINDOW - 1
                 held.add(own, b" ".join(words[lo : hi + 1]), doc, key, lo, hi)
-            if len(held) >= HELD:
+            if len(held) >= HELD_PASSAGES:
                 yield from held.rows()
     yield from held.rows()
 
@@ -217,7 +218,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 window = b" ".join(words[at : at + WINDOW])
                 route = xxhash.xxh64_intdigest(window) - (1 << 63)
                 held.add(route, window, doc, key, lo + at, lo + at + WINDOW - 1)
-            if len(held) >= HELD:
+            if len(held) >= HELD_PASSAGES:
                 yield from held.rows()
     yield from held.rows()
 
@@ -231,12 +232,13 @@ def _located(passages: list[tuple[bytes, int, int, int]]) -> list[tuple[int, int
     import ahocorasick
 
     numbers: dict[bytes, int] = {}
-    streams = [tuple([numbers.setdefault(w, len(numbers)) for w in p[0].split(b" ")]) for p in passages]
-    first: dict[tuple, tuple[int, int]] = {}
-    recurring: set[tuple] = set()
+    streams = [array("I", [numbers.setdefault(w, len(numbers)) for w in p[0].split(b" ")]) for p in passages]
+    first: dict[bytes, tuple[int, int]] = {}
+    recurring: set[bytes] = set()
     for stream, (_, doc, _, lo) in zip(streams, passages):
+        raw, width = stream.tobytes(), stream.itemsize
         for at in range(len(stream) - WINDOW + 1):
-            window, place = stream[at : at + WINDOW], (doc, lo + at)
+            window, place = raw[width * at : width * (at + WINDOW)], (doc, lo + at)
             before = first.setdefault(window, place)
             if before is not place:
                 recurring.add(window)
@@ -246,12 +248,12 @@ def _located(passages: list[tuple[bytes, int, int, int]]) -> list[tuple[int, int
         return []
     machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for window in recurring:
-        machine.add_word(window, first[window])
+        machine.add_word(tuple(array("I", window)), first[window])
     machine.make_automaton()
     out = []
     for stream, (_, doc, key, lo) in zip(streams, passages):
         start = end = -1
-        for last, place in machine.iter(stream):
+        for last, place in machine.iter(tuple(stream)):
             at = lo + last - WINDOW + 1
             if place == (doc, at):
                 continue
