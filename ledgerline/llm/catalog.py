@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, licenses, lm, packing, quality, sharding, simhash, substrings, vectors
+from ledgerline.llm import bpe, langid, licenses, lm, oracles, packing, quality, sharding, simhash, substrings, vectors
 from ledgerline.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,4 +72,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_language_id, op8_bpe_round_trip, op9_vector_dedup, op10_packing,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracles.SQL)
