@@ -42,19 +42,27 @@ def _coded(batch: pa.RecordBatch) -> tuple[int, np.ndarray, np.ndarray, list[str
     return name.intdigest() - (1 << 63), offsets, rank[codes], found
 
 
-def _planes(codes: np.ndarray) -> bytes:
-    """Codes as byte planes; the high planes of frequent words are zeros, which shuffle compression removes."""
-    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 as byte planes, compressed: small and frequent numbers take little."""
+    return _squeezed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1)
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(_restored(raw), np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _restored(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, DOCS_PER_BATCH, BYTES_PER_BATCH):
         name, offsets, codes, _ = _coded(batch)
-        rows = [_planes(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+        rows = [_packed(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
         yield pa.RecordBatch.from_arrays(
             [pa.array([name] * len(rows), pa.int64()), batch.column("doc_id"), pa.array(rows, pa.binary())],
             names=["batch", "doc_id", "codes"],
@@ -80,8 +88,8 @@ def _word_lists(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
             _LISTS,
             [int(bucket[g[0]]) for g in groups],
             [name] * len(groups),
-            [g.astype("<u4").tobytes() for g in groups],
-            [b" ".join([raw[i] for i in g.tolist()]) for g in groups],
+            [_packed(np.diff(g, prepend=0)) for g in groups],
+            [_squeezed(b" ".join([raw[i] for i in g.tolist()])) for g in groups],
         )
 
 
@@ -92,7 +100,7 @@ def _answers(batches: Iterator[pa.RecordBatch], shared, remember: int) -> Iterat
     """Ids for the words of each list; a word is encoded when it is first met in this task."""
     encoder, known = encoder_of(shared), {}
     for batch in pieces(batches, 64):
-        lists = [w.decode("utf-8").split(" ") for w in batch.column("words").to_pylist()]
+        lists = [_restored(w).decode("utf-8").split(" ") for w in batch.column("words").to_pylist()]
         if len(known) > remember:
             known.clear()
         new = list({w for words in lists for w in words if w not in known})
@@ -102,8 +110,8 @@ def _answers(batches: Iterator[pa.RecordBatch], shared, remember: int) -> Iterat
             _ANSWERS,
             batch.column("batch"),
             batch.column("codes"),
-            [np.array([len(i) // 4 for i in ids], "<u4").tobytes() for ids in found],
-            [np.frombuffer(b"".join(ids), "<u4").astype("<u4").tobytes() for ids in found],
+            [_packed(np.array([len(i) // 4 for i in ids])) for ids in found],
+            [_packed(np.frombuffer(b"".join(ids), "<u4")) for ids in found],
         )
 
 
@@ -128,16 +136,17 @@ def _ends(array: pa.Array) -> np.ndarray:
 
 def _joined(documents: pa.Table, answers: pa.Table, shared, with_ids: bool) -> pa.Table:
     """Ids and decoded text of each document of one batch."""
-    codes = [_from_planes(raw) for raw in documents.column("codes").to_pylist()]
+    codes = [_unpacked(raw) for raw in documents.column("codes").to_pylist()]
     ends = np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int64)
     lists = answers.select(["codes", "sizes", "ids"]).to_pylist()
     # a batch whose twin has the same ids and texts gets the same list twice
     lists = list({a["codes"]: a for a in lists}.values())
-    numbers = np.concatenate([np.frombuffer(a["codes"], "<u4") for a in lists] or [np.empty(0, "<u4")])
-    sizes = np.concatenate([np.frombuffer(a["sizes"], "<u4") for a in lists] or [np.empty(0, "<u4")])
+    empty = [np.empty(0, "<u4")]
+    numbers = np.concatenate([np.cumsum(_unpacked(a["codes"])) for a in lists] or empty)
+    sizes = np.concatenate([_unpacked(a["sizes"]) for a in lists] or empty)
     place = np.empty(len(numbers), np.int64)
     place[numbers] = np.arange(len(numbers))
-    pool = pa.py_buffer(b"".join(a["ids"] for a in lists))
+    pool = pa.py_buffer(b"".join(_unpacked(a["ids"]).tobytes() for a in lists))
     starts = np.concatenate([[0], 4 * np.cumsum(sizes.astype(np.int64))])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(numbers), [None, pa.py_buffer(starts), pool])
     taken = words.take(pa.array(place[np.concatenate(codes)] if len(numbers) else np.empty(0, np.int64)))
@@ -165,7 +174,7 @@ def round_trip(
     tokenizer: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    buckets: int = 64,
+    buckets: int | None = None,
     remember: int = 1_000_000,
     with_ids: bool = False,
 ) -> DataFrame:
@@ -176,8 +185,12 @@ def round_trip(
     joined by blanks. A null or empty text has no ids and decodes to nothing;
     repeated rows are encoded alike; an empty table gives an empty result. A
     task that holds words beyond ``remember`` forgets them and encodes them
-    again when they return.
+    again when they return. Words are dealt to ``buckets`` tasks, by default a
+    number that grows with the square root of the rows, as both the rows of a
+    bucket and the buckets of a batch are then few enough.
     """
+    if buckets is None:
+        buckets = max(64, int(df.count() ** 0.5 / 8))
     shared = shipped(df.sparkSession, tokenizer)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = type_of(df, id_col)
