@@ -158,7 +158,8 @@ def cross_entropy_difference(
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     words = vocabulary_of(rows, vocabulary)
     shared = spark.sparkContext.broadcast(words)
-    marked = rows.join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    # one plan at every size: the ids' side grows with the labels
+    marked = rows.join(wanted.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
     marked = staged(marked, "marked")
     counts = _count(marked.select("text", "good"), shared, cells)
     models = spark.sparkContext.broadcast(tuple(c.astype(np.uint32) if c.max(initial=0) < 1 << 32 else c for c in counts))
