@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.catalog import views
 from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
+from ledgerline.catalog.views import stored
 from ledgerline.operators import activity, arrays, growth
 
 AS_OF = date(2024, 1, 30)
@@ -19,6 +20,9 @@ DAYS = f"string_agg({DAY}, ',' ORDER BY day)"
 BITS = "CAST(sum(CAST(1 AS BIGINT) << CAST(31 - (DATE '2024-01-30' - day) AS INTEGER)) AS BIGINT)"
 
 
+FIRST_DAYS = ("num_hits_first_day", "num_hits_second_day", "num_hits_third_day")
+
+
 def text(array: str) -> Column:
     return F.array_join(F.col(array).cast("array<string>"), ",", "null")
 
@@ -32,7 +36,8 @@ def text(array: str) -> Column:
 )
 def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.web_events(spark, sf_dir)
-    prev = activity.active_dates_backfill(events, ["user_id"], "event_time", BEFORE)
+    days = [activity.active_dates_backfill(events, ["user_id"], "event_time", d) for d in (BEFORE - timedelta(days=1), BEFORE)]
+    prev = stored(spark, days[0].unionByName(days[1]), "active-dates", "date")
     now = activity.active_dates_step(prev, events, ["user_id"], "event_time", AS_OF)
     return now.select("user_id", F.size("dates_active").alias("n_dates"), text("dates_active").alias("dates_active"), "date")
 
@@ -148,7 +153,11 @@ def site_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "f13_array_cardinality",
-    using("SELECT CAST(30 AS BIGINT) AS n_slots, count(DISTINCT user_id) AS n_rows FROM web_events", "web_events"),
+    using(
+        f"""SELECT n_slots, count(*) AS n_rows FROM (SELECT u.user_id, count(c.day) AS n_slots
+        FROM (SELECT DISTINCT user_id FROM web_events WHERE user_id IS NOT NULL) u CROSS JOIN {CALENDAR} c GROUP BY 1) GROUP BY 1""",
+        "web_events",
+    ),
 )
 def f13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays.array_lengths(site_hits(spark, sf_dir), "metric_array")
@@ -175,11 +184,30 @@ MONTHLY_HITS = f"""SELECT u.user_id, string_agg(coalesce(CAST(h.n AS VARCHAR), '
 @query("f15_monthly_hits", using(MONTHLY_HITS, "web_events"))
 def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.web_events(spark, sf_dir)
-    prev = arrays.monthly_hits_backfill(events, "user_id", "event_time", BEFORE)
+    earlier = [arrays.monthly_hits_backfill(events, "user_id", "event_time", d) for d in (BEFORE - timedelta(days=1), BEFORE)]
+    prev = stored(spark, earlier[0].unionByName(earlier[1]), "hits", "date_partition")
     now = arrays.monthly_hits_step(prev, events, "user_id", "event_time", AS_OF)
     return now.withColumn("hit_array", text("hit_array"))
 
 
+@query(
+    "f15_month_change",
+    using(
+        """SELECT user_id, CAST(count(*) AS VARCHAR) AS hit_array, '2024-02-01' AS month_start, '2024-02-01' AS first_found_date,
+        '2024-02-01' AS date_partition FROM web_events
+        WHERE user_id IS NOT NULL AND CAST(event_time AS DATE) = DATE '2024-01-30' GROUP BY 1""",
+        "web_events",
+    ),
+)
+def f15_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The step into a new month, over all events moved ahead by two days."""
+    moved = views.web_events(spark, sf_dir).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 2 DAYS"))
+    before = arrays.monthly_hits_backfill(moved, "user_id", "event_time", date(2024, 1, 31))
+    prev = stored(spark, before, "hits", "date_partition")
+    now = arrays.monthly_hits_step(prev, moved, "user_id", "event_time", date(2024, 2, 1))
+    return now.withColumn("hit_array", text("hit_array"))
+
+
 @query(
     "f16_first_days",
     using(
@@ -193,8 +221,24 @@ def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def f16(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = arrays.monthly_hits_backfill(views.web_events(spark, sf_dir), "user_id", "event_time", AS_OF)
-    names = ("num_hits_first_day", "num_hits_second_day", "num_hits_third_day")
-    return arrays.first_days(hits, "hit_array", "date_partition", AS_OF, names)
+    return arrays.first_days(hits, "hit_array", "date_partition", AS_OF, FIRST_DAYS)
+
+
+@query(
+    "f16_first_days_null",
+    using(
+        """SELECT '2024-01-01' AS month_start,
+        nullif(count(*) FILTER (CAST(event_time AS DATE) = DATE '2024-01-01'), 0) AS num_hits_first_day,
+        nullif(count(*) FILTER (CAST(event_time AS DATE) = DATE '2024-01-02'), 0) AS num_hits_second_day,
+        nullif(count(*) FILTER (CAST(event_time AS DATE) = DATE '2024-01-03'), 0) AS num_hits_third_day
+        FROM web_events WHERE user_id IS NOT NULL""",
+        "web_events",
+    ),
+)
+def f16_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with days without any hit left null."""
+    hits = arrays.monthly_hits_backfill(views.web_events(spark, sf_dir), "user_id", "event_time", AS_OF)
+    return arrays.first_days(hits, "hit_array", "date_partition", AS_OF, FIRST_DAYS, keep_null=True)
 
 
 @query(
@@ -214,42 +258,47 @@ def f17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return now.withColumns({"hit_array": text("hit_array"), "unique_visitors": text("unique_visitors")})
 
 
-@query(
-    "a1_growth_accounting",
-    using(
-        """SELECT user_id, CAST(first_day AS VARCHAR) AS first_active_date, CAST(last_active_date AS VARCHAR) AS last_active_date,
-        daily_active_state, weekly_active_state, n_dates, CAST(date AS VARCHAR) AS date FROM growth""",
-        "growth",
-    ),
-)
+def growth_sql(body: str, name: str = "growth") -> str:
+    return using(f"SELECT {body} FROM {name}", name)
+
+
+STATES = """user_id, CAST(first_day AS VARCHAR) AS first_active_date, CAST(last_active_date AS VARCHAR) AS last_active_date,
+        daily_active_state, weekly_active_state, n_dates, CAST(date AS VARCHAR) AS date"""
+
+
+def sized(df: DataFrame) -> DataFrame:
+    return df.withColumn("n_dates", F.size("dates_active")).drop("dates_active")
+
+
+@query("a1_growth_accounting", growth_sql(STATES))
 def a1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = growth.growth_backfill(views.purchases(spark, sf_dir), "user_id", "event_time", AS_OF)
-    return rows.withColumn("n_dates", F.size("dates_active")).drop("dates_active")
+    """Every event of a known user counts as being active."""
+    return sized(growth.growth_backfill(views.web_events(spark, sf_dir), "user_id", "event_time", AS_OF))
 
 
-@query(
-    "a1_growth_step",
-    using(
-        """SELECT user_id, CAST(first_day AS VARCHAR) AS first_active_date, CAST(last_active_date AS VARCHAR) AS last_active_date,
-        daily_active_state, weekly_active_state, n_dates, CAST(date AS VARCHAR) AS date FROM growth WHERE date = DATE '2024-01-30'""",
-        "growth",
-    ),
-)
+@query("a1_growth_purchases", growth_sql(STATES, "buying_growth"))
+def a1_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for one kind of event."""
+    return sized(growth.growth_backfill(views.purchases(spark, sf_dir), "user_id", "event_time", AS_OF))
+
+
+@query("a1_growth_step", growth_sql(STATES) + " WHERE date = DATE '2024-01-30'")
 def a1_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = views.purchases(spark, sf_dir)
-    before = growth.growth_backfill(bought, "user_id", "event_time", BEFORE, only_last=True)
-    rows = growth.growth_step(before, bought, "user_id", "event_time", AS_OF)
-    return rows.withColumn("n_dates", F.size("dates_active")).drop("dates_active")
+    """One day on top of yesterday's partition of a stored table."""
+    events = views.web_events(spark, sf_dir)
+    recent = growth.growth_backfill(events, "user_id", "event_time", BEFORE).filter(F.col("date") >= F.lit(BEFORE - timedelta(days=1)))
+    prev = stored(spark, recent, "growth", "date")
+    return sized(growth.growth_step(prev, events, "user_id", "event_time", AS_OF))
 
 
 @query(
     "a2_retention",
-    using(
-        """SELECT CAST(date - first_day AS BIGINT) AS days_since_first_active,
-        round(CAST(count(*) FILTER (is_on) AS DOUBLE) / count(*), 6) AS pct_active, count(*) AS n FROM growth GROUP BY 1""",
-        "growth",
-    ),
+    growth_sql(
+        """CAST(date - first_day AS BIGINT) AS days_since_first_active,
+        round(CAST(count(*) FILTER (is_on) AS DOUBLE) / count(*), 6) AS pct_active, count(*) AS n"""
+    )
+    + " GROUP BY 1",
 )
 def a2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = growth.growth_backfill(views.purchases(spark, sf_dir), "user_id", "event_time", AS_OF, with_dates=False)
+    rows = growth.growth_backfill(views.web_events(spark, sf_dir), "user_id", "event_time", AS_OF, with_dates=False)
     return growth.retention(rows)

@@ -9,26 +9,30 @@ from ledgerline.catalog import views
 from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.operators import graph, matches, web
+from ledgerline.operators.grouping import lists_by_range
 from ledgerline.plans.jobs import run_job
 from ledgerline.session import scratch_path
 from ledgerline.sources import files, layout
 
-ORDER_CSV = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+ORDER_CSV = """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp,
+    o_orderpriority string"""
+STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 @query(
     "s1_csv_read",
-    """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents, o_orderpriority
-    FROM orders""",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents,
+    {STAMP.format("o_orderdate")} AS o_orderdate, o_orderpriority FROM orders""",
 )
 def s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders to CSV with a header and back through a schema."""
-    rows = views.table(spark, sf_dir, "orders").drop("o_orderdate")
+    rows = views.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     path = files.write_csv(rows, scratch_path(spark, "csv"))
     back = files.read_csv(spark, path, ORDER_CSV)
     return back.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", views.cents("o_totalprice").alias("price_cents"), "o_orderpriority"
-    )
+        "o_orderkey", "o_custkey", "o_orderstatus", views.cents("o_totalprice").alias("price_cents"), "o_orderdate",
+        "o_orderpriority",
+    )
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +42,26 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "s2_user_device",
     using(
-        """SELECT user_id, device_id, count(*) AS event_counts, string_agg(DISTINCT host, ',' ORDER BY host) AS host_array
+        """SELECT user_id, device_id, count(*) AS event_counts, count(DISTINCT host) AS n_hosts,
+        string_agg(DISTINCT host, ',' ORDER BY host) AS host_array
         FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2""",
         "web_events",
     ),
 )
 def s2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = web.user_device_hits(views.web_events(spark, sf_dir))
-    return rows.withColumn("host_array", F.array_join("host_array", ",")).drop("part")
+    rows = web.user_device_hits(web.user_device_hosts(views.web_events(spark, sf_dir)))
+    return rows.withColumn("host_array", F.array_join("host_array", ","))
+
+
+@query(
+    "s2_user_device_hosts",
+    using(
+        "SELECT user_id, device_id, host, count(*) AS hits FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2, 3",
+        "web_events",
+    ),
+)
+def s2_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.user_device_hosts(views.web_events(spark, sf_dir))
 
 
 HITS = "(SELECT user_id, device_id, count(*) AS n FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2)"
@@ -54,42 +70,52 @@ HITS = "(SELECT user_id, device_id, count(*) AS n FROM web_events WHERE user_id
 @query(
     "s3_users_devices",
     using(
-        f"""SELECT user_id, max(n) AS total_hits, count(*) AS n_devices, CAST(sum(device_id) AS BIGINT) AS device_sum,
-        string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices FROM {HITS} GROUP BY 1""",
+        f"""SELECT user_id, max(n) AS total_hits, count(*) AS n_devices, CAST(sum(device_id) AS BIGINT) AS device_sum
+        FROM {HITS} GROUP BY 1""",
         "web_events",
     ),
 )
 def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = web.user_rollup(counts(spark, sf_dir))
-    ids = F.transform("devices", lambda e: e["device_id"])
-    # A user above the part size would show one row per part.
-    return rows.select(
-        "user_id",
-        "total_hits",
-        F.size("devices").alias("n_devices"),
-        F.aggregate(ids, F.lit(0).cast("long"), lambda acc, x: acc + x).alias("device_sum"),
-        F.array_join(ids.cast("array<string>"), ",").alias("devices"),
-    )
+    return web.user_rollup(counts(spark, sf_dir))
+
+
+@query(
+    "s3_device_lists",
+    using(
+        f"""SELECT user_id, CAST(floor(device_id / 1000) AS BIGINT) AS part,
+        string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices FROM {HITS} GROUP BY 1, 2""",
+        "web_events",
+    ),
+)
+def s3_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lists_by_range(counts(spark, sf_dir), ["user_id"], "device_id", "devices")
+    return rows.withColumn("devices", F.array_join(F.col("devices").cast("array<string>"), ","))
 
 
 @query(
     "s4_device_users",
     using(
-        f"""SELECT device_id, device_type, count(*) AS n_users, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users
+        f"""SELECT device_id, device_type, count(*) AS n_users, CAST(sum(user_id) AS BIGINT) AS user_sum
         FROM {HITS} JOIN devices USING (device_id) GROUP BY 1, 2""",
         "web_events",
         "devices",
     ),
 )
 def s4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = web.device_rollup(counts(spark, sf_dir), views.devices(spark, sf_dir))
-    ids = F.transform("users", lambda e: e["user_id"])
-    return rows.select(
-        "device_id",
-        "device_type",
-        F.size("users").alias("n_users"),
-        F.array_join(ids.cast("array<string>"), ",").alias("users"),
-    )
+    return web.device_rollup(counts(spark, sf_dir), views.devices(spark, sf_dir))
+
+
+@query(
+    "s4_user_lists",
+    using(
+        f"""SELECT device_id, CAST(floor(user_id / 1000) AS BIGINT) AS part,
+        string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY user_id) AS users FROM {HITS} GROUP BY 1, 2""",
+        "web_events",
+    ),
+)
+def s4_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lists_by_range(counts(spark, sf_dir), ["device_id"], "user_id", "users")
+    return rows.withColumn("users", F.array_join(F.col("users").cast("array<string>"), ","))
 
 
 EVENT_TIME = "strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time"
@@ -99,41 +125,41 @@ EVENT_TIME = "strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS event_time"
     "s5_enrich_typed",
     using(
         f"""SELECT event_id, user_id, device_id, upper(browser_type) AS browser_type, os_type, device_type,
-        coalesce(referrer, 'unknown') AS referrer, host, url, {EVENT_TIME}
+        coalesce(referrer, 'unknown') AS referrer, host, url, ip, {EVENT_TIME}
         FROM web_events JOIN devices USING (device_id) WHERE user_id IS NOT NULL""",
         "web_events",
         "devices",
     ),
 )
 def s5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.enrich_typed(views.web_events(spark, sf_dir), views.devices(spark, sf_dir)).drop("ip")
+    return web.enrich_typed(views.web_events(spark, sf_dir), views.devices(spark, sf_dir))
 
 
 @query(
     "s6_enrich_plain",
     using(
-        f"""SELECT event_id, user_id, device_id, browser_type, os_type, device_type, referrer, host, url, {EVENT_TIME}
+        f"""SELECT event_id, user_id, device_id, browser_type, os_type, device_type, referrer, host, url, ip, {EVENT_TIME}
         FROM web_events JOIN devices USING (device_id) WHERE user_id IS NOT NULL""",
         "web_events",
         "devices",
     ),
 )
 def s6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.enrich_plain(views.web_events(spark, sf_dir), views.devices(spark, sf_dir)).drop("ip")
+    return web.enrich_plain(views.web_events(spark, sf_dir), views.devices(spark, sf_dir))
 
 
 @query(
     "s7_left_enrich",
     using(
         f"""SELECT event_id, user_id, device_id, browser_type AS browser_family, os_type AS os_family,
-        device_type AS device_family, referrer, host, url, {EVENT_TIME}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date
+        device_type AS device_family, referrer, host, url, ip, {EVENT_TIME}, CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date
         FROM web_events LEFT JOIN devices USING (device_id)""",
         "web_events",
         "devices",
     ),
 )
 def s7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web.enrich_left(views.web_events(spark, sf_dir), views.devices(spark, sf_dir)).drop("ip")
+    return web.enrich_left(views.web_events(spark, sf_dir), views.devices(spark, sf_dir))
 
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,75 +182,99 @@ def s8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "s9_year_folders",
+    """SELECT t AS table_name, year(o_orderdate) AS year, count(*) AS n_rows, CAST(min(o_orderdate) AS DATE)::VARCHAR AS first_day
+        FROM orders, (VALUES ('sorted'), ('plain')) v(t) GROUP BY 1, 2""",
+)
+def s9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two copies in yearly folders, one sorted inside, read back by folder."""
+    rows = views.table(spark, sf_dir, "orders").withColumn("order_day", F.to_date("o_orderdate"))
+    out = None
+    for name, sort in (("plain", ()), ("sorted", ("order_day", "o_custkey"))):
+        path = layout.write_by_year(rows, scratch_path(spark, name), "order_day", sort)
+        one = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.min("order_day").alias("first_day"))
+        one = one.select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(
     "s10_file_stats",
     using(
-        """SELECT t AS table_name, (SELECT count(*) FROM web_events) AS n_rows, true AS has_files
-        FROM (VALUES ('sorted'), ('unsorted')) v(t)""",
+        "SELECT t AS table_name, count(*) AS n_rows FROM web_events, (VALUES ('sorted'), ('unsorted')) v(t) GROUP BY 1",
         "web_events",
     ),
 )
 def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and files of a sorted and an unsorted copy; the byte counts are the engine's own."""
+    """Rows of a sorted and an unsorted copy; file and byte counts are the engine's own and left out here."""
     rows = dated_events(spark, sf_dir)
     paths = {"sorted": scratch_path(spark, "sorted"), "unsorted": scratch_path(spark, "unsorted")}
     layout.sorted_within(rows, ["event_date"], ["event_date", "host", "event_time"]).write.parquet(paths["sorted"])
     layout.spread_by(rows, ["event_date"]).write.parquet(paths["unsorted"])
-    stats = layout.file_stats(spark, paths)
-    return stats.select("table_name", "n_rows", ((F.col("n_files") > 0) & (F.col("n_bytes") > 0)).alias("has_files"))
+    return layout.file_stats(spark, paths).select("table_name", "n_rows")
 
 
-@query("s11_layout_study")
+@query(
+    "s11_layout_study",
+    using(
+        """SELECT t AS table_name, count(*) AS n_rows FROM match_details JOIN matches USING (match_id),
+        (VALUES ('playlist_map'), ('map_playlist'), ('match')) v(t) GROUP BY 1""",
+        "match_details",
+        "matches",
+    ),
+)
 def s11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Disk size of match rows under several sort orders."""
+    """Match rows stored under several sort orders; the bytes of each are the engine's own and left out here."""
     rows = views.match_details(spark, sf_dir).join(views.matches(spark, sf_dir), "match_id")
     orders = {
         "playlist_map": ["playlist_id", "mapid", "match_id"],
         "map_playlist": ["mapid", "playlist_id", "match_id"],
         "match": ["match_id"],
     }
-    return layout.layout_study(rows, ["playlist_id"], orders)
+    return layout.layout_study(rows, ["playlist_id"], orders).select("table_name", "n_rows")
 
 
 def stored_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Details and matches in 16 buckets each, ready to join without a shuffle."""
-    large, rest = layout.colocate(
-        views.match_details(spark, sf_dir), {"matches": (views.matches(spark, sf_dir), None)}, "match_id", ["player_gamertag"]
-    )
-    return large, rest["matches"]
+    """Details and matches in buckets, stored once, ready to join without a shuffle."""
 
+    def build() -> tuple[DataFrame, DataFrame]:
+        details, games = views.match_details(spark, sf_dir), views.matches(spark, sf_dir)
+        large, rest = layout.colocate(details, {"matches": (games, None)}, "match_id", ["player_gamertag"])
+        return large, rest["matches"]
 
-@query(
-    "s12_bucket_join",
-    using(
-        """SELECT match_id, player_gamertag, CAST(player_total_kills AS BIGINT) AS player_total_kills, playlist_id, mapid,
-        CAST(completion_date AS VARCHAR) AS completion_date FROM match_details JOIN matches USING (match_id)""",
-        "match_details",
-        "matches",
-    ),
-)
+    return layout.stored_once(spark, ("matches", sf_dir), build)
+
+
+MATCH_COLUMNS = ("match_id", "player_gamertag", "player_total_kills", "player_total_deaths", "playlist_id", "mapid", "completion_date")
+MATCH_SQL = """SELECT match_id, player_gamertag, CAST(player_total_kills AS BIGINT) AS player_total_kills,
+        CAST(player_total_deaths AS BIGINT) AS player_total_deaths, playlist_id, mapid,
+        CAST(completion_date AS VARCHAR) AS completion_date FROM match_details JOIN matches USING (match_id)"""
+
+
+@query("s12_bucket_join", using(MATCH_SQL, "match_details", "matches"))
 def s12(spark: SparkSession, sf_dir: str) -> DataFrame:
     details, games = stored_matches(spark, sf_dir)
-    return details.join(games, ["match_id", "part"]).select(
-        "match_id", "player_gamertag", "player_total_kills", "playlist_id", "mapid", "completion_date"
-    )
+    return details.join(games, ["match_id", "part"]).select(*MATCH_COLUMNS)
 
 
 @query(
     "s17_partition_filter",
-    using(
-        """SELECT match_id, player_gamertag, CAST(player_total_kills AS BIGINT) AS player_total_kills,
-        CAST(completion_date AS VARCHAR) AS completion_date FROM match_details JOIN matches USING (match_id)
-        WHERE completion_date = DATE '1996-01-01'""",
-        "match_details",
-        "matches",
-    ),
+    using(f"{MATCH_SQL} WHERE date_trunc('month', completion_date) = DATE '1996-01-01'", "match_details", "matches"),
 )
 def s17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A join condition that also names one partition of the right side."""
-    d, m = views.match_details(spark, sf_dir).alias("d"), views.matches(spark, sf_dir).alias("m")
-    on = (F.col("d.match_id") == F.col("m.match_id")) & (F.col("m.completion_date") == F.lit("1996-01-01").cast("date"))
-    return d.join(m, on).select("d.match_id", "player_gamertag", "player_total_kills", "completion_date")
+    """Both tables in 16 buckets of the match, the matches in a folder per month; one month is read and joined in place."""
+
+    def build() -> tuple[DataFrame, DataFrame]:
+        games = views.matches(spark, sf_dir).withColumn("month", F.trunc("completion_date", "MM"))
+        return (
+            layout.write_bucketed(views.match_details(spark, sf_dir), "details", ["match_id"]),
+            layout.write_bucketed(games, "games", ["match_id"], partition_by=["month"]),
+        )
+
+    details, games = layout.stored_once(spark, ("dated matches", sf_dir), build)
+    month = games.filter(F.col("month") == F.lit("1996-01-01").cast("date"))
+    return details.join(month, "match_id").select(*MATCH_COLUMNS)
 
 
 @query(
@@ -249,8 +299,7 @@ def matches_sql(column: str) -> str:
 
 @query("s14_playlist", matches_sql("playlist_id"))
 def s14_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details, games = stored_matches(spark, sf_dir)
-    return matches.matches_by(details.join(games, ["match_id", "part"]), "playlist_id")
+    return matches.matches_by(views.matches(spark, sf_dir), views.match_details(spark, sf_dir), "playlist_id")
 
 
 @query(
@@ -263,10 +312,8 @@ def s14_playlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def s14_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details, games = stored_matches(spark, sf_dir)
-    return matches.name_maps(
-        matches.matches_by(details.join(games, ["match_id", "part"]), "mapid"), views.maps(spark, sf_dir)
-    )
+    per_map = matches.matches_by(views.matches(spark, sf_dir), views.match_details(spark, sf_dir), "mapid")
+    return matches.name_maps(per_map, views.maps(spark, sf_dir))
 
 
 MEDAL_MAP = """SELECT n_name AS map_name, 'Medal ' || lower(medal_id) AS medal, CAST(sum(count) AS BIGINT) AS n_medals
@@ -303,22 +350,25 @@ def s14_medal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def s14_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Details, matches and medals bucketed on the match; the two dimensions broadcast."""
-    details = views.match_details(spark, sf_dir).groupBy("match_id", "player_gamertag").agg(
-        F.sum("player_total_kills").alias("kills")
-    )
-    won = views.medals_players(spark, sf_dir).groupBy("match_id", "player_gamertag", "medal_id").agg(
-        F.sum("count").alias("n_medals")
-    )
-    stored, rest = layout.colocate(
-        details,
-        {"matches": (views.matches(spark, sf_dir), None), "won": (won, ["player_gamertag"])},
-        "match_id",
-        ["player_gamertag"],
-    )
-    return matches.match_cube(
-        stored, rest["matches"], rest["won"], views.medals(spark, sf_dir), views.maps(spark, sf_dir)
-    )
+    """Details, matches and medals bucketed on the match and joined where they lie."""
+
+    def build() -> tuple[DataFrame, DataFrame, DataFrame]:
+        details = views.match_details(spark, sf_dir).groupBy("match_id", "player_gamertag").agg(
+            F.sum("player_total_kills").alias("kills")
+        )
+        won = views.medals_players(spark, sf_dir).groupBy("match_id", "player_gamertag", "medal_id").agg(
+            F.sum("count").alias("n_medals")
+        )
+        stored, rest = layout.colocate(
+            details,
+            {"matches": (views.matches(spark, sf_dir), None), "won": (won, ["player_gamertag"])},
+            "match_id",
+            ["player_gamertag"],
+        )
+        return stored, rest["matches"], rest["won"]
+
+    tables = layout.stored_once(spark, ("match cube", sf_dir), build)
+    return matches.match_cube(*tables, views.medals(spark, sf_dir), views.maps(spark, sf_dir))
 
 
 @query(
@@ -332,6 +382,9 @@ def s14_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
         (SELECT 'playlist', playlist_id, CAST(count(DISTINCT match_id) AS DOUBLE) AS n
          FROM match_details JOIN matches USING (match_id) GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 1)
         UNION ALL
+        (SELECT 'map', n_name, CAST(count(DISTINCT match_id) AS DOUBLE) AS n
+         FROM match_details JOIN matches USING (match_id) JOIN nation ON n_nationkey = mapid GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 1)
+        UNION ALL
         (SELECT 'medal map', map_name, CAST(n_medals AS DOUBLE) FROM ({MEDAL_MAP}) WHERE medal = 'Medal promo'
          ORDER BY 3 DESC, 2 LIMIT 1))""",
         "match_details",
@@ -342,11 +395,13 @@ def s14_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s14_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The winner of each question; ties go to the smaller name."""
     details = views.match_details(spark, sf_dir)
-    joined = details.join(views.matches(spark, sf_dir), "match_id")
+    games = views.matches(spark, sf_dir)
+    per_map = matches.name_maps(matches.matches_by(games, details, "mapid"), views.maps(spark, sf_dir))
     medal = medal_map(spark, sf_dir).filter(F.col("medal") == "Medal promo")
     asked = [
         ("player", matches.kills_per_game(details), "kills_per_game", "player_gamertag"),
-        ("playlist", matches.matches_by(joined, "playlist_id"), "n_matches", "playlist_id"),
+        ("playlist", matches.matches_by(games, details, "playlist_id"), "n_matches", "playlist_id"),
+        ("map", per_map, "n_matches", "map_name"),
         ("medal map", medal, "n_medals", "map_name"),
     ]
     out = None
@@ -361,17 +416,17 @@ def s14_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     "s15_staging",
     using(
         """SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS ds, user_id, device_id, count(*) AS event_counts,
-        string_agg(DISTINCT host, ',' ORDER BY host) AS host_array FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2, 3""",
+        count(DISTINCT host) AS n_hosts, string_agg(DISTINCT host, ',' ORDER BY host) AS host_array FROM web_events WHERE user_id IS NOT NULL GROUP BY 1, 2, 3""",
         "web_events",
     ),
 )
 def s15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staging table with an array column in daily folders, written and read back."""
     rows = views.web_events(spark, sf_dir).withColumn("ds", F.to_date("event_time").cast("string"))
-    daily = web.user_device_hits(rows, "ds")
+    daily = web.user_device_hits(web.user_device_hosts(rows, "ds"), "ds")
     path = files.write_partitioned(daily, scratch_path(spark, "staging"), ["ds"])
     back = spark.read.schema(daily.schema).parquet(path)
-    return back.withColumn("host_array", F.array_join("host_array", ",")).drop("part")
+    return back.withColumn("host_array", F.array_join("host_array", ","))
 
 
 @query(

@@ -75,8 +75,9 @@ def shown(df: DataFrame) -> DataFrame:
     ),
 )
 def d1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year on top of the last partition of a stored table."""
     today = views.player_seasons(spark, sf_dir).filter(F.col("season") == 1998)
-    prev = snapshot(spark, sf_dir, 1997)
+    prev = views.stored(spark, history_until(spark, sf_dir, 1997).filter("current >= 1996"), "players", "current")
     return shown(
         dims.cumulate_step(prev, today, "player_name", STATICS, HISTORY, "season", 1998, "pts", scoring)
     )
@@ -212,12 +213,22 @@ def d9(spark: SparkSession, sf_dir: str) -> DataFrame:
     using(stretches("snapshots", "player_name", "current", ["class", "is_active"], 2001), "snapshots"),
 )
 def d10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot on top of a stored table of three."""
     all_states = states(spark, sf_dir)
     tracked = ["class", "is_active"]
-    before = scd.scd2_backfill(all_states, "player_name", "current", tracked, 2000)
+    before = stored_histories(spark, all_states, "player_name", "current", tracked)
     return scd.scd2_incremental(before, all_states, "player_name", "current", tracked, 2001)
 
 
+def stored_histories(spark: SparkSession, rows: DataFrame, key: str, period: str, tracked: list[str]) -> DataFrame:
+    """Histories as of 1998 to 2000, one partition each."""
+    out = None
+    for year in (1998, 1999, 2000):
+        one = scd.scd2_backfill(rows, key, period, tracked, year)
+        out = one if out is None else out.unionByName(one)
+    return views.stored(spark, out, "histories", "current")
+
+
 FILM = ("film", "votes", "rating", "filmid")
 
 
@@ -233,20 +244,24 @@ FILM = ("film", "votes", "rating", "filmid")
     ),
 )
 def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year on top of the last partition of a stored table."""
     films = views.actor_films(spark, sf_dir)
-    prev = dims.films_snapshot(films, "actorid", "year", FILM, "rating", 1997, quality)
+    earlier = [dims.films_snapshot(films, "actorid", "year", FILM, "rating", y, quality) for y in (1996, 1997)]
+    prev = views.stored(spark, earlier[0].unionByName(earlier[1]), "actors", "current_year")
     now = dims.films_step(prev, films, "actorid", "year", FILM, "rating", 1998, quality)
 
     def total(field: str) -> Column:
-        return F.sum(F.aggregate("items", F.lit(0).cast("long"), lambda acc, e: acc + e[field]))
+        return F.aggregate("items", F.lit(0).cast("long"), lambda acc, e: acc + e[field])
 
-    return now.groupBy("actorid", "quality_class", "is_active", "current_year").agg(
-        F.sum(F.size("items")).alias("n_films"),
+    ids = F.transform("items", lambda e: e["filmid"])
+    return now.select(
+        "actorid", "quality_class", "is_active", "current_year",
+        F.size("items").alias("n_films"),
         total("votes").alias("votes"),
         total("rating").alias("ratings"),
-        F.min(F.array_min(F.transform("items", lambda e: e["filmid"]))).alias("first_film"),
-        F.max(F.array_max(F.transform("items", lambda e: e["filmid"]))).alias("last_film"),
-    )
+        F.array_min(ids).alias("first_film"),
+        F.array_max(ids).alias("last_film"),
+    )
 
 
 def actor_states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,5 +280,5 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("d14_actors_scd_incr", using(stretches("actor_years", "actorid", "current_year", TRACKED, 2001), "actor_years"))
 def d14(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = actor_states(spark, sf_dir)
-    before = scd.scd2_backfill(rows, "actorid", "current_year", TRACKED, 2000)
+    before = stored_histories(spark, rows, "actorid", "current_year", TRACKED)
     return scd.scd2_incremental(before, rows, "actorid", "current_year", TRACKED, 2001)

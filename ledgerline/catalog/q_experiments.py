@@ -114,10 +114,11 @@ def e3_proportion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "e4_srm",
     using(
-        f"""SELECT cell, observed, total / 2.0::DOUBLE AS expected,
-            round((observed - total / 2.0::DOUBLE) * (observed - total / 2.0::DOUBLE) / (total / 2.0::DOUBLE), 6) AS chi_square
-        FROM (SELECT cell, count(*) AS observed, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM {EXPOSED}
-              WHERE cell <> 'unassigned' GROUP BY 1)""",
+        f"""SELECT cell, observed, expected, round(x, 6) AS chi_square, round(sum(x) OVER (), 6) AS chi_square_total
+        FROM (SELECT *, (observed - expected) * (observed - expected) / expected AS x
+              FROM (SELECT p.cell, count(u.cell) AS observed, CAST(sum(count(u.cell)) OVER () AS DOUBLE) * share / sum(share) OVER () AS expected
+                    FROM (VALUES ('control', 45), ('treatment', 45)) p(cell, share) LEFT JOIN {EXPOSED} u ON u.cell = p.cell
+                    GROUP BY p.cell, share))""",
         "purchases_by_user",
     ),
 )

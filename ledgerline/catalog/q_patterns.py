@@ -101,6 +101,38 @@ def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.game_sets(patterns.appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir)))
 
 
+@query(
+    "a6_winners",
+    using(
+        """SELECT * FROM (
+        (SELECT 'most points for a team' AS question, player_id, team_id, CAST(NULL AS BIGINT) AS season, CAST(sum(pts) AS BIGINT) AS amount
+            FROM appearances GROUP BY 2, 3 ORDER BY 5 DESC, 2, 3 LIMIT 1)
+        UNION ALL (SELECT 'most points in a season', player_id, NULL, season, CAST(sum(pts) AS BIGINT)
+            FROM appearances GROUP BY 2, 4 ORDER BY 5 DESC, 2, 4 LIMIT 1)
+        UNION ALL (SELECT 'most wins', NULL, team_id, NULL, count(DISTINCT CASE WHEN won THEN game_id END)
+            FROM appearances GROUP BY 3 ORDER BY 5 DESC, 3 LIMIT 1))""",
+        "appearances",
+    ),
+)
+def a6_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = patterns.appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    return patterns.game_set_winners(patterns.game_sets(rows))
+
+
+@query(
+    "a7_own_site",
+    using(
+        f"""SELECT CASE WHEN contains(referrer, 'blog.example.net') OR contains(referrer, 'news.example.org') THEN 'On Site'
+            ELSE {CHANNEL_SQL} END AS channel, count(*) AS n FROM web_events GROUP BY 1""",
+        "web_events",
+    ),
+)
+def a7_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits that come from the operator's own hosts are a channel of their own."""
+    own = channel(F.col("referrer"), own_hosts=("blog.example.net", "news.example.org"))
+    return views.web_events(spark, sf_dir).groupBy(own.alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "a7_referrer",
     using(
@@ -114,7 +146,7 @@ def a7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DAILY = f"""(SELECT {CHANNEL_SQL} AS channel, url, CAST(event_time AS DATE) AS event_date, count(*) AS count
-        FROM web_events WHERE referrer IS NOT NULL GROUP BY 1, 2, 3)"""
+        FROM web_events JOIN devices USING (device_id) WHERE referrer IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
 def rolling_sql(position: str) -> str:
@@ -131,11 +163,14 @@ def rolling_sql(position: str) -> str:
               FROM (SELECT *, {position} AS pos FROM {DAILY}) a JOIN (SELECT *, {position} AS pos FROM {DAILY}) b ON a.channel = b.channel AND a.url = b.url GROUP BY 1, 2, 3, 4)
         WHERE overall_total > 100""",
         "web_events",
+        "devices",
     )
 
 
 def daily_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.web_events(spark, sf_dir).filter(F.col("referrer").isNotNull())
+    """Events of known devices with a referrer; others do not count."""
+    known = views.devices(spark, sf_dir).select("device_id")
+    rows = views.web_events(spark, sf_dir).filter(F.col("referrer").isNotNull()).join(known, "device_id", "left_semi")
     keys = [channel(F.col("referrer")).alias("channel"), F.col("url"), F.to_date("event_time").alias("event_date")]
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
@@ -277,16 +312,22 @@ def a12_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "a12_kpis",
-    f"""SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month_start,
-        CAST(sum({LINE_PROFIT}) AS BIGINT) AS profit, CAST(sum({LINE_PROFIT}) AS BIGINT) AS line_profit,
-        count(DISTINCT l_orderkey) AS n_units, true AS agrees
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    f"""SELECT month_start, r.profit, d.profit AS line_profit, n_units, r.profit IS NOT DISTINCT FROM d.profit AS agrees
+        FROM (SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month_start,
+                     CAST(sum(p) AS BIGINT) AS profit, count(*) AS n_units
+              FROM (SELECT l_orderkey, sum({LINE_PROFIT}) AS p FROM lineitem GROUP BY 1) JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) r
+        FULL JOIN (SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month_start,
+                     CAST(sum({LINE_PROFIT}) AS BIGINT) AS profit
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) d USING (month_start)""",
 )
 def a12_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit-level and aggregate profit side by side."""
+    """A stored report from unit-level profit next to the profit of the lines themselves."""
     lines, days = views.order_lines(spark, sf_dir), views.orders_by_day(spark, sf_dir)
+    path = scratch_path(spark, "report")
     report = patterns.profit_report(units(spark, sf_dir), days, "l_orderkey", "order_day")
-    return patterns.reconcile(report, lines, days, "l_orderkey", "order_day", line_profit())
+    report.write.parquet(path)
+    stored = spark.read.schema(report.schema).parquet(path)
+    return patterns.reconcile(stored, lines, days, "l_orderkey", "order_day", line_profit())
 
 
 @query(

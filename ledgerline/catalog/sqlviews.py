@@ -178,8 +178,8 @@ FROM (
          max(a.day) OVER (PARTITION BY g.user_id ORDER BY g.d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_last,
          count(a.day) OVER (PARTITION BY g.user_id ORDER BY g.d) AS n_dates
   FROM (SELECT user_id, first_day, CAST(unnest(generate_series(first_day, DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS d
-        FROM (SELECT user_id, min(day) AS first_day FROM buying_days GROUP BY 1)) g
-  LEFT JOIN buying_days a ON a.user_id = g.user_id AND a.day = g.d
+        FROM (SELECT user_id, min(day) AS first_day FROM active_days GROUP BY 1)) g
+  LEFT JOIN active_days a ON a.user_id = g.user_id AND a.day = g.d
 ) s
 """
 
@@ -217,7 +217,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "hits": (HITS, ("web_events",)),
     "buying_days": (BUYING_DAYS, ("web_events",)),
     "active_days": (ACTIVE_DAYS, ("web_events",)),
-    "growth": (GROWTH, ("buying_days", "web_events")),
+    "growth": (GROWTH, ("active_days", "web_events")),
+    "buying_growth": (GROWTH.replace("active_days", "buying_days"), ("buying_days", "web_events")),
 }
 
 

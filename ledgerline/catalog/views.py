@@ -9,11 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import scratch_path
+from ledgerline.sources.files import write_partitioned
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str, by: str) -> DataFrame:
+    """Write snapshots once to a table with a folder per value of ``by`` and read it."""
+    path = write_partitioned(df, scratch_path(spark, label), [by])
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("long")
 

@@ -64,19 +64,23 @@ def mentions(text: Column, word: str) -> Column:
     return F.coalesce(F.instr(text, word) > 0, F.lit(False))
 
 
-def channel(referrer: Column, rules: Sequence[tuple[str, str]] = CHANNEL_RULES) -> Column:
-    """Label of the first rule whose substring occurs, else the referrer itself."""
+def channel(
+    referrer: Column,
+    rules: Sequence[tuple[str, str]] = CHANNEL_RULES,
+    own_hosts: Sequence[str] = (),
+    own_label: str = "On Site",
+) -> Column:
+    """Label of the first rule whose substring occurs, else the referrer itself.
+
+    ``own_hosts``, the caller's sites, come before all rules.
+    """
+    rules = [*((host, own_label) for host in own_hosts), *rules]
     label = referrer
     for needle, name in reversed(rules):
         label = F.when(referrer.contains(needle), F.lit(name)).otherwise(label)
     return label
 
 
-def month_of(day: Column) -> Column:
-    """First day of the month, as a date."""
-    return F.trunc(day, "MM")
-
-
 def bits_of_dates(dates: Column, as_of: Column, width: int = DATELIST_WIDTH) -> Column:
     """One bit per active day up to ``as_of``, today highest, as a long."""
 
@@ -101,11 +105,12 @@ def dates_of_bits(bits: Column, as_of: Column, width: int = DATELIST_WIDTH) -> C
 
 
 def ip_number(ip: Column) -> Column:
-    """Dotted IPv4 text as a long; null when it is not four numbers."""
+    """Dotted IPv4 text as a long; null unless it is four numbers from 0 to 255."""
     parts = F.split(ip, r"\.")
     total = F.lit(0).cast("long")
     for place in range(4):
-        total = total * 256 + F.get(parts, F.lit(place)).try_cast("long")
+        octet = F.get(parts, F.lit(place)).try_cast("long")
+        total = total * 256 + F.when(octet.between(0, 255), octet)
     return F.when(F.size(parts) == 4, total)
 
 

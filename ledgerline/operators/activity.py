@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from ledgerline.functions.columns import (
     days_in_mask,
     empty_array,
 )
+from ledgerline.operators.steps import snapshot_before
 
 
 def active_days(events: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
@@ -27,31 +28,25 @@ def active_days(events: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     return kept.select(*keys, F.to_date(time).alias("day")).distinct()
 
 
-def next_day(prev_date: Column, day: date) -> Column:
-    """``day`` when the previous snapshot is exactly one day older, else an error."""
-    message = F.concat(F.lit(f"step to {day} needs the day before, found "), prev_date.cast("string"))
-    return F.when(F.date_add(prev_date, 1) == F.lit(day), F.lit(day)).otherwise(
-        F.raise_error(message).cast("date")
-    )
-
-
 def active_dates_step(
     prev: DataFrame, events: DataFrame, keys: Sequence[str], time: str, day: date, newest_first: bool = False
 ) -> DataFrame:
-    """Yesterday's lists plus one day of events; lists only grow for active entities."""
+    """Yesterday's lists plus one day of events; lists only grow for active entities.
+
+    Of a stored table of many days only yesterday's rows are read.
+    """
     today = active_days(events.filter(F.to_date(time) == F.lit(day)), keys, time).alias("t")
-    p = prev.alias("p")
+    p = snapshot_before(prev, "date", day - timedelta(days=1)).alias("p")
     on = F.lit(True)
     for key in keys:
         on = on & (F.col(f"p.{key}") == F.col(f"t.{key}"))
     old = F.coalesce("p.dates_active", empty_array("date"))
     new = F.when(F.col("t.day").isNotNull(), F.array("t.day")).otherwise(empty_array("date"))
     both = F.concat(new, old) if newest_first else F.concat(old, new)
-    stamp = F.when(F.col("p.date").isNull(), F.lit(day)).otherwise(next_day(F.col("p.date"), day))
     return p.join(today, on, "full_outer").select(
         *[F.coalesce(f"p.{k}", f"t.{k}").alias(k) for k in keys],
         both.alias("dates_active"),
-        stamp.alias("date"),
+        F.lit(day).alias("date"),
     )
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.steps import snapshot_before
 
 MONTH_SLOTS = 31
 
@@ -25,6 +26,14 @@ def _slots_before(day: date) -> int:
     return day.day - 1
 
 
+def _whole(array: str, day: date) -> Column:
+    """``array``, which must have a slot for each earlier day of the month and no other, or null."""
+    pad = _slots_before(day)
+    message = F.concat(F.lit(f"{day} needs {pad} slots, found "), F.size(array).cast("string"))
+    refused = F.raise_error(message).cast("array<bigint>")
+    return F.when(F.col(array).isNull() | (F.size(array) == pad), F.col(array)).otherwise(refused)
+
+
 def array_metric_step(
     prev: DataFrame, events: DataFrame, user: str, time: str, metric: str, day: date
 ) -> DataFrame:
@@ -38,12 +47,7 @@ def array_metric_step(
     pad = _slots_before(day)
     today = daily_counts(events.filter(F.to_date(time) == F.lit(day)), [user], time).alias("t")
     p = prev.filter((F.col("month_start") == F.lit(month)) & (F.col("metric_name") == metric)).alias("p")
-    message = F.concat(F.lit(f"{day} needs {pad} slots, found "), F.size("p.metric_array").cast("string"))
-    old = F.when(F.col("p.metric_array").isNull(), F.array_repeat(F.lit(0).cast("long"), pad)).otherwise(
-        F.when(F.size("p.metric_array") == pad, F.col("p.metric_array")).otherwise(
-            F.raise_error(message).cast("array<bigint>")
-        )
-    )
+    old = F.coalesce(_whole("p.metric_array", day), F.array_repeat(F.lit(0).cast("long"), pad))
     return p.join(today, F.col(f"p.{user}") == F.col(f"t.{user}"), "full_outer").select(
         F.coalesce(f"p.{user}", f"t.{user}").alias(user),
         F.lit(month).alias("month_start"),
@@ -105,15 +109,21 @@ def arrays_to_daily(df: DataFrame, by: Sequence[str], array: str, name: str) ->
 
 
 def monthly_hits_step(prev: DataFrame, events: DataFrame, user: str, time: str, day: date) -> DataFrame:
-    """Null-filled hit arrays with the first day seen, as the next daily partition."""
+    """Null-filled hit arrays with the first day seen, as the next daily partition.
+
+    Of ``prev`` only this month's partition of the day before is read; the
+    first of a month starts anew. A month without that partition, or an array
+    of another length, is an error.
+    """
     month = day.replace(day=1)
     pad = _slots_before(day)
     today = daily_counts(events.filter(F.to_date(time) == F.lit(day)), [user], time).alias("t")
-    p = prev.alias("p")
+    p = snapshot_before(prev.filter(F.col("month_start") == F.lit(month)), "date_partition", day - timedelta(days=1)).alias("p")
     blank = F.array_repeat(F.lit(None).cast("bigint"), pad)
+    old = _whole("p.hit_array", day)
     return p.join(today, F.col(f"p.{user}") == F.col(f"t.{user}"), "full_outer").select(
         F.coalesce(f"p.{user}", f"t.{user}").alias(user),
-        F.concat(F.coalesce("p.hit_array", blank), F.array("t.n")).alias("hit_array"),
+        F.concat(F.coalesce(old, blank), F.array("t.n")).alias("hit_array"),
         F.lit(month).alias("month_start"),
         F.least("p.first_found_date", "t.day").alias("first_found_date"),
         F.lit(day).alias("date_partition"),
@@ -129,11 +139,17 @@ def monthly_hits_backfill(events: DataFrame, user: str, time: str, as_of: date)
     )
 
 
-def first_days(df: DataFrame, array: str, partition: str, value: object, names: Sequence[str]) -> DataFrame:
-    """Per month, the totals of the first slots within one partition; no slot counts as 0."""
-    sums = [
-        F.sum(F.coalesce(F.get(array, F.lit(i)), F.lit(0).cast("long"))).alias(n) for i, n in enumerate(names)
-    ]
+def first_days(
+    df: DataFrame, array: str, partition: str, value: object, names: Sequence[str], keep_null: bool = False
+) -> DataFrame:
+    """Per month, the totals of the first slots within one partition.
+
+    An absent slot counts as 0, or with ``keep_null`` as nothing: a day that no
+    row has a value for is then null.
+    """
+    zero = F.lit(0).cast("long")
+    slots = [F.get(array, F.lit(i)) for i in range(len(names))]
+    sums = [F.sum(s if keep_null else F.coalesce(s, zero)).alias(n) for s, n in zip(slots, names)]
     return df.filter(F.col(partition) == F.lit(value)).groupBy("month_start").agg(*sums)
 
 
@@ -147,7 +163,11 @@ def host_month(events: DataFrame, host: str, user: str, time: str, as_of: date)
 
 
 def host_month_step(prev: DataFrame, events: DataFrame, host: str, user: str, time: str, day: date) -> DataFrame:
-    """Add one day to both arrays of every host; absent hosts get zeros."""
+    """Add one day to both arrays of every host; absent hosts get zeros.
+
+    Only this month's rows of ``prev`` count; an array that has the day
+    already, or lacks an earlier one, is an error.
+    """
     pad = _slots_before(day)
     zero = F.lit(0).cast("long")
     t = (
@@ -159,7 +179,7 @@ def host_month_step(prev: DataFrame, events: DataFrame, host: str, user: str, ti
     p = prev.filter(F.col("month_start") == F.lit(day.replace(day=1))).alias("p")
 
     def grown(array: str, value: str) -> Column:
-        old = F.coalesce(f"p.{array}", F.array_repeat(zero, pad))
+        old = F.coalesce(_whole(f"p.{array}", day), F.array_repeat(zero, pad))
         return F.concat(old, F.array(F.coalesce(f"t.{value}", zero))).alias(array)
 
     return p.join(t, F.col(f"p.{host}") == F.col(f"t.{host}"), "full_outer").select(

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ratio
-from ledgerline.operators.grouping import collect_in_parts
 from ledgerline.operators.spine import period_spine
+from ledgerline.operators.steps import snapshot_before
 
 Classify = Callable[[Column], Column]
 
@@ -29,11 +29,12 @@ def cumulate_step(
 
     ``prev`` has key, statics, ``history`` (array of structs of ``hist_cols``,
     built by name), ``class``, ``years_since_last_active``, ``is_active`` and
-    ``current``. ``today`` has one row per key. History only grows for entities
+    ``current``; of several snapshots only that of ``as_of`` - 1 is read, and
+    its absence is an error. ``today`` has one row per key. History only grows for entities
     present today; their class is recomputed, others keep theirs.
     """
     history_type = prev.schema["history"].dataType.simpleString()
-    p, t = prev.alias("p"), today.alias("t")
+    p, t = snapshot_before(prev, "current", as_of - 1).alias("p"), today.alias("t")
     here = F.col(f"t.{time}").isNotNull()
     empty = F.array().cast(history_type)
     entry = F.array(F.struct(*[F.col(f"t.{c}").alias(c) for c in hist_cols])).cast(history_type)
@@ -116,36 +117,35 @@ def quality_class(rows: DataFrame, key: str, year: str, rating: str, classify: C
     return latest.select(key, "last_year", average.alias("avg_rating"), classify(average).alias("quality_class"))
 
 
+def _films_of(rows: DataFrame, key: str, year: str, item_cols: Sequence[str], rating: str) -> DataFrame:
+    """Per entity: its items by year and name, rating sums of its latest year, and that year."""
+    per_year = rows.groupBy(key, year).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(year), *item_cols))).alias("_items"),
+        F.sum(rating).alias("_sum"),
+        F.count(rating).alias("_n"),
+    )
+    return per_year.groupBy(key).agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(year, "_items"))), lambda e: e["_items"])).alias("items"),
+        F.max_by(F.struct("_sum", "_n"), year).alias("_latest"),
+        F.max(year).alias("_last"),
+    )
+
+
 def films_snapshot(
-    rows: DataFrame,
-    key: str,
-    year: str,
-    item_cols: Sequence[str],
-    rating: str,
-    as_of: int,
-    classify: Classify,
-    max_items: int = 100_000,
+    rows: DataFrame, key: str, year: str, item_cols: Sequence[str], rating: str, as_of: int, classify: Classify
 ) -> DataFrame:
-    """Entities as of a year with every item so far as an array of structs.
+    """One row per entity as of a year: all items so far, class of its latest year, activity flag.
 
-    An entity with more than ``max_items`` items has several rows numbered by
-    ``part``; class and activity flag are the same in each.
+    ``items`` is one array of structs (year, ``item_cols``) in that order,
+    whatever its length: it holds one entity's career, as ``history`` does.
     """
-    known = rows.filter(F.col(year) <= as_of)
-    items = collect_in_parts(known, [key], [F.col(c) for c in item_cols], "items", max_items)
-    per_year = known.groupBy(key, year).agg(F.sum(rating).alias("_sum"), F.count(rating).alias("_n"))
-    state = per_year.groupBy(key).agg(
-        F.max(year).alias("_last"), F.max_by(F.struct("_sum", "_n"), year).alias("_l")
-    )
-    average = ratio(F.col("_l._sum"), F.col("_l._n"))
-    return items.join(
-        state.select(
-            key,
-            classify(average).alias("quality_class"),
-            (F.col("_last") == as_of).alias("is_active"),
-            F.lit(as_of).alias("current_year"),
-        ),
+    found = _films_of(rows.filter(F.col(year) <= as_of), key, year, item_cols, rating)
+    return found.select(
         key,
+        "items",
+        classify(ratio(F.col("_latest._sum"), F.col("_latest._n"))).alias("quality_class"),
+        (F.col("_last") == as_of).alias("is_active"),
+        F.lit(as_of).alias("current_year"),
     )
 
 
@@ -158,28 +158,21 @@ def films_step(
     rating: str,
     as_of: int,
     classify: Classify,
-    max_items: int = 100_000,
 ) -> DataFrame:
-    """Snapshot of last year plus the items of ``as_of``.
+    """Last year's snapshot and the items of ``as_of`` make this year's: the same rows as ``films_snapshot``.
 
-    New items are added as further parts, so an existing array is never
-    rewritten and no array outgrows ``max_items``.
+    Of ``prev`` only the snapshot of ``as_of`` - 1 is read, and its absence is
+    an error; of ``rows`` only one year.
     """
-    now = rows.filter(F.col(year) == as_of)
-    fresh = collect_in_parts(now, [key], [F.col(c) for c in item_cols], "items", max_items)
-    state_now = now.groupBy(key).agg(F.sum(rating).alias("_sum"), F.count(rating).alias("_n"))
-    average = ratio(F.col("_sum"), F.col("_n"))
-    before = prev.groupBy(key).agg(F.max("quality_class").alias("_class"), F.max("part").alias("_top"))
-    state = before.join(state_now.select(key, classify(average).alias("_new")), key, "full_outer").select(
-        key,
-        F.coalesce("_new", "_class").alias("quality_class"),
-        F.col("_new").isNotNull().alias("is_active"),
+    now = _films_of(rows.filter(F.col(year) == as_of), key, year, item_cols, rating).alias("n")
+    p = snapshot_before(prev, "current_year", as_of - 1).alias("p")
+    empty = F.array().cast(prev.schema["items"].dataType)
+    here = F.col("n._last").isNotNull()
+    average = ratio(F.col("n._latest._sum"), F.col("n._latest._n"))
+    return p.join(now, F.col(f"p.{key}") == F.col(f"n.{key}"), "full_outer").select(
+        F.coalesce(f"p.{key}", f"n.{key}").alias(key),
+        F.concat(F.coalesce("p.items", empty), F.coalesce(F.col("n.items").cast(prev.schema["items"].dataType), empty)).alias("items"),
+        F.when(here, classify(average)).otherwise(F.col("p.quality_class")).alias("quality_class"),
+        here.alias("is_active"),
         F.lit(as_of).alias("current_year"),
-        (F.coalesce("_top", F.lit(-1)) + 1).alias("_shift"),
-    )
-    old = prev.select(key, "part", "items", F.lit(False).alias("_fresh"))
-    both = old.unionByName(fresh.select(key, "part", "items", F.lit(True).alias("_fresh")))
-    part = F.when(F.col("_fresh"), F.col("part") + F.col("_shift")).otherwise(F.col("part")).cast("int")
-    return both.join(state, key).select(
-        key, part.alias("part"), "items", "quality_class", "is_active", "current_year"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import hash_percent
@@ -119,16 +119,17 @@ def proportion_test(units: DataFrame, cell: str, control: str, treatment: str, h
 
 
 def sample_ratio(units: DataFrame, cell: str, planned: Sequence[tuple[str, int]]) -> DataFrame:
-    """Observed and planned units per cell with each cell's chi-square share and the sum."""
-    plan = F.create_map(*[F.lit(x) for pair in planned for x in pair])
-    counts = units.filter(F.col(cell).isin(*[c for c, _ in planned])).groupBy(cell).agg(
-        F.count(F.lit(1)).alias("observed")
-    )
-    shares = sum(share for _, share in planned)
-    # One row per cell from here on: gather the cells, then spread them again.
-    whole = counts.agg(F.sum("observed").alias("_total"), F.collect_list(F.struct(cell, "observed")).alias("_cells"))
-    rows = whole.select("_total", F.inline("_cells"))
-    expected = F.col("_total") * F.try_element_at(plan, F.col(cell)) / shares
-    scored = rows.select(cell, "observed", expected.alias("expected"))
+    """Observed and planned units per planned cell with its chi-square share, and the sum over all cells.
+
+    Rows start from the plan, so a cell that got no unit is there with 0.
+    """
+    entries = [F.struct(F.lit(c).alias("_cell"), F.lit(n).cast("long").alias("_share")) for c, n in planned]
+    plan = units.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    counts = units.groupBy(F.col(cell).alias("_cell")).agg(F.count(F.lit(1)).alias("observed"))
+    rows = plan.join(counts, "_cell", "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
+    whole = Window.partitionBy(F.lit(1))  # one row per planned cell
+    expected = F.sum("observed").over(whole) * F.col("_share") / F.sum("_share").over(whole)
+    scored = rows.select(F.col("_cell").alias(cell), "observed", expected.alias("expected"))
     gap = F.col("observed") - F.col("expected")
-    return scored.withColumn("chi_square", gap * gap / F.col("expected"))
+    scored = scored.withColumn("chi_square", F.try_divide(gap * gap, F.col("expected")))
+    return scored.withColumn("chi_square_total", F.sum("chi_square").over(whole))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import clock_minutes, hash_percent, ladder, mentions, ratio
-from ledgerline.operators.grouping import checked_broadcast, dedupe
+from ledgerline.operators.grouping import dedupe
 
 # The measures carried over as they are, and comment codes.
 MEASURES = (
@@ -44,7 +44,7 @@ def build_facts(details: DataFrame, games: DataFrame, order: Sequence[str] | Non
 
 def attach_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Bring a dimension's columns back; broadcast only when it was measured to be small."""
-    return facts.join(checked_broadcast(dim), facts[fact_key] == dim[dim_key])
+    return facts.join(dim, facts[fact_key] == dim[dim_key])
 
 
 def flag_rate(df: DataFrame, by: str, flag: Column, n: str, hits: str, rate: str) -> DataFrame:

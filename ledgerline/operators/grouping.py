@@ -70,31 +70,12 @@ def replicate(df: DataFrame, part: str = "part") -> DataFrame:
     return df.withColumn(part, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
 
-def collect_in_parts(
-    df: DataFrame, keys: Sequence[str], items: Sequence[Column], name: str, max_items: int = 100_000
-) -> DataFrame:
-    """Sorted arrays of structs per key; a key above ``max_items`` gets several rows.
-
-    ``part`` numbers those rows from 0. No array, and so no task, holds much
-    more than ``max_items`` entries, and no entry is dropped.
-    """
-    rows = df.select(*keys, F.struct(*items).alias("_item"))
-    split = spread(rows, keys, ["_item"], max_items)
-    return split.groupBy(*keys, "part").agg(F.sort_array(F.collect_list("_item")).alias(name))
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> DataFrame:
-    """Hint a broadcast only when the rows were counted and are few and small.
+def lists_by_range(df: DataFrame, keys: Sequence[str], item: str, name: str, width: int = 1000) -> DataFrame:
+    """Sorted lists of whole numbers, one row per key and stretch of ``width`` numbers.
 
-    Reads no more than ``max_rows + 1`` rows to decide; a larger side comes
-    back without hint and joins by shuffle.
+    ``part`` is the item divided by ``width``, rounded down. The form does not
+    depend on how many items a key has, and a list of distinct items never has
+    more than ``width``.
     """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    seen = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size"))
-        .first()
-    )
-    if seen["n"] <= max_rows and seen["size"] <= max_bytes:
-        return F.broadcast(df)
-    return df
+    part = F.floor(F.col(item) / width).alias("part")
+    return df.select(*keys, item, part).groupBy(*keys, "part").agg(F.sort_array(F.collect_set(item)).alias(name))

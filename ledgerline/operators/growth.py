@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import empty_array, ratio
-from ledgerline.operators.activity import active_days, next_day
+from ledgerline.operators.activity import active_days
 from ledgerline.operators.spine import period_spine
+from ledgerline.operators.steps import snapshot_before
 
 # Daily states that count as active in a retention curve.
 ACTIVE_STATES = ("Retained", "Resurrected", "New")
@@ -37,9 +38,12 @@ def weekly_state(known: Column, today: Column, last: Column, yesterday: Column)
 
 
 def growth_step(prev: DataFrame, events: DataFrame, user: str, time: str, day: date) -> DataFrame:
-    """Yesterday's user states and one day of events make today's states."""
+    """Yesterday's user states and one day of events make today's states.
+
+    Of a stored table of many days only yesterday's rows are read.
+    """
     t = active_days(events.filter(F.to_date(time) == F.lit(day)), [user], time).alias("t")
-    y = prev.alias("y")
+    y = snapshot_before(prev, "date", day - timedelta(days=1)).alias("y")
     known, today = F.col(f"y.{user}").isNotNull(), F.col("t.day")
     last, yesterday = F.col("y.last_active_date"), F.col("y.date")
     fresh = F.when(today.isNotNull(), F.array(today)).otherwise(empty_array("date"))
@@ -50,7 +54,7 @@ def growth_step(prev: DataFrame, events: DataFrame, user: str, time: str, day: d
         daily_state(known, today, last, yesterday).alias("daily_active_state"),
         weekly_state(known, today, last, yesterday).alias("weekly_active_state"),
         F.concat(F.coalesce("y.dates_active", empty_array("date")), fresh).alias("dates_active"),
-        F.when(known, next_day(yesterday, day)).otherwise(F.lit(day)).alias("date"),
+        F.lit(day).alias("date"),
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ratio
-from ledgerline.operators.grouping import checked_broadcast
 
 
 def kills_per_game(details: DataFrame) -> DataFrame:
@@ -19,22 +18,22 @@ def kills_per_game(details: DataFrame) -> DataFrame:
     )
 
 
-def matches_by(joined: DataFrame, column: str) -> DataFrame:
-    """Distinct matches per value; the joined frame has many rows per match."""
-    return joined.groupBy(column).agg(F.count_distinct("match_id").alias("n_matches"))
+def matches_by(matches: DataFrame, details: DataFrame, column: str) -> DataFrame:
+    """Matches with details per value; details shrink to their matches before the join."""
+    played = matches.join(details.select("match_id").distinct(), "match_id", "left_semi")
+    return played.groupBy(column).agg(F.count_distinct("match_id").alias("n_matches"))
 
 
 def name_maps(df: DataFrame, maps: DataFrame) -> DataFrame:
     """Replace the map id by the map's name."""
-    named = checked_broadcast(maps.select("mapid", F.col("name").alias("map_name")))
-    return df.join(named, "mapid").drop("mapid")
+    return df.join(maps.select("mapid", F.col("name").alias("map_name")), "mapid").drop("mapid")
 
 
 def medals_by_map(medal_counts: DataFrame, matches: DataFrame, medals: DataFrame, maps: DataFrame) -> DataFrame:
     """Medals won per map and medal.
 
-    Medals are added up per match before they meet the matches; the two small
-    dimensions are broadcast once their size is known.
+    Medals are added up per match before they meet the matches; whether the two
+    small dimensions are broadcast is decided by their size while the query runs.
     """
     per_match = medal_counts.groupBy("match_id", "medal_id").agg(F.sum("count").alias("_n"))
     per_map = (
@@ -42,7 +41,7 @@ def medals_by_map(medal_counts: DataFrame, matches: DataFrame, medals: DataFrame
         .groupBy("mapid", "medal_id")
         .agg(F.sum("_n").alias("n_medals"))
     )
-    named = per_map.join(checked_broadcast(medals.select("medal_id", F.col("name").alias("medal"))), "medal_id")
+    named = per_map.join(medals.select("medal_id", F.col("name").alias("medal")), "medal_id")
     return name_maps(named, maps).select("map_name", "medal", "n_medals")
 
 
@@ -50,17 +49,21 @@ def match_cube(details: DataFrame, matches: DataFrame, medal_counts: DataFrame,
     """Medals, medal winners' kills and matches per playlist, map and medal.
 
     ``details`` is unique on (match_id, part, player), ``medal_counts`` on
-    those and the medal: both come bucketed like ``matches``.
+    those and the medal: both come bucketed like ``matches``. The joins use the
+    bucket keys alone and compare the player afterwards (as a range of one, or
+    it would become a join key and ask for another shuffle).
     """
     place = ["match_id", "part"]
-    joined = details.join(matches, place).join(medal_counts, [*place, "player_gamertag"])
+    won = medal_counts.withColumnRenamed("player_gamertag", "_winner")
+    joined = details.join(matches, place).join(won, place)
+    joined = joined.filter(F.col("player_gamertag").between(F.col("_winner"), F.col("_winner")))
     per_match = joined.groupBy("playlist_id", "mapid", "medal_id", "match_id").agg(
         F.sum("n_medals").alias("_medals"), F.sum("kills").alias("_kills")
     )
     cube = per_match.groupBy("playlist_id", "mapid", "medal_id").agg(
         F.sum("_medals").alias("n_medals"), F.sum("_kills").alias("kills"), F.count(F.lit(1)).alias("n_matches")
     )
-    named = cube.join(checked_broadcast(medals.select("medal_id", F.col("name").alias("medal"))), "medal_id")
+    named = cube.join(medals.select("medal_id", F.col("name").alias("medal")), "medal_id")
     return name_maps(named, maps).drop("medal_id")
 
 

@@ -4,7 +4,7 @@ A window partitioned by key alone sends the whole key to one task. Here the
 key's rows are cut into time chunks first: each chunk is summarised with a
 partial aggregate, the short list of summaries is put in order per key, and
 the result is joined back on (key, chunk). ``chunk`` must not decrease in the
-row order, e.g. the month of the ordering date.
+row order; e.g. the day with a stretch of ids, which bounds what a chunk holds.
 """
 
 from __future__ import annotations

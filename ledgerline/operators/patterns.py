@@ -127,6 +127,23 @@ def game_sets(appearances: DataFrame) -> DataFrame:
     return players.select(*columns).unionByName(teams.select(*columns))
 
 
+def game_set_winners(sets: DataFrame) -> DataFrame:
+    """Most points for one team, most points in one season and most wins of a team; ties go to the lowest ids.
+
+    Each is one row of ``game_sets``, found by a maximum, not by a sort.
+    """
+    asked = (("most points for a team", "player_team", "points"), ("most points in a season", "player_season", "points"), ("most wins", "team", "wins"))
+    question = F.lit(None).cast("string")
+    amount = F.lit(None).cast("long")
+    for name, level, value in asked:
+        question = F.when(F.col("aggregation_level") == level, F.lit(name)).otherwise(question)
+        amount = F.when(F.col("aggregation_level") == level, F.col(value).cast("long")).otherwise(amount)
+    ids = ["player_id", "team_id", "season"]
+    order = F.struct(amount, *[-F.coalesce(c, F.lit(0)) for c in ids])
+    best = sets.groupBy(question.alias("question")).agg(F.max_by(F.struct(*ids), order).alias("_who"), F.max(amount).alias("amount"))
+    return best.select("question", "_who.*", "amount")
+
+
 def rolling_counts(
     daily: DataFrame,
     keys: Sequence[str],
@@ -166,6 +183,11 @@ def rolling_counts(
     )
 
 
+def _stretch_of_games(ids: int = 100_000) -> Column:
+    """A day and a stretch of game ids: it follows (game_date, game_id) and holds ``ids`` games at most."""
+    return F.struct(F.col("game_date").alias("day"), F.floor(F.col("game_id") / ids).alias("ids"))
+
+
 def team_games(games: DataFrame) -> DataFrame:
     """Two rows per game, one for each side, with a ``won`` flag."""
     sides = F.array(
@@ -177,16 +199,16 @@ def team_games(games: DataFrame) -> DataFrame:
 
 def win_stretch(games: DataFrame, length: int = 90) -> DataFrame:
     """Most wins of each team in any ``length`` games in a row."""
-    rows = team_games(games).withColumn("_month", F.trunc("game_date", "MM"))
+    rows = team_games(games).withColumn("_chunk", _stretch_of_games())
     won = F.col("won").cast("int")
-    return stretch_best(rows, ["team_id"], "_month", ["game_date", "game_id"], won, length, "most_wins")
+    return stretch_best(rows, ["team_id"], "_chunk", ["game_date", "game_id"], won, length, "most_wins")
 
 
 def scoring_streak(appearances: DataFrame, above: int = 10) -> DataFrame:
     """Most games in a row in which each player scored more than ``above``."""
-    rows = appearances.withColumn("_month", F.trunc("game_date", "MM"))
+    rows = appearances.withColumn("_chunk", _stretch_of_games())
     hit = F.col("pts") > above
-    return longest_run(rows, ["player_id"], "_month", ["game_date", "game_id"], hit, "longest_streak")
+    return longest_run(rows, ["player_id"], "_chunk", ["game_date", "game_id"], hit, "longest_streak")
 
 
 def one_per_game(details: DataFrame) -> DataFrame:
@@ -217,12 +239,11 @@ def profit_report(units: DataFrame, unit_dates: DataFrame, unit: str, day: str)
 
 
 def reconcile(report: DataFrame, lines: DataFrame, unit_dates: DataFrame, unit: str, day: str, profit: Column) -> DataFrame:
-    """A monthly report, perhaps a stored one, next to the same months computed afresh from the lines."""
-    per_unit = lines.groupBy(unit).agg(F.sum(profit).alias("_p"))
+    """A stored monthly report next to the same months added up line by line, without the unit level."""
     direct = (
-        per_unit.join(unit_dates.select(unit, day), unit)
+        lines.join(unit_dates.select(unit, day), unit)
         .groupBy(F.trunc(day, "MM").alias("month_start"))
-        .agg(F.sum("_p").alias("line_profit"))
+        .agg(F.sum(profit).alias("line_profit"))
     )
     return report.join(direct, "month_start", "full_outer").withColumn(
         "agrees", F.col("profit").eqNullSafe(F.col("line_profit"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import changed
+from ledgerline.operators.steps import snapshot_before
 
 
 def change_indicators(df: DataFrame, key: str, period: str, tracked: Sequence[str]) -> DataFrame:
@@ -79,15 +80,17 @@ def scd2_incremental(
     """History as of ``as_of`` from the previous history and one new snapshot.
 
     ``prev`` has key, tracked columns, ``start_period``, ``end_period`` and
-    ``current``. Open rows end in the previous period. One full outer join of
+    ``current``, perhaps of many snapshots; only that of ``as_of`` - 1 is read,
+    and its absence is an error. Open rows end in the previous period. One full outer join of
     open rows and snapshot decides everything: unchanged rows are extended,
     changed ones are closed and reopened, new keys opened. An open row whose
     key is absent now is kept as closed unless ``drop_absent``.
     """
     fields = [*tracked, "start_period", "end_period"]
     before = as_of - 1
-    closed = prev.filter(F.col("end_period") < before).select(key, *fields)
-    o = prev.filter(F.col("end_period") >= before).select(key, *fields).alias("o")
+    known = snapshot_before(prev, "current", before)
+    closed = known.filter(F.col("end_period") < before).select(key, *fields)
+    o = known.filter(F.col("end_period") >= before).select(key, *fields).alias("o")
     c = current.filter(F.col(period) == as_of).select(key, period, *tracked).alias("c")
 
     old = F.struct(*[F.col(f"o.{f}").alias(f) for f in fields])

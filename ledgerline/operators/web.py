@@ -1,11 +1,20 @@
-"""Web events joined to devices, and roll-ups by user and device."""
+"""Web events joined to devices, and roll-ups by user and device.
+
+The stored form of a roll-up is relational, one row per key and item; counts
+and sums are aggregates of it with one row per key, whatever its size.
+``grouping.lists_by_range`` turns items into lists of a fixed width on request.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.grouping import assign_part, collect_in_parts, large_groups, with_parts
+
+def user_device_hosts(events: DataFrame, *extra: str) -> DataFrame:
+    """Hits of each (user, device, host); ``extra`` columns join the key."""
+    known = events.filter(F.col("user_id").isNotNull())
+    return known.groupBy(*extra, "user_id", "device_id", "host").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def user_device_counts(events: DataFrame) -> DataFrame:
@@ -14,34 +23,30 @@ def user_device_counts(events: DataFrame) -> DataFrame:
     return known.groupBy("user_id", "device_id").agg(F.count(F.lit(1)).alias("event_counts"))
 
 
-def user_device_hits(events: DataFrame, *extra: str, max_hosts: int = 100_000) -> DataFrame:
-    """Hits and the distinct hosts of each (user, device); ``extra`` columns join the key.
+def user_device_hits(hosts: DataFrame, *extra: str) -> DataFrame:
+    """Hits and hosts of each (user, device), from ``user_device_hosts``.
 
-    A pair with more than ``max_hosts`` hosts has several rows, numbered by
-    ``part``, each with the pair's full hit count.
+    ``host_array`` has the distinct hosts of one pair: at most the sites there are.
     """
-    keys = [*extra, "user_id", "device_id"]
-    known = events.filter(F.col("user_id").isNotNull())
-    per_host = known.groupBy(*keys, "host").agg(F.count(F.lit(1)).alias("_hits"))
-    counted = per_host.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_hits").alias("_total"))
-    big = large_groups(counted, keys, max_hosts, ["_total"])
-    split = assign_part(with_parts(per_host, big, keys, ["_total"]), ["host"])
-    return split.groupBy(*keys, "part").agg(
-        F.coalesce(F.max("_total"), F.sum("_hits")).alias("event_counts"),
+    return hosts.groupBy(*extra, "user_id", "device_id").agg(
+        F.sum("hits").alias("event_counts"),
+        F.count(F.lit(1)).alias("n_hosts"),
         F.sort_array(F.collect_list("host")).alias("host_array"),
     )
 
 
-def user_rollup(hits: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Largest device count and the devices of each user, from the (user, device) aggregate."""
-    totals = hits.groupBy("user_id").agg(F.max("event_counts").alias("total_hits"))
-    devices = collect_in_parts(hits, ["user_id"], [F.col("device_id")], "devices", max_items)
-    return devices.join(totals, "user_id")
+def user_rollup(hits: DataFrame) -> DataFrame:
+    """Largest hit count, number of devices and sum of their ids of each user."""
+    return hits.groupBy("user_id").agg(
+        F.max("event_counts").alias("total_hits"),
+        F.count(F.lit(1)).alias("n_devices"),
+        F.sum("device_id").alias("device_sum"),
+    )
 
 
-def device_rollup(hits: DataFrame, devices: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Users seen on each device; a device with very many users has several parts."""
-    users = collect_in_parts(hits, ["device_id"], [F.col("user_id")], "users", max_items)
+def device_rollup(hits: DataFrame, devices: DataFrame) -> DataFrame:
+    """Number of users seen on each device and the sum of their ids."""
+    users = hits.groupBy("device_id").agg(F.count(F.lit(1)).alias("n_users"), F.sum("user_id").alias("user_sum"))
     return users.join(devices.select("device_id", "device_type"), "device_id")
 
 

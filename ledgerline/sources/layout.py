@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +78,17 @@ def layout_study(
     return file_stats(spark, paths)
 
 
+#: More buckets than this and a table's files outgrow the catalog; the engine refuses 100,000.
+MOST_BUCKETS = 1 << 16
+
+
 def buckets_for(rows: int, rows_per_bucket: int = 5_000_000, least: int = 16) -> int:
-    """A power of two, at least ``least``, that keeps a bucket within one task's reach."""
+    """A power of two from ``least`` to ``MOST_BUCKETS``; up to that, a bucket holds at most ``rows_per_bucket``.
+
+    Beyond, buckets grow instead; a bucket is sorted by its task, which spills.
+    """
     buckets = least
-    while buckets * rows_per_bucket < rows:
+    while buckets * rows_per_bucket < rows and buckets < MOST_BUCKETS:
         buckets *= 2
     return buckets
 
@@ -98,24 +105,38 @@ def stored_parts(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, int
     return spark.read.schema(big.schema).parquet(path), seen.get["rows"]
 
 
-def write_bucketed(df: DataFrame, label: str, keys: Sequence[str], buckets: int = 16) -> DataFrame:
-    """Store ``df`` in a bucketed, sorted table and return the table.
+def write_bucketed(
+    df: DataFrame, label: str, keys: Sequence[str], buckets: int = 16, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Store ``df`` in a bucketed, sorted table, perhaps with a folder per ``partition_by`` value, and return the table.
 
     The files go below the shared scratch root. Rows are shuffled into their
-    buckets first, so each bucket is one file rather than one per task.
+    buckets first, so each bucket of a folder is one file rather than one per
+    task.
     """
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
-    (
+    writer = (
         df.repartition(buckets, *[F.col(k) for k in keys])
         .write.bucketBy(buckets, *keys)
         .sortBy(*keys)
         .option("path", scratch_path(spark, label))
-        .saveAsTable(name)
     )
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     return spark.table(name)
 
 
+_STORED: dict[tuple[str, ...], object] = {}
+
+
+def stored_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], object]) -> object:
+    """What ``build`` stored for ``key``; it runs once per application, and later queries read its tables."""
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _STORED:
+        _STORED[full] = build()
+    return _STORED[full]
+
+
 def colocate(
     large: DataFrame,
     others: dict[str, tuple[DataFrame, Sequence[str] | None]],

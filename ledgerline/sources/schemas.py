@@ -41,9 +41,9 @@ TABLES = {
         ),
         Table(
             "actors",
-            "actorid bigint, part int, items array<struct<film string, votes int, rating int, filmid string>>, "
+            "actorid bigint, items array<struct<year int, film string, votes int, rating int, filmid string>>, "
             "quality_class string, is_active boolean, current_year int",
-            ("actorid", "part", "current_year"),
+            ("actorid", "current_year"),
             ("current_year",),
         ),
         Table(
@@ -132,7 +132,7 @@ def drop(spark: SparkSession, name: str) -> None:
 def replace_partitions(df: DataFrame, target: str) -> None:
     """Insert by column name, replacing only the partitions present in ``df``."""
     spark = df.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"
+    setting = "spark.sql.sources.partitionOverwriteMode"  # the writer's own option does not allow reading the target
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:

@@ -49,23 +49,6 @@ def start_batches(
     return _trigger(writer, every).start()
 
 
-def start_relational(
-    df: DataFrame, options: dict[str, str], checkpoint: str, every: str = CHECKPOINT_EVERY
-) -> StreamingQuery:
-    """Append each micro-batch to a JDBC table with its ``batch_id``.
-
-    A batch repeated after a failure carries the same id, so its rows can be
-    told apart and a unique key on the table can refuse them.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        rows.write.format("jdbc").options(**options).mode("append").save()
-
-    writer = df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
-
-
 def start_messages(
     df: DataFrame, fmt: str, options: dict[str, str], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

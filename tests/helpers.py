@@ -11,3 +11,8 @@ def rows(df: DataFrame, *columns: str) -> list[tuple]:
 
 def as_set(values) -> list[tuple]:
     return sorted((tuple(v) for v in values), key=repr)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows alone, as a job would find them stored by the step before."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

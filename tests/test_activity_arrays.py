@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import rows, settled
 from ledgerline.operators import activity, arrays, growth
 from ledgerline.plans import inspect
 
@@ -39,7 +39,7 @@ def days():
 def test_active_dates_fold_equals_backfill(spark, events):
     state = spark.createDataFrame([], "u int, dates_active array<date>, date date")
     for day in days():
-        state = activity.active_dates_step(state, events, ["u"], "t", day)
+        state = settled(activity.active_dates_step(state, events, ["u"], "t", day))
     assert rows(state) == rows(activity.active_dates_backfill(events, ["u"], "t", days()[-1]))
     assert all(r[0] is not None for r in rows(state))
 
@@ -52,7 +52,7 @@ def test_newest_first(spark, events):
 
 def test_step_refuses_a_gap(spark, events):
     before = activity.active_dates_backfill(events, ["u"], "t", days()[3])
-    with pytest.raises(Exception, match="needs the day before"):
+    with pytest.raises(Exception, match="needs the snapshot of 2024-01-05"):
         activity.active_dates_step(before, events, ["u"], "t", days()[5]).collect()
 
 
@@ -124,18 +124,57 @@ def test_monthly_hits_fold_and_first_seen_survives_absence(spark, events):
         [], "u int, hit_array array<bigint>, month_start date, first_found_date date, date_partition date"
     )
     for day in days():
-        state = arrays.monthly_hits_step(state, events, "u", "t", day)
+        state = settled(arrays.monthly_hits_step(state, events, "u", "t", day))
     assert rows(state) == rows(arrays.monthly_hits_backfill(events, "u", "t", days()[-1]))
     assert state.filter("first_found_date is null").count() == 0
 
 
-def test_first_days_of_reference_rows(spark):
-    df = spark.createDataFrame(
-        [("m1", [0, 1, 3], "p"), ("m1", [1, 2, 3], "p"), ("m2", [], "p"), ("m2", [], "")],
-        "month_start string, hits array<bigint>, part string",
-    )
-    got = rows(arrays.first_days(df, "hits", "part", "p", ("a", "b", "c")))
-    assert got == [("m1", 1, 3, 6), ("m2", 0, 0, 0)]
+def test_first_days(spark):
+    data = [
+        ("may", [7, None, 20, 5], "day4"), ("may", [40], "day4"), ("may", [500, 500, 500, 500], "day3"),
+        ("june", [None, 9], "day4"), ("july", [], "day4"), ("august", [1], "day3"),
+    ]
+    df = spark.createDataFrame(data, "month_start string, hits array<bigint>, part string")
+    totals = arrays.first_days(df, "hits", "part", "day4", ("d1", "d2", "d3", "d4"))
+    assert {r[0]: r[1:] for r in rows(totals)} == {"may": (47, 0, 20, 5), "june": (0, 9, 0, 0), "july": (0, 0, 0, 0)}
+    kept = arrays.first_days(df, "hits", "part", "day4", ("d1", "d2"), keep_null=True)
+    assert {r[0]: r[1:] for r in rows(kept)} == {"may": (47, None), "june": (None, 9), "july": (None, None)}
+
+
+def around_a_month_end(spark):
+    moments = [(u, 0, f"h{u % 2}", datetime(2024, m, d)) for u, m, d in ((1, 1, 30), (1, 1, 31), (2, 1, 29), (1, 2, 1), (3, 2, 1), (3, 2, 2))]
+    return spark.createDataFrame(moments, EVENT)
+
+
+def test_monthly_hits_start_anew_each_month(spark):
+    events = around_a_month_end(spark)
+    last = arrays.monthly_hits_backfill(events, "u", "t", date(2024, 1, 31))
+    first = arrays.monthly_hits_step(last, events, "u", "t", date(2024, 2, 1))
+    assert rows(first, "u", "hit_array", "month_start") == [(1, [1], date(2024, 2, 1)), (3, [1], date(2024, 2, 1))]
+    stored = last.unionByName(first)
+    second = arrays.monthly_hits_step(stored, events, "u", "t", date(2024, 2, 2))
+    assert rows(second) == rows(arrays.monthly_hits_backfill(events, "u", "t", date(2024, 2, 2)))
+
+
+def test_monthly_hits_refuse_a_repeat_and_a_gap(spark):
+    events = around_a_month_end(spark)
+    for day in (30, 29, 31):
+        state = arrays.monthly_hits_backfill(events, "u", "t", date(2024, 1, day))
+        if day != 30:
+            with pytest.raises(Exception, match="needs the snapshot of 2024-01-30"):
+                arrays.monthly_hits_step(state, events, "u", "t", date(2024, 1, 31)).collect()
+    bad = arrays.monthly_hits_backfill(events, "u", "t", date(2024, 1, 29)).withColumn("date_partition", F.lit(date(2024, 1, 30)))
+    with pytest.raises(Exception, match="needs 30 slots, found 29"):
+        arrays.monthly_hits_step(bad, events, "u", "t", date(2024, 1, 31)).collect()
+
+
+def test_host_month_refuses_a_repeat_and_starts_anew(spark):
+    events = around_a_month_end(spark)
+    last = arrays.host_month(events, "h", "u", "t", date(2024, 1, 31))
+    with pytest.raises(Exception, match="needs 30 slots, found 31"):
+        arrays.host_month_step(last, events, "h", "u", "t", date(2024, 1, 31)).collect()
+    first = arrays.host_month_step(last, events, "h", "u", "t", date(2024, 2, 1))
+    assert rows(first, "h", "hit_array", "unique_visitors") == [("h1", [2], [2])]
 
 
 def test_host_month_fold_equals_backfill(spark, events):
@@ -160,7 +199,7 @@ def test_growth_fold_equals_backfill(spark, events):
     whole = growth.growth_backfill(events, "u", "t", days()[-1])
     state = spark.createDataFrame([], GROWTH)
     for day in days():
-        state = growth.growth_step(state, events, "u", "t", day)
+        state = settled(growth.growth_step(state, events, "u", "t", day))
         assert rows(state, *whole.columns) == rows(whole.filter(F.col("date") == F.lit(day)))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from ledgerline.catalog import views
 from ledgerline.operators import experiments, matches, web
+from ledgerline.operators.grouping import lists_by_range
 from ledgerline.plans import inspect
 from ledgerline.plans.jobs import run_job, run_table_job
 from ledgerline.session import scratch_path, scratch_root
@@ -30,33 +31,19 @@ def devices(spark):
     )
 
 
-def test_hosts_of_a_pair_are_split_not_cut(spark):
-    df = spark.range(600).select(
-        F.lit(1).alias("user_id"), F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("device_id"),
-        F.concat(F.lit("h"), (F.col("id") % 200).cast("string")).alias("host"),
-    )
-    parts = web.user_device_hits(df, max_hosts=50).filter("device_id = 1").collect()
-    assert len(parts) == 4 and {r["event_counts"] for r in parts} == {400}
-    assert sorted(h for r in parts for h in r["host_array"]) == sorted(f"h{i}" for i in range(200))
-    whole = web.user_device_hits(df)
-    assert whole.agg(F.sum("event_counts")).first()[0] == 600 and whole.filter("part <> 0").count() == 0
-
-
-def test_rollups_do_not_fan_out(spark, events, devices):
+def test_rollups_have_one_row_per_key_whatever_its_size(spark, devices):
+    rows_ = [(u, 0 if u < 400 else 1, f"h{u % 7}") for u in range(500) for _ in range(1 + u % 2)]
+    events = spark.createDataFrame(rows_, "user_id long, device_id long, host string")
+    hosts = web.user_device_hosts(events)
+    pairs = web.user_device_hits(hosts)
+    assert pairs.groupBy("user_id", "device_id").count().filter("count > 1").count() == 0
+    assert pairs.agg(F.sum("event_counts")).first()[0] == len(rows_)
     hits = web.user_device_counts(events)
-    users = web.user_rollup(hits)
-    for r in users.collect():
-        ids = [e["device_id"] for e in r["devices"]]
-        assert ids == sorted(set(ids))
-    n = sum(len(r["users"]) for r in web.device_rollup(hits, devices).collect())
-    assert n == hits.join(devices, "device_id").count()
-
-
-def test_large_device_is_split_not_cut(spark, devices):
-    hits = spark.range(500).select(F.col("id").alias("user_id"), F.lit(0).alias("device_id"), F.lit(1).alias("event_counts"))
-    parts = web.device_rollup(hits, devices, max_items=100).collect()
-    assert len(parts) == 5
-    assert sorted(e["user_id"] for p in parts for e in p["users"]) == list(range(500))
+    per_device = {r["device_id"]: (r["n_users"], r["user_sum"]) for r in web.device_rollup(hits, devices).collect()}
+    assert per_device[0] == (400, sum(range(400)))
+    assert rows(web.user_rollup(hits), "user_id", "total_hits", "n_devices", "device_sum")[1] == (1, 2, 1, 0)
+    listed = lists_by_range(hits, ["device_id"], "user_id", "users", 4)
+    assert listed.agg(F.sum(F.size("users"))).first()[0] == hits.count()
 
 
 def test_enrichments(spark, events, devices):
@@ -173,6 +160,7 @@ def test_a_folder_gets_few_files(spark):
 def test_buckets_grow_with_the_table(spark):
     assert layout.buckets_for(1000) == 16
     assert layout.buckets_for(1000, rows_per_bucket=20) == 64
+    assert layout.buckets_for(600_000_000_000) == layout.MOST_BUCKETS < 100_000
 
 
 def test_stored_parts_count_and_large_keys(spark):
@@ -300,6 +288,14 @@ def test_readouts_match_formulas(spark):
     assert chi == [("c", 4, 3.5, pytest.approx(1 / 14)), ("t", 3, 3.5, pytest.approx(1 / 14))]
 
 
+def test_sample_ratio_sees_a_cell_without_units(spark):
+    df = spark.createDataFrame([("a",)] * 10 + [("x",)], "cell string")
+    got = rows(experiments.sample_ratio(df, "cell", [("a", 50), ("b", 50)]))
+    assert got == [("a", 10, 5.0, 5.0, 10.0), ("b", 0, 5.0, 5.0, 10.0)]
+    none = experiments.sample_ratio(df.filter("cell = 'y'"), "cell", [("a", 50), ("b", 50)])
+    assert rows(none, "cell", "observed", "chi_square") == [("a", 0, None), ("b", 0, None)]
+
+
 def test_parity(spark):
     cells = spark.createDataFrame([("red",), ("blue",)], "cell string")
     with_parity = experiments.cell_parity(cells, "cell", ["red"])

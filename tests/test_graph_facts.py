@@ -12,16 +12,13 @@ from ledgerline.operators import facts, graph, quality
 TEAM = "team_id long, abbreviation string, nickname string, city string, arena string, yearfounded long"
 
 
-def test_team_vertex_from_copies(spark):
-    df = spark.createDataFrame(
-        [(1, "GSW", "Warriors", "SF", "Chase", 1900), (1, "GSW", "XWarriors", "SF", "Chase", 1900)], TEAM
-    )
-    row = graph.team_vertices(df).collect()
-    assert len(row) == 1
-    assert (row[0]["identifier"], row[0]["type"]) == (1, "team")
-    assert row[0]["properties"] == {
-        "abbreviation": "GSW", "nickname": "Warriors", "city": "SF", "arena": "Chase", "year_founded": "1900",
-    }
+def test_one_vertex_per_team_with_text_properties(spark):
+    herons = [(42, "LKH", name, "Lakeside", "Pier Hall", 1987) for name in ("Otters", "Herons", "Swans", "Herons")]
+    df = spark.createDataFrame([*herons, (7, None, "Moles", "Underhill", None, 2003)], TEAM)
+    found = {r["identifier"]: r for r in graph.team_vertices(df).collect()}
+    assert set(found) == {7, 42} and {r["type"] for r in found.values()} == {"team"}
+    assert found[42]["properties"]["nickname"] == "Herons" and found[42]["properties"]["year_founded"] == "1987"
+    assert found[7]["properties"]["arena"] is None and set(found[7]["properties"]) == set(found[42]["properties"])
 
 
 def test_json_keeps_null_properties(spark):

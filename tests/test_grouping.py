@@ -61,19 +61,8 @@ def test_replicate_meets_every_part(spark):
     assert joined.filter("label <> k * 2").count() == 0
 
 
-def test_collect_in_parts_keeps_every_item(spark):
-    out = g.collect_in_parts(skewed(spark), ["k"], [F.col("v")], "items", 100).collect()
-    assert max(len(r["items"]) for r in out) < 200
-    held = Counter(e["v"] for r in out for e in r["items"])
-    assert held == Counter(range(900))
-    assert all([e["v"] for e in r["items"]] == sorted(e["v"] for e in r["items"]) for r in out)
-
-
-def test_broadcast_only_when_small(spark):
-    big = spark.range(1000).withColumnRenamed("id", "a")
-    small = spark.range(10).withColumnRenamed("id", "a")
-    hinted = big.join(g.checked_broadcast(small, max_rows=10), "a")
-    plain = big.join(g.checked_broadcast(small, max_rows=9), "a")
-    wide = big.join(g.checked_broadcast(small, max_rows=10, max_bytes=5), "a")
-    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hint(hinted) and not hint(plain) and not hint(wide)
+def test_lists_by_range_keep_every_item_in_bounded_lists(spark):
+    out = g.lists_by_range(skewed(spark), ["k"], "v", "items", 100).collect()
+    assert max(len(r["items"]) for r in out) <= 100
+    assert Counter(v for r in out for v in r["items"]) == Counter(range(900))
+    assert all(r["items"] == sorted(r["items"]) and {v // 100 for v in r["items"]} == {r["part"]} for r in out)
