@@ -122,21 +122,22 @@ class WordEncoder:
         Words are split and made distinct by Arrow; each distinct word is looked
         up once, and its ids are taken for every place at once.
         """
-        offsets, words = split_column(texts)
-        coded = words.dictionary_encode()
+        offsets, places = split_column(texts)
+        coded = places.dictionary_encode()
         names = coded.dictionary.to_pylist()
         found = list(map(self._known.get, names))
         if None in found:
             if len(self._known) > self.remember:
                 self._older, self._known = self._known, {}
-            known, older = self._known, self._older
             new = [i for i, ids in enumerate(found) if ids is None]
-            unseen = [names[i] for i in new if names[i] not in older]
-            fresh = dict(zip(unseen, self.encode_words(unseen)))
-            for i in new:
-                word = names[i]
-                found[i] = fresh[word] if word in fresh else older[word]
-            known.update(zip(names, found))
+            words = [names[i] for i in new]
+            ids = list(map(self._older.get, words))
+            unseen = [i for i, known in enumerate(ids) if known is None]
+            for i, fresh in zip(unseen, self.encode_words([words[i] for i in unseen])):
+                ids[i] = fresh
+            for i, known in zip(new, ids):
+                found[i] = known
+            self._known.update(zip(words, ids))
         taken = pa.array(found, pa.large_binary()).take(coded.indices)
         _, ends, data = taken.buffers()
         if data is None or not len(taken):
