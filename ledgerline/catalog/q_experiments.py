@@ -83,11 +83,7 @@ NUMBERS = ("mean_control", "var_control", "mean_treatment", "var_treatment", "di
 def e3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders lead, spend (in ten thousands) lags."""
     units = exposed(spark, sf_dir).withColumn("spend", F.floor(F.col("value") / 1000000))
-    rows = [
-        experiments.readout(units, "cell", "control", "treatment", "n_outcomes", "leading"),
-        experiments.readout(units, "cell", "control", "treatment", "spend", "lagging"),
-    ]
-    both = rows[0].unionByName(rows[1])
+    both = experiments.readouts(units, "cell", "control", "treatment", [("n_outcomes", "leading"), ("spend", "lagging")])
     return both.select("metric", "kind", "n_control", "n_treatment", *[F.round(c, 4).alias(c) for c in NUMBERS])
 
 

@@ -66,36 +66,39 @@ def conversion(units: DataFrame, cell: str, converted: Column) -> DataFrame:
     )
 
 
-def readout(units: DataFrame, cell: str, control: str, treatment: str, metric: str, kind: str) -> DataFrame:
-    """Means, variances and Welch's t of ``metric`` between two cells, as one row."""
-    x = F.col(metric).cast("double")
-    stats = []
-    for tag, label in (("control", control), ("treatment", treatment)):
-        own = F.when(F.col(cell) == label, x)
-        stats += [
-            F.count(own).alias(f"n_{tag}"),
-            F.avg(own).alias(f"mean_{tag}"),
-            F.var_samp(own).alias(f"var_{tag}"),
-        ]
-    row = units.agg(*stats)
+def readouts(
+    units: DataFrame, cell: str, control: str, treatment: str, metrics: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Means, variances and Welch's t between two cells, one row per (metric, kind); units are read once."""
+    stats, entries = [], []
+    for i, (metric, kind) in enumerate(metrics):
+        x = F.col(metric).cast("double")
+        fields = [F.lit(metric).alias("metric"), F.lit(kind).alias("kind")]
+        for tag, label in (("control", control), ("treatment", treatment)):
+            own = F.when(F.col(cell) == label, x)
+            for name, value in (("n", F.count(own)), ("mean", F.avg(own)), ("var", F.var_samp(own))):
+                stats.append(value.alias(f"{name}_{tag}_{i}"))
+                fields.append(F.col(f"{name}_{tag}_{i}").alias(f"{name}_{tag}"))
+        entries.append(F.struct(*fields))
+    rows = units.agg(*stats).select(F.inline(F.array(*entries)))
     lift = F.col("mean_treatment") - F.col("mean_control")
-    part_c = F.col("var_control") / F.col("n_control")
-    part_t = F.col("var_treatment") / F.col("n_treatment")
+    part_c = F.try_divide(F.col("var_control"), F.col("n_control"))
+    part_t = F.try_divide(F.col("var_treatment"), F.col("n_treatment"))
     spread = part_c + part_t
     freedom = F.try_divide(
         spread * spread,
-        part_c * part_c / (F.col("n_control") - 1) + part_t * part_t / (F.col("n_treatment") - 1),
+        F.try_divide(part_c * part_c, F.col("n_control") - 1) + F.try_divide(part_t * part_t, F.col("n_treatment") - 1),
     )
-    return row.select(
-        F.lit(metric).alias("metric"),
-        F.lit(kind).alias("kind"),
-        "*",
-        lift.alias("difference"),
-        F.try_divide(lift, F.sqrt(spread)).alias("t_value"),
-        freedom.alias("degrees"),
+    return rows.select(
+        "*", lift.alias("difference"), F.try_divide(lift, F.sqrt(spread)).alias("t_value"), freedom.alias("degrees")
     )
 
 
+def readout(units: DataFrame, cell: str, control: str, treatment: str, metric: str, kind: str) -> DataFrame:
+    """``readouts`` of one metric."""
+    return readouts(units, cell, control, treatment, [(metric, kind)])
+
+
 def proportion_test(units: DataFrame, cell: str, control: str, treatment: str, hit: Column, name: str) -> DataFrame:
     """Two-proportion z with pooled variance between two cells, as one row."""
     aggs = []

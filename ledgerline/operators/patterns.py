@@ -100,31 +100,29 @@ def dashboard(
 def game_sets(appearances: DataFrame) -> DataFrame:
     """Points, games and wins by (player, team), (player, season) and (team).
 
-    ``appearances`` is unique on (player, game) with a ``won`` flag. The two
-    player levels are grouping sets over one fine aggregate. The team level is
-    built from one row per team and game, so a team's many players do not
+    ``appearances`` is unique on (player, game) with a ``won`` flag and is read
+    once: the grouping sets make the two player levels and one row per team and
+    game, which are then added up per team, so a team's many players do not
     multiply its games.
     """
-    fine = appearances.groupBy("player_id", "team_id", "season").agg(
-        F.sum("pts").alias("points"),
-        F.count(F.lit(1)).alias("games"),
-        F.count_if("won").alias("wins"),
-    )
-    player, team, season = F.col("player_id"), F.col("team_id"), F.col("season")
-    level = F.when(F.grouping("season") == 0, "player_season").otherwise("player_team")
-    columns = ["aggregation_level", "player_id", "team_id", "season", "points", "games", "wins"]
-    players = fine.groupingSets([[player, team], [player, season]], player, team, season).agg(
-        level.alias("aggregation_level"), *[F.sum(c).alias(c) for c in columns[4:]]
+    player, team, season, game = (F.col(c) for c in ("player_id", "team_id", "season", "game_id"))
+    kind = (
+        F.when(F.grouping("game_id") == 0, "team")
+        .when(F.grouping("season") == 0, "player_season")
+        .otherwise("player_team")
     )
-    per_game = appearances.groupBy("team_id", "game_id").agg(
-        F.sum("pts").alias("points"), F.bool_or("won").alias("won")
+    sets = appearances.groupingSets([[player, team], [player, season], [team, game]], player, team, season, game).agg(
+        kind.alias("aggregation_level"),
+        F.sum("pts").alias("points"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("won").alias("_wins"),
     )
-    teams = per_game.groupBy("team_id").agg(
-        F.sum("points").alias("points"), F.count(F.lit(1)).alias("games"), F.count_if("won").alias("wins")
+    per_game = F.col("aggregation_level") == "team"
+    games = F.when(per_game, F.lit(1)).otherwise(F.col("_rows"))
+    wins = F.when(per_game, (F.col("_wins") > 0).cast("long")).otherwise(F.col("_wins"))
+    return sets.groupBy("aggregation_level", "player_id", "team_id", "season").agg(
+        F.sum("points").alias("points"), F.sum(games).alias("games"), F.sum(wins).alias("wins")
     )
-    absent = {c: F.lit(None).cast(appearances.schema[c].dataType) for c in ("player_id", "season")}
-    teams = teams.withColumns({"aggregation_level": F.lit("team"), **absent})
-    return players.select(*columns).unionByName(teams.select(*columns))
 
 
 def game_set_winners(sets: DataFrame) -> DataFrame:
