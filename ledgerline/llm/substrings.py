@@ -85,14 +85,17 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush():
         h, k = np.concatenate(hashes), np.concatenate(keys)
-        order = np.argsort(h, kind="stable")
+        order = np.lexsort((k, h))
         h, k = h[order], k[order]
         fresh = np.concatenate([[True], h[1:] != h[:-1]])
         again = np.zeros(len(h), bool)
         again[1:] |= ~fresh[1:]
         again[:-1] |= ~fresh[1:]
+        # copies of a text say the same, so it is said once; routes of marked rows only spread them
+        again &= np.concatenate([[True], fresh[1:] | (k[1:] != k[:-1])])
+        spread = (h[again] ^ k[again].view(np.uint64)) * _MIX
         yield batch_of(_MARKS, h[fresh].view(np.int64), k[fresh], pa.nulls(int(fresh.sum()), pa.int64()))
-        yield batch_of(_MARKS, k[again], k[again], h[again].view(np.int64))
+        yield batch_of(_MARKS, spread.view(np.int64), k[again], h[again].view(np.int64))
 
     for batch in pieces(batches):
         for raw, key in zip(as_bytes(batch.column("text")), batch.column("text_key").to_pylist()):
@@ -173,7 +176,7 @@ class _Passages:
         merged = _merged(self.repeats)
         for at in range(0, len(merged), 50_000):
             doc, key, lo, hi = zip(*merged[at : at + 50_000])
-            yield batch_of(_PASSAGES, key, pa.nulls(len(doc), pa.binary()), doc, key, lo, hi)
+            yield batch_of(_PASSAGES, doc, pa.nulls(len(doc), pa.binary()), doc, key, lo, hi)
         self.__init__()
 
 
