@@ -137,15 +137,22 @@ def scan_text(raw: bytes, machine, allowed: frozenset[str]) -> tuple:
     base: set[str] = set()
     labels: set[str] = set()
     n_base, first, last, seen, at, tags = 0, None, None, -1, 0, False
-    starts = []
+    starts, notices = [], []
     for end, (kind, label, size) in machine.iter(line):
         if kind == "tag":
             tags = True
-            continue
-        labels.add(label)
-        if kind == "base":
+        elif kind == "base":
             base.add(label)
             starts.append(end - size + 1)
+        else:
+            notices.append((end - size, end, label))
+    # a notice inside a longer one ("cc by" in "cc by nc") says nothing of its own
+    labels |= base
+    reach = -1
+    for _, end, label in sorted(notices, key=lambda n: (n[0], -n[1])):
+        if end > reach:
+            labels.add(label)
+            reach = end
     for start in sorted(starts):
         seen += line.count(" ", at, start)
         at = start

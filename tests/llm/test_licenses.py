@@ -46,10 +46,13 @@ def test_tag_and_notice(spark):
         (1, "// SPDX-License-Identifier: MIT OR GPL-2.0-only */\nint x;"),
         (2, "/* spdx-license-identifier: GPL-3.0 AND */"),
         (3, "Licensed under the Apache License, Version 2.0. All rights reserved."),
+        (4, "Licensed under CC BY-NC 4.0. Text: CC BY 4.0. GNU Lesser General Public License"),
+        (5, "Licensed under CC BY-NC-SA 4.0."),
     ]
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert (got[1].labels, got[1].score, got[1].n_expressions, got[1].usable) == ("gpl,mit", 1.0, 1, True)
     assert (got[2].n_malformed, got[2].usable) == (1, False)
+    assert (got[4].base_labels, got[4].labels) == ("gpl", "cc-by,cc-by-nc,gpl,lgpl") and got[5].labels == "cc-by-nc"
     assert (got[3].base_labels, got[3].labels, got[3].usable) == ("apache", "apache,proprietary", False)
 
 
