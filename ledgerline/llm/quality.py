@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD_GAP, let, staged
@@ -166,9 +166,9 @@ def cutoffs(
     for r, rule in enumerate(rules):
         counts += [F.count_if(F.expr(rule.value) > c).alias(f"x{r}_{i}") for i, c in enumerate(rule.cutoffs)]
     seen = held.groupBy("stratum").agg(*counts)
-    strata = seen.agg(F.count(F.lit(1)).alias("strata"))
     share = F.lit(risk / len(rules))
-    limits = seen.join(strata).withColumn(
+    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # one row per stratum
+    limits = seen.withColumn("strata", strata).withColumn(
         "limit", binomial_limit(F.col("n"), share, F.lit(level / len(rules)) / F.col("strata"))
     )
     chosen = []
