@@ -45,7 +45,7 @@ def cut(
 
     def cut_texts(batches):
         encoder = encoder_of(shared)
-        for batch in pieces(batches, 8192, 24 << 20):
+        for batch in pieces(batches, 4096, 16 << 20):
             rows, starts, lengths, ids, totals = [], [], [], [], []
             found, ends = encoder.encode_column(batch.column("text"))
             for row in range(batch.num_rows):

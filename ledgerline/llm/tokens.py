@@ -75,7 +75,7 @@ class WordEncoder:
 
     def _part(self, part: str) -> bytes:
         """Ids of one part of a plain word; characters outside ASCII first become the tokenizer's byte letters."""
-        if len(self._parts) >= self.remember:
+        if len(self._parts) >= self.remember // 2:
             self._parts.clear()
         level = part if part.isascii() else self._level.pre_tokenize_str(part)[0][0]
         found = self._parts[part] = array("I", [t.id for t in self._model.tokenize(level)]).tobytes()
@@ -127,8 +127,6 @@ class WordEncoder:
         names = coded.dictionary.to_pylist()
         found = list(map(self._known.get, names))
         if None in found:
-            if len(self._known) > self.remember:
-                self._older, self._known = self._known, {}
             new = [i for i, ids in enumerate(found) if ids is None]
             words = [names[i] for i in new]
             ids = list(map(self._older.get, words))
@@ -137,6 +135,8 @@ class WordEncoder:
                 ids[i] = fresh
             for i, known in zip(new, ids):
                 found[i] = known
+            if len(self._known) + len(words) > self.remember:
+                self._older, self._known = self._known, {}
             self._known.update(zip(words, ids))
         taken = pa.array(found, pa.large_binary()).take(coded.indices)
         _, ends, data = taken.buffers()
