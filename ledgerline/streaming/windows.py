@@ -49,23 +49,29 @@ def sessions_of_table(
 ) -> DataFrame:
     """The same sessions over a finished table, for backfills.
 
-    Sessions are first built inside slices of time, so a key with a large part
-    of all rows is spread over many tasks; the pieces, one row each, are then
-    merged per key. A key has at most one piece per slice and gap of the time
-    covered, whatever its number of events.
+    Events of a key in one second always share a session, so they become one
+    row in each task before anything is shuffled. Sessions are then built inside
+    slices of time, each of ``slice_seconds`` rows at most, and the pieces, one
+    row each, are merged per key: what a task orders is bounded by the time
+    covered, whatever a key's number of events.
     """
+    if gap_seconds < 1:
+        raise ValueError("the gap must be a second or more")
     gap = gap_seconds * 1_000_000
     stamped = events.filter(F.col(time).isNotNull()).select(
         *keys, F.unix_micros(F.col(time).cast("timestamp")).alias("_t")
     )
-    sliced = stamped.withColumn("_slice", F.floor(F.col("_t") / (slice_seconds * 1_000_000)))
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_t")
-    breaks = F.when(F.col("_t") - F.lag("_t").over(inside) <= gap, 0).otherwise(1)
+    seconds = stamped.groupBy(*keys, F.floor(F.col("_t") / 1_000_000).alias("_second")).agg(
+        F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_events")
+    )
+    sliced = seconds.withColumn("_slice", F.floor(F.col("_second") / slice_seconds))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_second")
+    breaks = F.when(F.col("_first") - F.lag("_last").over(inside) <= gap, 0).otherwise(1)
     pieces = (
         sliced.withColumn("_break", breaks)
         .withColumn("_piece", F.sum("_break").over(inside))
         .groupBy(*keys, "_slice", "_piece")
-        .agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min("_first").alias("_from"), F.max("_last").alias("_to"), F.sum("_events").alias("_n"))
     )
     per_key = Window.partitionBy(*keys).orderBy("_from")
     apart = F.when(F.col("_from") - F.lag("_to").over(per_key) <= gap, 0).otherwise(1)
