@@ -96,7 +96,6 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     back has one row per node on its other side, so a hub's edges can be split.
     Every round is written to the shared folder; only counts reach the driver.
     """
-    spark = edges.sparkSession
     now = staged(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), label
     )
@@ -116,9 +115,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         if was == mark:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return spark.createDataFrame([], roots.schema).unionByName(
-        now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    ).unionByName(roots)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
