@@ -17,14 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from ledgerline.llm.common import batch_of, components, pieces, staged
 
 #: Vectors the index is fitted on, at most; chosen by a hash of the id.
-SAMPLE = 32_768
+SAMPLE = 16_384
 #: Vectors per inverted list aimed at, and the largest number of lists.
 PER_LIST, MOST_LISTS = 128, 2_048
-PROBES = 24
+PROBES = 12
 SUBSPACES = 8
 #: Members and queries of a list that one task compares.
 BLOCK = 2_048
@@ -48,7 +49,7 @@ def k_means(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Lloyd's rounds from evenly spaced rows; an empty centre stays where it was."""
     centres = rows[np.linspace(0, len(rows) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        nearest = np.concatenate([squared(rows[i : i + 4096], centres).argmin(1) for i in range(0, len(rows), 4096)])
+        nearest = np.concatenate([squared(rows[i : i + 1024], centres).argmin(1) for i in range(0, len(rows), 1024)])
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, rows)
         sizes = np.bincount(nearest, minlength=k)
@@ -60,7 +61,8 @@ def fit(sample: np.ndarray, n: int, subspaces: int = SUBSPACES) -> Index:
     """An index for ``n`` vectors from a sample of them (unit rows)."""
     lists = int(np.clip(n // PER_LIST, 1, min(MOST_LISTS, len(sample))))
     centroids = k_means(sample, lists)
-    residual = sample - centroids[squared(sample, centroids).argmin(1)]
+    own = np.concatenate([squared(sample[i : i + 1024], centroids).argmin(1) for i in range(0, len(sample), 1024)])
+    residual = sample - centroids[own]
     bounds = np.linspace(0, sample.shape[1], min(subspaces, sample.shape[1]) + 1).astype(int)
     cuts = [(int(a), int(b)) for a, b in zip(bounds[:-1], bounds[1:])]
     books = [k_means(residual[:, a:b], min(256, len(sample))) for a, b in cuts]
@@ -80,47 +82,33 @@ def decode(index: Index, codes: np.ndarray) -> np.ndarray:
     return np.concatenate([book[codes[:, m]] for m, book in enumerate(index.books)], axis=1)
 
 
-def unit_rows(vectors: list[list[float] | None]) -> tuple[np.ndarray, list[int]]:
-    """Unit vectors in double precision, and which inputs they are; invalid ones are left out.
+def unit_rows(raw: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors in double precision from the components' bytes."""
+    rows = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
-    Rows of a length other than the first valid one's are left out as well.
-    """
-    rows, at, width = [], [], None
-    for i, vector in enumerate(vectors):
-        if not vector or any(x is None for x in vector):
-            continue
-        row = np.array(vector, np.float64)
-        if np.isfinite(row).all() and row.any() and len(row) == (width or len(row)):
-            width = len(row)
-            row = row / np.abs(row).max()
-            rows.append(row / np.sqrt(row @ row))
-            at.append(i)
-    return (np.array(rows) if rows else np.empty((0, 0))), at
 
-
-def _valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, raw): unit vectors as bytes; vectors that link with nothing are left out."""
+def _valid(df: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
+    """(vec_id, raw): components as bytes of type ``kind``; vectors that link with nothing are left out."""
     schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary())])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 4096):
-            ids = batch.column("vec_id").to_pylist()
-            for width, group in _by_width(batch.column("vec").to_pylist()).items():
-                rows, at = unit_rows([v for _, v in group])
-                yield batch_of(schema, [ids[group[i][0]] for i in at], [r.tobytes() for r in rows])
+            ids, raw = [], []
+            for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vec").to_pylist()):
+                if not vector or None in vector:
+                    continue
+                row = np.array(vector, kind)
+                if np.isfinite(row).all() and row.any():
+                    ids.append(vec_id)
+                    raw.append(row.tobytes())
+            yield batch_of(schema, ids, raw)
 
     source = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec"))
     return source.mapInArrow(made, "vec_id long, raw binary")
 
 
-def _by_width(vectors: list) -> dict[int, list]:
-    out: dict[int, list] = {}
-    for i, vector in enumerate(vectors):
-        if vector:
-            out.setdefault(len(vector), []).append((i, vector))
-    return out
-
-
 _PLACED = pa.schema(
     [
         ("node", pa.int64()), ("n", pa.int64()), ("raw", pa.binary()), ("list", pa.int64()),
@@ -130,12 +118,14 @@ _PLACED = pa.schema(
 _PLACED_TYPES = "node long, n long, raw binary, list long, codes binary, probes array<long>"
 
 
-def _placed(batches: Iterator[pa.RecordBatch], shared, probes: int) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch], shared, probes: int, kind: str) -> Iterator[pa.RecordBatch]:
     """List, codes and lists to visit (nearest first) of each vector."""
     index: Index = Index(**shared.value)
     probes = min(probes, len(index.centroids))
-    for batch in pieces(batches, 2048):
-        rows = np.frombuffer(b"".join(batch.column("raw").to_pylist()), np.float64).reshape(batch.num_rows, -1)
+    for batch in pieces(batches, 1024):
+        if not batch.num_rows:
+            continue
+        rows = unit_rows(batch.column("raw").to_pylist(), kind)
         far = squared(rows, index.centroids)
         visit = np.argpartition(far, probes - 1, axis=1)[:, :probes] if probes < far.shape[1] else np.argsort(far, axis=1)
         own = far.argmin(1)
@@ -149,7 +139,7 @@ def _placed(batches: Iterator[pa.RecordBatch], shared, probes: int) -> Iterator[
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float) -> pa.Table:
+def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, kind: str) -> pa.Table:
     """Links of one block of queries with one block of a list's members.
 
     Rows with b give links that connect the block's groups; rows without b
@@ -158,11 +148,7 @@ def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float) ->
     index: Index = Index(**shared.value)
     if not queries.num_rows or not members.num_rows:
         return pa.Table.from_batches([], _FOUND)
-
-    def matrix(table: pa.Table) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column("raw").to_pylist()), np.float64).reshape(table.num_rows, -1)
-
-    q, m = matrix(queries), matrix(members)
+    q, m = unit_rows(queries.column("raw").to_pylist(), kind), unit_rows(members.column("raw").to_pylist(), kind)
     codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(members.num_rows, -1)
     here = members.column("list")[0].as_py()
     residual = q - index.centroids[here]
@@ -234,13 +220,16 @@ def near_duplicates(
     vector of another length with those of this one. Ids are whole numbers;
     rows with a null id are searched but never name a component.
     """
-    valid = staged(_valid(df, id_col, vec_col), "vectors")
+    # the components as they are; double precision starts from them in each task
+    single = isinstance(df.schema[vec_col].dataType, ArrayType) and isinstance(df.schema[vec_col].dataType.elementType, FloatType)
+    kind = "<f4" if single else "<f8"
+    valid = staged(_valid(df, id_col, vec_col, kind), "vectors")
     nodes = staged(valid.groupBy("raw").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-vectors")
     nodes = nodes.withColumn("node", F.coalesce("first", F.xxhash64("raw"))).withColumn("width", F.octet_length("raw"))
     found = None
     for row in nodes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect():
         own = nodes.filter(F.col("width") == row["width"]).select("node", "n", "raw")
-        some = _search(own, row["n"], threshold, probes, sample, block)
+        some = _search(own, row["n"], threshold, probes, sample, block, kind)
         found = some if found is None else found.unionByName(some)
     ids = df.select(F.col(id_col).cast("long").alias("vec_id"))
     if found is None:
@@ -264,15 +253,15 @@ def near_duplicates(
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _search(nodes: DataFrame, n: int, threshold: float, probes: int, sample: int, block: int) -> DataFrame:
+def _search(nodes: DataFrame, n: int, threshold: float, probes: int, sample: int, block: int, kind: str) -> DataFrame:
     """Links among distinct vectors of one length: see ``_compared``."""
     spark = nodes.sparkSession
     share = min(1.0, sample / max(n, 1))
     chance = F.pmod(F.xxhash64("node", F.lit("fit")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rows = nodes.filter(chance < share).orderBy("node").select("raw").collect() or nodes.select("raw").limit(1).collect()
-    index = fit(np.array([np.frombuffer(r["raw"], np.float64) for r in rows]), n)
+    index = fit(unit_rows([bytes(r["raw"]) for r in rows], kind), n)
     shared = spark.sparkContext.broadcast(vars(index))
-    placed = staged(nodes.mapInArrow(lambda b: _placed(b, shared, probes), _PLACED_TYPES), "index")
+    placed = staged(nodes.mapInArrow(lambda b: _placed(b, shared, probes, kind), _PLACED_TYPES), "index")
     visits = placed.select("node", "n", "raw", "list", F.explode("probes").alias("visit"))
     # one small row per list: how many blocks its members and its queries take
     sizes = placed.groupBy(F.col("list").alias("visit")).agg(F.ceil(F.count(F.lit(1)) / block).alias("m_blocks"))
@@ -290,5 +279,5 @@ def _search(nodes: DataFrame, n: int, threshold: float, probes: int, sample: int
     return (
         queries.groupBy("visit", "q", "m")
         .cogroup(members.groupBy("visit", "q", "m"))
-        .applyInArrow(lambda left, right: _compared(left, right, shared, threshold), "a long, b long, links long")
+        .applyInArrow(lambda left, right: _compared(left, right, shared, threshold, kind), "a long, b long, links long")
     )
