@@ -282,9 +282,7 @@ def near_duplicates(
     grouped = known.join(found, "print")
     named = grouped.groupBy("component").agg(F.min("first").alias("name"))
     moved = grouped.join(named, "component").select("print", "name")
-    result = prints.join(known.join(moved, "print", "left"), "print", "left")
-    return result.select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
-        F.coalesce("name", "first").alias("component_id"),
-    )
+    # stored, so that the join below meets two plain shuffles and a hot fingerprint's rows can be split
+    names = known.join(moved, "print", "left").select("print", F.coalesce("name", "first").alias("component_id"))
+    result = prints.join(staged(names, "print-names"), "print", "left")
+    return result.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
