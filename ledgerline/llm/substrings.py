@@ -333,7 +333,8 @@ def repeated_places(df: DataFrame, most: int = MOST) -> DataFrame:
         .sortWithinPartitions("route")
         .mapInArrow(_recurring, "text_key long, mark long")
     )
-    marks = marks.groupBy("text_key").agg(F.collect_set("mark").alias("marks"))
+    # stored, so that the join below meets two plain shuffles and the rows of a text with many copies can be split
+    marks = staged(marks.groupBy("text_key").agg(F.collect_set("mark").alias("marks")), "marks")
     passages = df.join(marks, "text_key").select("doc", "text_key", "text", "marks").mapInArrow(_cut, _PASSAGE_TYPES)
 
     def sharded(rows: DataFrame, most: int) -> DataFrame:
