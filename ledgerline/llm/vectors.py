@@ -243,7 +243,8 @@ def near_duplicates(
     result = result.select(
         "raw", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
-    linked = valid.join(result, "raw").select("vec_id", "n_links", "component_id")
+    # stored, so that the join below meets two plain shuffles and a hot vector's rows can be split
+    linked = valid.join(staged(result, "vector-groups"), "raw").select("vec_id", "n_links", "component_id")
     linked = linked.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = ids.join(linked, ids["vec_id"].eqNullSafe(linked["vec_id"]), "left").select(
         ids["vec_id"],
