@@ -2,10 +2,11 @@
 
 Vectors of unit length fall into the inverted list of their nearest coarse
 centroid and are stored as codes of their residual, one per subspace. A query
-visits its nearest lists, adds up table-looked-up distances to the codes there,
-and compares the survivors exactly by cosine. Every vector is indexed and is a
-query; a pair is compared in one place only, so counts are exact for what is
-found.
+visits every list that can hold a neighbour, adds up table-looked-up distances
+to the codes there, and compares the survivors exactly by cosine. Every vector
+is indexed and is a query; a pair is compared in one place only, the higher of
+its two lists. Lists travel together in blocks, so a vector is copied once for
+each block it visits and not once for each list.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -25,10 +26,11 @@ from ledgerline.llm.common import batch_of, components, pieces, staged
 SAMPLE = 16_384
 #: Vectors per inverted list aimed at, and the largest number of lists.
 PER_LIST, MOST_LISTS = 128, 2_048
-PROBES = 12
 SUBSPACES = 8
-#: Members and queries of a list that one task compares.
+#: Members and queries that are compared at once, and rows of a block on small tables.
 BLOCK = 2_048
+#: Blocks aimed at on large tables, which then have more rows each; a vector is copied to as many at most.
+MOST_BLOCKS = 64
 
 
 @dataclass
@@ -89,6 +91,42 @@ def unit_rows(raw: list[bytes], kind: str) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
+def reach_of(threshold: float) -> float:
+    """The largest distance of linked unit vectors, with room for rounding."""
+    return float(np.sqrt(max(2 - 2 * threshold, 0.0))) + 1e-6
+
+
+def may_hold(rows: np.ndarray, index: Index, own: np.ndarray, reach: float, probes: int | None = None) -> np.ndarray:
+    """Which lists, from its own onwards, can hold a vector within ``reach`` of each row (rows x lists).
+
+    A vector in list c is no farther from centroid c than from the row's own
+    centroid. So c holds none within ``reach`` if the plane halfway between the
+    two centroids is farther from the row than that.
+    """
+    far = squared(rows, index.centroids)
+    number, which = np.unique(own, return_inverse=True)
+    apart = np.sqrt(squared(index.centroids[number], index.centroids))[which]
+    near = far - far[np.arange(len(own)), own][:, None] <= 2 * reach * apart + 1e-9
+    near &= np.arange(len(index.centroids)) >= own[:, None]
+    if probes is not None and probes < near.shape[1]:
+        near &= np.argsort(np.argsort(np.where(near, far, np.inf), axis=1, kind="stable"), axis=1) < probes
+    return near
+
+
+def blocks_of(sizes: dict[int, int], lists: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of each list: neighbours share one of up to ``rows`` vectors, larger lists are split."""
+    first, parts = np.zeros(lists, np.int64), np.zeros(lists, np.int64)
+    at, held = 0, 0
+    for number, size in sorted(sizes.items()):
+        parts[number] = -(-size // rows)
+        if held and held + size > rows:
+            at, held = at + 1, 0
+        first[number], held = at, held + size
+        if parts[number] > 1:
+            at, held = at + int(parts[number]), 0
+    return first, parts
+
+
 def _valid(df: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
     """(vec_id, raw): components as bytes of type ``kind``; vectors that link with nothing are left out."""
     schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary())])
@@ -110,91 +148,141 @@ def _valid(df: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
 
 
 _PLACED = pa.schema(
-    [
-        ("node", pa.int64()), ("n", pa.int64()), ("raw", pa.binary()), ("list", pa.int64()),
-        ("codes", pa.binary()), ("probes", pa.list_(pa.int64())),
-    ]
-)
-_PLACED_TYPES = "node long, n long, raw binary, list long, codes binary, probes array<long>"
+    [("node", pa.int64()), ("n", pa.int64()), ("raw", pa.binary()), ("list", pa.int64()), ("codes", pa.binary())]
+)
+_PLACED_TYPES = "node long, n long, raw binary, list long, codes binary"
+_SENT = pa.schema([*_PLACED, ("block", pa.int64()), ("visits", pa.list_(pa.int64()))])
 
 
-def _placed(batches: Iterator[pa.RecordBatch], shared, probes: int, kind: str) -> Iterator[pa.RecordBatch]:
-    """List, codes and lists to visit (nearest first) of each vector."""
+def _placed(batches: Iterator[pa.RecordBatch], shared, kind: str) -> Iterator[pa.RecordBatch]:
+    """List and codes of each vector."""
     index: Index = Index(**shared.value)
-    probes = min(probes, len(index.centroids))
     for batch in pieces(batches, 1024):
         if not batch.num_rows:
             continue
         rows = unit_rows(batch.column("raw").to_pylist(), kind)
-        far = squared(rows, index.centroids)
-        visit = np.argpartition(far, probes - 1, axis=1)[:, :probes] if probes < far.shape[1] else np.argsort(far, axis=1)
-        own = far.argmin(1)
+        own = squared(rows, index.centroids).argmin(1)
         codes = encode(index, rows - index.centroids[own])
-        yield batch_of(
-            _PLACED, batch.column("node"), batch.column("n"), batch.column("raw"), own, [c.tobytes() for c in codes],
-            visit.tolist(),
-        )
+        yield batch_of(_PLACED, batch.column("node"), batch.column("n"), batch.column("raw"), own, [c.tobytes() for c in codes])
+
+
+def _sent(batches: Iterator[pa.RecordBatch], shared, first, parts, reach: float, probes: int | None, kind: str) -> Iterator[pa.RecordBatch]:
+    """Own block of each vector and the blocks of the lists it visits."""
+    index: Index = Index(**shared.value)
+    used = np.flatnonzero(parts)
+    spans = [np.arange(first[i], first[i] + parts[i]) for i in used]
+    number, block = np.repeat(used, parts[used]), np.concatenate(spans)
+    # blocks ascend with lists: each block's lists stand together
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    for batch in pieces(batches, 1024):
+        if not batch.num_rows:
+            continue
+        own = batch.column("list").to_numpy()
+        near = may_hold(unit_rows(batch.column("raw").to_pylist(), kind), index, own, reach, probes)
+        some = np.logical_or.reduceat(near[:, number], starts, axis=1)
+        mixed = (batch.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        at = first[own] + mixed.astype(np.int64) % parts[own]
+        yield batch_of(_SENT, *[batch.column(c) for c in _PLACED.names], at, [block[starts[x]].tolist() for x in some])
+
+
+class Forest:
+    """Few of the links that connect what all links of places 0 to ``n`` - 1 connect."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+        self.a: list[int] = []
+        self.b: list[int] = []
+
+    def _top(self, i: int) -> int:
+        root = self.root
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        while True:
+            apart = self.root[x] != self.root[y]
+            x, y = x[apart], y[apart]
+            if not len(x):
+                return
+            # one link of each tree that has any, so each round at least halves their number
+            first = np.full(len(self.root), -1)
+            first[self.root[x]] = np.arange(len(x))
+            for i in first[first >= 0].tolist():
+                rx, ry = self._top(x[i]), self._top(y[i])
+                if rx != ry:
+                    self.root[rx] = ry
+                    self.a.append(int(x[i]))
+                    self.b.append(int(y[i]))
+            while (self.root != (up := self.root[self.root])).any():
+                self.root = up
 
 
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, kind: str) -> pa.Table:
-    """Links of one block of queries with one block of a list's members.
+def _linked(q: np.ndarray, m: np.ndarray, codes: np.ndarray, index: Index, here: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the queries and members of list ``here`` that link."""
+    residual = q - index.centroids[here]
+    far = np.zeros((len(q), len(m)), np.float32)
+    for s, ((a, b), book) in enumerate(zip(index.cuts, index.books)):
+        far += squared(residual[:, a:b], book).astype(np.float32)[:, codes[:, s]]
+    left, right = np.nonzero(far <= (reach_of(threshold) + index.slack) ** 2)
+    if 8 * len(left) > far.size:
+        good = (q @ m.T)[left, right] >= threshold
+    else:
+        good = np.empty(len(left), bool)
+        for at in range(0, len(left), 65_536):
+            some = slice(at, at + 65_536)
+            good[some] = np.einsum("ij,ij->i", q[left[some]], m[right[some]]) >= threshold
+    return left[good], right[good]
+
+
+def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, probes: int | None, kind: str) -> pa.Table:
+    """Links of one block of queries with one block of members.
 
-    Rows with b give links that connect the block's groups; rows without b
+    Rows with b give links that connect the blocks' groups; rows without b
     give how many vectors ``a`` is linked to here.
     """
     index: Index = Index(**shared.value)
     if not queries.num_rows or not members.num_rows:
         return pa.Table.from_batches([], _FOUND)
+    members = members.sort_by("list")
     q, m = unit_rows(queries.column("raw").to_pylist(), kind), unit_rows(members.column("raw").to_pylist(), kind)
     codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(members.num_rows, -1)
-    here = members.column("list")[0].as_py()
-    residual = q - index.centroids[here]
-    far = np.zeros((len(q), len(m)), np.float32)
-    for s, ((a, b), book) in enumerate(zip(index.cuts, index.books)):
-        far += squared(residual[:, a:b], book).astype(np.float32)[:, codes[:, s]]
-    bound = (np.sqrt(2 - 2 * threshold) + index.slack) ** 2
-    left, right = np.nonzero(far <= bound)
+    q_list, m_list = queries.column("list").to_numpy(), members.column("list").to_numpy()
     q_node, m_node = queries.column("node").to_numpy(), members.column("node").to_numpy()
-    q_list = queries.column("list").to_numpy()
-    visits = np.array(members.column("probes").to_pylist(), np.int64)
-    # a pair that both sides would meet is compared where the smaller id is the query
-    twice = (visits[right] == q_list[left][:, None]).any(1)
-    keep = (q_node[left] != m_node[right]) & (~twice | (q_node[left] < m_node[right]))
-    left, right = left[keep], right[keep]
-    good = np.empty(len(left), bool)
-    for at in range(0, len(left), 65_536):
-        some = slice(at, at + 65_536)
-        good[some] = np.einsum("ij,ij->i", q[left[some]], m[right[some]]) >= threshold
-    left, right = left[good], right[good]
     q_n, m_n = queries.column("n").to_numpy(), members.column("n").to_numpy()
-    q_links = np.bincount(left, weights=m_n[right], minlength=len(q)).astype(np.int64)
-    m_links = np.bincount(right, weights=q_n[left], minlength=len(m)).astype(np.int64)
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(up, up)
-        return x
-
-    a, b = [], []
-    for x, y in zip(q_node[left].tolist(), m_node[right].tolist()):
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            parent[rx] = ry
-            a.append(x)
-            b.append(y)
+    q_links, m_links = np.zeros(len(q), np.int64), np.zeros(len(m), np.int64)
+    nodes, place = np.unique(np.concatenate([q_node, m_node]), return_inverse=True)
+    q_place, m_place, forest = place[: len(q)], place[len(q) :], Forest(len(nodes))
+    ends = np.flatnonzero(np.diff(m_list, append=-1)) + 1
+    for at in range(0, len(q), BLOCK):
+        near = may_hold(q[at : at + BLOCK], index, q_list[at : at + BLOCK], reach_of(threshold), probes)
+        start = 0
+        for end in ends.tolist():
+            here = int(m_list[start])
+            asking = at + np.flatnonzero(near[:, here])
+            for low in range(start, end, BLOCK) if len(asking) else ():
+                high = min(low + BLOCK, end)
+                left, right = _linked(q[asking], m[low:high], codes[low:high], index, here, threshold)
+                left, right = asking[left], low + right
+                # members of one list meet twice; they are compared where the smaller node is the query
+                keep = (q_list[left] != here) | (q_node[left] < m_node[right])
+                left, right = left[keep], right[keep]
+                q_links += np.bincount(left, weights=m_n[right], minlength=len(q)).astype(np.int64)
+                m_links += np.bincount(right, weights=q_n[left], minlength=len(m)).astype(np.int64)
+                forest.add(q_place[left], m_place[right])
+            start = end
     some_q, some_m = np.flatnonzero(q_links), np.flatnonzero(m_links)
     none = [None] * (len(some_q) + len(some_m))
     return pa.Table.from_batches(
         [
             batch_of(
                 _FOUND,
-                a + q_node[some_q].tolist() + m_node[some_m].tolist(),
-                b + none,
-                [0] * len(a) + q_links[some_q].tolist() + m_links[some_m].tolist(),
+                nodes[forest.a].tolist() + q_node[some_q].tolist() + m_node[some_m].tolist() if forest.a else [],
+                nodes[forest.b].tolist() + none if forest.a else [],
+                [0] * len(forest.a) + q_links[some_q].tolist() + m_links[some_m].tolist() if forest.a else [],
             )
         ]
     )
@@ -205,17 +293,18 @@ def near_duplicates(
     threshold: float = 0.9,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    probes: int = PROBES,
+    probes: int | None = None,
     sample: int = SAMPLE,
     block: int = BLOCK,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``df``.
 
-    Two vectors link if their cosine is at least ``threshold`` and a list that
-    one visits holds the other; lists are fitted on at most about ``sample``
-    vectors, all vectors are indexed and searched. Equal vectors are one
-    member with a weight. A list is compared block by block, so a list that
-    holds a third of all vectors is shared by many tasks. Vectors that are
+    Two vectors link if their cosine is at least ``threshold``; a vector visits
+    every list that can hold such a one. Lists are fitted on at most about
+    ``sample`` vectors, all vectors are indexed and searched. ``probes`` limits
+    the lists a vector visits, for a quicker search that misses links. Equal vectors are one
+    member with a weight. Blocks of vectors are compared in tasks of their own,
+    so a list that holds a third of all vectors is shared by many tasks. Vectors that are
     null, zero, or hold null or non-finite components have no links; so has a
     vector of another length with those of this one. Ids are whole numbers;
     rows with a null id are searched but never name a component.
@@ -254,7 +343,7 @@ def near_duplicates(
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _search(nodes: DataFrame, n: int, threshold: float, probes: int, sample: int, block: int, kind: str) -> DataFrame:
+def _search(nodes: DataFrame, n: int, threshold: float, probes: int | None, sample: int, block: int, kind: str) -> DataFrame:
     """Links among distinct vectors of one length: see ``_compared``."""
     spark = nodes.sparkSession
     share = min(1.0, sample / max(n, 1))
@@ -262,23 +351,22 @@ def _search(nodes: DataFrame, n: int, threshold: float, probes: int, sample: int
     rows = nodes.filter(chance < share).orderBy("node").select("raw").collect() or nodes.select("raw").limit(1).collect()
     index = fit(unit_rows([bytes(r["raw"]) for r in rows], kind), n)
     shared = spark.sparkContext.broadcast(vars(index))
-    placed = staged(nodes.mapInArrow(lambda b: _placed(b, shared, probes, kind), _PLACED_TYPES), "index")
-    visits = placed.select("node", "n", "raw", "list", F.explode("probes").alias("visit"))
-    # one small row per list: how many blocks its members and its queries take
-    sizes = placed.groupBy(F.col("list").alias("visit")).agg(F.ceil(F.count(F.lit(1)) / block).alias("m_blocks"))
-    asked = visits.groupBy("visit").agg(F.ceil(F.count(F.lit(1)) / block).alias("q_blocks"))
-    blocks = staged(sizes.join(asked, "visit"), "blocks")
-
-    def parts(number: str) -> Column:
-        return F.sequence(F.lit(0).cast("long"), F.col(number) - 1)
-
-    members = placed.withColumn("visit", F.col("list")).join(F.broadcast(blocks), "visit")
-    members = members.withColumn("m", F.pmod(F.xxhash64("node"), F.col("m_blocks"))).withColumn("q", F.explode(parts("q_blocks")))
-    queries = visits.join(F.broadcast(blocks), "visit")
-    queries = queries.withColumn("q", F.pmod(F.xxhash64("node"), F.col("q_blocks"))).withColumn("m", F.explode(parts("m_blocks")))
+    reach = reach_of(threshold)
+    placed = staged(nodes.mapInArrow(lambda b: _placed(b, shared, kind), _PLACED_TYPES), "index")
+    # one small row per list
+    sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    first, parts = blocks_of(sizes, len(index.centroids), max(block, -(-n // MOST_BLOCKS)))
+    sent = placed.mapInArrow(
+        lambda b: _sent(b, shared, first, parts, reach, probes, kind), f"{_PLACED_TYPES}, block long, visits array<long>"
+    )
+    sent = staged(sent, "visits")
+    queries = sent.select("node", "n", "raw", "list", F.col("block").alias("q"), F.explode("visits").alias("m"))
+    # a row for each two blocks that meet, at most four times MOST_BLOCKS squared on large tables
+    meet = staged(queries.select("q", "m").distinct(), "blocks")
+    members = sent.drop("visits").withColumnRenamed("block", "m").join(F.broadcast(meet), "m")
     members = members.toDF(*members.columns)
     return (
-        queries.groupBy("visit", "q", "m")
-        .cogroup(members.groupBy("visit", "q", "m"))
-        .applyInArrow(lambda left, right: _compared(left, right, shared, threshold, kind), "a long, b long, links long")
+        queries.groupBy("q", "m")
+        .cogroup(members.groupBy("q", "m"))
+        .applyInArrow(lambda left, right: _compared(left, right, shared, threshold, probes, kind), "a long, b long, links long")
     )

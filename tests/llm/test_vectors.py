@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import vectors
@@ -73,3 +74,16 @@ def test_repeated_and_missing_ids_and_clashing_columns(spark):
 def test_empty_tables(spark, rows):
     got = vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in got] == [(i, 0, i, True) for i, _, _ in rows]
+
+
+def test_every_link_of_a_hot_group_is_found(spark):
+    """A third of the vectors lie close together and fall into far more lists than a few probes reach."""
+    rng = np.random.default_rng(11)
+    rows = rng.normal(size=(12_000, 32))
+    rows[::3] = rows[0] + 0.2 * rng.normal(size=(4_000, 32))
+    rows = rows.astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(rows)), "embedding": list(rows)}))
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(1) for i in range(0, len(unit), 1000)]) - 1
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).select("vec_id", "n_links").collect()}
+    assert want.sum() > 10_000_000 and [got[i] for i in range(len(rows))] == want.tolist()
