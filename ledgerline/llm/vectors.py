@@ -35,12 +35,11 @@ MOST_BLOCKS = 64
 
 @dataclass
 class Index:
-    """Coarse centroids (lists x dim), codebooks (subspace x code x width) and the slack of coded distances."""
+    """Coarse centroids (lists x dim) and codebooks (subspace x code x width)."""
 
     centroids: np.ndarray
     books: list[np.ndarray]
     cuts: list[tuple[int, int]]
-    slack: float
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,11 +67,7 @@ def fit(sample: np.ndarray, n: int, subspaces: int = SUBSPACES) -> Index:
     bounds = np.linspace(0, sample.shape[1], min(subspaces, sample.shape[1]) + 1).astype(int)
     cuts = [(int(a), int(b)) for a, b in zip(bounds[:-1], bounds[1:])]
     books = [k_means(residual[:, a:b], min(256, len(sample))) for a, b in cuts]
-    index = Index(centroids, books, cuts, 0.0)
-    lost = residual - decode(index, encode(index, residual))
-    # a coded distance is off by no more than what coding loses, which the slack covers with room
-    index.slack = 1.5 * float(np.sqrt((lost * lost).sum(1)).max(initial=0.0))
-    return index
+    return Index(centroids, books, cuts)
 
 
 def encode(index: Index, residual: np.ndarray) -> np.ndarray:
@@ -148,22 +143,24 @@ def _valid(df: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
 
 
 _PLACED = pa.schema(
-    [("node", pa.int64()), ("n", pa.int64()), ("raw", pa.binary()), ("list", pa.int64()), ("codes", pa.binary())]
+    [("node", pa.int64()), ("n", pa.int64()), ("raw", pa.binary()), ("list", pa.int64()), ("codes", pa.binary()), ("lost", pa.float64())]
 )
-_PLACED_TYPES = "node long, n long, raw binary, list long, codes binary"
+_PLACED_TYPES = "node long, n long, raw binary, list long, codes binary, lost double"
 _SENT = pa.schema([*_PLACED, ("block", pa.int64()), ("visits", pa.list_(pa.int64()))])
 
 
 def _placed(batches: Iterator[pa.RecordBatch], shared, kind: str) -> Iterator[pa.RecordBatch]:
-    """List and codes of each vector."""
+    """List and codes of each vector, and what coding loses of it."""
     index: Index = Index(**shared.value)
     for batch in pieces(batches, 1024):
         if not batch.num_rows:
             continue
         rows = unit_rows(batch.column("raw").to_pylist(), kind)
         own = squared(rows, index.centroids).argmin(1)
-        codes = encode(index, rows - index.centroids[own])
-        yield batch_of(_PLACED, batch.column("node"), batch.column("n"), batch.column("raw"), own, [c.tobytes() for c in codes])
+        residual = rows - index.centroids[own]
+        codes = encode(index, residual)
+        lost = np.linalg.norm(residual - decode(index, codes), axis=1)
+        yield batch_of(_PLACED, batch.column("node"), batch.column("n"), batch.column("raw"), own, [c.tobytes() for c in codes], lost)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], shared, first, parts, reach: float, probes: int | None, kind: str) -> Iterator[pa.RecordBatch]:
@@ -221,13 +218,18 @@ class Forest:
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _linked(q: np.ndarray, m: np.ndarray, codes: np.ndarray, index: Index, here: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the queries and members of list ``here`` that link."""
+def _linked(
+    q: np.ndarray, m: np.ndarray, codes: np.ndarray, lost: np.ndarray, index: Index, here: int, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the queries and members of list ``here`` that link.
+
+    A coded distance is off by no more than what coding loses of the member.
+    """
     residual = q - index.centroids[here]
     far = np.zeros((len(q), len(m)), np.float32)
     for s, ((a, b), book) in enumerate(zip(index.cuts, index.books)):
         far += squared(residual[:, a:b], book).astype(np.float32)[:, codes[:, s]]
-    left, right = np.nonzero(far <= (reach_of(threshold) + index.slack) ** 2)
+    left, right = np.nonzero(far <= (reach_of(threshold) + lost) ** 2 * (1 + 1e-5))
     if 8 * len(left) > far.size:
         good = (q @ m.T)[left, right] >= threshold
     else:
@@ -250,6 +252,7 @@ def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, pr
     members = members.sort_by("list")
     q, m = unit_rows(queries.column("raw").to_pylist(), kind), unit_rows(members.column("raw").to_pylist(), kind)
     codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(members.num_rows, -1)
+    lost = members.column("lost").to_numpy()
     q_list, m_list = queries.column("list").to_numpy(), members.column("list").to_numpy()
     q_node, m_node = queries.column("node").to_numpy(), members.column("node").to_numpy()
     q_n, m_n = queries.column("n").to_numpy(), members.column("n").to_numpy()
@@ -265,7 +268,7 @@ def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, pr
             asking = at + np.flatnonzero(near[:, here])
             for low in range(start, end, BLOCK) if len(asking) else ():
                 high = min(low + BLOCK, end)
-                left, right = _linked(q[asking], m[low:high], codes[low:high], index, here, threshold)
+                left, right = _linked(q[asking], m[low:high], codes[low:high], lost[low:high], index, here, threshold)
                 left, right = asking[left], low + right
                 # members of one list meet twice; they are compared where the smaller node is the query
                 keep = (q_list[left] != here) | (q_node[left] < m_node[right])

@@ -87,3 +87,14 @@ def test_every_link_of_a_hot_group_is_found(spark):
     want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(1) for i in range(0, len(unit), 1000)]) - 1
     got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).select("vec_id", "n_links").collect()}
     assert want.sum() > 10_000_000 and [got[i] for i in range(len(rows))] == want.tolist()
+
+
+def test_vectors_unlike_the_sample_keep_their_links(spark):
+    rng = np.random.default_rng(4)
+    rows = 1 + 0.02 * rng.normal(size=(400, 16))
+    rows[:40] = np.repeat(rng.normal(size=(20, 16)), 2, axis=0) + 0.1 * rng.normal(size=(40, 16))
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(rows)), "embedding": list(rows)}))
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, sample=64).collect()}
+    assert want[:40].sum() >= 30 and [got[i] for i in range(len(rows))] == want.tolist()
