@@ -123,19 +123,16 @@ def blocks_of(sizes: dict[int, int], lists: int, rows: int) -> tuple[np.ndarray,
 
 
 def _valid(df: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
-    """(vec_id, raw): components as bytes of type ``kind``; vectors that link with nothing are left out."""
+    """(vec_id, raw) of every row: components as bytes of type ``kind``, null for a vector that links with nothing."""
     schema = pa.schema([("vec_id", pa.int64()), ("raw", pa.binary())])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 4096):
             ids, raw = [], []
             for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vec").to_pylist()):
-                if not vector or None in vector:
-                    continue
-                row = np.array(vector, kind)
-                if np.isfinite(row).all() and row.any():
-                    ids.append(vec_id)
-                    raw.append(row.tobytes())
+                row = np.array(vector if vector and None not in vector else [0], kind)
+                ids.append(vec_id)
+                raw.append(row.tobytes() if np.isfinite(row).all() and row.any() else None)
             yield batch_of(schema, ids, raw)
 
     source = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec"))
@@ -310,39 +307,38 @@ def near_duplicates(
     so a list that holds a third of all vectors is shared by many tasks. Vectors that are
     null, zero, or hold null or non-finite components have no links; so has a
     vector of another length with those of this one. Ids are whole numbers;
-    rows with a null id are searched but never name a component.
+    rows with a null id are searched but never name a component, so one of
+    such rows alone has no name and keeps them all. Rows that repeat an id
+    with other components are vectors of their own.
     """
     # the components as they are; double precision starts from them in each task
     single = isinstance(df.schema[vec_col].dataType, ArrayType) and isinstance(df.schema[vec_col].dataType.elementType, FloatType)
     kind = "<f4" if single else "<f8"
-    valid = staged(_valid(df, id_col, vec_col, kind), "vectors")
-    nodes = staged(valid.groupBy("raw").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-vectors")
-    nodes = nodes.withColumn("node", F.coalesce("first", F.xxhash64("raw"))).withColumn("width", F.octet_length("raw"))
+    rows = staged(_valid(df, id_col, vec_col, kind), "vectors")
+    valid = rows.filter("raw is not null")
+    # nodes have names apart from ids: several vectors may share an id, or have none
+    nodes = valid.groupBy("raw").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    nodes = staged(nodes.withColumn("node", F.xxhash64("raw")).withColumn("width", F.octet_length("raw")), "distinct-vectors")
     found = None
     for row in nodes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect():
         own = nodes.filter(F.col("width") == row["width"]).select("node", "n", "raw")
         some = _search(own, row["n"], threshold, probes, sample, block, kind)
         found = some if found is None else found.unionByName(some)
-    ids = df.select(F.col(id_col).cast("long").alias("vec_id"))
-    if found is None:
-        return ids.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+    alone = (F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = rows.filter("raw is null").select("vec_id", *alone)
+    if found is not None:
+        found = staged(found, "vector-links")
+        counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+        groups = components(found.filter("b is not null").select("a", "b"))
+        result = nodes.join(counts, "node", "left").join(groups, "node", "left")
+        result = result.withColumn("component", F.coalesce("component", "node"))
+        names = result.groupBy("component").agg(F.min("first").alias("component_id"))
+        result = result.join(names, "component").select(
+            "raw", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"
         )
-    found = staged(found, "vector-links")
-    counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    groups = components(found.filter("b is not null").select("a", "b"))
-    result = nodes.join(counts, "node", "left").join(groups, "node", "left")
-    result = result.select(
-        "raw", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
-    )
-    # stored, so that the join below meets two plain shuffles and a hot vector's rows can be split
-    linked = valid.join(staged(result, "vector-groups"), "raw").select("vec_id", "n_links", "component_id")
-    linked = linked.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = ids.join(linked, ids["vec_id"].eqNullSafe(linked["vec_id"]), "left").select(
-        ids["vec_id"],
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("component_id", ids["vec_id"]).alias("component_id"),
-    )
+        # stored, so that the join below meets two plain shuffles and a hot vector's rows can be split
+        linked = valid.join(staged(result, "vector-groups"), "raw").select("vec_id", "n_links", "component_id")
+        out = out.unionByName(linked)
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

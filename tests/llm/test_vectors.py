@@ -98,3 +98,14 @@ def test_vectors_unlike_the_sample_keep_their_links(spark):
     df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(rows)), "embedding": list(rows)}))
     got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, sample=64).collect()}
     assert want[:40].sum() >= 30 and [got[i] for i in range(len(rows))] == want.tolist()
+
+
+def test_rows_without_id_and_shared_ids_are_nodes_of_their_own(spark):
+    near = [(i, [1.0, 0.01 * i, 0.0], 0) for i in range(1, 9)]
+    bare = [(None, [1.0, 0.003 + 0.01 * i, 0.0], 0) for i in range(8)]
+    rows = [*near, *bare, (20, [0.0, 1.0, 0.0], 0), (20, [0.0, 0.0, 1.0], 0), (21, [0.0, 0.01, 1.0], 0)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(rows)
+    assert {(r.component_id, r.n_links) for r in got if (r.vec_id or 0) < 20} == {(1, 15)}
+    assert [r.vec_id for r in got if r.kept and (r.vec_id or 0) < 20] == [1]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got if (r.vec_id or 0) >= 20) == [(20, 0, 20), (20, 1, 20), (21, 1, 20)]
