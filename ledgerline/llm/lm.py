@@ -2,23 +2,28 @@
 
 Both models are interpolated bigram models over one vocabulary, estimated the
 same way: the target from documents given as good, the background from all
-documents. A document's score is the mean over its tokens of the background's
+documents. They count every word and every pair of words of the corpus; counts
+are summed in shuffles and come back to the texts that hold the words. A document's score is the mean over its tokens of the background's
 loss less the target's: positive means closer to the target.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import as_bytes, batch_of, pieces, staged, type_of
 
-#: Words of the shared vocabulary; every other word is the unknown word, id 0.
+#: Bytes of text whose words and bigrams are counted together before the shuffle.
+CHUNK = 16 << 20
+#: For models bounded on request. Words of the shared vocabulary; every other word is the unknown word, id 0.
 VOCABULARY = 1 << 15
 #: Cells that bigrams are hashed into; with VOCABULARY it bounds what is broadcast.
 CELLS = 1 << 20
@@ -115,17 +120,25 @@ def repeats(values: np.ndarray) -> np.ndarray:
 
 
 def losses(
-    ids: np.ndarray, cells: np.ndarray, unigrams: np.ndarray, bigrams: np.ndarray, own: tuple[np.ndarray, np.ndarray] | None
+    ids: np.ndarray,
+    cells: np.ndarray,
+    unigrams: np.ndarray,
+    bigrams: np.ndarray,
+    own: tuple[np.ndarray, np.ndarray] | None,
+    total: int | None = None,
+    size: int | None = None,
 ) -> np.ndarray:
     """Loss in nats of each token; ``cells`` are those of the bigrams that end in tokens 1, 2, ...
 
     ``own`` are the text's own counts of its tokens and bigrams, taken off when
-    the model has seen the text: no text vouches for itself.
+    the model has seen the text: no text vouches for itself. ``total`` tokens
+    and ``size`` words are those of ``unigrams`` unless it holds only some.
     """
-    total, words, pairs = float(unigrams.sum()), unigrams[ids].astype(np.float64), bigrams[cells].astype(np.float64)
+    total, size = float(unigrams.sum() if total is None else total), len(unigrams) if size is None else size
+    words, pairs = unigrams[ids].astype(np.float64), bigrams[cells].astype(np.float64)
     if own is not None:
         total, words, pairs = total - len(ids), words - own[0], pairs - own[1]
-    single = (words + 1.0) / (total + len(unigrams))
+    single = (words + 1.0) / (total + size)
     out = single.copy()
     before, after = words[:-1], words[1:]
     pair = np.minimum(np.minimum(pairs, before), after)
@@ -134,19 +147,150 @@ def losses(
     return -np.log(out)
 
 
+_SCORES = pa.schema(
+    [("n_tokens", pa.int64())] + [(c, pa.float64()) for c in ("target_loss", "background_loss", "score")] + [("selected", pa.bool_())]
+)
+_NO_WORDS = (0, None, None, 0.0, False)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for about ``CHUNK`` bytes of text: its documents, their words numbered within the chunk, the words' hashes."""
+    names = ["chunk", "doc_ids", "good", "lengths", "ids", "words"]
+    made, held = 0, 0
+    docs, good, lists, number = [], [], [], {}
+
+    def row() -> pa.RecordBatch:
+        ids = pa.concat_arrays(docs)
+        words = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in number)
+        lengths = np.array([len(x) for x in lists], np.int32)
+        columns = [
+            pa.array([TaskContext.get().partitionId() << 33 | made], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            *[pa.array([x], pa.binary()) for x in (np.array(good, bool).tobytes(), lengths.tobytes(), np.concatenate(lists).tobytes(), words)],
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    for batch in pieces(batches, size=CHUNK // 4):
+        if not batch.num_rows:
+            continue
+        docs.append(batch.column("doc_id"))
+        good += batch.column("good").to_pylist()
+        for raw in as_bytes(batch.column("text")):
+            lists.append(np.array([number.setdefault(w, len(number)) for w in tokens_of(raw)], np.int32))
+            held += len(raw)
+        if held >= CHUNK:
+            yield row()
+            made, held = made + 1, 0
+            docs, good, lists, number = [], [], [], {}
+    if docs:
+        yield row()
+
+
+def _grams(good: bytes, lengths: bytes, ids: bytes, words: bytes) -> tuple[np.ndarray, ...]:
+    """Of a chunk: word ids, lengths, pair number of each place but the first, the pairs' words, counts of all and of good texts."""
+    length, word = np.frombuffer(lengths, np.int32).astype(np.int64), np.frombuffer(ids, np.int32).astype(np.int64)
+    size = len(words) // 16
+    chosen = np.repeat(np.frombuffer(good, bool), length)
+    doc = np.repeat(np.arange(len(length)), length)
+    inside = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+    distinct, place = np.unique(word[inside - 1] * max(size, 1) + word[inside], return_inverse=True)
+    pair = np.full(len(word), -1)
+    pair[inside] = place
+    both = np.concatenate([word, size + place])
+    n = np.bincount(both, minlength=size + len(distinct))
+    g = np.bincount(both[np.concatenate([chosen, chosen[inside]])], minlength=size + len(distinct))
+    return word, length, pair, distinct // max(size, 1), distinct % max(size, 1), n, g
+
+
+def _keys(words: bytes, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits for each word, then for each pair of words; the last bit tells them apart.
+
+    At a thousand million distinct ones, two of them agree with a chance of 1 in 10^10.
+    """
+    h = np.frombuffer(words, np.uint64).reshape(-1, 2)
+    a, b = h[left], h[right]
+    mixed = (a[:, 0] ^ a[:, 0] >> np.uint64(29)) * _A + (b[:, 0] ^ b[:, 0] >> np.uint64(31)) * _B
+    mixed = (mixed ^ mixed >> np.uint64(32)) * _B
+    check = (a[:, 1] * _A + (b[:, 1] ^ b[:, 1] >> np.uint64(31)) * _B) >> np.uint64(33)
+    one, two = (h[:, 1] >> np.uint64(33)) << np.uint64(1), check << np.uint64(1) | np.uint64(1)
+    return np.concatenate([h[:, 0], mixed]).view(np.int64), np.concatenate([one, two]).astype(np.uint32).view(np.int32)
+
+
+_COUNTED = pa.schema([("k", pa.int64()), ("c", pa.int32()), ("chunk", pa.int64()), ("at", pa.int32()), ("n", pa.int64()), ("g", pa.int64())])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each word and pair of a chunk; ``at`` numbers words, then pairs."""
+    for batch in pieces(batches, 1):
+        for row in batch.to_pylist():
+            *_, left, right, n, g = _grams(row["good"], row["lengths"], row["ids"], row["words"])
+            k, c = _keys(row["words"], left, right)
+            for i in range(0, len(k), 100_000):
+                some = slice(i, i + 100_000)
+                at = np.arange(i, i + len(k[some]), dtype=np.int32)
+                yield batch_of(_COUNTED, k[some], c[some], np.full(len(at), row["chunk"]), at, n[some], g[some])
+
+
+def _whole(marked: DataFrame, id_type: str) -> DataFrame:
+    """Scores by models that hold every word and pair of ``marked``."""
+    binary = "".join(f", {c} binary" for c in ("good", "lengths", "ids", "words"))
+    chunks = staged(marked.mapInArrow(_chunks, f"chunk long, doc_ids array<{id_type}>{binary}"), "chunks")
+    counts = chunks.mapInArrow(_counted, "k long, c int, chunk long, at int, n long, g long")
+    words = staged(counts.filter("c & 1 = 0").select("k", "c", "n", "g"), "words").groupBy("k", "c").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
+    total = words.agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"), F.sum("g").alias("g")).first()
+    # as in a bounded model, one more word is the unknown one
+    size, all_n, good_n = total["size"] + 1, total["n"] or 0, total["g"] or 0
+    # a word has a row for each chunk it stands in, so the most frequent one has as many as there are chunks
+    same = Window.partitionBy("k", "c")
+    seen = counts.withColumn("all_n", F.sum("n").over(same)).withColumn("all_g", F.sum("g").over(same))
+    # what no other chunk holds is known there
+    seen = seen.filter("all_n > n").select("chunk", "at", "all_n", "all_g")
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, docs = [], []
+        at, all_n_of, all_g_of = (right.column(c).to_numpy() for c in ("at", "all_n", "all_g"))
+        for row in range(left.num_rows):
+            parts = [left.column(c)[row].as_py() for c in ("good", "lengths", "ids", "words")]
+            word, length, pair, _, _, n, g = _grams(*parts)
+            n[at], g[at] = all_n_of, all_g_of
+            first = len(parts[3]) // 16
+            end = 0
+            for is_good, tokens in zip(np.frombuffer(parts[0], bool).tolist(), length.tolist()):
+                start, end = end, end + tokens
+                if not tokens:
+                    out.append(_NO_WORDS)
+                    continue
+                ids, pairs = word[start:end], pair[start + 1 : end]
+                own = repeats(ids), repeats(pairs)
+                target = float(losses(ids, pairs, g[:first], g[first:], own if is_good else None, good_n, size).mean())
+                background = float(losses(ids, pairs, n[:first], n[first:], own, all_n, size).mean())
+                out.append((tokens, target, background, background - target, background > target))
+            docs.append(left.column("doc_ids")[row].values)
+        made = batch_of(_SCORES, *(zip(*out) if out else [[]] * len(_SCORES)))
+        return pa.Table.from_arrays([pa.chunked_array(docs, left.schema.field("doc_ids").type.value_type), *made.columns], names=["doc_id", *_SCORES.names])
+
+    return chunks.groupBy("chunk").cogroup(seen.groupBy("chunk")).applyInArrow(scored, f"doc_id {id_type}, {_SCORE_TYPES}")
+
+
+_SCORE_TYPES = "n_tokens long, target_loss double, background_loss double, score double, selected boolean"
+
+
 def cross_entropy_difference(
     df: DataFrame,
     good: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = VOCABULARY,
-    cells: int = CELLS,
+    vocabulary: int | None = None,
+    cells: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score, selected`` for every row of ``df``.
 
-    ``good`` holds the ids of target documents. Vocabulary and counts come from
-    all whole texts; the vocabulary size and the number of bigram cells are the
-    models' fixed size and bound the broadcast (at most 16 bytes per word and cell).
+    ``good`` holds the ids of target documents. Both models count every word
+    and pair of words of all whole texts, so they grow with the corpus; no
+    table of them is collected or broadcast. With ``vocabulary`` and ``cells``
+    they are bounded instead: only the most frequent words are told apart and
+    pairs are hashed into cells, which are broadcast (at most 16 bytes per word
+    and cell).
     A document's own counts are taken off before it is scored.
     Losses are means per token; a text without words has none, score 0 and is
     not selected. Without any target document both models see what they can:
@@ -156,17 +300,16 @@ def cross_entropy_difference(
     spark = df.sparkSession
     wanted = good.select(F.col(id_col).alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # the ids' side grows with the labels: adaptive execution sends it whole only while it is small
+    marked = rows.join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    if vocabulary is None and cells is None:
+        return _whole(marked, type_of(df, id_col))
+    vocabulary, cells = VOCABULARY if vocabulary is None else vocabulary, CELLS if cells is None else cells
     words = vocabulary_of(rows, vocabulary)
     shared = spark.sparkContext.broadcast(words)
-    # one plan at every size: the ids' side grows with the labels
-    marked = rows.join(wanted.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
     marked = staged(marked, "marked")
     counts = _count(marked.select("text", "good"), shared, cells)
     models = spark.sparkContext.broadcast(tuple(c.astype(np.uint32) if c.max(initial=0) < 1 << 32 else c for c in counts))
-    schema = pa.schema(
-        [("n_tokens", pa.int64())] + [(c, pa.float64()) for c in ("target_loss", "background_loss", "score")] + [("selected", pa.bool_())]
-    )
-
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w: i for i, w in enumerate(shared.value, 1)}
         all_one, all_two, good_one, good_two = models.value
@@ -175,17 +318,14 @@ def cross_entropy_difference(
             for raw, good in zip(as_bytes(batch.column("text")), batch.column("good").to_pylist()):
                 ids = _ids(raw, number)
                 if not len(ids):
-                    out.append((0, None, None, 0.0, False))
+                    out.append(_NO_WORDS)
                     continue
                 at = cells_of(ids[:-1], ids[1:], cells)
                 own = repeats(ids), repeats(at)
                 target = float(losses(ids, at, good_one, good_two, own if good else None).mean())
                 background = float(losses(ids, at, all_one, all_two, own).mean())
                 out.append((len(ids), target, background, background - target, background > target))
-            made = batch_of(schema, *(zip(*out) if out else [[]] * len(schema)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made.columns], names=["doc_id", *schema.names])
+            made = batch_of(_SCORES, *(zip(*out) if out else [[]] * len(_SCORES)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made.columns], names=["doc_id", *_SCORES.names])
 
-    return marked.mapInArrow(
-        scored,
-        f"doc_id {type_of(df, id_col)}, n_tokens long, target_loss double, background_loss double, score double, selected boolean",
-    )
+    return marked.mapInArrow(scored, f"doc_id {type_of(df, id_col)}, {_SCORE_TYPES}")

@@ -84,3 +84,44 @@ def test_empty_tables(none, odd):
     ids = none.select("doc_id")
     assert lm.cross_entropy_difference(none, ids).collect() == []
     assert lm.cross_entropy_difference(odd, ids).count() == odd.count()
+
+
+def test_every_word_and_pair_counts(spark):
+    """More distinct words and pairs than a bounded model holds, over several chunks."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 60_000, 400) ** 2 // 30_000)) for i in range(300)]
+    rows += [(300 + i, text) for i, (_, text) in enumerate(rows[:5])] + [(400, ""), (401, None)]
+    good = set(range(0, 300, 4))
+
+    def counts(docs):
+        one, two = Counter(), Counter()
+        for words in docs:
+            one.update(words)
+            two.update(zip(words, words[1:]))
+        return one, two
+
+    texts = {doc: (text or "").split() for doc, text in rows}
+    every, wanted = counts(texts.values()), counts(texts[d] for d in good)
+    size = len(every[0]) + 1
+
+    def loss(words, model, own):
+        n, out = sum(model[0].values()) - sum(own[0].values()), 0.0
+        for i, w in enumerate(words):
+            p = (model[0][w] - own[0][w] + 1) / (n + size)
+            if i and (before := model[0][words[i - 1]] - own[0][words[i - 1]]) > 0:
+                at = words[i - 1], w
+                pair = min(model[1][at] - own[1][at], before, model[0][w] - own[0][w])
+                p = lm.BIGRAM_WEIGHT * pair / before + (1 - lm.BIGRAM_WEIGHT) * p
+            out -= log(p)
+        return out / len(words)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = lm.cross_entropy_difference(df, spark.createDataFrame([(d,) for d in good], "doc_id long")).collect()
+    assert size > lm.VOCABULARY and sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        words = texts[r.doc_id]
+        assert r.n_tokens == len(words)
+        if words and r.doc_id % 7 == 0:
+            own = counts([words])
+            assert r.background_loss == pytest.approx(loss(words, every, own))
+            assert r.target_loss == pytest.approx(loss(words, wanted, own if r.doc_id in good else (Counter(), Counter())))
