@@ -246,22 +246,17 @@ FILM = ("film", "votes", "rating", "filmid")
 def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One year on top of the last partition of a stored table."""
     films = views.actor_films(spark, sf_dir)
-    earlier = [dims.films_snapshot(films, "actorid", "year", FILM, "rating", y, quality) for y in (1996, 1997)]
+    totals = {
+        "sums": {"votes": "votes", "rating": "ratings"},
+        "ends": {"filmid": ("first_film", "last_film")},
+        "count": "n_films",
+    }
+    earlier = [dims.films_totals(films, "actorid", "year", "rating", y, quality, **totals) for y in (1996, 1997)]
     prev = views.stored(spark, earlier[0].unionByName(earlier[1]), "actors", "current_year")
-    now = dims.films_step(prev, films, "actorid", "year", FILM, "rating", 1998, quality)
-
-    def total(field: str) -> Column:
-        return F.aggregate("items", F.lit(0).cast("long"), lambda acc, e: acc + e[field])
-
-    ids = F.transform("items", lambda e: e["filmid"])
+    now = dims.films_totals_step(prev, films, "actorid", "year", "rating", 1998, quality, **totals)
     return now.select(
-        "actorid", "quality_class", "is_active", "current_year",
-        F.size("items").alias("n_films"),
-        total("votes").alias("votes"),
-        total("rating").alias("ratings"),
-        F.array_min(ids).alias("first_film"),
-        F.array_max(ids).alias("last_film"),
-    )
+        "actorid", "quality_class", "is_active", "current_year", "n_films", "votes", "ratings", "first_film", "last_film"
+    )
 
 
 def actor_states(spark: SparkSession, sf_dir: str) -> DataFrame:

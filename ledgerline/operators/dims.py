@@ -136,8 +136,8 @@ def films_snapshot(
 ) -> DataFrame:
     """One row per entity as of a year: all items so far, class of its latest year, activity flag.
 
-    ``items`` is one array of structs (year, ``item_cols``) in that order,
-    whatever its length: it holds one entity's career, as ``history`` does.
+    ``items`` is one array of structs (year, ``item_cols``) in that order: one
+    entity's items must fit a value. ``films_totals`` has no such limit.
     """
     found = _films_of(rows.filter(F.col(year) <= as_of), key, year, item_cols, rating)
     return found.select(
@@ -176,3 +176,85 @@ def films_step(
         here.alias("is_active"),
         F.lit(as_of).alias("current_year"),
     )
+
+
+def _totals_of(
+    rows: DataFrame, key: str, year: str, rating: str, sums: dict[str, str], ends: dict[str, tuple[str, str]], count: str
+) -> DataFrame:
+    """Per entity: totals of all its items, rating sums of its latest year, and that year."""
+    names = [c for pair in ends.values() for c in pair]
+    per_year = rows.groupBy(key, year).agg(
+        F.count(F.lit(1)).alias(count),
+        *[F.sum(c).cast("long").alias(name) for c, name in sums.items()],
+        *[end(c).alias(name) for c, pair in ends.items() for end, name in zip((F.min, F.max), pair)],
+        F.sum(rating).alias("_sum"),
+        F.count(rating).alias("_n"),
+    )
+    return per_year.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in (count, *sums.values())],
+        *[(F.max if i % 2 else F.min)(c).alias(c) for i, c in enumerate(names)],
+        F.max_by(F.struct("_sum", "_n"), year).alias("_latest"),
+        F.max(year).alias("_last"),
+    )
+
+
+def films_totals(
+    rows: DataFrame,
+    key: str,
+    year: str,
+    rating: str,
+    as_of: int,
+    classify: Classify,
+    sums: dict[str, str],
+    ends: dict[str, tuple[str, str]],
+    count: str = "n_items",
+) -> DataFrame:
+    """One row per entity as of a year: totals of all items so far, class of its latest year, activity flag.
+
+    ``sums`` names the sum of a column, ``ends`` its least and largest value;
+    nulls count in neither. The items stay rows: an entity's are added up in
+    each task before the shuffle, however many it has.
+    """
+    found = _totals_of(rows.filter(F.col(year) <= as_of), key, year, rating, sums, ends, count)
+    return found.select(
+        key,
+        *[c for c in found.columns if c not in (key, "_latest", "_last")],
+        classify(ratio(F.col("_latest._sum"), F.col("_latest._n"))).alias("quality_class"),
+        (F.col("_last") == as_of).alias("is_active"),
+        F.lit(as_of).alias("current_year"),
+    )
+
+
+def films_totals_step(
+    prev: DataFrame,
+    rows: DataFrame,
+    key: str,
+    year: str,
+    rating: str,
+    as_of: int,
+    classify: Classify,
+    sums: dict[str, str],
+    ends: dict[str, tuple[str, str]],
+    count: str = "n_items",
+) -> DataFrame:
+    """Last year's totals and the items of ``as_of`` make this year's: the same rows as ``films_totals``.
+
+    Of ``prev`` only the snapshot of ``as_of`` - 1 is read, and its absence is
+    an error; of ``rows`` only one year.
+    """
+    now = _totals_of(rows.filter(F.col(year) == as_of), key, year, rating, sums, ends, count).alias("n")
+    p = snapshot_before(prev, "current_year", as_of - 1).alias("p")
+    here = F.col("n._last").isNotNull()
+
+    def added(c: str) -> Column:
+        return F.coalesce(F.col(f"p.{c}") + F.col(f"n.{c}"), f"p.{c}", f"n.{c}").alias(c)
+
+    average = ratio(F.col("n._latest._sum"), F.col("n._latest._n"))
+    return p.join(now, F.col(f"p.{key}") == F.col(f"n.{key}"), "full_outer").select(
+        F.coalesce(f"p.{key}", f"n.{key}").alias(key),
+        *[added(c) for c in (count, *sums.values())],
+        *[end(f"p.{c}", f"n.{c}").alias(c) for pair in ends.values() for end, c in zip((F.least, F.greatest), pair)],
+        F.when(here, classify(average)).otherwise(F.col("p.quality_class")).alias("quality_class"),
+        here.alias("is_active"),
+        F.lit(as_of).alias("current_year"),
+    )

@@ -105,6 +105,34 @@ def test_film_steps_equal_the_snapshot_row_for_row(spark):
     assert ids == as_set((r[0], r[4]) for r in FILM_ROWS)
 
 
+def test_film_totals_add_up_without_lists(spark):
+    data = [*FILM_ROWS, *[(3, "h", 2000 + i % 4, i % 11, f"h{i:04}") for i in range(2000)], (4, "n", 2000, None, None)]
+    df = spark.createDataFrame(data, FILMS)
+    args = ("actor", "year", "rating")
+    totals = {"sums": {"rating": "ratings"}, "ends": {"filmid": ("first", "last")}}
+    snapshot = dims.films_totals(df, *args, 1999, quality, **totals)
+    for year in (2000, 2001, 2002, 2003):
+        snapshot = settled(step := dims.films_totals_step(snapshot, df, *args, year, quality, **totals))
+        whole = dims.films_totals(df, *args, year, quality, **totals)
+        assert rows(snapshot, *whole.columns) == rows(whole)
+        assert "collect_list" not in inspect.plan_text(step) + inspect.plan_text(whole)
+    for actor in (1, 2, 3, 4):
+        mine = [r for r in data if r[0] == actor]
+        rated, ids = [r[3] for r in mine if r[3] is not None], [r[4] for r in mine if r[4] is not None]
+        want = (actor, len(mine), sum(rated) if rated else None, min(ids, default=None), max(ids, default=None))
+        assert want in rows(snapshot, "actor", "n_items", "ratings", "first", "last")
+    listed = dims.films_snapshot(df, "actor", "year", ["filmid"], "rating", 2003, quality)
+    states = ("actor", "quality_class", "is_active")
+    assert rows(snapshot, *states) == rows(listed, *states)
+
+
+def test_actors_query_collects_no_items(spark, small):
+    from ledgerline.catalog import q_dims
+
+    plan = inspect.plan_text(q_dims.d12(spark, small))
+    assert "collect_list" not in plan and "items" not in plan
+
+
 def test_film_step_refuses_another_year(spark):
     df = spark.createDataFrame(FILM_ROWS, FILMS)
     args = ("actor", "year", ["film"], "rating")
