@@ -18,6 +18,18 @@ LEAST_SCORE = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def with_print(docs: DataFrame) -> DataFrame:
+    """The columns of ``documents`` and ``_row``, a hash of all but the id: ids may be null or repeat."""
+    apart = [x for c in COLUMNS[1:] for x in (F.col(c), F.lit(0))]
+    return docs.select(*COLUMNS).withColumn("_row", F.xxhash64(*apart))
+
+
+def these(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """The ``rows`` whose id, null or not, and print are among ``chosen``."""
+    same = F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r._row") == F.col("c._row"))
+    return rows.alias("r").join(chosen.alias("c"), same, how).select(*[f"r.{c}" for c in rows.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without letters or with no clear language go."""
     rows = docs.select(*COLUMNS)
@@ -26,17 +38,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules, each row by its own text, with or without an id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdicts = quality.assess(docs, labels).filter("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(verdicts, "doc_id", "left_semi")
+    rows = with_print(docs)
+    verdicts = quality.assess(rows, labels, carry=("_row",)).filter("kept").select("doc_id", "_row")
+    return these(rows, verdicts, "left_semi").select(*COLUMNS)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, shingle=4, limit=4)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
+    """One row of each group of near duplicates, the one with the smallest id.
+
+    Rows without id come after all others; of rows that share the id the
+    smallest hash decides, and of equal rows one stays.
+    """
+    rows = with_print(docs)
+    groups = simhash.near_duplicates(rows, shingle=4, limit=4, carry=("_row",), group="_group")
+    copies = groups.groupBy("_group", "doc_id", "_row").agg(F.count(F.lit(1)).alias("n"))
+    first = copies.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "n")).alias("f"))
+    first = staged(first.select("f.doc_id", "f._row", "f.n"), "first")
+    one = these(rows, first.filter("n = 1"), "left_semi")
+    equal = these(rows, first.filter("n > 1"), "left_semi").dropDuplicates(["doc_id", "_row"])
+    return one.unionByName(equal).select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,13 +71,16 @@ def _repeat_words(words: Column) -> Column:
     return let(words, count)
 
 
-def metrics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+def metrics(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", carry: Sequence[str] = ()
+) -> DataFrame:
     """Counts per document, from the whole text, without a shuffle; a null text counts as no words.
 
     ``n_repeat_words`` compares windows by 64-bit hash within one text.
+    ``carry`` columns of the row stand last.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), text.alias("t"))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), text.alias("t"), *carry)
     no_gap = F.translate("t", " \t\n\x0b\x0c\r", "")
 
     def without(chars: str) -> Column:
@@ -105,7 +108,8 @@ def metrics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", strat
         without("!").alias("n_exclaim"),
         without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
         without("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz").alias("n_letters"),
-    ).select("doc_id", "stratum", "w.*", "l.*", "word_chars", "n_symbols", "n_exclaim", "n_upper", "n_letters")
+        *carry,
+    ).select("doc_id", "stratum", "w.*", "l.*", "word_chars", "n_symbols", "n_exclaim", "n_upper", "n_letters", *carry)
 
 
 def binomial_limit(n: Column, risk: Column, level: Column) -> Column:
@@ -190,6 +194,7 @@ def assess(
     id_col: str = "doc_id",
     text_col: str = "text",
     stratum_col: str = "lang",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Metrics, ``base_failed``, ``kept`` and ``failed_rules`` for every row of ``df``.
 
@@ -197,9 +202,10 @@ def assess(
     both the cutoffs and the verdicts come from those. A row without text has
     no words and fails the base; a null stratum is a stratum of its own; a
     stratum without enough labels rejects nothing beyond the base. An empty
-    table gives an empty result, empty labels leave the base alone.
+    table gives an empty result, empty labels leave the base alone. ``carry``
+    columns of the row come along.
     """
-    measured = staged(metrics(df, id_col, text_col, stratum_col), "quality")
+    measured = staged(metrics(df, id_col, text_col, stratum_col, carry), "quality")
     chosen = cutoffs(measured, labels, rules, risk, level).drop("n_good", "limit")
     rows = measured.withColumn("stratum", F.coalesce("stratum", F.lit(""))).join(chosen, "stratum", "left")
     failed = F.array(
@@ -207,5 +213,5 @@ def assess(
     )
     base = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > BASE_REPEAT_PERCENT * F.col("n_words"))
     return rows.select(
-        "doc_id", *METRICS, base.alias("base_failed"), F.array_join(F.array_compact(failed), ",").alias("failed_rules")
+        "doc_id", *carry, *METRICS, base.alias("base_failed"), F.array_join(F.array_compact(failed), ",").alias("failed_rules")
     ).withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))

@@ -18,7 +18,7 @@ are compared bit by bit.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -212,16 +212,20 @@ def _matched(batches: Iterator[pa.RecordBatch], limit: int, most: int) -> Iterat
         yield from links(held_keys, held)
 
 
-def prints_of(df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``print`` (the fingerprint as a signed long) of every whole text."""
+def prints_of(
+    df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id``, ``print`` (the fingerprint as a signed long) and ``carry`` columns of every whole text."""
 
     def printed(batches):
         for batch in pieces(batches):
             found = np.array([fingerprint(raw, shingle) for raw in as_bytes(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "print"])
+            columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), *[batch.column(c) for c in carry]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", *carry])
 
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        printed, f"doc_id {type_of(df, id_col)}, print long"
+    more = "".join(f", {c} {type_of(df, c)}" for c in carry)
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry).mapInArrow(
+        printed, f"doc_id {type_of(df, id_col)}, print long{more}"
     )
 
 
@@ -266,7 +270,13 @@ def links_of(prints: DataFrame, limit: int = LIMIT, most: int = BLOCK) -> DataFr
 
 
 def near_duplicates(
-    df: DataFrame, shingle: int = 4, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    shingle: int = 4,
+    limit: int = LIMIT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    group: str | None = None,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` for every row.
 
@@ -274,15 +284,20 @@ def near_duplicates(
     bits. Equal fingerprints become one row first, so thousands of copies cost
     what one text costs. A null, empty or blank text has fingerprint zero,
     linked like any other; rows without id belong to their component but never
-    name it. An empty table gives an empty result.
+    name it. An empty table gives an empty result. ``carry`` columns of the row
+    come along, and ``group`` names a column that tells components apart even
+    if they share a name or have none.
     """
-    prints = staged(prints_of(df, shingle, id_col, text_col), "prints")
+    prints = staged(prints_of(df, shingle, id_col, text_col, carry), "prints")
     known = staged(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
     found = components(links_of(known.select("print"), limit)).withColumnRenamed("node", "print")
     grouped = known.join(found, "print")
     named = grouped.groupBy("component").agg(F.min("first").alias("name"))
-    moved = grouped.join(named, "component").select("print", "name")
+    moved = grouped.join(named, "component").select("print", "name", "component")
     # stored, so that the join below meets two plain shuffles and a hot fingerprint's rows can be split
-    names = known.join(moved, "print", "left").select("print", F.coalesce("name", "first").alias("component_id"))
+    names = known.join(moved, "print", "left").select(
+        "print", F.coalesce("name", "first").alias("component_id"), *([F.coalesce("component", "print").alias(group)] if group else [])
+    )
     result = prints.join(staged(names, "print-names"), "print", "left")
-    return result.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    fingerprint = F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint")
+    return result.select("doc_id", fingerprint, "component_id", *carry, *([group] if group else []))

@@ -79,3 +79,19 @@ def test_clean_documents_stay(spark):
     long_enough = known.join(good, "doc_id").filter(F.size(F.split("text", "\\s+")) > 60)
     left = pipeline.clean(spark, known, sf_dir).join(long_enough.select("doc_id"), "doc_id").count()
     assert left >= 0.98 * long_enough.count()
+
+
+def test_rows_without_id_and_rows_that_repeat_one(spark, small, docs):
+    long = [r.text for r in docs.orderBy("doc_id").collect() if len(r.text.split()) > 120]
+    tried = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(long[:40])], docs.schema)
+    tried = pipeline.distinct(spark, pipeline.clean(spark, tried, small), small)
+    texts = [r.text for r in tried.orderBy("doc_id").limit(3).collect()]
+    bad = "spam " * 200
+    rows = [
+        (None, texts[0], "en", "a", 1), (None, texts[0], "en", "a", 1), (5, texts[1], "en", "a", 1), (5, texts[1], "en", "a", 1),
+        (5, bad, "en", "a", 1), (None, bad, "en", "a", 1), (6, texts[1], "en", "a", 1), (None, texts[1], "en", "a", 1), (5, texts[2], "en", "a", 1),
+    ]
+    left = pipeline.clean(spark, spark.createDataFrame(rows, docs.schema), small)
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted((r[0] or 0, r[1]) for r in rows if r[1] != bad)
+    one = pipeline.distinct(spark, left, small)
+    assert sorted((r.doc_id or 0, r.text) for r in one.collect()) == sorted([(0, texts[0]), (5, texts[1]), (5, texts[2])])
