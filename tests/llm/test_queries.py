@@ -26,12 +26,15 @@ COLUMNS = {
     "op8": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op9": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op10": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op11": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
+    "op12": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
 
 def test_every_operator_has_one_query():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
