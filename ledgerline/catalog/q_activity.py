@@ -12,6 +12,8 @@ from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.catalog.views import stored
 from ledgerline.operators import activity, arrays, growth
+from ledgerline.session import scratch_path
+from ledgerline.sources import upserts
 
 AS_OF = date(2024, 1, 30)
 BEFORE = AS_OF - timedelta(days=1)
@@ -147,6 +149,37 @@ def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return now.withColumn("metric_array", text("metric_array"))
 
 
+METRIC = "user_id bigint, month_start date, metric_name string, metric_array array<bigint>"
+
+
+@query(
+    "f12_upsert",
+    using(
+        f""", all_hits AS (SELECT 'site_hits' AS metric_name, user_id, CAST(event_time AS DATE) AS day FROM web_events
+            UNION ALL SELECT 'purchases', user_id, CAST(event_time AS DATE) FROM web_events WHERE url = '/purchase'),
+        daily AS (SELECT metric_name, user_id, day, count(*) AS n FROM all_hits WHERE user_id IS NOT NULL GROUP BY ALL),
+        kept AS (SELECT DISTINCT metric_name, user_id, CASE WHEN metric_name = 'site_hits' THEN DATE '2024-01-30' ELSE DATE '2024-01-29' END AS last
+            FROM daily WHERE metric_name = 'site_hits' OR day <= DATE '2024-01-29')
+        SELECT k.user_id, '2024-01-01' AS month_start, k.metric_name,
+        string_agg(CAST(coalesce(d.n, 0) AS VARCHAR), ',' ORDER BY c.day) AS metric_array
+        FROM kept k JOIN {CALENDAR} c ON c.day <= k.last
+        LEFT JOIN daily d ON d.metric_name = k.metric_name AND d.user_id = k.user_id AND d.day = c.day GROUP BY k.user_id, k.metric_name""",
+        "web_events",
+    ),
+)
+def f12_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of one metric upserted into a stored table of two metrics, and once more as after a failure."""
+    events, path = views.web_events(spark, sf_dir), scratch_path(spark, "metrics")
+    keys, by = ["user_id", "month_start", "metric_name"], ["month_start", "metric_name"]
+    buying = arrays.array_metric_backfill(views.purchases(spark, sf_dir), "user_id", "event_time", "purchases", BEFORE)
+    visits = arrays.array_metric_backfill(events, "user_id", "event_time", "site_hits", BEFORE)
+    table = upserts.upsert_table(spark, path, METRIC, visits.unionByName(buying), keys, by)
+    day = stored(spark, arrays.array_metric_step(table, events, "user_id", "event_time", "site_hits", AS_OF), "day", "month_start")
+    for _ in range(2):
+        table = upserts.upsert_table(spark, path, METRIC, day, keys, by)
+    return table.withColumn("metric_array", text("metric_array"))
+
+
 def site_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays.array_metric_backfill(views.web_events(spark, sf_dir), "user_id", "event_time", "site_hits", AS_OF)
 

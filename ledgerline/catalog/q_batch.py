@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.operators import graph, matches, web
 from ledgerline.operators.grouping import lists_by_range
-from ledgerline.plans.jobs import run_job
+from ledgerline.plans.jobs import cached, run_job
 from ledgerline.session import scratch_path
 from ledgerline.sources import files, layout
 
@@ -35,6 +37,59 @@ def s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a CSV file gives them without a schema: every column as text."""
+    rows = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("day"),
+        F.col("o_orderdate").cast("timestamp").alias("o_orderdate"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 2 == 0).alias("is_even"), "o_orderpriority",
+    )
+    return files.read_csv(spark, files.write_csv(rows, scratch_path(spark, "texts")))
+
+
+@query(
+    "s1_csv_text",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day,
+    CASE WHEN o_orderkey % 3 > 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END END AS is_even, o_orderpriority FROM orders""",
+)
+def s1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header and no schema: all columns are text, a missing value is null."""
+    return order_texts(spark, sf_dir).select("o_orderkey", "o_orderstatus", "day", "is_even", "o_orderpriority")
+
+
+@query(
+    "s1_csv_inferred",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS price_cents,
+    strftime(o_orderdate, '%Y-%m-%d') AS day, {STAMP.format("o_orderdate")} AS o_orderdate,
+    CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 2 = 0 END AS is_even, o_orderpriority,
+    'bigint bigint string double date timestamp boolean string' AS types FROM orders""",
+)
+def s1_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text with the narrowest type that all values of a column read as, found in one pass."""
+    texts = order_texts(spark, sf_dir)
+    types = files.infer_types(texts)
+    rows = files.cast_types(texts, types).withColumn("price_cents", views.cents("o_totalprice"))
+    return rows.drop("o_totalprice").withColumn("types", F.lit(" ".join(types.values())))
+
+
+@query(
+    "s1_csv_bad_lines",
+    """SELECT o_orderstatus AS part, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders
+    WHERE o_orderkey % 11 > 0 GROUP BY 1
+    UNION ALL SELECT 'bad', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 11 = 0""",
+)
+def s1_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a schema cannot read are kept aside whole and counted, not dropped."""
+    price = F.when(F.col("o_orderkey") % 11 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    rows = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", price.alias("o_totalprice"))
+    path = files.write_csv(rows, scratch_path(spark, "lines"))
+    good, bad = files.read_csv_aside(spark, path, "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+    totals = [F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys")]
+    per_status = good.filter(F.col("o_totalprice").isNotNull()).groupBy(F.col("o_orderstatus").alias("part")).agg(*totals)
+    key = F.split_part("line", F.lit(","), F.lit(1)).cast("bigint").alias("o_orderkey")
+    return per_status.unionByName(bad.select(key).agg(*totals).select(F.lit("bad").alias("part"), "n_rows", "keys"))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.user_device_counts(views.web_events(spark, sf_dir))
 
@@ -79,6 +134,27 @@ def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.user_rollup(counts(spark, sf_dir))
 
 
+@query(
+    "s2_cached_rollups",
+    using(
+        f"""SELECT 'user' AS of, user_id AS id, max(n) AS most, count(*) AS n_pairs FROM {HITS} GROUP BY 2
+        UNION ALL SELECT 'device', device_id, max(n), count(*) FROM {HITS} GROUP BY 2""",
+        "web_events",
+    ),
+)
+def s2_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One aggregate kept while two roll-ups are stored from it, then released."""
+    with cached(counts(spark, sf_dir)) as hits:
+        return files.stored(rollups(hits), "rollups")
+
+
+def rollups(hits: DataFrame) -> DataFrame:
+    """Largest hit count and number of pairs of each user and of each device."""
+    measures = [F.max("event_counts").alias("most"), F.count(F.lit(1)).alias("n_pairs")]
+    one = lambda key, name: hits.groupBy(F.col(key).alias("id")).agg(*measures).select(F.lit(name).alias("of"), "*")
+    return one("user_id", "user").unionByName(one("device_id", "device"))
+
+
 @query(
     "s3_device_lists",
     using(
@@ -199,40 +275,81 @@ def s9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+STAT_FILES = 8
+
+
 @query(
     "s10_file_stats",
     using(
-        "SELECT t AS table_name, count(*) AS n_rows FROM web_events, (VALUES ('sorted'), ('unsorted')) v(t) GROUP BY 1",
+        f""", rated AS (SELECT *, CAST(event_time AS DATE) AS day, count(*) OVER () AS n FROM web_events),
+        cut AS (SELECT 'sorted' AS table_name, host, day,
+                (row_number() OVER (ORDER BY host, url, day, event_time, event_id) - 1) * {STAT_FILES} // n AS file FROM rated
+            UNION ALL SELECT 'unsorted', host, day, (row_number() OVER (ORDER BY hash_of, event_time) - 1) * {STAT_FILES} // n
+            FROM (SELECT *, md5(CAST(event_id AS VARCHAR)) AS hash_of FROM rated))
+        SELECT table_name, count(*) AS n_files, CAST(sum(k) AS BIGINT) AS n_rows, count(*) FILTER ('h1' BETWEEN lo AND hi) AS files_h1,
+        CASE table_name WHEN 'sorted' THEN 1 ELSE 2 END::BIGINT AS rank_by_bytes
+        FROM (SELECT table_name, file, count(*) AS k, min(host) AS lo, max(host) AS hi FROM cut GROUP BY 1, 2) GROUP BY 1""",
         "web_events",
     ),
 )
 def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a sorted and an unsorted copy; file and byte counts are the engine's own and left out here."""
-    rows = dated_events(spark, sf_dir)
-    paths = {"sorted": scratch_path(spark, "sorted"), "unsorted": scratch_path(spark, "unsorted")}
-    layout.sorted_within(rows, ["event_date"], ["event_date", "host", "event_time"]).write.parquet(paths["sorted"])
-    layout.spread_by(rows, ["event_date"]).write.parquet(paths["unsorted"])
-    return layout.file_stats(spark, paths).select("table_name", "n_rows")
+    """A sorted and an unsorted copy in as many files: the sorted one is smaller, and a filter opens fewer of its files."""
+    rows = dated_events(spark, sf_dir).withColumn("hash_of", F.md5(F.col("event_id").cast("string")))
+    orders = {"sorted": ["host", "url", "event_date", "event_time"], "unsorted": ["hash_of", "event_time"]}
+    study = layout.layout_study(rows, orders, ["event_id"], {"files_h1": ("host", "h1")}, STAT_FILES)
+    return study.drop("n_bytes")
+
+
+LAYOUT_FILES = 32
+LAYOUTS = {
+    "playlist_map": ["playlist_id", "mapid", "completion_date"],
+    "day": ["completion_date"],
+    "interleaved": ["interleaved"],
+    "match": ["match_id"],
+}
+MIXED = ("playlist_id", "mapid", "completion_date")
+FILTERS = {
+    "files_playlist": ("playlist_id", "3-MEDIUM"),
+    "files_map": ("mapid", 7),
+    "files_day": ("completion_date", date(1996, 3, 17)),
+}
+
+
+def layout_sql() -> str:
+    """Files as equal stretches of a numbering, touched by their least and largest values; no parquet is involved."""
+    number = {
+        "playlist_id": "CAST('0x' || hex(encode(substr(playlist_id, 1, 5))) AS BIGINT)",
+        "mapid": "CAST(mapid AS BIGINT)",
+        "completion_date": "CAST(completion_date - DATE '1970-01-01' AS BIGINT)",
+    }
+    scaled = ", ".join(f"({v} - min({v}) OVER ()) * 31 // greatest(max({v}) OVER () - min({v}) OVER (), 1) AS z{i}" for i, v in enumerate(number.values()))
+    mixed = " + ".join(f"(((z{i} >> {bit}) & 1) << {bit * 3 + 2 - i})" for i in range(3) for bit in range(5))
+    tie = "match_id, player_gamertag, player_total_kills, player_total_deaths"
+    parts = []
+    for name, sort in LAYOUTS.items():
+        ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in MIXED)
+        text = {n: f"DATE '{v}'" if isinstance(v, date) else repr(v) for n, (_, v) in FILTERS.items()}
+        hits = ", ".join(f"count(*) FILTER ({text[n]} BETWEEN lo_{c} AND hi_{c}) AS {n}" for n, (c, _) in FILTERS.items())
+        parts.append(
+            f"""SELECT '{name}' AS table_name, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows, {hits}
+            FROM (SELECT file, count(*) AS n, {ends}
+                  FROM (SELECT *, (row_number() OVER (ORDER BY {', '.join(sort)}, {tie}) - 1) * {LAYOUT_FILES} // count(*) OVER () AS file FROM mixed)
+                  GROUP BY file)"""
+        )
+    return f""", scaled AS (SELECT *, {scaled} FROM match_details JOIN matches USING (match_id)),
+        mixed AS (SELECT *, {mixed} AS interleaved FROM scaled) {' UNION ALL '.join(parts)}"""
 
 
-@query(
-    "s11_layout_study",
-    using(
-        """SELECT t AS table_name, count(*) AS n_rows FROM match_details JOIN matches USING (match_id),
-        (VALUES ('playlist_map'), ('map_playlist'), ('match')) v(t) GROUP BY 1""",
-        "match_details",
-        "matches",
-    ),
-)
+@query("s11_layout_study", using(layout_sql(), "match_details", "matches"))
 def s11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Match rows stored under several sort orders; the bytes of each are the engine's own and left out here."""
+    """Match rows under several sort orders, one of them interleaved, and how many files three filters touch in each."""
+    return studied(spark, sf_dir).drop("n_bytes", "rank_by_bytes")
+
+
+def studied(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.match_details(spark, sf_dir).join(views.matches(spark, sf_dir), "match_id")
-    orders = {
-        "playlist_map": ["playlist_id", "mapid", "match_id"],
-        "map_playlist": ["mapid", "playlist_id", "match_id"],
-        "match": ["match_id"],
-    }
-    return layout.layout_study(rows, ["playlist_id"], orders).select("table_name", "n_rows")
+    tie = ["match_id", "player_gamertag", "player_total_kills", "player_total_deaths"]
+    return layout.layout_study(layout.interleaved(rows, MIXED), LAYOUTS, tie, FILTERS, LAYOUT_FILES)
 
 
 def stored_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -258,23 +375,48 @@ def s12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return details.join(games, ["match_id", "part"]).select(*MATCH_COLUMNS)
 
 
+def dated_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Details and matches with a folder per month and buckets of the match inside, in a session that prunes both."""
+
+    def build() -> tuple[str, str]:
+        games = views.matches(spark, sf_dir).withColumn("month", F.trunc("completion_date", "MM"))
+        details = views.match_details(spark, sf_dir).join(games.select("match_id", "month"), "match_id", "left")
+        large, rest = layout.colocate(details, {"matches": (games, None)}, "match_id", ["player_gamertag"], partition_by=["month"])
+        return layout.table_name(large), layout.table_name(rest["matches"])
+
+    other = layout.pruning_session(spark)
+    details, games = layout.stored_once(spark, ("dated matches", sf_dir), build)
+    return other.table(details), other.table(games)
+
+
+def in_month(details: DataFrame, games: DataFrame) -> DataFrame:
+    """The join on match, part and month, without the month of the details twice."""
+    return details.join(games, ["match_id", "part", "month"]).select(*MATCH_COLUMNS)
+
+
 @query(
     "s17_partition_filter",
     using(f"{MATCH_SQL} WHERE date_trunc('month', completion_date) = DATE '1996-01-01'", "match_details", "matches"),
 )
 def s17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tables in 16 buckets of the match, the matches in a folder per month; one month is read and joined in place."""
+    """A month in the join condition: one folder of either table is read, and the join stays in place."""
+    details, games = dated_matches(spark, sf_dir)
+    return in_month(details, games.filter(F.col("month") == F.lit("1996-01-01").cast("date")))
 
-    def build() -> tuple[DataFrame, DataFrame]:
-        games = views.matches(spark, sf_dir).withColumn("month", F.trunc("completion_date", "MM"))
-        return (
-            layout.write_bucketed(views.match_details(spark, sf_dir), "details", ["match_id"]),
-            layout.write_bucketed(games, "games", ["match_id"], partition_by=["month"]),
-        )
 
-    details, games = layout.stored_once(spark, ("dated matches", sf_dir), build)
-    month = games.filter(F.col("month") == F.lit("1996-01-01").cast("date"))
-    return details.join(month, "match_id").select(*MATCH_COLUMNS)
+@query(
+    "s17_dynamic_pruning",
+    using(
+        f"""{MATCH_SQL} WHERE playlist_id = '1-URGENT' AND completion_date BETWEEN DATE '1996-03-10' AND DATE '1996-04-20'""",
+        "match_details",
+        "matches",
+    ),
+)
+def s17_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter on matches that names no folder: the months of what it leaves prune the details while the query runs."""
+    details, games = dated_matches(spark, sf_dir)
+    days = F.col("completion_date").between(F.lit(date(1996, 3, 10)), F.lit(date(1996, 4, 20)))
+    return in_month(details, games.filter((F.col("playlist_id") == "1-URGENT") & days))
 
 
 @query(

@@ -12,6 +12,7 @@ from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.functions.columns import QUALITY_LADDER, SCORING_LADDER, ladder
 from ledgerline.operators import dims, scd
+from ledgerline.operators import stretches as stretches_of
 
 FIRST, LAST = 1995, 2001
 STATICS = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
@@ -230,10 +231,47 @@ def stored_histories(spark: SparkSession, rows: DataFrame, key: str, period: str
 
 
 FILM = ("film", "votes", "rating", "filmid")
+FILMS_A_STRETCH = 16
+
+
+def films_text() -> Column:
+    entry = lambda f: F.concat_ws(":", f["year"], f["film"], f["votes"], f["rating"], f["filmid"])
+    return F.concat_ws(",", F.transform("items", entry))
 
 
 @query(
     "d12_actors_cumulative",
+    using(
+        f"""SELECT f.actorid, f.stretch, f.n_films, f.films, {QUALITY_SQL.format("y.avg_rating")} AS quality_class,
+        y.year = t.top AS is_active, t.top AS current_year
+        FROM (SELECT actorid, (place - 1) // {FILMS_A_STRETCH} AS stretch, count(*) AS n_films,
+                     string_agg(year || ':' || film || ':' || votes || ':' || rating || ':' || filmid, ',' ORDER BY place) AS films
+              FROM (SELECT *, row_number() OVER (PARTITION BY actorid ORDER BY year, film, votes, rating, filmid) AS place FROM actor_films)
+              GROUP BY 1, 2) f
+        JOIN (SELECT actorid, year, CAST(sum(rating) AS DOUBLE) / count(rating) AS avg_rating FROM actor_films GROUP BY 1, 2
+              QUALIFY row_number() OVER (PARTITION BY actorid ORDER BY year DESC) = 1) y ON y.actorid = f.actorid
+        CROSS JOIN (SELECT max(year) AS top FROM actor_films) t""",
+        "actor_films",
+    ),
+)
+def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every film of every actor: the latest year on top of stored stretches and the snapshots of two years."""
+    films = views.actor_films(spark, sf_dir)
+    latest = films.agg(F.max("year")).first()[0] or LAST
+    args = ("actorid", "year", FILM, "rating")
+    before = [stretches_of.history_backfill(films, *args, y, quality, FILMS_A_STRETCH) for y in (latest - 2, latest - 1)]
+    snapshots = views.stored(spark, before[0][1].unionByName(before[1][1]), "actors", "current")
+    closed, snapshot = stretches_of.history_step(snapshots, films, *args, latest, quality, FILMS_A_STRETCH)
+    history = views.stored(spark, before[1][0].unionByName(closed), "actors-films", "closed_in")
+    rows = stretches_of.whole_history(history, snapshot, "actorid", latest, FILMS_A_STRETCH)
+    return rows.select(
+        "actorid", "stretch", F.size("items").alias("n_films"), films_text().alias("films"),
+        "quality_class", "is_active", F.col("current").alias("current_year"),
+    )
+
+
+@query(
+    "d12_actors_totals",
     using(
         """SELECT f.actorid, f.n_films, f.votes, f.ratings, f.first_film, f.last_film, y.quality_class, y.is_active, y.current_year
         FROM (SELECT actorid, count(*) AS n_films, CAST(sum(votes) AS BIGINT) AS votes, CAST(sum(rating) AS BIGINT) AS ratings,
@@ -243,7 +281,7 @@ FILM = ("film", "votes", "rating", "filmid")
         "actor_years",
     ),
 )
-def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
+def d12_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One year on top of the last partition of a stored table."""
     films = views.actor_films(spark, sf_dir)
     totals = {

@@ -67,7 +67,27 @@ def readout_sql(metric: str, kind: str) -> str:
               FROM (SELECT cell, CAST({metric} AS DOUBLE) AS x FROM exposed))"""
 
 
-NUMBERS = ("mean_control", "var_control", "mean_treatment", "var_treatment", "difference", "t_value", "degrees")
+NUMBERS = (
+    "mean_control", "var_control", "mean_treatment", "var_treatment", "difference", "t_value", "degrees", "p_value", "low", "high",
+)
+
+
+def half_mass(t: str, degrees: str) -> str:
+    """The mass of Student's density from 0 to ``t`` by Simpson's rule, another way than the operator's."""
+    density = f"exp(-({degrees} + 1) / 2 * ln(1 + pow({t} * k / 400.0, 2) / {degrees}))"
+    weighed = f"list_sum([(CASE WHEN k IN (0, 400) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * {density} FOR k IN range(401)])"
+    return f"{weighed} * {t} / 1200.0 * {peak(degrees)}"
+
+
+def peak(degrees: str) -> str:
+    return f"exp(lgamma(({degrees} + 1) / 2) - lgamma({degrees} / 2)) / sqrt({degrees} * pi())"
+
+
+#: Newton's steps to the t that leaves 5 % in both tails.
+CRITICAL = f"""(WITH RECURSIVE steps AS (SELECT metric, degrees, 1.96::DOUBLE AS t, 0 AS i FROM tested
+            UNION ALL SELECT metric, degrees, t - ({half_mass("t", "degrees")} - 0.475)
+                / ({peak("degrees")} * exp(-(degrees + 1) / 2 * ln(1 + t * t / degrees))), i + 1 FROM steps WHERE i < 6)
+        SELECT metric, t AS critical FROM steps WHERE i = 6)"""
 
 
 @query(
@@ -75,8 +95,11 @@ NUMBERS = ("mean_control", "var_control", "mean_treatment", "var_treatment", "di
     using(
         "SELECT metric, kind, n_control, n_treatment, "
         + ", ".join(f"round({c}, 4) AS {c}" for c in NUMBERS)
-        + f" FROM (WITH exposed AS (SELECT user_id, cell, n_outcomes, value // 1000000 AS spend FROM {EXPOSED}) "
-        + f"{readout_sql('n_outcomes', 'leading')} UNION ALL {readout_sql('spend', 'lagging')})",
+        + f" FROM (WITH exposed AS (SELECT user_id, cell, n_outcomes, value // 1000000 AS spend FROM {EXPOSED}), "
+        + f"tested AS ({readout_sql('n_outcomes', 'leading')} UNION ALL {readout_sql('spend', 'lagging')}) "
+        + f"SELECT tested.*, 1 - 2 * {half_mass('abs(t_value)', 'degrees')} AS p_value, "
+        + "difference - critical * abs(difference / t_value) AS low, difference + critical * abs(difference / t_value) AS high "
+        + f"FROM tested JOIN {CRITICAL} c USING (metric))",
         "purchases_by_user",
     ),
 )
@@ -92,13 +115,14 @@ def e3(spark: SparkSession, sf_dir: str) -> DataFrame:
     using(
         f"""SELECT 'repeat_buyer' AS metric, n_control, hits_control, n_treatment, hits_treatment,
             round(pt - pc, 6) AS difference,
-            round((pt - pc) / sqrt(p * (1 - p) * (1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment)), 6) AS z_value
-        FROM (SELECT *, CAST(hits_control AS DOUBLE) / n_control AS pc, CAST(hits_treatment AS DOUBLE) / n_treatment AS pt,
+            round(z, 6) AS z_value, round(1 - 2 / sqrt(2 * pi()) * abs(z) / 1200.0 * list_sum([(CASE WHEN k IN (0, 400) THEN 1
+                WHEN k % 2 = 1 THEN 4 ELSE 2 END) * exp(-pow(z * k / 400.0, 2) / 2) FOR k IN range(401)]), 6) AS p_value
+        FROM (SELECT *, (pt - pc) / sqrt(p * (1 - p) * (1.0::DOUBLE / n_control + 1.0::DOUBLE / n_treatment)) AS z FROM (SELECT *, CAST(hits_control AS DOUBLE) / n_control AS pc, CAST(hits_treatment AS DOUBLE) / n_treatment AS pt,
                      CAST(hits_control + hits_treatment AS DOUBLE) / (n_control + n_treatment) AS p
               FROM (SELECT count(*) FILTER (cell = 'control') AS n_control,
                            count(*) FILTER (cell = 'control' AND n_outcomes > 2) AS hits_control,
                            count(*) FILTER (cell = 'treatment') AS n_treatment,
-                           count(*) FILTER (cell = 'treatment' AND n_outcomes > 2) AS hits_treatment FROM {EXPOSED}))""",
+                           count(*) FILTER (cell = 'treatment' AND n_outcomes > 2) AS hits_treatment FROM {EXPOSED})))""",
         "purchases_by_user",
     ),
 )
@@ -110,11 +134,13 @@ def e3_proportion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "e4_srm",
     using(
-        f"""SELECT cell, observed, expected, round(x, 6) AS chi_square, round(sum(x) OVER (), 6) AS chi_square_total
-        FROM (SELECT *, (observed - expected) * (observed - expected) / expected AS x
+        f"""SELECT cell, observed, expected, round(x, 6) AS chi_square, round(s, 6) AS chi_square_total,
+            round(1 - 2 / sqrt(2 * pi()) * sqrt(s) / 1200.0 * list_sum([(CASE WHEN k IN (0, 400) THEN 1
+                WHEN k % 2 = 1 THEN 4 ELSE 2 END) * exp(-s * pow(k / 400.0, 2) / 2) FOR k IN range(401)]), 6) AS p_value
+        FROM (SELECT *, sum(x) OVER () AS s FROM (SELECT *, (observed - expected) * (observed - expected) / expected AS x
               FROM (SELECT p.cell, count(u.cell) AS observed, CAST(sum(count(u.cell)) OVER () AS DOUBLE) * share / sum(share) OVER () AS expected
                     FROM (VALUES ('control', 45), ('treatment', 45)) p(cell, share) LEFT JOIN {EXPOSED} u ON u.cell = p.cell
-                    GROUP BY p.cell, share))""",
+                    GROUP BY p.cell, share)))""",
         "purchases_by_user",
     ),
 )

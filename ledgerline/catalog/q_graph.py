@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import DETAIL_COLUMNS, PICK, first_row, using
 from ledgerline.operators import graph
 from ledgerline.operators.patterns import appearances, one_per_game
+from ledgerline.sources import files, schemas
 
 TEAM_COLUMNS = ("team_id", "abbreviation", "nickname", "city", "arena", "yearfounded")
 ONE_TEAM = first_row("teams", ["team_id"], TEAM_COLUMNS)
@@ -177,3 +179,44 @@ def g8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def g9(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
     return edge_columns(graph.plays_on(rows), "first_season", "last_season", "games")
+
+
+@query(
+    "g10_graph_tables",
+    using(
+        f""", pairs AS (SELECT DISTINCT a.player_id, b.player_id, CASE WHEN a.team_id = b.team_id THEN 'shares_team' ELSE 'plays_against' END AS kind
+            FROM ({ONE_APPEARANCE}) a JOIN ({ONE_APPEARANCE}) b ON a.game_id = b.game_id AND a.player_id > b.player_id)
+        SELECT 'vertices' AS of, 'game' AS type, count(DISTINCT game_id) AS n_rows, 0::BIGINT AS n_repeated_keys FROM games
+        UNION ALL SELECT 'vertices', 'player', count(DISTINCT player_id), 0 FROM game_details
+        UNION ALL SELECT 'vertices', 'team', count(DISTINCT team_id), 0 FROM teams
+        UNION ALL SELECT 'edges', 'plays_in', count(DISTINCT (player_id, game_id)), 0 FROM game_details
+        UNION ALL SELECT 'edges', 'plays_on', count(DISTINCT (player_id, team_id)), 0 FROM appearances
+        UNION ALL SELECT 'edges', kind, count(*), 0 FROM pairs GROUP BY kind""",
+        "games",
+        "game_details",
+        "teams",
+        "appearances",
+    ),
+)
+def g10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vertices and edges in the two tables of the graph, written twice as by a repeated job, with their composite keys checked."""
+    one = one_appearance(spark, sf_dir)
+    played = appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    parts = {
+        "vertices": [graph.game_vertices(views.games(spark, sf_dir)), player_vertices(spark, sf_dir), graph.team_vertices(views.teams(spark, sf_dir))],
+        "edges": [graph.plays_in(one), graph.plays_on(played), graph.pair_edges(graph.player_pairs(one))],
+    }
+    out = None
+    for name, frames in parts.items():
+        kind = schemas.TABLES[name].partitioned_by[0]
+        table = schemas.create(spark, name, f"{name}_{uuid.uuid4().hex}")
+        rows = files.stored(reduce(DataFrame.unionByName, [f.select(*spark.table(table).columns) for f in frames]), name)
+        for _ in range(2):
+            schemas.replace_partitions(rows, table)
+        counts = spark.table(table).groupBy(F.col(kind).alias("type")).agg(F.count(F.lit(1)).alias("n_rows"))
+        repeated = schemas.key_problems(spark.table(table), name).groupBy(F.col(kind).alias("type")).agg(F.count(F.lit(1)).alias("n_repeated_keys"))
+        found = counts.join(repeated, "type", "left").select(
+            F.lit(name).alias("of"), "type", "n_rows", F.coalesce("n_repeated_keys", F.lit(0)).cast("long").alias("n_repeated_keys")
+        )
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -7,6 +7,7 @@ ahead in time, which closes every window and session before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.session import scratch_path
 from ledgerline.sources import geo
+from ledgerline.streaming import daily, late, recovery, sinks, windows
 from ledgerline.streaming import events as source
-from ledgerline.streaming import sinks, windows
 
 SLICES, FILES_PER_SLICE = 4, 2
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -29,23 +30,31 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.web_events_of(source.read_table_stream(spark, f"{sf_dir}/events.parquet"))
 
 
-def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in batches of time, with a late row and a closing one, as a stream of web hits."""
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events in slices of time, and at last a late row and one that closes all windows."""
     rows = views.table(spark, sf_dir, "events")
-    path = scratch_path(spark, "events")
     span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     step = (span["hi"] - span["lo"]) / SLICES
+    slices = []
     for i in range(SLICES):
         cut = F.col("ts") >= F.lit(span["lo"] + i * step)
         if i < SLICES - 1:
             cut = cut & (F.col("ts") < F.lit(span["lo"] + (i + 1) * step))
-        rows.filter(cut).repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
-
-    late, closing = span["lo"] - timedelta(days=1), span["hi"] + timedelta(days=1)
-    marker = {"event_id": F.lit(-1), "ts": F.explode(F.array(F.lit(late), F.lit(closing))), "props": F.lit('{"k": 0}')}
+        slices.append(rows.filter(cut))
+    early, closing = span["lo"] - timedelta(days=1), span["hi"] + timedelta(days=1)
+    marker = {"event_id": F.lit(-1), "ts": F.explode(F.array(F.lit(early), F.lit(closing))), "props": F.lit('{"k": 0}')}
     fields = [marker.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != "ts"]
     last = spark.range(1).select(marker["ts"].alias("ts"), *fields).withColumn("ts", F.col("ts").cast(rows.schema["ts"].dataType))
-    last.select(rows.columns).write.mode("append").parquet(path)
+    return [*slices, last.select(rows.columns)]
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in batches of time, with a late row and a closing one, as a stream of web hits."""
+    path = scratch_path(spark, "events")
+    *slices, last = arrivals(spark, sf_dir)
+    for rows in slices:
+        rows.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+    last.write.mode("append").parquet(path)
     return views.web_events_of(source.read_table_stream(spark, path, FILES_PER_SLICE))
 
 
@@ -97,6 +106,24 @@ def t6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("m.*").groupBy("ip", "host", "url", "referrer").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "t5_batch_folders",
+    using(
+        f"""SELECT ip, {STAMP.format("event_time")} AS event_timestamp, referrer, host, url, count(*) AS n
+        FROM web_events GROUP BY ALL""",
+        "web_events",
+    ),
+)
+def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended batch by batch, each batch to a folder of its own that a rerun replaces, and read back."""
+    rows = replayed(spark, sf_dir).filter("event_id >= 0").select("ip", F.col("event_time").alias("event_timestamp"), "referrer", "host", "url")
+    path, checkpoint = scratch_path(spark, "batches"), scratch_path(spark, "batches-checkpoint")
+    sinks.start_batches(rows, path, checkpoint).awaitTermination()
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    back = sinks.batch_rows(spark, path, rows.columns, schema)
+    return back.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "t11_restart",
     using(f"SELECT event_id, count(*) AS n, min({STAMP.format('event_time')}) AS event_time FROM web_events GROUP BY 1", "web_events"),
@@ -113,6 +140,61 @@ def t11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("event_time"))
 
 
+def restarted(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``build`` over the events, stopped and started again after each slice of time, its windows left open in between."""
+    other = recovery.stream_session(spark)
+    hits = lambda path: views.web_events_of(source.read_table_stream(other, path))
+    return recovery.run_in_stretches(other, arrivals(other, sf_dir), hits, build, label)
+
+
+def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events by slices of time, but a part of the first slice comes last, as a stream of web hits."""
+    path = scratch_path(spark, "late-events")
+    first, *others = arrivals(spark, sf_dir)[:-1]
+    delayed = F.col("event_id") % 9 == 0
+    for rows in (first.filter(~delayed), *others, first.filter(delayed)):
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return views.web_events_of(source.read_table_stream(spark, path, 1))
+
+
+@query(
+    "t2_late_rows",
+    using(
+        """SELECT host, count(*) FILTER (NOT late) AS n_kept, count(*) FILTER (late) AS n_late, count(*) AS n_rows
+        FROM (SELECT host, event_id % 9 = 0 AND event_time < (SELECT min(ts) + (max(ts) - min(ts)) / 4 FROM events) AS late FROM web_events)
+        GROUP BY 1""",
+        "web_events",
+    ),
+)
+def t2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of five-minute windows takes in and what comes too late for it, per host."""
+    stream = late_arrivals(spark, sf_dir)
+    schema = ", ".join(f"{n} {t}" for n, t in stream.dtypes)
+    split = late.LateSplit(spark, scratch_path(spark, "late"), schema)
+    split.start(stream, scratch_path(spark, "late-checkpoint")).awaitTermination()
+    return split.rows().groupBy("host").agg(
+        F.count_if(~F.col("late")).alias("n_kept"), F.count_if("late").alias("n_late"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@query(
+    "t13_daily_growth",
+    using(
+        """SELECT user_id, CAST(first_day AS VARCHAR) AS first_active_date, CAST(last_active_date AS VARCHAR) AS last_active_date,
+        daily_active_state, weekly_active_state, n_dates, CAST(date AS VARCHAR) AS date FROM growth""",
+        "growth",
+    ),
+)
+def t13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth states kept by a stream of all events, day by day as event time passes them."""
+    table = daily.DailyStates(spark, scratch_path(spark, "daily"))
+    table.start(replayed(spark, sf_dir), scratch_path(spark, "daily-checkpoint")).awaitTermination()
+    last = views.table(spark, sf_dir, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    if last is not None:
+        table.finish(last)
+    return table.states().withColumn("n_dates", F.size("dates_active")).drop("dates_active")
+
+
 GEO_JOIN = """LEFT JOIN geo_ranges g ON CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536
         + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) BETWEEN ip_from AND ip_to"""
 GEO_TEXT = """CASE WHEN ip_from IS NULL THEN '{}' ELSE '{"country":"' || country || '","state":"' || state
@@ -183,6 +265,11 @@ def t8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.run_to_end(spark, {"t8": stream})["t8"]
 
 
+@query("t11_windows_recovered", tumbling_sql("host"))
+def t11_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restarted(spark, sf_dir, lambda hits: windows.tumbling_hits(hits, "event_time", ["host"]), "t11w")
+
+
 @query(
     "t12_two_outputs",
     using(
@@ -246,6 +333,20 @@ def t9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.run_to_end(spark, {"t9": stream})["t9"]
 
 
+@query(
+    "t11_sessions_recovered",
+    using(
+        f"""SELECT ip, host, {STAMP.format("s")} AS session_start, {STAMP.format("e")} AS session_end, n AS num_events
+        FROM {SESSIONS}""",
+        "web_events",
+    ),
+)
+def t11_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that reach over a stop of the job go on after it."""
+    gap = f"{GAP_SECONDS} seconds"
+    return restarted(spark, sf_dir, lambda hits: windows.sessions(hits, "event_time", ["ip", "host"], gap), "t11s")
+
+
 @query(
     "t9_sessions_table",
     using(

@@ -223,7 +223,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
 
 
 def using(body: str, *names: str) -> str:
-    """``body`` preceded by the views it names and the views those need."""
+    """``body`` preceded by the views it names and the views those need; it may begin with a comma and views of its own."""
     wanted: set[str] = set()
 
     def add(name: str) -> None:

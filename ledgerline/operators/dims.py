@@ -117,67 +117,6 @@ def quality_class(rows: DataFrame, key: str, year: str, rating: str, classify: C
     return latest.select(key, "last_year", average.alias("avg_rating"), classify(average).alias("quality_class"))
 
 
-def _films_of(rows: DataFrame, key: str, year: str, item_cols: Sequence[str], rating: str) -> DataFrame:
-    """Per entity: its items by year and name, rating sums of its latest year, and that year."""
-    per_year = rows.groupBy(key, year).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(year), *item_cols))).alias("_items"),
-        F.sum(rating).alias("_sum"),
-        F.count(rating).alias("_n"),
-    )
-    return per_year.groupBy(key).agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(year, "_items"))), lambda e: e["_items"])).alias("items"),
-        F.max_by(F.struct("_sum", "_n"), year).alias("_latest"),
-        F.max(year).alias("_last"),
-    )
-
-
-def films_snapshot(
-    rows: DataFrame, key: str, year: str, item_cols: Sequence[str], rating: str, as_of: int, classify: Classify
-) -> DataFrame:
-    """One row per entity as of a year: all items so far, class of its latest year, activity flag.
-
-    ``items`` is one array of structs (year, ``item_cols``) in that order: one
-    entity's items must fit a value. ``films_totals`` has no such limit.
-    """
-    found = _films_of(rows.filter(F.col(year) <= as_of), key, year, item_cols, rating)
-    return found.select(
-        key,
-        "items",
-        classify(ratio(F.col("_latest._sum"), F.col("_latest._n"))).alias("quality_class"),
-        (F.col("_last") == as_of).alias("is_active"),
-        F.lit(as_of).alias("current_year"),
-    )
-
-
-def films_step(
-    prev: DataFrame,
-    rows: DataFrame,
-    key: str,
-    year: str,
-    item_cols: Sequence[str],
-    rating: str,
-    as_of: int,
-    classify: Classify,
-) -> DataFrame:
-    """Last year's snapshot and the items of ``as_of`` make this year's: the same rows as ``films_snapshot``.
-
-    Of ``prev`` only the snapshot of ``as_of`` - 1 is read, and its absence is
-    an error; of ``rows`` only one year.
-    """
-    now = _films_of(rows.filter(F.col(year) == as_of), key, year, item_cols, rating).alias("n")
-    p = snapshot_before(prev, "current_year", as_of - 1).alias("p")
-    empty = F.array().cast(prev.schema["items"].dataType)
-    here = F.col("n._last").isNotNull()
-    average = ratio(F.col("n._latest._sum"), F.col("n._latest._n"))
-    return p.join(now, F.col(f"p.{key}") == F.col(f"n.{key}"), "full_outer").select(
-        F.coalesce(f"p.{key}", f"n.{key}").alias(key),
-        F.concat(F.coalesce("p.items", empty), F.coalesce(F.col("n.items").cast(prev.schema["items"].dataType), empty)).alias("items"),
-        F.when(here, classify(average)).otherwise(F.col("p.quality_class")).alias("quality_class"),
-        here.alias("is_active"),
-        F.lit(as_of).alias("current_year"),
-    )
-
-
 def _totals_of(
     rows: DataFrame, key: str, year: str, rating: str, sums: dict[str, str], ends: dict[str, tuple[str, str]], count: str
 ) -> DataFrame:

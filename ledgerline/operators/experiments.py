@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import hash_percent
+from ledgerline.functions.distributions import chi_square_p, normal_p, student_p, student_quantile
 
 
 def assign_cells(
@@ -67,9 +68,12 @@ def conversion(units: DataFrame, cell: str, converted: Column) -> DataFrame:
 
 
 def readouts(
-    units: DataFrame, cell: str, control: str, treatment: str, metrics: Sequence[tuple[str, str]]
+    units: DataFrame, cell: str, control: str, treatment: str, metrics: Sequence[tuple[str, str]], level: float = 0.95
 ) -> DataFrame:
-    """Means, variances and Welch's t between two cells, one row per (metric, kind); units are read once."""
+    """Means, variances and Welch's t between two cells, one row per (metric, kind); units are read once.
+
+    ``p_value`` is two-sided, ``low`` and ``high`` bound the difference at ``level``.
+    """
     stats, entries = [], []
     for i, (metric, kind) in enumerate(metrics):
         x = F.col(metric).cast("double")
@@ -89,9 +93,16 @@ def readouts(
         spread * spread,
         F.try_divide(part_c * part_c, F.col("n_control") - 1) + F.try_divide(part_t * part_t, F.col("n_treatment") - 1),
     )
-    return rows.select(
+    tested = rows.select(
         "*", lift.alias("difference"), F.try_divide(lift, F.sqrt(spread)).alias("t_value"), freedom.alias("degrees")
     )
+    reach = student_quantile(level, F.col("degrees")) * F.sqrt(spread)
+    return tested.select(
+        "*",
+        student_p(F.col("t_value"), F.col("degrees")).alias("p_value"),
+        (F.col("difference") - reach).alias("low"),
+        (F.col("difference") + reach).alias("high"),
+    )
 
 
 def readout(units: DataFrame, cell: str, control: str, treatment: str, metric: str, kind: str) -> DataFrame:
@@ -100,7 +111,7 @@ def readout(units: DataFrame, cell: str, control: str, treatment: str, metric: s
 
 
 def proportion_test(units: DataFrame, cell: str, control: str, treatment: str, hit: Column, name: str) -> DataFrame:
-    """Two-proportion z with pooled variance between two cells, as one row."""
+    """Two-proportion z with pooled variance between two cells and its two-sided p-value, as one row."""
     aggs = []
     for tag, label in (("control", control), ("treatment", treatment)):
         own = F.col(cell) == label
@@ -110,7 +121,7 @@ def proportion_test(units: DataFrame, cell: str, control: str, treatment: str, h
     p_c, p_t = F.try_divide(F.col("hits_control"), n_c), F.try_divide(F.col("hits_treatment"), n_t)
     pooled = F.try_divide(F.col("hits_control") + F.col("hits_treatment"), n_c + n_t)
     error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n_c) + F.try_divide(F.lit(1.0), n_t)))
-    return row.select(
+    tested = row.select(
         F.lit(name).alias("metric"),
         "n_control",
         "hits_control",
@@ -119,10 +130,11 @@ def proportion_test(units: DataFrame, cell: str, control: str, treatment: str, h
         (p_t - p_c).alias("difference"),
         F.try_divide(p_t - p_c, error).alias("z_value"),
     )
+    return tested.withColumn("p_value", normal_p(F.col("z_value")))
 
 
 def sample_ratio(units: DataFrame, cell: str, planned: Sequence[tuple[str, int]]) -> DataFrame:
-    """Observed and planned units per planned cell with its chi-square share, and the sum over all cells.
+    """Observed and planned units per planned cell with its chi-square share, the sum over all cells and its p-value.
 
     Rows start from the plan, so a cell that got no unit is there with 0.
     """
@@ -135,4 +147,5 @@ def sample_ratio(units: DataFrame, cell: str, planned: Sequence[tuple[str, int]]
     scored = rows.select(F.col("_cell").alias(cell), "observed", expected.alias("expected"))
     gap = F.col("observed") - F.col("expected")
     scored = scored.withColumn("chi_square", F.try_divide(gap * gap, F.col("expected")))
-    return scored.withColumn("chi_square_total", F.sum("chi_square").over(whole))
+    scored = scored.withColumn("chi_square_total", F.sum("chi_square").over(whole))
+    return scored.withColumn("p_value", chi_square_p(F.col("chi_square_total"), F.lit(len(planned) - 1)))

@@ -4,7 +4,7 @@ A window partitioned by key alone sends the whole key to one task. Here the
 key's rows are cut into time chunks first: each chunk is summarised with a
 partial aggregate, the short list of summaries is put in order per key, and
 the result is joined back on (key, chunk). ``chunk`` must not decrease in the
-row order; e.g. the day with a stretch of ids, which bounds what a chunk holds.
+row order; ``chunked`` makes one that holds a limited number of rows.
 """
 
 from __future__ import annotations
@@ -21,6 +21,31 @@ def _before(keys: Sequence[str], chunk: str) -> Window:
     )
 
 
+def chunked(
+    df: DataFrame, keys: Sequence[str], coarse: str, fine: str, rows: int = 100_000, name: str = "_chunk"
+) -> DataFrame:
+    """Add ``name``, a chunk that follows (``coarse``, ``fine``) and the number of rows, however sparse the values.
+
+    Rows are counted per key and coarse value, e.g. a day. Consecutive days share
+    a chunk of some ``rows``; a day with more is cut into stretches of the whole
+    number ``fine`` between its least and largest there.
+    """
+    counted = df.groupBy(*keys, coarse).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(fine).alias("_low"), F.max(fine).alias("_high")
+    )
+    before = F.coalesce(F.sum("_n").over(_before(keys, coarse)), F.lit(0))
+    placed = counted.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(coarse).alias("_coarse"),
+        F.floor(before / rows).alias("_chunk_of"), F.ceil(F.col("_n") / rows).alias("_parts"), "_low", "_high",
+    )
+    same = F.col(coarse).eqNullSafe(F.col("_coarse"))
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_k{i}"))
+    share = (F.col(fine) - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
+    part = F.when(F.col("_parts") > 1, F.coalesce(F.floor(share * F.col("_parts")), F.lit(-1))).otherwise(0)
+    return df.join(placed, same).select(*df.columns, F.struct(F.col("_chunk_of").alias("chunk"), part.alias("part")).alias(name))
+
+
 def running_sums(
     df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], values: dict[str, Column]
 ) -> DataFrame:

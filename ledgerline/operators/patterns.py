@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ratio
 from ledgerline.operators.grouping import dedupe
-from ledgerline.operators.ordered import longest_run, stretch_best
+from ledgerline.operators.ordered import chunked, longest_run, stretch_best
 
 OVERALL = "(overall)"
 UNKNOWN = "unknown"
@@ -181,11 +181,6 @@ def rolling_counts(
     )
 
 
-def _stretch_of_games(ids: int = 100_000) -> Column:
-    """A day and a stretch of game ids: it follows (game_date, game_id) and holds ``ids`` games at most."""
-    return F.struct(F.col("game_date").alias("day"), F.floor(F.col("game_id") / ids).alias("ids"))
-
-
 def team_games(games: DataFrame) -> DataFrame:
     """Two rows per game, one for each side, with a ``won`` flag."""
     sides = F.array(
@@ -197,14 +192,14 @@ def team_games(games: DataFrame) -> DataFrame:
 
 def win_stretch(games: DataFrame, length: int = 90) -> DataFrame:
     """Most wins of each team in any ``length`` games in a row."""
-    rows = team_games(games).withColumn("_chunk", _stretch_of_games())
+    rows = chunked(team_games(games), ["team_id"], "game_date", "game_id")
     won = F.col("won").cast("int")
     return stretch_best(rows, ["team_id"], "_chunk", ["game_date", "game_id"], won, length, "most_wins")
 
 
 def scoring_streak(appearances: DataFrame, above: int = 10) -> DataFrame:
     """Most games in a row in which each player scored more than ``above``."""
-    rows = appearances.withColumn("_chunk", _stretch_of_games())
+    rows = chunked(appearances, ["player_id"], "game_date", "game_id")
     hit = F.col("pts") > above
     return longest_run(rows, ["player_id"], "_chunk", ["game_date", "game_id"], hit, "longest_streak")
 

@@ -9,17 +9,14 @@ from pyspark.sql import functions as F
 def snapshot_before(prev: DataFrame, column: str, before: object) -> DataFrame:
     """The rows of ``prev`` whose ``column`` is ``before``.
 
-    ``prev`` may be one snapshot or a stored table of many, whose other
-    partitions are then not read. A ``prev`` with rows but none of that
-    snapshot is an error when the query runs; an empty one is a first step.
-    The check reads ``column`` of ``prev`` once more, so steps expect a stored
-    snapshot, not a chain of unstored steps.
+    ``prev`` may be one snapshot or a stored table of many; only that partition
+    is read, to see when the step is built whether it has a row and when the step
+    runs. If it has none, ``prev`` must be empty, which makes a first step: else
+    the snapshot that the step continues is missing, which is an error.
     """
-    seen = prev.agg(F.max(column).alias("_last"), F.count_if(F.col(column) == F.lit(before)).alias("_n"))
-    message = F.concat(F.lit(f"needs the snapshot of {before}, the latest is "), F.col("_last").cast("string"))
-    missing = (F.col("_n") == 0) & F.col("_last").isNotNull()
-    refused = seen.filter(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(F.lit(False)))
-    # nulls that only a run can tell: a plain null would let a later filter drop the check unrun
-    nulls = [F.get(F.array(F.lit(None).cast(f.dataType)), F.col("_n").cast("int")).alias(f.name) for f in prev.schema.fields]
-    nothing = refused.select(*nulls)
-    return prev.filter(F.col(column) == F.lit(before)).unionByName(nothing)
+    found = prev.filter(F.col(column) == F.lit(before))
+    if found.isEmpty():
+        latest = prev.agg(F.max(column)).first()[0]
+        if latest is not None:
+            raise ValueError(f"needs the snapshot of {before}, the latest is {latest}")
+    return found

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 from ledgerline.sources.files import write_partitioned
 
 
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep ``df`` while several results are stored from it, and release it.
+
+    What is kept is a copy: if an executor is lost its part is computed again.
+    Write results inside the block; one that runs later computes ``df`` anew.
+    """
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def run_job(
     spark: SparkSession,
     source: str,

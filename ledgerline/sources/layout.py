@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.grouping import assign_part, large_groups, replicate, spread, with_parts
@@ -65,17 +65,89 @@ def file_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out
 
 
+def _whole_number(df: DataFrame, column: str) -> Column:
+    """A column's place in its order as a whole number: days, microseconds, or the first five bytes of a text."""
+    kind = df.schema[column].dataType.simpleString()
+    value = F.col(column)
+    if kind == "string":
+        head = F.rpad(F.substring(value.cast("binary"), 1, 5), 5, b"\0")
+        return F.conv(F.hex(head), 16, 10).cast("long")
+    if kind == "date":
+        return F.unix_date(value).cast("long")
+    return F.unix_micros(value) if kind == "timestamp" else value.cast("long")
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 5, name: str = "interleaved") -> DataFrame:
+    """Add a sort key that mixes the leading bits of several columns, so that rows near in all of them lie together.
+
+    Each column is scaled to 0 .. 2^``bits`` - 1 between its least and largest
+    value; null counts as least. Bits go in turn, the first column's first.
+    """
+    ends = [f(_whole_number(df, c)).alias(f"{tag}{i}") for i, c in enumerate(columns) for tag, f in (("lo", F.min), ("hi", F.max))]
+    row = df.agg(*ends).first()
+    top = (1 << bits) - 1
+    key = F.lit(0).cast("long")
+    for i, column in enumerate(columns):
+        low, high = row[f"lo{i}"] or 0, row[f"hi{i}"] or 0
+        # both factors are below 2^51, so the quotient is exact where it is rounded down
+        scaled = F.coalesce(F.floor((_whole_number(df, column) - low) * top / max(high - low, 1)), F.lit(0)).cast("int")
+        for bit in range(bits):
+            own = F.shiftright(scaled, bit).bitwiseAND(1).cast("long")
+            key = key + F.shiftleft(own, bit * len(columns) + len(columns) - 1 - i)
+    return df.withColumn(name, key)
+
+
+def in_equal_files(df: DataFrame, order: Sequence[str], path: str, files: int) -> str:
+    """Store ``df`` in ``files`` folders of equal row counts, cut from its total ``order``.
+
+    The order is made by range partitions; their rows are counted and the counts
+    added up, so no task sees all rows. ``order`` must tell all rows apart for
+    files that do not depend on arrival.
+    """
+    spark = df.sparkSession
+    ordered = df.orderBy(*order).select("*", F.monotonically_increasing_id().alias("_at"))
+    fresh = scratch_path(spark, "ordered")
+    ordered.write.parquet(fresh)
+    rows = spark.read.schema(ordered.schema).parquet(fresh).withColumn("_run", F.shiftright("_at", 33))
+    runs = rows.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    total = Window.partitionBy(F.lit(1))
+    starts = runs.select("_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(total).alias("_total"))
+    place = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    placed = rows.join(starts, "_run").withColumn("file", F.floor(place * files / F.col("_total")).cast("int"))
+    dealt = placed.repartition("file").sortWithinPartitions("file", "_at")
+    dealt.select(*df.columns, "file").write.partitionBy("file").parquet(path)
+    return path
+
+
+def files_touched(spark: SparkSession, path: str, filters: dict[str, tuple[str, object]]) -> DataFrame:
+    """One row: files of ``in_equal_files`` and how many each filter (column, value) must open by their least and largest values."""
+    columns = sorted({c for c, _ in filters.values()})
+    ends = [f(c).alias(f"{tag}_{c}") for c in columns for tag, f in (("lo", F.min), ("hi", F.max))]
+    per_file = spark.read.parquet(path).groupBy("file").agg(F.count(F.lit(1)).alias("_n"), *ends)
+    hit = {n: F.count_if(F.lit(v).between(F.col(f"lo_{c}"), F.col(f"hi_{c}"))).alias(n) for n, (c, v) in filters.items()}
+    return per_file.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), *hit.values())
+
+
 def layout_study(
-    df: DataFrame, by: Sequence[str], sort_keys: dict[str, Sequence[str]], partitions: int | None = None
+    df: DataFrame, sort_keys: dict[str, Sequence[str]], total_order: Sequence[str], filters: dict[str, tuple[str, object]], files: int
 ) -> DataFrame:
-    """Write one copy per candidate sort order and report what each takes on disk."""
+    """A row per candidate order: files, rows, bytes on disk, files that each filter touches, and the rank by bytes.
+
+    Every candidate is followed by ``total_order``, which tells rows apart, and
+    cut into ``files`` files of equal row counts, so that both figures can be
+    repeated on the same rows and engine.
+    """
     spark = df.sparkSession
-    paths = {}
+    out = None
     for name, sort in sort_keys.items():
-        path = scratch_path(spark, f"layout-{name}")
-        sorted_within(df, by, sort, partitions).write.parquet(path)
-        paths[name] = path
-    return file_stats(spark, paths)
+        order = list(dict.fromkeys([*sort, *total_order]))
+        path = in_equal_files(df, order, scratch_path(spark, f"layout-{name}"), files)
+        size = file_stats(spark, {name: path}).select("table_name", "n_bytes")
+        one = size.join(files_touched(spark, path, filters).select(F.lit(name).alias("table_name"), "*"), "table_name")
+        out = one if out is None else out.unionByName(one)
+    by_size = Window.partitionBy(F.lit(1)).orderBy("n_bytes", "table_name")  # one row per candidate
+    return out.withColumn("rank_by_bytes", F.row_number().over(by_size))
 
 
 #: More buckets than this and a table's files outgrow the catalog; the engine refuses 100,000.
@@ -126,6 +198,27 @@ def write_bucketed(
     return spark.table(name)
 
 
+def pruning_session(spark: SparkSession) -> SparkSession:
+    """A session over the same catalog whose joins of stored tables prune folders and stay in place.
+
+    Folders of one side are pruned by the rows that a filter leaves on the other,
+    also where neither side is small enough to broadcast; and buckets count as
+    co-located though the join compares further columns. The caller's own session
+    keeps its settings.
+    """
+    other = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.autoBroadcastJoinThreshold"):
+        other.conf.set(name, spark.conf.get(name))
+    other.conf.set("spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly", "false")
+    other.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return other
+
+
+def table_name(df: DataFrame) -> str:
+    """The catalog name of a frame that is a stored table and nothing else."""
+    return df._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().unquotedString()
+
+
 _STORED: dict[tuple[str, ...], object] = {}
 
 
@@ -144,6 +237,7 @@ def colocate(
     by: Sequence[str],
     buckets: int | None = None,
     max_rows: int = 1_000_000,
+    partition_by: Sequence[str] = (),
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Bucket several tables on ``key`` so that they join without a shuffle.
 
@@ -151,8 +245,9 @@ def colocate(
     split here: rows of ``large`` are hashed by ``by`` over the key's parts.
     Another table with its own ``by`` columns is hashed the same way; one given
     with ``None`` is repeated once per part. All are bucketed on (key, part).
-    A join that compares further columns stays in place only with
-    ``spark.sql.requireAllClusterKeysForCoPartition`` off.
+    With ``partition_by``, columns that all tables have, each table has a folder
+    per value and buckets inside. A join that compares further columns, such as
+    those, stays in place only in a ``pruning_session``.
     """
     parts, rows = stored_parts(large, key, max_rows)
     number = buckets or buckets_for(rows)
@@ -161,6 +256,6 @@ def colocate(
     def store(name: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
         sized = with_parts(df, parts, [key])
         placed = replicate(sized) if columns is None else assign_part(sized, columns)
-        return write_bucketed(placed, name, keys, number)
+        return write_bucketed(placed, name, keys, number, partition_by)
 
     return store("large", large, by), {name: store(name, df, columns) for name, (df, columns) in others.items()}

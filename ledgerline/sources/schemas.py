@@ -41,10 +41,17 @@ TABLES = {
         ),
         Table(
             "actors",
-            "actorid bigint, items array<struct<year int, film string, votes int, rating int, filmid string>>, "
-            "quality_class string, is_active boolean, current_year int",
-            ("actorid", "current_year"),
-            ("current_year",),
+            "actorid bigint, n_items bigint, items array<struct<year int, film string, votes int, rating int, filmid string>>, "
+            "quality_class string, is_active boolean, current int",
+            ("actorid", "current"),
+            ("current",),
+        ),
+        Table(
+            "actors_films",
+            "actorid bigint, stretch bigint, items array<struct<year int, film string, votes int, rating int, filmid string>>, "
+            "closed_in int",
+            ("actorid", "stretch"),
+            ("closed_in",),
         ),
         Table(
             "actors_history_scd",

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
+import os
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from ledgerline.catalog import views
+from ledgerline.catalog import q_batch, views
 from ledgerline.operators import experiments, matches, web
 from ledgerline.operators.grouping import lists_by_range
 from ledgerline.plans import inspect
-from ledgerline.plans.jobs import run_job, run_table_job
+from ledgerline.plans.jobs import cached, run_job, run_table_job
 from ledgerline.session import scratch_path, scratch_root
 from ledgerline.sources import files, geo, layout
 
@@ -177,10 +179,102 @@ def test_hot_value_is_dealt_over_partitions(spark):
 
 def test_sorted_copy_is_smaller(spark, small):
     df = views.match_details(spark, small).join(views.matches(spark, small), "match_id")
-    out = layout.layout_study(df, ["playlist_id"], {"low": ["playlist_id", "mapid", "match_id"], "high": ["player_gamertag"]}, 2)
+    orders = {"low": ["playlist_id", "mapid", "match_id"], "high": ["player_gamertag"]}
+    tie = ["match_id", "player_gamertag", "player_total_deaths"]
+    out = layout.layout_study(df, orders, tie, {"on_map": ("mapid", 7)}, 8)
     got = {r["table_name"]: r for r in out.collect()}
     assert got["low"]["n_rows"] == got["high"]["n_rows"] == df.count()
-    assert got["low"]["n_bytes"] < got["high"]["n_bytes"]
+    assert got["low"]["n_files"] == got["high"]["n_files"] == 8
+    assert got["low"]["n_bytes"] < got["high"]["n_bytes"] and (got["low"]["rank_by_bytes"], got["high"]["rank_by_bytes"]) == (1, 2)
+    again = {r["table_name"]: r for r in layout.layout_study(df.repartition(5), orders, tie, {"on_map": ("mapid", 7)}, 8).collect()}
+    assert {n: (r["rank_by_bytes"], r["on_map"]) for n, r in got.items()} == {n: (r["rank_by_bytes"], r["on_map"]) for n, r in again.items()}
+
+
+def test_files_are_equal_cuts_of_the_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    path = layout.in_equal_files(df.repartition(6), ["v"], scratch_path(spark, "equal"), 8)
+    got = spark.read.parquet(path).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    assert rows(got) == [(i, 125, 125 * i, 125 * i + 124) for i in range(8)]
+    assert spark.read.parquet(path).select("_metadata.file_path").distinct().count() == 8
+    touched = layout.files_touched(spark, path, {"one": ("v", 300), "none": ("v", 5000)})
+    assert rows(touched, "n_files", "n_rows", "one", "none") == [(8, 1000, 1, 0)]
+
+
+def test_no_rows_no_files(spark):
+    path = layout.in_equal_files(spark.range(0), ["id"], scratch_path(spark, "none"), 4)
+    assert [f for f in os.listdir(path) if f.startswith("file=")] == []
+
+
+def test_interleaved_order_serves_every_column(spark):
+    df = spark.range(64 * 64).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"))
+    mixed = layout.interleaved(df, ["a", "b"], 6)
+    want = {(x, y): sum((x >> i & 1) << 2 * i + 1 | (y >> i & 1) << 2 * i for i in range(6)) for x in range(64) for y in range(64)}
+    assert {(r.a, r.b): r.interleaved for r in mixed.collect()} == want
+    touched = {}
+    for name, order in (("mixed", ["interleaved"]), ("by a", ["a", "b"])):
+        path = layout.in_equal_files(mixed, [*order, "a", "b"], scratch_path(spark, "z"), 64)
+        touched[name] = rows(layout.files_touched(spark, path, {"one": ("a", 9), "other": ("b", 9)}), "one", "other")[0]
+    assert touched == {"mixed": (8, 8), "by a": (1, 64)}
+
+
+def test_interleaved_keys_of_texts_days_and_nulls(spark):
+    data = [("1-URGENT", date(2024, 1, 1)), ("2-HIGH", date(2024, 1, 31)), (None, None), ("", date(2024, 1, 16)), ("3", None)]
+    got = layout.interleaved(spark.createDataFrame(data, "t string, d date"), ["t", "d"], 5)
+    keys = {(r.t, r.d): r.interleaved for r in got.collect()}
+    assert keys[(None, None)] == 0 and len(set(keys.values())) == 5
+    assert max(keys, key=lambda k: keys[k])[0] == "2-HIGH"  # nearly highest in one, highest in the other
+    assert layout.interleaved(spark.createDataFrame([], "t string"), ["t"]).count() == 0
+
+
+def test_types_of_texts(spark):
+    data = [
+        ("1", "1", "true", "2024-01-01", "2024-01-01 10:00:00", "x", None, "2024-02-30", "9223372036854775808"),
+        ("-20", "2.5e3", "FALSE", "2023-12-31", "2024-01-01", "1", " ", "2024-01-01", "1"),
+        (None, ".5", None, " ", "2024-01-01T10:00:00Z", None, None, None, None),
+    ]
+    names = ["whole", "number", "flag", "day", "moment", "mixed", "blank", "no such day", "too large"]
+    texts = spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in names))
+    types = files.infer_types(texts)
+    assert types == dict(zip(names, ["bigint", "double", "boolean", "date", "timestamp", "string", "string", "string", "double"]))
+    got = files.cast_types(texts, types)
+    assert [t for _, t in got.dtypes] == list(types.values())
+    assert rows(got.select("whole", "number", "day")) == sorted([(1, 1.0, date(2024, 1, 1)), (-20, 2500.0, date(2023, 12, 31)), (None, 0.5, None)], key=repr)
+    assert set(files.infer_types(texts.limit(0)).values()) == {"string"}
+
+
+def test_types_take_one_pass(spark, monkeypatch):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("types", "types")
+    files.infer_types(spark.range(1000).select(F.col("id").cast("string").alias("t")).repartition(1))
+    assert len(jobs.getJobIdsForGroup("types")) <= 3  # stages of one adaptive query
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_bad_lines_are_kept_whole(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text('id,n,note\n1,2.5,a\nx,1,b\n3,,"c, d"\n4,1.0\n5,1,e,f\n')
+    good, bad = files.read_csv_aside(spark, str(path), "id int, n double, note string")
+    assert rows(good) == [(1, 2.5, "a"), (3, None, "c, d")]
+    assert rows(bad) == [("4,1.0",), ("5,1,e,f",), ("x,1,b",)]
+
+
+def test_a_cached_aggregate_is_read_twice_and_released(spark, events):
+    hits = web.user_device_counts(events)
+    with cached(hits) as kept:
+        both = q_batch.rollups(kept)
+        assert inspect.count_nodes(both, "InMemoryTableScan") == 2
+        stored = files.stored(both, "both")
+        assert kept.storageLevel.useMemory
+    assert not hits.storageLevel.useMemory
+    assert inspect.count_nodes(stored, "InMemoryTableScan") == 0
+    assert rows(stored) == rows(q_batch.rollups(web.user_device_counts(events)))
+
+
+def test_a_cached_frame_is_released_after_an_error(spark):
+    df = spark.range(10)
+    with pytest.raises(RuntimeError), cached(df):
+        raise RuntimeError
+    assert not df.storageLevel.useMemory
 
 
 @pytest.fixture
@@ -228,6 +322,24 @@ def test_hot_match_is_split_over_buckets(spark):
     assert rows(joined, "match_id", "player", "map") == rows(details.join(games, "match_id"), "match_id", "player", "map")
 
 
+def test_folders_of_both_sides_are_pruned(spark, small, no_broadcast):
+    """The month of the matches prunes the details: at once if it is given, else while the query runs."""
+    given = inspect.plan_text(q_batch.s17(spark, small))
+    found = inspect.plan_text(q_batch.s17_dynamic(spark, small))
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*month#\d+ = 1996-01-01", given)) == 2
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*dynamicpruningexpression\(month#\d+ IN", found)) == 1
+    for plan in (given, found):
+        assert "SortMergeJoin" in plan and not re.search(r"Exchange hashpartitioning\(match_id", plan)
+
+
+def test_the_callers_settings_stay(spark, small):
+    name = "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly"
+    before = spark.conf.get(name)
+    other = layout.pruning_session(spark)
+    assert other.conf.get(name) == "false" and spark.conf.get(name) == before
+    assert other.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def test_filters_and_columns_reach_the_scan(spark, small):
     df = views.table(spark, small, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey")
     assert any("o_orderstatus" in f for f in inspect.pushed_filters(df))
@@ -291,7 +403,8 @@ def test_readouts_match_formulas(spark):
 def test_sample_ratio_sees_a_cell_without_units(spark):
     df = spark.createDataFrame([("a",)] * 10 + [("x",)], "cell string")
     got = rows(experiments.sample_ratio(df, "cell", [("a", 50), ("b", 50)]))
-    assert got == [("a", 10, 5.0, 5.0, 10.0), ("b", 0, 5.0, 5.0, 10.0)]
+    assert [r[:5] for r in got] == [("a", 10, 5.0, 5.0, 10.0), ("b", 0, 5.0, 5.0, 10.0)]
+    assert [r[5] for r in got] == pytest.approx([0.0015654, 0.0015654], abs=1e-7)
     none = experiments.sample_ratio(df.filter("cell = 'y'"), "cell", [("a", 50), ("b", 50)])
     assert rows(none, "cell", "observed", "chi_square") == [("a", 0, None), ("b", 0, None)]
 

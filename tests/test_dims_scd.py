@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from functools import partial
 
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from helpers import as_set, rows, settled
 from ledgerline.functions.columns import QUALITY_LADDER, SCORING_LADDER, ladder
-from ledgerline.operators import dims, growth, scd
+from ledgerline.operators import dims, growth, scd, stretches
 from ledgerline.plans import inspect
+from ledgerline.sources.files import write_partitioned
 
 scoring = partial(ladder, steps=SCORING_LADDER)
 quality = partial(ladder, steps=QUALITY_LADDER)
@@ -92,17 +94,68 @@ FILMS = "actor int, film string, year int, rating int, filmid string"
 FILM_ROWS = [(1, f"f{i}", 2000 + i % 3, i % 11, f"id{i}") for i in range(60)] + [(2, "g", 2001, 9, "g1")]
 
 
-def test_film_steps_equal_the_snapshot_row_for_row(spark):
+ITEMS = ("film", "rating", "filmid")
+
+
+def folded(df, first, last, width, max_rows=100_000):
+    """Closed stretches and snapshots of all years by steps, and the snapshot before the first."""
+    args = ("actor", "year", ITEMS, "rating")
+    closed, snapshot = stretches.history_backfill(df, *args, first, quality, width, max_rows)
+    closed, snapshots = settled(closed), [settled(snapshot)]
+    for year in range(first + 1, last + 1):
+        more, snapshot = stretches.history_step(snapshots[-1], df, *args, year, quality, width, max_rows)
+        closed, snapshots = settled(closed.unionByName(more)), [*snapshots, settled(snapshot)]
+    return closed, snapshots
+
+
+@pytest.mark.parametrize("width", [1, 4, 20, 1000])
+def test_film_steps_equal_the_backfill(spark, width):
     df = spark.createDataFrame(FILM_ROWS, FILMS)
-    args = ("actor", "year", ["film", "rating", "filmid"], "rating")
-    snapshot = dims.films_snapshot(df, *args, 1999, quality)
-    for year in (2000, 2001, 2002, 2003):
-        snapshot = settled(dims.films_step(snapshot, df, *args, year, quality))
-        whole = dims.films_snapshot(df, *args, year, quality)
-        assert rows(snapshot, *whole.columns) == rows(whole)
-        assert snapshot.groupBy("actor").count().filter("count > 1").count() == 0
-    ids = rows(snapshot.select("actor", F.explode("items.filmid").alias("id")))
-    assert ids == as_set((r[0], r[4]) for r in FILM_ROWS)
+    closed, snapshots = folded(df, 1999, 2003, width)
+    for year, snapshot in zip(range(1999, 2004), snapshots):
+        whole = stretches.history_backfill(df, "actor", "year", ITEMS, "rating", year, quality, width)
+        assert rows(snapshot, *whole[1].columns) == rows(whole[1])
+        assert rows(closed.filter(F.col("closed_in") <= year), *whole[0].columns) == rows(whole[0])
+        assert snapshot.filter(F.size("items") >= width).count() == 0
+
+
+def test_all_films_in_order_in_bounded_rows(spark):
+    many = [(7, f"big{i % 50}", 2000 + i % 3, i % 11, f"big{i:05}") for i in range(3000)]
+    data = [*FILM_ROWS, *many, *many[:5], (8, "no rating", 2000, None, "n1"), (None, "no actor", 2000, 1, "n2"), (9, "no year", None, 1, "n3")]
+    df = spark.createDataFrame(data, FILMS)
+    closed, snapshots = folded(df, 1999, 2002, 100)
+    got = stretches.whole_history(closed, snapshots[-1], "actor", 2002, 100)
+    assert got.filter("actor = 7").count() == 31 and got.filter(F.size("items") > 100).count() == 0
+    for actor in (1, 2, 7, 8):
+        items = [tuple(i) for r in sorted(got.filter(F.col("actor") == actor).collect(), key=lambda r: r.stretch) for i in r["items"]]
+        mine = [(y, f, r, i) for a, f, y, r, i in data if a == actor and y is not None]
+        assert items == sorted(mine, key=lambda t: (t[0], t[1], t[2] is not None, t[2] or 0, t[3]))
+    assert {r.actor for r in got.collect()} == {1, 2, 7, 8}
+
+
+def test_a_large_year_is_numbered_in_parts(spark):
+    many = [(7, f"f{i}", 2000 + i // 1000, i % 11, f"id{i:05}") for i in range(2000)]
+    df = spark.createDataFrame(many + FILM_ROWS, FILMS)
+    numbered = stretches.number_items(df, "actor", "year", ITEMS, max_rows=64)
+    for actor, n in ((7, 2000), (1, 60)):
+        mine = sorted(numbered.filter(F.col("actor") == actor).select("ordinal", "year").collect())
+        assert [r.ordinal for r in mine] == list(range(n))
+        assert [r.year for r in mine] == sorted(r.year for r in mine)
+    closed, snapshots = folded(df, 1999, 2002, 100, max_rows=64)
+    whole = stretches.history_backfill(df, "actor", "year", ITEMS, "rating", 2002, quality, 100, 64)
+    assert rows(closed, *whole[0].columns) == rows(whole[0]) and rows(snapshots[-1], *whole[1].columns) == rows(whole[1])
+
+
+def test_a_step_reads_no_closed_stretch_and_one_snapshot(spark, tmp_path):
+    df = spark.createDataFrame(FILM_ROWS, FILMS)
+    both = [stretches.history_backfill(df, "actor", "year", ITEMS, "rating", y, quality, 8)[1] for y in (2000, 2001)]
+    path = write_partitioned(both[0].unionByName(both[1]), str(tmp_path / "actors"), ["current"])
+    prev = spark.read.schema(both[0].schema).parquet(path)
+    closed, snapshot = stretches.history_step(prev, df, "actor", "year", ITEMS, "rating", 2002, quality, 8)
+    for step in (closed, snapshot):
+        plan = inspect.plan_text(step)
+        scans = re.findall(r"PartitionFilters: \[.*?\]", plan)
+        assert scans and all("current" in s and "= 2001" in s for s in scans)
 
 
 def test_film_totals_add_up_without_lists(spark):
@@ -121,29 +174,30 @@ def test_film_totals_add_up_without_lists(spark):
         rated, ids = [r[3] for r in mine if r[3] is not None], [r[4] for r in mine if r[4] is not None]
         want = (actor, len(mine), sum(rated) if rated else None, min(ids, default=None), max(ids, default=None))
         assert want in rows(snapshot, "actor", "n_items", "ratings", "first", "last")
-    listed = dims.films_snapshot(df, "actor", "year", ["filmid"], "rating", 2003, quality)
+    listed = stretches.history_backfill(df, "actor", "year", ["filmid"], "rating", 2003, quality)[1]
     states = ("actor", "quality_class", "is_active")
     assert rows(snapshot, *states) == rows(listed, *states)
 
 
-def test_actors_query_collects_no_items(spark, small):
+def test_totals_query_collects_no_items(spark, small):
     from ledgerline.catalog import q_dims
 
-    plan = inspect.plan_text(q_dims.d12(spark, small))
+    plan = inspect.plan_text(q_dims.d12_totals(spark, small))
     assert "collect_list" not in plan and "items" not in plan
 
 
 def test_film_step_refuses_another_year(spark):
     df = spark.createDataFrame(FILM_ROWS, FILMS)
-    args = ("actor", "year", ["film"], "rating")
+    args = ("actor", "year", ITEMS, "rating")
+    snapshot = settled(stretches.history_backfill(df, *args, 2001, quality)[1])
     with pytest.raises(Exception, match="needs the snapshot of 2002"):
-        dims.films_step(dims.films_snapshot(df, *args, 2001, quality), df, *args, 2003, quality).collect()
+        stretches.history_step(snapshot, df, *args, 2003, quality)
 
 
-def test_yearly_quality_agrees_with_films_snapshot(spark):
+def test_yearly_quality_agrees_with_film_histories(spark):
     df = spark.createDataFrame(FILM_ROWS, FILMS)
     yearly = dims.yearly_quality(df, "actor", "year", "rating", 2003, quality).filter("current_year = 2002")
-    whole = dims.films_snapshot(df, "actor", "year", ["filmid"], "rating", 2002, quality)
+    whole = stretches.history_backfill(df, "actor", "year", ["filmid"], "rating", 2002, quality)[1]
     states = ("actor", "quality_class", "is_active")
     assert rows(yearly, *states) == rows(whole, *states)
 

@@ -82,3 +82,26 @@ def test_longest_run(df, data):
         return best
 
     assert got == {k: longest(v) for k, v in by_key(data).items()}
+
+
+def test_chunks_follow_rows_not_ids(spark):
+    """A thousand sparse numbers on few days are one chunk; a large day is cut; a null key or day is kept."""
+    sparse = [("a", i % 9, i * 1_000_003) for i in range(1000)]
+    large = [("b", d, i * 17) for d, n in ((1, 30), (2, 5000), (3, 30)) for i in range(n)]
+    data = [*sparse, *large, (None, 1, 5), ("c", None, 6), ("c", 1, None)]
+    df = spark.createDataFrame(data, "k string, day int, id long")
+    got = ordered.chunked(df, ["k"], "day", "id", rows=1000)
+    assert got.count() == len(data) and got.columns == ["k", "day", "id", "_chunk"]
+    sizes = {r["k"]: [] for r in got.collect()}
+    for r in got.groupBy("k", "_chunk").count().collect():
+        sizes[r["k"]].append(r["count"])
+    assert sizes["a"] == [1000] and len(sizes["b"]) in (6, 7) and max(sizes["b"]) < 1100
+    ordered_rows = sorted((r["day"], r["id"], tuple(r["_chunk"])) for r in got.filter("k = 'b'").collect())
+    assert [r[2] for r in ordered_rows] == sorted(r[2] for r in ordered_rows)
+
+
+def test_running_sums_over_chunks(spark):
+    data = [("a", i // 40, i * 101, i) for i in range(400)]
+    df = ordered.chunked(spark.createDataFrame(data, "k string, day int, id long, v int"), ["k"], "day", "id", rows=16)
+    got = ordered.running_sums(df, ["k"], "_chunk", ["day", "id"], {"total": F.col("v")})
+    assert {r["v"]: r["total"] for r in got.collect()} == {i: i * (i + 1) // 2 for i in range(400)}

@@ -18,6 +18,14 @@ def test_steps_read_one_partition(spark, small, name):
     assert re.search(r"PartitionFilters: \[[^\]]", plan)
 
 
+@pytest.mark.parametrize("name", ["d1_cumulate_step", "d10_scd2_incremental", "d14_actors_scd_incr", "f15_monthly_hits", "a1_growth_step"])
+def test_steps_read_no_other_partition(spark, small, name):
+    """No scan of a stored table stands beside the one of the wanted snapshot."""
+    plan = inspect.plan_text(contract.queries()[name](spark, small))
+    stored = [s for s in re.findall(r"FileScan parquet .*?ReadSchema", plan, re.S) if "/root/testdata" not in s]
+    assert stored and all("PartitionFilters: []" not in s for s in stored)
+
+
 @pytest.mark.parametrize("name", ["s12_bucket_join", "s14_three_way", "s17_partition_filter"])
 def test_bucketed_tables_join_where_they_lie(spark, small, name):
     setting = "spark.sql.autoBroadcastJoinThreshold"

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from helpers import rows
 from ledgerline.catalog import q_activity, q_dims, q_graph, views
-from ledgerline.operators import activity, arrays, graph, growth, patterns, quality, scd
+from ledgerline.operators import activity, arrays, graph, growth, patterns, quality, scd, stretches
 from ledgerline.sources import schemas
 from ledgerline.streaming.events import topic_options
 
@@ -23,13 +23,15 @@ def made(spark, small):
     pairs = graph.player_pairs(patterns.one_per_game(views.game_details(spark, small)))
     tracked = ["class", "is_active"]
     actors = q_dims.actor_states(spark, small)
+    films = stretches.history_backfill(
+        views.actor_films(spark, small), "actorid", "year", q_dims.FILM, "rating", 1998, q_dims.quality, 8
+    )
     return {
         "players": q_dims.history_until(spark, small, 2000),
         "players_scd": scd.scd2_backfill(states, "player_name", "current", tracked, 2000),
         "actors_history_scd": scd.scd2_backfill(actors, "actorid", "current_year", q_dims.TRACKED, 2000),
-        "actors": q_dims.dims.films_snapshot(
-            views.actor_films(spark, small), "actorid", "year", q_dims.FILM, "rating", 1998, q_dims.quality
-        ),
+        "actors_films": films[0],
+        "actors": films[1],
         "vertices": graph.game_vertices(views.games(spark, small)).unionByName(q_graph.player_vertices(spark, small)),
         "edges": graph.pair_edges(pairs),
         "users_cumulated": lists,

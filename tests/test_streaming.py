@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import as_set, rows
 from ledgerline.session import scratch_path
 from ledgerline.streaming import events as source
-from ledgerline.streaming import sinks, windows
+from ledgerline.streaming import late, recovery, sinks, windows
 
 BASE = datetime(2024, 1, 1)
 T = "event_timestamp"
@@ -163,3 +163,72 @@ def test_hits_of_a_hot_key_are_combined_before_the_shuffle(spark):
     plan = windows.tumbling_hits(df, "t", ["host"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert df.select(F.max("t")).first()[0] == BASE
+
+
+EVENT = "host string, event_time timestamp"
+
+
+def hits(spark, *minutes):
+    return spark.createDataFrame([(h, None if m is None else BASE + timedelta(minutes=m)) for h, m in minutes], EVENT)
+
+
+def test_late_rows_are_those_that_the_windows_drop(spark):
+    batches = [
+        hits(spark, ("a", 1), ("b", 4.9)),
+        hits(spark, ("a", 3), ("a", 21), ("b", None)),
+        hits(spark, ("a", 4), ("b", 19.9), ("b", 20)),  # the first two are late: their windows ended before 21 minutes less 15 seconds
+        hits(spark, ("b", 10_000)),
+    ]
+    split = late.LateSplit(spark, scratch_path(spark, "split"), EVENT)
+    folder, out = scratch_path(spark, "same"), None
+    windowed = {}
+    for number, batch in enumerate(batches):
+        for _ in range(2):  # a repeated batch replaces itself
+            split.take(batch, number)
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        stream = windows.tumbling_hits(spark.readStream.schema(EVENT).parquet(folder), "event_time", ["host"])
+        out = windowed.setdefault("out", scratch_path(spark, "same-out"))
+        run(sinks.start_append(stream, out, windowed.setdefault("point", scratch_path(spark, "same-point"))))
+    got = split.rows()
+    assert rows(got.filter("late and event_time is not null"), "host", "batch_id") == [("a", 2), ("b", 2)]
+    assert got.count() == 9 and got.filter("late").count() == 3
+    kept = windows.tumbling_hits(got.filter("not late"), "event_time", ["host"]).filter("window_start < '2024-01-02'")
+    assert rows(spark.read.parquet(out), *kept.columns) == rows(kept)
+
+
+def test_no_batch_no_rows(spark):
+    assert late.LateSplit(spark, scratch_path(spark, "nothing"), EVENT).rows().count() == 0
+
+
+def test_open_windows_are_in_the_state_at_each_stop(spark):
+    other = recovery.stream_session(spark)
+    parts = [hits(other, ("a", 1), ("b", 4)), hits(other, ("a", 2), ("a", 7)), hits(other, ("b", 8), ("b", 13)), hits(other, ("a", 10_000))]
+    stops = []
+
+    def seen(out, state):
+        keys = {(r.key.window.start, r.key.host) for r in state.collect()}
+        stops.append(({(r.window_start, r.host) for r in out.collect()}, keys))
+
+    read = lambda path: other.readStream.schema(EVENT).parquet(path)
+    out = recovery.run_in_stretches(other, parts, read, lambda df: windows.tumbling_hits(df, "event_time", ["host"]), "stops", seen)
+    known = set()
+    for (done, held), part in zip(stops, ([("a", 0), ("b", 0)], [("a", 5)], [("b", 5), ("b", 10)], [("a", 10_000)])):
+        known |= {(BASE + timedelta(minutes=m), h) for h, m in part}
+        assert done | held == known and not done & held
+    assert len(stops[0][1]) == 2 and len(stops[1][0]) == 2
+    assert rows(out) == as_set([(BASE, "a", 2), (BASE, "b", 1), (BASE + timedelta(minutes=5), "a", 1), (BASE + timedelta(minutes=5), "b", 1), (BASE + timedelta(minutes=10), "b", 1)])
+
+
+def test_sessions_go_on_over_a_stop(spark):
+    other = recovery.stream_session(spark)
+    parts = [hits(other, ("a", 0), ("a", 4)), hits(other, ("a", 8), ("b", 9)), hits(other, ("a", 12), ("a", 40)), hits(other, ("b", 10_000))]
+    read = lambda path: other.readStream.schema(EVENT).parquet(path)
+    out = recovery.run_in_stretches(other, parts, read, lambda df: windows.sessions(df, "event_time", ["host"]), "over")
+    assert rows(out, "host", "num_events") == [("a", 1), ("a", 4), ("b", 1)]
+
+
+def test_the_callers_settings_stay(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    assert recovery.stream_session(spark).conf.get(name) == recovery.ROCKSDB
+    assert spark.conf.get(name) == before
