@@ -352,6 +352,10 @@ def studied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.layout_study(layout.interleaved(rows, MIXED), LAYOUTS, tie, FILTERS, LAYOUT_FILES)
 
 
+def match_files(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
+
+
 def stored_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Details and matches in buckets, stored once, ready to join without a shuffle."""
 
@@ -360,7 +364,7 @@ def stored_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         large, rest = layout.colocate(details, {"matches": (games, None)}, "match_id", ["player_gamertag"])
         return large, rest["matches"]
 
-    return layout.stored_once(spark, ("matches", sf_dir), build)
+    return layout.stored_once(spark, ("matches",), match_files(sf_dir), build)
 
 
 MATCH_COLUMNS = ("match_id", "player_gamertag", "player_total_kills", "player_total_deaths", "playlist_id", "mapid", "completion_date")
@@ -385,7 +389,7 @@ def dated_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         return layout.table_name(large), layout.table_name(rest["matches"])
 
     other = layout.pruning_session(spark)
-    details, games = layout.stored_once(spark, ("dated matches", sf_dir), build)
+    details, games = layout.stored_once(spark, ("dated matches",), match_files(sf_dir), build)
     return other.table(details), other.table(games)
 
 
@@ -509,7 +513,7 @@ def s14_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return stored, rest["matches"], rest["won"]
 
-    tables = layout.stored_once(spark, ("match cube", sf_dir), build)
+    tables = layout.stored_once(spark, ("match cube",), [*match_files(sf_dir), f"{sf_dir}/part.parquet"], build)
     return matches.match_cube(*tables, views.medals(spark, sf_dir), views.maps(spark, sf_dir))
 
 

@@ -14,13 +14,23 @@ from ledgerline.functions.columns import QUALITY_LADDER, SCORING_LADDER, ladder
 from ledgerline.operators import dims, scd
 from ledgerline.operators import stretches as stretches_of
 
-FIRST, LAST = 1995, 2001
+# The last season and film year there are, in SQL.
+LAST = "(SELECT max(season) FROM player_seasons)"
+LAST_FILMS = "(SELECT max(year) FROM actor_films)"
 STATICS = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
 HISTORY = ("season", "gp", "pts", "reb", "ast", "weight")
 scoring = partial(ladder, steps=SCORING_LADDER)
 quality = partial(ladder, steps=QUALITY_LADDER)
 
 
+def last_season(spark: SparkSession, sf_dir: str) -> int:
+    return views.last_year(spark, sf_dir, "orders", "o_orderdate")
+
+
+def last_films(spark: SparkSession, sf_dir: str) -> int:
+    return views.last_year(spark, sf_dir, "lineitem", "l_shipdate")
+
+
 def history_until(spark: SparkSession, sf_dir: str, last: int) -> DataFrame:
     rows = views.player_seasons(spark, sf_dir)
     return dims.cumulate_backfill(rows, "player_name", "season", last, STATICS, HISTORY, "pts", scoring)
@@ -33,9 +43,9 @@ def snapshot(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     )
 
 
-def states(spark: SparkSession, sf_dir: str, last: int = LAST) -> DataFrame:
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots without their arrays."""
-    return history_until(spark, sf_dir, last).select("player_name", "current", "class", "is_active")
+    return history_until(spark, sf_dir, last_season(spark, sf_dir)).select("player_name", "current", "class", "is_active")
 
 
 def history_text() -> Column:
@@ -97,7 +107,7 @@ def d1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def d2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(history_until(spark, sf_dir, LAST))
+    return shown(history_until(spark, sf_dir, last_season(spark, sf_dir)))
 
 
 @query(
@@ -135,7 +145,7 @@ def d3b(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def d4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.last_to_first_ratio(snapshot(spark, sf_dir, LAST), "player_name", "pts")
+    return dims.last_to_first_ratio(snapshot(spark, sf_dir, last_season(spark, sf_dir)), "player_name", "pts")
 
 
 @query(
@@ -164,7 +174,7 @@ def d6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.change_indicators(states(spark, sf_dir), "player_name", "current", ["class", "is_active"])
 
 
-def stretches(source: str, key: str, period: str, tracked: list[str], until: int, stamp: bool = True) -> str:
+def stretches(source: str, key: str, period: str, tracked: list[str], until: int | str, stamp: bool = True) -> str:
     """Histories by the difference of two row numbers, another way than the operator's."""
     cols = ", ".join(tracked)
     current = f", CAST({until} AS BIGINT) AS current" if stamp else ""
@@ -194,37 +204,37 @@ def d8(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.start_period AS open_start, CASE WHEN o.player_name IS NULL THEN 'new'
             WHEN c.class IS DISTINCT FROM o.class OR c.is_active IS DISTINCT FROM o.is_active THEN 'changed'
             ELSE 'unchanged' END AS status
-        FROM (SELECT * FROM snapshots WHERE current = 2001) c
-        LEFT JOIN (SELECT * FROM ({stretches("snapshots", "player_name", "current", ["class", "is_active"], 2000)})
-                   WHERE end_period = 2000) o ON o.player_name = c.player_name""",
+        FROM (SELECT * FROM snapshots WHERE current = {LAST}) c
+        LEFT JOIN (SELECT * FROM ({stretches("snapshots", "player_name", "current", ["class", "is_active"], f"{LAST} - 1")})
+                   WHERE end_period = {LAST} - 1) o ON o.player_name = c.player_name""",
         "snapshots",
     ),
 )
 def d9(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_states = states(spark, sf_dir)
-    tracked = ["class", "is_active"]
-    history = scd.scd2_backfill(all_states, "player_name", "current", tracked, 2000)
+    tracked, last = ["class", "is_active"], last_season(spark, sf_dir)
+    history = scd.scd2_backfill(all_states, "player_name", "current", tracked, last - 1)
     return scd.scd2_compare(
-        history.filter("end_period = 2000"), all_states.filter("current = 2001"), "player_name", tracked
+        history.filter(F.col("end_period") == last - 1), all_states.filter(F.col("current") == last), "player_name", tracked
     )
 
 
 @query(
     "d10_scd2_incremental",
-    using(stretches("snapshots", "player_name", "current", ["class", "is_active"], 2001), "snapshots"),
+    using(stretches("snapshots", "player_name", "current", ["class", "is_active"], LAST), "snapshots"),
 )
 def d10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot on top of a stored table of three."""
     all_states = states(spark, sf_dir)
-    tracked = ["class", "is_active"]
-    before = stored_histories(spark, all_states, "player_name", "current", tracked)
-    return scd.scd2_incremental(before, all_states, "player_name", "current", tracked, 2001)
+    tracked, last = ["class", "is_active"], last_season(spark, sf_dir)
+    before = stored_histories(spark, all_states, "player_name", "current", tracked, last)
+    return scd.scd2_incremental(before, all_states, "player_name", "current", tracked, last)
 
 
-def stored_histories(spark: SparkSession, rows: DataFrame, key: str, period: str, tracked: list[str]) -> DataFrame:
-    """Histories as of 1998 to 2000, one partition each."""
+def stored_histories(spark: SparkSession, rows: DataFrame, key: str, period: str, tracked: list[str], last: int) -> DataFrame:
+    """Histories as of the three years before ``last``, one partition each."""
     out = None
-    for year in (1998, 1999, 2000):
+    for year in range(last - 3, last):
         one = scd.scd2_backfill(rows, key, period, tracked, year)
         out = one if out is None else out.unionByName(one)
     return views.stored(spark, out, "histories", "current")
@@ -257,7 +267,7 @@ def films_text() -> Column:
 def d12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every film of every actor: the latest year on top of stored stretches and the snapshots of two years."""
     films = views.actor_films(spark, sf_dir)
-    latest = films.agg(F.max("year")).first()[0] or LAST
+    latest = last_films(spark, sf_dir)
     args = ("actorid", "year", FILM, "rating")
     before = [stretches_of.history_backfill(films, *args, y, quality, FILMS_A_STRETCH) for y in (latest - 2, latest - 1)]
     snapshots = views.stored(spark, before[0][1].unionByName(before[1][1]), "actors", "current")
@@ -299,7 +309,7 @@ def d12_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actor_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     films = views.actor_films(spark, sf_dir)
-    return dims.yearly_quality(films, "actorid", "year", "rating", LAST, quality)
+    return dims.yearly_quality(films, "actorid", "year", "rating", last_films(spark, sf_dir), quality)
 
 
 TRACKED = ["quality_class", "is_active"]
@@ -310,8 +320,9 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_backfill(actor_states(spark, sf_dir), "actorid", "current_year", TRACKED, 2000)
 
 
-@query("d14_actors_scd_incr", using(stretches("actor_years", "actorid", "current_year", TRACKED, 2001), "actor_years"))
+@query("d14_actors_scd_incr", using(stretches("actor_years", "actorid", "current_year", TRACKED, LAST_FILMS), "actor_years"))
 def d14(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = actor_states(spark, sf_dir)
-    before = stored_histories(spark, rows, "actorid", "current_year", TRACKED)
-    return scd.scd2_incremental(before, rows, "actorid", "current_year", TRACKED, 2001)
+    last = last_films(spark, sf_dir)
+    before = stored_histories(spark, rows, "actorid", "current_year", TRACKED, last)
+    return scd.scd2_incremental(before, rows, "actorid", "current_year", TRACKED, last)

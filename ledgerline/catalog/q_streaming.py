@@ -17,11 +17,11 @@ from ledgerline.catalog import views
 from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import using
 from ledgerline.session import scratch_path
-from ledgerline.sources import geo
+from ledgerline.sources import geo, layout
 from ledgerline.streaming import daily, late, recovery, sinks, windows
 from ledgerline.streaming import events as source
 
-SLICES, FILES_PER_SLICE = 4, 2
+SLICES, LEAST_FILES, FILE_BYTES = 4, 2, 64 << 20
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
@@ -52,10 +52,13 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events in batches of time, with a late row and a closing one, as a stream of web hits."""
     path = scratch_path(spark, "events")
     *slices, last = arrivals(spark, sf_dir)
+    # a batch is a slice: each has the same number of files, which follows the size of the table
+    size = layout.stored_bytes(spark, f"{sf_dir}/events.parquet")
+    files = max(LEAST_FILES, -(-size // (SLICES * FILE_BYTES)))
     for rows in slices:
-        rows.repartition(FILES_PER_SLICE).write.mode("append").parquet(path)
+        rows.repartition(files).write.mode("append").parquet(path)
     last.write.mode("append").parquet(path)
-    return views.web_events_of(source.read_table_stream(spark, path, FILES_PER_SLICE))
+    return views.web_events_of(source.read_table_stream(spark, path, files))
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:

@@ -35,13 +35,13 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 GROUP BY c_name, c_custkey, c_mktsegment, n_name, year(o_orderdate)
 """
 
-# One row per player and season from the first one to 2001, with the latest season so far.
+# One row per player and season from the first one to the last there is, with the latest season so far.
 SNAPSHOTS = """
 SELECT p.player_name, y.season AS current, s.season AS last_season, s.pts,
        CASE WHEN s.pts > 20 THEN 'star' WHEN s.pts > 15 THEN 'good' WHEN s.pts > 10 THEN 'average' ELSE 'bad' END AS class,
        s.season = y.season AS is_active
 FROM (SELECT player_name, min(season) AS first_season FROM player_seasons GROUP BY 1) p
-JOIN (SELECT unnest(generate_series(1995, 2001)) AS season) y ON y.season >= p.first_season
+JOIN (SELECT unnest(generate_series(min(season), max(season))) AS season FROM player_seasons) y ON y.season >= p.first_season
 JOIN player_seasons s ON s.player_name = p.player_name AND s.season <= y.season
 QUALIFY row_number() OVER (PARTITION BY p.player_name, y.season ORDER BY s.season DESC) = 1
 """
@@ -59,7 +59,7 @@ SELECT a.actorid, y.year AS current_year,
             WHEN r.avg_rating > 6 THEN 'average' ELSE 'bad' END AS quality_class,
        r.year = y.year AS is_active
 FROM (SELECT actorid, min(year) AS first_year FROM actor_films GROUP BY 1) a
-JOIN (SELECT unnest(generate_series(1995, 2001)) AS year) y ON y.year >= a.first_year
+JOIN (SELECT unnest(generate_series(min(year), max(year))) AS year FROM actor_films) y ON y.year >= a.first_year
 JOIN (SELECT actorid, year, CAST(sum(rating) AS DOUBLE) / count(rating) AS avg_rating FROM actor_films GROUP BY 1, 2) r
   ON r.actorid = a.actorid AND r.year <= y.year
 QUALIFY row_number() OVER (PARTITION BY a.actorid, y.year ORDER BY r.year DESC) = 1

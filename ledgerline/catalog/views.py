@@ -23,6 +23,11 @@ def stored(spark: SparkSession, df: DataFrame, label: str, by: str) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def last_year(spark: SparkSession, sf_dir: str, name: str, time: str) -> int:
+    """The latest year in a table, 0 for an empty one."""
+    return table(spark, sf_dir, name).agg(F.max(F.year(time))).first()[0] or 0
+
+
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("long")
 

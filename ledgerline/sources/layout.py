@@ -121,12 +121,20 @@ def in_equal_files(df: DataFrame, order: Sequence[str], path: str, files: int) -
 
 
 def files_touched(spark: SparkSession, path: str, filters: dict[str, tuple[str, object]]) -> DataFrame:
-    """One row: files of ``in_equal_files`` and how many each filter (column, value) must open by their least and largest values."""
+    """One row: files of ``in_equal_files``, their bytes and rows, and how many each filter (column, value) must open by their least and largest values."""
     columns = sorted({c for c, _ in filters.values()})
     ends = [f(c).alias(f"{tag}_{c}") for c in columns for tag, f in (("lo", F.min), ("hi", F.max))]
-    per_file = spark.read.parquet(path).groupBy("file").agg(F.count(F.lit(1)).alias("_n"), *ends)
+    rows = spark.read.parquet(path)
+    place, size = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")
+    per_file = rows.select(*columns, place, size).groupBy("_file", "_size").agg(F.count(F.lit(1)).alias("_n"), *ends)
     hit = {n: F.count_if(F.lit(v).between(F.col(f"lo_{c}"), F.col(f"hi_{c}"))).alias(n) for n, (c, v) in filters.items()}
-    return per_file.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), *hit.values())
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("_size", "n_bytes"), ("_n", "n_rows"))]
+    return per_file.agg(F.count(F.lit(1)).alias("n_files"), *sums, *hit.values())
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at ``path``, from their listing."""
+    return spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
 
 
 def layout_study(
@@ -143,8 +151,7 @@ def layout_study(
     for name, sort in sort_keys.items():
         order = list(dict.fromkeys([*sort, *total_order]))
         path = in_equal_files(df, order, scratch_path(spark, f"layout-{name}"), files)
-        size = file_stats(spark, {name: path}).select("table_name", "n_bytes")
-        one = size.join(files_touched(spark, path, filters).select(F.lit(name).alias("table_name"), "*"), "table_name")
+        one = files_touched(spark, path, filters).select(F.lit(name).alias("table_name"), "*")
         out = one if out is None else out.unionByName(one)
     by_size = Window.partitionBy(F.lit(1)).orderBy("n_bytes", "table_name")  # one row per candidate
     return out.withColumn("rank_by_bytes", F.row_number().over(by_size))
@@ -219,15 +226,24 @@ def table_name(df: DataFrame) -> str:
     return df._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().unquotedString()
 
 
-_STORED: dict[tuple[str, ...], object] = {}
+_STORED: dict[tuple, tuple[tuple, object]] = {}
+
 
+def files_mark(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Number, bytes and latest change of the files at ``paths``: another mark, other content."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max(F.unix_micros("modificationTime"))).first())
 
-def stored_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], object]) -> object:
-    """What ``build`` stored for ``key``; it runs once per application, and later queries read its tables."""
-    full = (spark.sparkContext.applicationId, *key)
-    if full not in _STORED:
-        _STORED[full] = build()
-    return _STORED[full]
+
+def stored_once(spark: SparkSession, key: tuple, paths: Sequence[str], build: Callable[[], object]) -> object:
+    """What ``build`` stored for ``key`` from the files at ``paths``, and later queries read.
+
+    It runs once per application, and again when those files change.
+    """
+    full, mark = (spark.sparkContext.applicationId, *key, *paths), files_mark(spark, paths)
+    if full not in _STORED or _STORED[full][0] != mark:
+        _STORED[full] = mark, build()
+    return _STORED[full][1]
 
 
 def colocate(

@@ -53,12 +53,13 @@ def spine_pair(spark, sf_dir):
     spans = seasons.groupBy("player_name").agg(
         F.min("season").alias("first"), *[F.max(c).alias(c) for c in q_dims.STATICS]
     )
-    calendar = spark.range(q_dims.FIRST, q_dims.LAST + 1).select(F.col("id").cast("int").alias("season"))
+    last = q_dims.last_season(spark, sf_dir)
+    calendar = spark.range(last - 6, last + 1).select(F.col("id").cast("int").alias("season"))
     grid = spans.join(calendar, F.col("first") <= F.col("season"))
     facts = seasons.select("player_name", "season", F.struct(*q_dims.HISTORY).alias("entry"))
     order = Window.partitionBy("player_name").orderBy("season")
     plain = grid.join(facts, ["player_name", "season"], "left").withColumn("history", F.collect_list("entry").over(order))
-    return plain, q_dims.history_until(spark, sf_dir, q_dims.LAST)
+    return plain, q_dims.history_until(spark, sf_dir, last)
 
 
 def incremental_pair(spark, sf_dir):

@@ -414,3 +414,14 @@ def test_parity(spark):
     with_parity = experiments.cell_parity(cells, "cell", ["red"])
     items = spark.range(5).withColumnRenamed("id", "i")
     assert rows(experiments.visible_items(with_parity, items, "i", "cell")) == [("blue", 1, 2), ("red", 0, 3)]
+
+
+def test_stored_tables_follow_their_files(spark, tmp_path):
+    path, built = str(tmp_path / "source"), []
+    spark.range(5).write.parquet(path)
+    for _ in range(2):
+        layout.stored_once(spark, ("test",), [path], lambda: built.append(1))
+    assert len(built) == 1
+    spark.range(3).write.mode("append").parquet(path)
+    layout.stored_once(spark, ("test",), [path], lambda: built.append(1))
+    assert len(built) == 2
