@@ -8,7 +8,8 @@ them out by its row of the matrix, and each shard permutes what it received.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,50 +20,108 @@ ROWS_PER_BLOCK = 1024
 FAN_OUT = 32
 
 
-def hypergeometric(u: Column, good: Column, total: Column, drawn: Column) -> Column:
-    """The number of good items among ``drawn`` of ``total``, by inversion of ``u``.
+#: Spread above which draws are made by ratio of uniforms instead of walking over the values; tries of that.
+WIDE, TRIES = 64.0, 64
+
+
+def _spread(p: Column) -> Column:
+    share = p["good"] / F.greatest(p["total"], F.lit(1))
+    left = F.greatest(p["total"] - p["drawn"], F.lit(0)) / F.greatest(p["total"] - 1, F.lit(1))
+    return F.sqrt(p["drawn"] * share * (1 - share) * left)
+
+
+def _rise(x: Column, step: Column) -> Column:
+    """log((x + step)!) - log(x!) by Stirling's series of the difference, so that large terms do not cancel."""
+    x, step = x.cast("double") + 1, step.cast("double")
+    y = x + step
+    series = (1 / y - 1 / x) / 12 - (1 / F.pow(y, 3) - 1 / F.pow(x, 3)) / 360
+    return (y - 0.5) * F.log1p(step / x) + step * F.log(x) - step + series
 
-    Weights follow the exact ratio of neighbouring probabilities; only values
-    within ten standard deviations of the mean (and ten more) are visited.
-    """
-    share = good / F.greatest(total, F.lit(1))
-    spread = F.sqrt(
-        drawn * share * (1 - share) * F.greatest(total - drawn, F.lit(0)) / F.greatest(total - 1, F.lit(1))
-    )
-    least = F.greatest(F.lit(0), drawn - (total - good), F.floor(drawn * share - 10 * spread) - 10).cast("long")
-    most = F.least(drawn, good, F.ceil(drawn * share + 10 * spread) + 10).cast("long")
 
-    def inverted(p: Column) -> Column:
-        def ratio(k: Column) -> Column:
-            up = (p["good"] - k).cast("double") * (p["drawn"] - k)
-            return up / ((k + 1).cast("double") * (p["total"] - p["good"] - p["drawn"] + k + 1))
+def _walked(p: Column) -> Column:
+    """Inversion: weights follow the exact ratio of neighbouring probabilities, ten standard deviations (and ten more) either way."""
 
-        places = F.sequence(p["least"], p["most"])
-        weight = F.aggregate(
+    def ratio(k: Column) -> Column:
+        up = (p["good"] - k).cast("double") * (p["drawn"] - k)
+        return up / ((k + 1).cast("double") * (p["total"] - p["good"] - p["drawn"] + k + 1))
+
+    places = F.sequence(p["least"], p["most"])
+    weight = F.aggregate(
+        places,
+        F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")),
+        lambda s, k: F.struct((s["w"] * ratio(k)).alias("w"), (s["sum"] + s["w"]).alias("sum")),
+        lambda s: s["sum"],
+    )
+
+    def pick(goal: Column) -> Column:
+        return F.aggregate(
             places,
-            F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")),
-            lambda s, k: F.struct((s["w"] * ratio(k)).alias("w"), (s["sum"] + s["w"]).alias("sum")),
-            lambda s: s["sum"],
+            F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), p["least"].alias("x")),
+            lambda s, k: F.struct(
+                (s["w"] * ratio(k)).alias("w"),
+                (s["sum"] + s["w"]).alias("sum"),
+                F.when(s["sum"] < goal, k).otherwise(s["x"]).alias("x"),
+            ),
+            lambda s: s["x"],
         )
 
-        def pick(goal: Column) -> Column:
-            return F.aggregate(
-                places,
-                F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), p["least"].alias("x")),
-                lambda s, k: F.struct(
-                    (s["w"] * ratio(k)).alias("w"),
-                    (s["sum"] + s["w"]).alias("sum"),
-                    F.when(s["sum"] < goal, k).otherwise(s["x"]).alias("x"),
-                ),
-                lambda s: s["x"],
-            )
+    return let(weight * p["u"], pick)
 
-        return F.when(p["least"] >= p["most"], p["least"]).otherwise(let(weight * p["u"], pick))
 
+def _tried(p: Column) -> Column:
+    """Ratio of uniforms around the mean: about four tries in five are taken, whatever the spread.
+
+    A try that is taken follows the exact law. All tries fail with a chance below
+    1 in 10^40; the mode would then be drawn. Counts stay far from their ends here.
+    """
+    # 2 sqrt(2 / e) and 3 - 2 sqrt(3 / e).
+    wide, more = 1.7155277699214135, 0.8989161620588988
+    bad = p["total"] - p["good"]
+    mean = p["drawn"] * (p["good"] / p["total"])
+    mode = F.floor((p["drawn"] + 1).cast("double") * ((p["good"] + 1) / (p["total"] + 2))).cast("long")
     given = F.struct(
-        u.alias("u"), good.alias("good"), total.alias("total"), drawn.alias("drawn"), least.alias("least"), most.alias("most")
+        mode.alias("mode"), (mean + 0.5).alias("mid"), (wide * F.sqrt(F.pow(_spread(p), 2) + 0.5) + more).alias("h"),
+        (p["good"] - mode).alias("g"), (p["drawn"] - mode).alias("d"), (bad - p["drawn"] + mode).alias("b"), p["u"].alias("u"),
     )
-    return let(given, inverted)
+
+    def search(q: Column) -> Column:
+        def log_ratio(step: Column) -> Column:
+            """Logarithm of the probability of mode + step over that of the mode."""
+            return -(_rise(q["mode"], step) + _rise(q["g"], -step) + _rise(q["d"], -step) + _rise(q["b"], step))
+
+        def once(found: Column, i: Column) -> Column:
+            def tested(t: Column) -> Column:
+                step = F.floor(q["mid"] + q["h"] * (t["v"] - 0.5) / t["x"]).cast("long") - q["mode"]
+                near = F.abs(step) < 12 * q["h"]  # beyond, the law has no weight that a double can hold
+                return let(step, lambda k: F.when(near & (2 * F.log(t["x"]) <= log_ratio(k)), q["mode"] + k))
+
+            drawn = F.struct(F.greatest(uniform(q["u"], i), F.lit(2.0**-53)).alias("x"), uniform(q["u"], i, F.lit("v")).alias("v"))
+            return F.when(found.isNotNull(), found).otherwise(let(drawn, tested))
+
+        tries = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), F.lit(None).cast("long"), once)
+        return F.coalesce(tries, q["mode"])
+
+    return let(given, search)
+
+
+def hypergeometric(u: Column, good: Column, total: Column, drawn: Column) -> Column:
+    """The number of good items among ``drawn`` of ``total``, from a uniform ``u``; its cost is bounded whatever the counts."""
+    bare = F.struct(good.alias("good"), total.alias("total"), drawn.alias("drawn"))
+
+    def bounded(p: Column) -> Column:
+        spread, mean = _spread(p), p["drawn"] * (p["good"] / F.greatest(p["total"], F.lit(1)))
+        least = F.greatest(F.lit(0), p["drawn"] - (p["total"] - p["good"]), F.floor(mean - 10 * spread) - 10).cast("long")
+        most = F.least(p["drawn"], p["good"], F.ceil(mean + 10 * spread) + 10).cast("long")
+        given = F.struct(
+            u.alias("u"), p["good"].alias("good"), p["total"].alias("total"), p["drawn"].alias("drawn"),
+            least.alias("least"), most.alias("most"), spread.alias("spread"),
+        )
+        return let(
+            given,
+            lambda q: F.when(q["least"] >= q["most"], q["least"]).when(q["spread"] > WIDE, _tried(q)).otherwise(_walked(q)),
+        )
+
+    return let(bare, bounded)
 
 
 def _sum(values: Column) -> Column:
@@ -130,6 +189,19 @@ def communication_matrix(sizes: DataFrame, blocks: int, capacities: list[int], s
     return nodes.select(F.col("node").alias("block"), F.col("caps").alias("sent"))
 
 
+def _copies_numbered(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Add ``copy``: 0 for a row like no other, 0, 1, ... for equal rows, without one task seeing all of them."""
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    named = repeated.select(*[F.col(c).alias(f"_{c}") for c in key], F.xxhash64(*key).alias("_name"))
+    marked = rows.join(named, reduce(Column.__and__, same), "left").drop(*[f"_{c}" for c in key])
+    marked = staged(marked, "shard-copies")
+    many = marked.filter("_name is not null")
+    counted = numbered(many, [F.col("_at")], F.shiftright("_at", 33), "copy", ["_name"])
+    alone = marked.filter("_name is null").withColumn("copy", F.lit(0).cast("long"))
+    return alone.unionByName(counted).select(*key, "copy")
+
+
 def shard_rows(
     df: DataFrame,
     shards: int = 40,
@@ -153,12 +225,13 @@ def shard_rows(
         (F.octet_length(text).cast("long") + 16).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    rows = staged(rows, "shard-rows")
+    row_key = ("doc_id", "size", "text_crc32")
+    rows = staged(_copies_numbered(staged(rows.withColumn("_at", F.monotonically_increasing_id()), "shard-read"), row_key), "shard-rows")
     n = rows.count()
     blocks = max(1, -(-n // rows_per_block))
-    row_key = ("doc_id", "size", "text_crc32")
-    block = F.pmod(F.xxhash64(F.lit(seed), *row_key), F.lit(blocks))
-    local = F.xxhash64(F.lit(seed + "/local"), *row_key)
+    part = F.floor(F.col("copy") / rows_per_block)
+    block = F.pmod(F.xxhash64(F.lit(seed), *row_key, part), F.lit(blocks))
+    local = F.xxhash64(F.lit(seed + "/local"), *row_key, "copy")
     again = F.lit(seed + "/again")
     placed = rows.withColumn("block", block)
     sizes = staged(placed.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "shard-blocks")
@@ -168,7 +241,7 @@ def shard_rows(
         F.sequence(F.lit(1), F.lit(shards)), lambda j: _sum(F.slice(F.col("sent"), F.lit(1), j))
     )
     ends = matrix.select("block", running.alias("ends"))
-    rank = F.row_number().over(Window.partitionBy("block").orderBy(local, *row_key)) - 1
+    rank = F.row_number().over(Window.partitionBy("block").orderBy(local, *row_key, "copy")) - 1
     sent = placed.withColumn("rank", rank).join(ends, "block")
     dealt = sent.select(
         *row_key, "rank", F.size(F.filter("ends", lambda end: end <= F.col("rank"))).alias("shard")

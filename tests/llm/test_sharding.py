@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from math import comb
+from math import comb, exp, lgamma
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +29,52 @@ def test_large_hypergeometric(spark):
     assert 375_000_000 - 100_000 < row["lo"] < row["hi"] < 375_000_000 + 100_000
 
 
+@pytest.mark.parametrize(("good", "total", "drawn"), [(60_000, 100_000, 50_000), (20_000, 1_000_000, 500_000), (400, 1000, 500)])
+def test_ratio_of_uniforms_follows_the_law(spark, monkeypatch, good, total, drawn):
+    """Counts of each value against exact probabilities, in bins of a quarter of a standard deviation."""
+    monkeypatch.setattr(sharding, "WIDE", 1.0)
+    n = 40_000
+    draws = spark.range(n).select(
+        sharding.hypergeometric(sharding.uniform("id"), F.lit(good), F.lit(total), F.lit(drawn)).alias("x")
+    )
+    spread = (drawn * (good / total) * (1 - good / total) * (total - drawn) / (total - 1)) ** 0.5
+    width = max(1, round(spread / 4))
+    mean = drawn * good // total
+    got = Counter((r["x"] - mean) // width for r in draws.collect())
+    log_all = lgamma(total + 1) - lgamma(drawn + 1) - lgamma(total - drawn + 1)
+
+    def chance(x):
+        parts = ((good, x), (total - good, drawn - x))
+        return exp(sum(lgamma(a + 1) - lgamma(b + 1) - lgamma(a - b + 1) for a, b in parts) - log_all)
+
+    for bin_ in range(-14, 15):
+        want = n * sum(chance(x) for x in range(mean + bin_ * width, mean + (bin_ + 1) * width) if 0 <= x <= min(good, drawn))
+        assert abs(got.get(bin_, 0) - want) < 5 * (want**0.5 + 1)
+
+
+def test_huge_counts_take_few_steps(spark):
+    """A root draw over 10^11 rows; walking its values would take a million steps a draw."""
+    total, good, drawn = 10**11, 10**11 // 40, 10**11 // 32
+    draws = spark.range(4000).select(
+        sharding.hypergeometric(sharding.uniform("id"), F.lit(good), F.lit(total), F.lit(drawn)).alias("x")
+    )
+    row = draws.agg(F.avg("x").alias("mean"), F.stddev("x").alias("sd"), F.count_distinct("x").alias("n")).first()
+    spread = (drawn / 40 * (39 / 40) * (31 / 32)) ** 0.5
+    assert abs(row["mean"] - drawn / 40) < 5 * spread / 4000**0.5 and abs(row["sd"] / spread - 1) < 0.06 and row["n"] > 3600
+
+
+def test_equal_rows_fill_even_blocks(spark):
+    rows = spark.range(9000, numPartitions=5).select(F.when(F.col("id") < 6000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    got = sharding.shard_rows(rows, shards=6, rows_per_block=100)
+    counts = Counter((r.shard, r.doc_id == 7) for r in got.collect())
+    assert all(counts[s, True] + counts[s, False] == 1500 for s in range(6))
+    assert all(abs(counts[s, True] - 1000) < 110 for s in range(6))
+    key = ("doc_id", "size")
+    numbered = sharding._copies_numbered(rows.select("doc_id", F.lit(20).alias("size"), F.monotonically_increasing_id().alias("_at")), key)
+    copies = sorted(r["copy"] for r in numbered.filter("doc_id = 7").collect())
+    assert copies == list(range(6000)) and numbered.filter("doc_id <> 7 and copy > 0").count() == 0
+
+
 @pytest.mark.parametrize("blocks", [1, 7, 50])
 def test_matrix_sums(spark, blocks):
     sizes = [(b, 10 + 3 * b) for b in range(blocks) if b != 3]
