@@ -56,13 +56,33 @@ def test_small_table(docs, plain):
     assert got == expected([r[:2] for r in plain])
 
 
-def test_batches_buckets_and_memory(docs, plain, monkeypatch):
+def test_batches_and_buckets(docs, plain, monkeypatch):
     monkeypatch.setattr(bpe, "DOCS_PER_BATCH", 7)
-    got = bpe.round_trip(docs, tokenizer_path(), buckets=3, remember=20, with_ids=True).collect()
+    got = bpe.round_trip(docs, tokenizer_path(), buckets=3, with_ids=True).collect()
     assert {r.doc_id: r.ids for r in got} == {r[0]: library(r[1]) for r in plain}
     assert all(r.decoded == ENCODER.tokenizer.decode(r.ids, skip_special_tokens=False) for r in got)
 
 
+def test_rows_in_another_order_at_each_read(docs, plain, monkeypatch):
+    """As after a shuffle or a repeated task: batches are made once, so words and documents still belong together."""
+
+    def shuffled(batches):
+        import os
+        import random
+
+        for batch in batches:
+            order = list(range(batch.num_rows))
+            random.Random(os.urandom(8)).shuffle(order)
+            yield batch.take(pa.array(order))
+
+    monkeypatch.setattr(bpe, "DOCS_PER_BATCH", 7)
+    loose = docs.select("doc_id", "text").mapInArrow(shuffled, "doc_id long, text string")
+    frame = bpe.round_trip(loose, tokenizer_path(), buckets=5)
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in frame.collect()}
+    assert got == expected([r[:2] for r in plain])
+    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_rows(odd):
     got = bpe.round_trip(odd, tokenizer_path()).collect()
     assert len(got) == odd.count()
