@@ -302,7 +302,7 @@ def trie(
     end here. Null role and text read as empty; a null turn comes first; repeated
     rows are turns of their own; rows without ``conv_id`` are left out. Without
     conversations there is no node. ``limit`` (by default the root of the number
-    of turns, 20,000 at least) and ``band`` shape the shards, not the result.
+    of turns, 1,000 at least) and ``band`` shape the shards, not the result.
     """
     turns, lengths = rebuilt(conversations.select("conv_id", "turn", "role", "text"), group, heads)
     paths = staged(_paths(turns, lengths), "paths")
@@ -319,7 +319,7 @@ def trie(
         counted.withColumns({"leaves": F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long"), "saved": saved}), "nodes"
     )
     if limit is None:
-        limit = max(20_000, int(paths.count() ** 0.5))
+        limit = max(1_000, int(paths.count() ** 0.5))
     totals = _totals(nodes, paths, limit, band, most)
     parents = nodes.filter("n_children > 0").select(
         (F.col("depth") + 1).alias("depth"), F.col("x").alias("px"), F.col("y").alias("py"), F.col("conv_id").alias("parent_conv_id")
