@@ -2,31 +2,29 @@
 
 Both models are interpolated bigram models over one vocabulary, estimated the
 same way: the target from documents given as good, the background from all
-documents. They count every word and every pair of words of the corpus; counts
-are summed in shuffles and come back to the texts that hold the words. A document's score is the mean over its tokens of the background's
-loss less the target's: positive means closer to the target.
+documents. They count every word and every pair of words of the corpus. Texts are
+taken in chunks; a chunk's words and pairs go out as packed lists of sorted keys
+and counts, one list per bucket of keys. A bucket merges its lists and sends back,
+in the order of each list, what the other chunks hold. A document's score is the
+mean over its tokens of the background's loss less the target's: positive means
+closer to the target.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import as_bytes, batch_of, pieces, staged, type_of
 
-#: Bytes of text whose words and bigrams are counted together before the shuffle.
-CHUNK = 16 << 20
-#: For models bounded on request. Words of the shared vocabulary; every other word is the unknown word, id 0.
-VOCABULARY = 1 << 15
-#: Cells that bigrams are hashed into; with VOCABULARY it bounds what is broadcast.
-CELLS = 1 << 20
+#: Bytes of text whose words and pairs are counted together before the shuffle.
+CHUNK = 12 << 20
 #: Weight of the bigram against the unigram estimate, in both models.
 BIGRAM_WEIGHT = 0.7
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -37,82 +35,6 @@ def tokens_of(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
-def cells_of(left: np.ndarray, right: np.ndarray, cells: int = CELLS) -> np.ndarray:
-    """Cell of each bigram of word ids."""
-    mixed = (left.astype(np.uint64) + np.uint64(1)) * _A ^ (right.astype(np.uint64) + np.uint64(1)) * _B
-    mixed ^= mixed >> np.uint64(31)
-    return (mixed * _A >> np.uint64(64 - int(cells).bit_length() + 1)).astype(np.int64)
-
-
-def vocabulary_of(texts: DataFrame, size: int = VOCABULARY) -> list[bytes]:
-    """The ``size`` - 1 most frequent words over all texts; ties go to the word that sorts first."""
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[bytes] = Counter()
-
-        def flush():
-            for at in range(0, len(items := list(total.items())), 50_000):
-                yield batch_of(schema, *zip(*items[at : at + 50_000]))
-            total.clear()
-
-        for batch in pieces(batches):
-            for raw in as_bytes(batch.column("text")):
-                total.update(tokens_of(raw))
-            if len(total) > 500_000:
-                yield from flush()
-        yield from flush()
-
-    counts = texts.select("text").mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size - 1).collect()
-    return [bytes(r["word"]) for r in top]
-
-
-def _ids(raw: bytes, number: dict[bytes, int]) -> np.ndarray:
-    get = number.get
-    return np.array([get(w, 0) for w in tokens_of(raw)], np.int64)
-
-
-def _count(texts: DataFrame, shared, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Unigram and bigram counts of the background (all rows) and the target (``good`` rows).
-
-    Each task sends its non-zero cells; what reaches the driver after the sums
-    is at most one row per word and per cell.
-    """
-    schema = pa.schema([("cell", pa.int64()), ("n", pa.int64()), ("g", pa.int64())])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        number = {w: i for i, w in enumerate(words, 1)}
-        size = len(words) + 1
-        total = np.zeros((2, size + cells), np.int64)
-        for batch in pieces(batches):
-            chosen = np.array(batch.column("good").to_pylist(), bool)
-            texts = as_bytes(batch.column("text"))
-            for kind, some in enumerate((np.ones(len(texts), bool), chosen)):
-                lists = [_ids(texts[i], number) for i in np.flatnonzero(some)]
-                if not lists:
-                    continue
-                ids = np.concatenate(lists)
-                ends = np.cumsum([len(x) for x in lists])
-                inside = np.ones(max(len(ids) - 1, 0), bool)
-                inside[ends[(ends > 0) & (ends < len(ids))] - 1] = False
-                pairs = cells_of(ids[:-1][inside], ids[1:][inside], cells)
-                total[kind] += np.bincount(np.concatenate([ids, size + pairs]), minlength=size + cells)
-        seen = np.flatnonzero(total[0])
-        for at in range(0, len(seen), 100_000):
-            some = seen[at : at + 100_000]
-            yield batch_of(schema, some, total[0][some], total[1][some])
-
-    rows = texts.mapInArrow(counted, "cell long, n long, g long").groupBy("cell")
-    size = len(shared.value) + 1
-    both = np.zeros((2, size + cells), np.int64)
-    found = rows.agg(F.sum("n").alias("n"), F.sum("g").alias("g")).toArrow()
-    at = found.column("cell").to_numpy()
-    both[0][at], both[1][at] = found.column("n").to_numpy(), found.column("g").to_numpy()
-    return both[0][:size], both[0][size:], both[1][:size], both[1][size:]
-
-
 def repeats(values: np.ndarray) -> np.ndarray:
     """How often each value occurs among ``values``."""
     _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
@@ -120,53 +42,66 @@ def repeats(values: np.ndarray) -> np.ndarray:
 
 
 def losses(
-    ids: np.ndarray,
-    cells: np.ndarray,
-    unigrams: np.ndarray,
-    bigrams: np.ndarray,
-    own: tuple[np.ndarray, np.ndarray] | None,
-    total: int | None = None,
-    size: int | None = None,
+    ids: np.ndarray, pairs: np.ndarray, words_n: np.ndarray, pairs_n: np.ndarray, own: tuple[np.ndarray, np.ndarray] | None, total: int, size: int
 ) -> np.ndarray:
-    """Loss in nats of each token; ``cells`` are those of the bigrams that end in tokens 1, 2, ...
+    """Loss in nats of each token; ``pairs`` are those that end in tokens 1, 2, ...
 
-    ``own`` are the text's own counts of its tokens and bigrams, taken off when
-    the model has seen the text: no text vouches for itself. ``total`` tokens
-    and ``size`` words are those of ``unigrams`` unless it holds only some.
+    ``own`` are the text's own counts of its tokens and pairs, taken off when the
+    model has seen the text: no text vouches for itself. The model has ``total``
+    tokens of ``size`` words.
     """
-    total, size = float(unigrams.sum() if total is None else total), len(unigrams) if size is None else size
-    words, pairs = unigrams[ids].astype(np.float64), bigrams[cells].astype(np.float64)
+    total = float(total)
+    words, both = words_n[ids].astype(np.float64), pairs_n[pairs].astype(np.float64)
     if own is not None:
-        total, words, pairs = total - len(ids), words - own[0], pairs - own[1]
+        total, words, both = total - len(ids), words - own[0], both - own[1]
     single = (words + 1.0) / (total + size)
     out = single.copy()
     before, after = words[:-1], words[1:]
-    pair = np.minimum(np.minimum(pairs, before), after)
+    pair = np.minimum(np.minimum(both, before), after)
     mixed = BIGRAM_WEIGHT * pair / np.maximum(before, 1) + (1 - BIGRAM_WEIGHT) * single[1:]
     out[1:] = np.where(before > 0, mixed, single[1:])
     return -np.log(out)
 
 
-_SCORES = pa.schema(
-    [("n_tokens", pa.int64())] + [(c, pa.float64()) for c in ("target_loss", "background_loss", "score")] + [("selected", pa.bool_())]
-)
-_NO_WORDS = (0, None, None, 0.0, False)
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _restored(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed(numbers: np.ndarray, kind: str) -> bytes:
+    """Whole numbers as byte planes, compressed: small and frequent ones take little."""
+    return _squeezed(np.ascontiguousarray(numbers.astype(kind)).view(np.uint8).reshape(len(numbers), np.dtype(kind).itemsize).T.tobytes())
+
+
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(_restored(raw), np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+
+
+_CHUNKS = "chunk long, good binary, lengths binary, ids binary, words binary, tokens long, good_tokens long"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for about ``CHUNK`` bytes of text: its documents, their words numbered within the chunk, the words' hashes."""
-    names = ["chunk", "doc_ids", "good", "lengths", "ids", "words"]
+    """One row for about ``CHUNK`` bytes of text: its documents, their words numbered within the chunk, and the words."""
+    names = ["doc_ids", *[c.split()[0] for c in _CHUNKS.split(", ")]]
     made, held = 0, 0
     docs, good, lists, number = [], [], [], {}
 
     def row() -> pa.RecordBatch:
         ids = pa.concat_arrays(docs)
-        words = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in number)
-        lengths = np.array([len(x) for x in lists], np.int32)
+        lengths, chosen = np.array([len(x) for x in lists], np.int64), np.array(good, bool)
         columns = [
-            pa.array([TaskContext.get().partitionId() << 33 | made], pa.int64()),
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-            *[pa.array([x], pa.binary()) for x in (np.array(good, bool).tobytes(), lengths.tobytes(), np.concatenate(lists).tobytes(), words)],
+            pa.array([TaskContext.get().partitionId() << 33 | made], pa.int64()),
+            pa.array([chosen.tobytes()], pa.binary()),
+            pa.array([_packed(lengths, "<i4")], pa.binary()),
+            pa.array([_packed(np.concatenate(lists), "<i4")], pa.binary()),
+            pa.array([_squeezed(b" ".join(number))], pa.binary()),
+            pa.array([int(lengths.sum())], pa.int64()),
+            pa.array([int(lengths[chosen].sum())], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -186,146 +121,161 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _grams(good: bytes, lengths: bytes, ids: bytes, words: bytes) -> tuple[np.ndarray, ...]:
-    """Of a chunk: word ids, lengths, pair number of each place but the first, the pairs' words, counts of all and of good texts."""
-    length, word = np.frombuffer(lengths, np.int32).astype(np.int64), np.frombuffer(ids, np.int32).astype(np.int64)
-    size = len(words) // 16
-    chosen = np.repeat(np.frombuffer(good, bool), length)
-    doc = np.repeat(np.arange(len(length)), length)
-    inside = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-    distinct, place = np.unique(word[inside - 1] * max(size, 1) + word[inside], return_inverse=True)
-    pair = np.full(len(word), -1)
-    pair[inside] = place
-    both = np.concatenate([word, size + place])
-    n = np.bincount(both, minlength=size + len(distinct))
-    g = np.bincount(both[np.concatenate([chosen, chosen[inside]])], minlength=size + len(distinct))
-    return word, length, pair, distinct // max(size, 1), distinct % max(size, 1), n, g
-
-
-def _keys(words: bytes, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """96 bits for each word, then for each pair of words; the last bit tells them apart.
-
-    At a thousand million distinct ones, two of them agree with a chance of 1 in 10^10.
+class _Grams:
+    """Words and pairs of a chunk: where they stand, their counts, and their keys, words first."""
+
+    def __init__(self, good: bytes, lengths: bytes, ids: bytes, words: bytes):
+        self.length, self.word = _unpacked(lengths, "<i4").astype(np.int64), _unpacked(ids, "<i4").astype(np.int64)
+        found = _restored(words).split()
+        self.size = len(found)
+        self.good = np.frombuffer(good, bool)
+        chosen = np.repeat(self.good, self.length)
+        doc = np.repeat(np.arange(len(self.length)), self.length)
+        inside = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+        distinct, place = np.unique(self.word[inside - 1] * max(self.size, 1) + self.word[inside], return_inverse=True)
+        #: the pair that ends at each place, -1 at a text's first
+        self.pair = np.full(len(self.word), -1)
+        self.pair[inside] = place
+        both = np.concatenate([self.word, self.size + place])
+        entries = self.size + len(distinct)
+        self.n = np.bincount(both, minlength=entries)
+        self.g = np.bincount(both[np.concatenate([chosen, chosen[inside]])], minlength=entries)
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), "<u8").reshape(-1, 2)
+        self.key, self.check = _keys(hashes, distinct // max(self.size, 1), distinct % max(self.size, 1))
+
+    def lists(self, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Entries of each bucket in the order of their keys; the same in every run."""
+        bucket = (self.check.astype(np.int64) >> 1) * 131 + (self.key >> np.uint64(7)).astype(np.int64) & 0x7FFFFFFF
+        bucket %= buckets
+        order = np.lexsort((self.check, self.key, bucket))
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if len(part):
+                yield int(bucket[part[0]]), part
+
+
+def _keys(h: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """80 bits for each word, then for each pair of words; the last bit tells them apart.
+
+    At ten thousand million distinct ones, two of them agree with a chance of 1 in 10,000.
     """
-    h = np.frombuffer(words, np.uint64).reshape(-1, 2)
     a, b = h[left], h[right]
     mixed = (a[:, 0] ^ a[:, 0] >> np.uint64(29)) * _A + (b[:, 0] ^ b[:, 0] >> np.uint64(31)) * _B
     mixed = (mixed ^ mixed >> np.uint64(32)) * _B
-    check = (a[:, 1] * _A + (b[:, 1] ^ b[:, 1] >> np.uint64(31)) * _B) >> np.uint64(33)
-    one, two = (h[:, 1] >> np.uint64(33)) << np.uint64(1), check << np.uint64(1) | np.uint64(1)
-    return np.concatenate([h[:, 0], mixed]).view(np.int64), np.concatenate([one, two]).astype(np.uint32).view(np.int32)
+    check = (a[:, 1] * _A + (b[:, 1] ^ b[:, 1] >> np.uint64(31)) * _B) >> np.uint64(49)
+    one, two = (h[:, 1] >> np.uint64(49)) << np.uint64(1), check << np.uint64(1) | np.uint64(1)
+    return np.concatenate([h[:, 0], mixed]), np.concatenate([one, two]).astype(np.uint16)
 
 
-_COUNTED = pa.schema([("k", pa.int64()), ("c", pa.int32()), ("chunk", pa.int64()), ("at", pa.int32()), ("n", pa.int64()), ("g", pa.int64())])
+_LISTS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64())] + [(c, pa.binary()) for c in ("keys", "checks", "n", "g")])
+_LISTS_TYPES = "bucket long, chunk long, keys binary, checks binary, n binary, g binary"
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each word and pair of a chunk; ``at`` numbers words, then pairs."""
+def _sent(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Keys and counts of each chunk, a row per bucket."""
     for batch in pieces(batches, 1):
         for row in batch.to_pylist():
-            *_, left, right, n, g = _grams(row["good"], row["lengths"], row["ids"], row["words"])
-            k, c = _keys(row["words"], left, right)
-            for i in range(0, len(k), 100_000):
-                some = slice(i, i + 100_000)
-                at = np.arange(i, i + len(k[some]), dtype=np.int32)
-                yield batch_of(_COUNTED, k[some], c[some], np.full(len(at), row["chunk"]), at, n[some], g[some])
-
-
-def _whole(marked: DataFrame, id_type: str) -> DataFrame:
-    """Scores by models that hold every word and pair of ``marked``."""
-    binary = "".join(f", {c} binary" for c in ("good", "lengths", "ids", "words"))
-    chunks = staged(marked.mapInArrow(_chunks, f"chunk long, doc_ids array<{id_type}>{binary}"), "chunks")
-    counts = chunks.mapInArrow(_counted, "k long, c int, chunk long, at int, n long, g long")
-    words = staged(counts.filter("c & 1 = 0").select("k", "c", "n", "g"), "words").groupBy("k", "c").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
-    total = words.agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"), F.sum("g").alias("g")).first()
-    # as in a bounded model, one more word is the unknown one
-    size, all_n, good_n = total["size"] + 1, total["n"] or 0, total["g"] or 0
-    # a word has a row for each chunk it stands in, so the most frequent one has as many as there are chunks
-    same = Window.partitionBy("k", "c")
-    seen = counts.withColumn("all_n", F.sum("n").over(same)).withColumn("all_g", F.sum("g").over(same))
-    # what no other chunk holds is known there
-    seen = seen.filter("all_n > n").select("chunk", "at", "all_n", "all_g")
-
-    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, docs = [], []
-        at, all_n_of, all_g_of = (right.column(c).to_numpy() for c in ("at", "all_n", "all_g"))
-        for row in range(left.num_rows):
-            parts = [left.column(c)[row].as_py() for c in ("good", "lengths", "ids", "words")]
-            word, length, pair, _, _, n, g = _grams(*parts)
-            n[at], g[at] = all_n_of, all_g_of
-            first = len(parts[3]) // 16
-            end = 0
-            for is_good, tokens in zip(np.frombuffer(parts[0], bool).tolist(), length.tolist()):
-                start, end = end, end + tokens
-                if not tokens:
-                    out.append(_NO_WORDS)
-                    continue
-                ids, pairs = word[start:end], pair[start + 1 : end]
-                own = repeats(ids), repeats(pairs)
-                target = float(losses(ids, pairs, g[:first], g[first:], own if is_good else None, good_n, size).mean())
-                background = float(losses(ids, pairs, n[:first], n[first:], own, all_n, size).mean())
-                out.append((tokens, target, background, background - target, background > target))
-            docs.append(left.column("doc_ids")[row].values)
-        made = batch_of(_SCORES, *(zip(*out) if out else [[]] * len(_SCORES)))
-        return pa.Table.from_arrays([pa.chunked_array(docs, left.schema.field("doc_ids").type.value_type), *made.columns], names=["doc_id", *_SCORES.names])
-
-    return chunks.groupBy("chunk").cogroup(seen.groupBy("chunk")).applyInArrow(scored, f"doc_id {id_type}, {_SCORE_TYPES}")
+            grams = _Grams(row["good"], row["lengths"], row["ids"], row["words"])
+            for bucket, part in grams.lists(buckets):
+                keys = grams.key[part]
+                steps = np.diff(keys, prepend=np.uint64(0))
+                packed = _packed(steps, "<u8"), _packed(grams.check[part], "<u2"), _packed(grams.n[part], "<u4"), _packed(grams.g[part], "<u4")
+                yield batch_of(_LISTS, [bucket], [row["chunk"]], *[[p] for p in packed])
+
+
+_ANSWERS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("n", pa.binary()), ("g", pa.binary()), ("words", pa.int64())])
+_ANSWERS_TYPES = "bucket long, chunk long, n binary, g binary, words long"
+
+
+def _merged(lists: pa.Table) -> pa.Table:
+    """For each list of a bucket the counts in all other lists, in its order; ``words`` adds up to the bucket's distinct words."""
+    keys = [np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64) for raw in lists.column("keys").to_pylist()]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    key = np.concatenate(keys)
+    check, n, g = (
+        np.concatenate([_unpacked(raw, kind) for raw in lists.column(c).to_pylist()]) for c, kind in (("checks", "<u2"), ("n", "<u4"), ("g", "<u4"))
+    )
+    order = np.lexsort((check, key))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    words = int((check[order][new] & 1 == 0).sum())
+    others = [np.bincount(group, weights=v, minlength=0)[group].astype(np.int64) - v for v in (n.astype(np.int64), g.astype(np.int64))]
+    rows = [[_packed(part, "<u8") for part in np.split(v, ends)] for v in others]
+    return pa.Table.from_batches(
+        [batch_of(_ANSWERS, lists.column("bucket").combine_chunks(), lists.column("chunk").combine_chunks(), *rows, [words] + [0] * (lists.num_rows - 1))]
+    )
 
 
+_SCORES = pa.schema(
+    [("n_tokens", pa.int64())] + [(c, pa.float64()) for c in ("target_loss", "background_loss", "score")] + [("selected", pa.bool_())]
+)
 _SCORE_TYPES = "n_tokens long, target_loss double, background_loss double, score double, selected boolean"
+_NO_WORDS = (0, None, None, 0.0, False)
+
+
+def _scored(chunks: pa.Table, answers: pa.Table, buckets: int, total: int, good_total: int, size: int) -> pa.Table:
+    """Scores of the documents of one chunk, from its own counts and what the buckets say of all others."""
+    out, docs = [], []
+    by_bucket = {b: (n, g) for b, n, g in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "g")))}
+    for row in range(chunks.num_rows):
+        grams = _Grams(*[chunks.column(c)[row].as_py() for c in ("good", "lengths", "ids", "words")])
+        all_n, all_g = grams.n.copy(), grams.g.copy()
+        for bucket, part in grams.lists(buckets):
+            n, g = by_bucket[bucket]
+            all_n[part] += _unpacked(n, "<u8").astype(np.int64)
+            all_g[part] += _unpacked(g, "<u8").astype(np.int64)
+        first, end = grams.size, 0
+        for is_good, tokens in zip(grams.good.tolist(), grams.length.tolist()):
+            start, end = end, end + tokens
+            if not tokens:
+                out.append(_NO_WORDS)
+                continue
+            ids, pairs = grams.word[start:end], grams.pair[start + 1 : end]
+            own = repeats(ids), repeats(pairs)
+            target = float(losses(ids, pairs, all_g[:first], all_g[first:], own if is_good else None, good_total, size).mean())
+            background = float(losses(ids, pairs, all_n[:first], all_n[first:], own, total, size).mean())
+            out.append((tokens, target, background, background - target, background > target))
+        docs.append(chunks.column("doc_ids")[row].values)
+    made = batch_of(_SCORES, *(zip(*out) if out else [[]] * len(_SCORES)))
+    ids = pa.chunked_array(docs, chunks.schema.field("doc_ids").type.value_type)
+    return pa.Table.from_arrays([ids, *made.columns], names=["doc_id", *_SCORES.names])
 
 
 def cross_entropy_difference(
-    df: DataFrame,
-    good: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    vocabulary: int | None = None,
-    cells: int | None = None,
+    df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None
 ) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score, selected`` for every row of ``df``.
 
-    ``good`` holds the ids of target documents. Both models count every word
-    and pair of words of all whole texts, so they grow with the corpus; no
-    table of them is collected or broadcast. With ``vocabulary`` and ``cells``
-    they are bounded instead: only the most frequent words are told apart and
-    pairs are hashed into cells, which are broadcast (at most 16 bytes per word
-    and cell).
+    ``good`` holds the ids of target documents. Both models count every word and
+    pair of words of all whole texts, so they grow with the corpus; no table of
+    them is collected or broadcast. Words and pairs are dealt into ``buckets``, by
+    default as many as there are chunks, so that a bucket holds about as much as a
+    chunk; a frequent word is one entry of each chunk's list.
     A document's own counts are taken off before it is scored.
     Losses are means per token; a text without words has none, score 0 and is
     not selected. Without any target document both models see what they can:
     the target falls back to equal word probabilities. Rows that repeat an id
     are all targets if the id is; a null id never is.
     """
-    spark = df.sparkSession
     wanted = good.select(F.col(id_col).alias("doc_id")).filter("doc_id is not null").distinct().withColumn("good", F.lit(True))
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # the ids' side grows with the labels: adaptive execution sends it whole only while it is small
-    marked = rows.join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
-    if vocabulary is None and cells is None:
-        return _whole(marked, type_of(df, id_col))
-    vocabulary, cells = VOCABULARY if vocabulary is None else vocabulary, CELLS if cells is None else cells
-    words = vocabulary_of(rows, vocabulary)
-    shared = spark.sparkContext.broadcast(words)
-    marked = staged(marked, "marked")
-    counts = _count(marked.select("text", "good"), shared, cells)
-    models = spark.sparkContext.broadcast(tuple(c.astype(np.uint32) if c.max(initial=0) < 1 << 32 else c for c in counts))
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {w: i for i, w in enumerate(shared.value, 1)}
-        all_one, all_two, good_one, good_two = models.value
-        for batch in pieces(batches):
-            out = []
-            for raw, good in zip(as_bytes(batch.column("text")), batch.column("good").to_pylist()):
-                ids = _ids(raw, number)
-                if not len(ids):
-                    out.append(_NO_WORDS)
-                    continue
-                at = cells_of(ids[:-1], ids[1:], cells)
-                own = repeats(ids), repeats(at)
-                target = float(losses(ids, at, good_one, good_two, own if good else None).mean())
-                background = float(losses(ids, at, all_one, all_two, own).mean())
-                out.append((len(ids), target, background, background - target, background > target))
-            made = batch_of(_SCORES, *(zip(*out) if out else [[]] * len(_SCORES)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made.columns], names=["doc_id", *_SCORES.names])
-
-    return marked.mapInArrow(scored, f"doc_id {type_of(df, id_col)}, {_SCORE_TYPES}")
+    # the ids' side grows with the labels, so it is broadcast at no size
+    marked = rows.join(wanted.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    id_type = type_of(df, id_col)
+    chunks = staged(marked.mapInArrow(_chunks, f"doc_ids array<{id_type}>, {_CHUNKS}"), "chunks")
+    seen = chunks.agg(F.count(F.lit(1)).alias("chunks"), F.sum("tokens").alias("n"), F.sum("good_tokens").alias("g")).first()
+    if buckets is None:
+        buckets = max(8, seen["chunks"])
+    lists = chunks.drop("doc_ids").mapInArrow(lambda b: _sent(b, buckets), _LISTS_TYPES)
+    answers = staged(lists.groupBy("bucket").applyInArrow(_merged, _ANSWERS_TYPES), "counts")
+    # one more word is the unknown one
+    size = (answers.agg(F.sum("words")).first()[0] or 0) + 1
+    total, good_total = seen["n"] or 0, seen["g"] or 0
+    return (
+        chunks.groupBy("chunk")
+        .cogroup(answers.drop("words").groupBy("chunk"))
+        .applyInArrow(
+            lambda left, right: _scored(left, right, buckets, total, good_total, size), f"doc_id {id_type}, {_SCORE_TYPES}"
+        )
+    )

@@ -9,60 +9,6 @@ import pytest
 from ledgerline.llm import lm
 
 
-def brute(rows, good, vocabulary, cells):
-    texts = {doc: lm.tokens_of((text or "").encode()) for doc, text in rows}
-    total = Counter(w for t in texts.values() for w in t)
-    top = sorted(total, key=lambda w: (-total[w], w))[: vocabulary - 1]
-    number = {w: i for i, w in enumerate(top, 1)}
-    size = len(top) + 1
-
-    def cell(a, b):
-        return int(lm.cells_of(np.array([a]), np.array([b]), cells)[0])
-
-    def counts(docs):
-        one, two = Counter(), Counter()
-        for doc in docs:
-            ids = [number.get(w, 0) for w in texts[doc]]
-            one.update(ids)
-            two.update(cell(a, b) for a, b in zip(ids, ids[1:]))
-        return one, two
-
-    def loss(doc, ids, model, seen):
-        (one, two), (own1, own2) = model, counts([doc]) if seen else (Counter(), Counter())
-        n = sum(one.values()) - sum(own1.values())
-        out = 0.0
-        for i, w in enumerate(ids):
-            p = (one[w] - own1[w] + 1) / (n + size)
-            if i and (before := one[ids[i - 1]] - own1[ids[i - 1]]) > 0:
-                c = cell(ids[i - 1], w)
-                pair = min(two[c] - own2[c], before, one[w] - own1[w])
-                p = lm.BIGRAM_WEIGHT * pair / before + (1 - lm.BIGRAM_WEIGHT) * p
-            out -= log(p)
-        return out / len(ids)
-
-    target, background = counts([d for d, _ in rows if d in good]), counts([d for d, _ in rows])
-    out = {}
-    for doc, words in texts.items():
-        ids = [number.get(w, 0) for w in words]
-        out[doc] = (0, None, None) if not ids else (len(ids), loss(doc, ids, target, doc in good), loss(doc, ids, background, True))
-    return out
-
-
-@pytest.mark.parametrize(("vocabulary", "cells"), [(30, 64), (lm.VOCABULARY, 1 << 12)])
-def test_against_plain_counts(spark, vocabulary, cells):
-    rng = np.random.default_rng(3)
-    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.6, rng.integers(0, 40)) % 60)) for i in range(40)]
-    good = set(range(0, 40, 3))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    wanted = spark.createDataFrame([(i,) for i in good] + [(0,), (None,), (99,)], "doc_id long")
-    got = {r.doc_id: r for r in lm.cross_entropy_difference(df, wanted, vocabulary=vocabulary, cells=cells).collect()}
-    for doc, (n, target, background) in brute(rows, good, vocabulary, cells).items():
-        assert got[doc].n_tokens == n
-        if n:
-            assert got[doc].target_loss == pytest.approx(target) and got[doc].background_loss == pytest.approx(background)
-            assert got[doc].score == pytest.approx(background - target) and got[doc].selected == (background > target)
-
-
 def test_prefers_texts_like_the_target(spark):
     rows = [(i, ("sun moon star " if i % 2 else "tax law code ") * 20) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -86,8 +32,10 @@ def test_empty_tables(none, odd):
     assert lm.cross_entropy_difference(odd, ids).count() == odd.count()
 
 
-def test_every_word_and_pair_counts(spark):
-    """More distinct words and pairs than a bounded model holds, over several chunks."""
+@pytest.mark.parametrize(("chunk", "buckets"), [(12 << 20, None), (9_000, None), (9_000, 1), (9_000, 40)])
+def test_every_word_and_pair_counts(spark, monkeypatch, chunk, buckets):
+    """Many distinct words and pairs, over several chunks and buckets."""
+    monkeypatch.setattr(lm, "CHUNK", chunk)
     rng = np.random.default_rng(8)
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 60_000, 400) ** 2 // 30_000)) for i in range(300)]
     rows += [(300 + i, text) for i, (_, text) in enumerate(rows[:5])] + [(400, ""), (401, None)]
@@ -116,8 +64,8 @@ def test_every_word_and_pair_counts(spark):
         return out / len(words)
 
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = lm.cross_entropy_difference(df, spark.createDataFrame([(d,) for d in good], "doc_id long")).collect()
-    assert size > lm.VOCABULARY and sorted(r.doc_id for r in got) == sorted(texts)
+    got = lm.cross_entropy_difference(df, spark.createDataFrame([(d,) for d in good], "doc_id long"), buckets=buckets).collect()
+    assert size > 32_000 and sorted(r.doc_id for r in got) == sorted(texts)
     for r in got:
         words = texts[r.doc_id]
         assert r.n_tokens == len(words)
@@ -125,3 +73,22 @@ def test_every_word_and_pair_counts(spark):
             own = counts([words])
             assert r.background_loss == pytest.approx(loss(words, every, own))
             assert r.target_loss == pytest.approx(loss(words, wanted, own if r.doc_id in good else (Counter(), Counter())))
+
+
+def test_packed_numbers_come_back():
+    for kind, values in (("<u8", [0, 1, 2**63, 5]), ("<i4", []), ("<u2", [7, 65_535])):
+        numbers = np.array(values, kind)
+        assert (lm._unpacked(lm._packed(numbers, kind), kind) == numbers).all()
+
+
+def test_lists_hold_every_entry_once():
+    words = [f"w{i}".encode() for i in range(500)]
+    ids = np.random.default_rng(1).integers(0, 500, 4000)
+    grams = lm._Grams(
+        np.array([True, False]).tobytes(), lm._packed(np.array([1500, 2500]), "<i4"), lm._packed(ids, "<i4"), lm._squeezed(b" ".join(words))
+    )
+    places = np.concatenate([part for _, part in grams.lists(7)])
+    assert sorted(places.tolist()) == list(range(len(grams.n)))
+    assert grams.n[:500].sum() == 4000 and grams.n[500:].sum() == 3998 and grams.g[:500].sum() == 1500
+    for _, part in grams.lists(7):
+        assert (np.diff(grams.key[part].astype(object)) >= 0).all()
