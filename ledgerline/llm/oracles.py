@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm.quality import RULES
+from ledgerline.llm.quality import RULES, steps_of
 
 _WORDS = r"[x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']"
 
@@ -20,16 +20,15 @@ FROM base LEFT JOIN kept USING (doc_id)
 
 
 def quality_rules(risk: float = 0.02, level: float = 0.05) -> str:
-    """Metrics by unnested windows; the exact binomial bound by the gamma function instead of a recurrence."""
-    n = len(RULES)
+    """Metrics by unnested windows; the exact binomial tail added up term by term instead of an incomplete beta function."""
     values = ", ".join(f"{r.value} AS v{i}" for i, r in enumerate(RULES))
-    counts = ", ".join(f"count(*) FILTER (v{i} > {c}) AS x{i}_{j}" for i, r in enumerate(RULES) for j, c in enumerate(r.cutoffs))
+    steps = steps_of(RULES)
+    counts = ", ".join(f"count(*) FILTER ({' OR '.join(f'v{i} > {c}' for i, c in enumerate(step))}) AS x{j}" for j, step in enumerate(steps))
     chosen = ", ".join(
-        "CASE " + " ".join(f"WHEN x{i}_{j} <= k THEN {c}" for j, c in reversed(list(enumerate(r.cutoffs)))) + f" END AS c{i}"
-        for i, r in enumerate(RULES)
+        "CASE " + " ".join(f"WHEN step = {j + 1} THEN {step[i]}" for j, step in enumerate(steps)) + f" END AS c{i}" for i in range(len(RULES))
     )
     failed = ", ".join(f"CASE WHEN v{i} > c{i} THEN '{r.name}' END" for i, r in enumerate(RULES))
-    share = risk / n
+    term = f"exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({risk}) + (n - k) * ln(1 - {risk}))"
     return f"""
 WITH base AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
 win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c
@@ -44,10 +43,11 @@ counted AS (SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w,
 valued AS (SELECT *, {values} FROM counted),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
 seen AS (SELECT stratum, count(*) AS n, {counts} FROM valued JOIN good USING (doc_id) GROUP BY stratum),
-tail AS (SELECT stratum, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({share}) + (n - k) * ln(1 - {share})))
-    OVER (PARTITION BY stratum ORDER BY k) AS p FROM seen, unnest(range(0, CAST(ceil(n * {share}) AS BIGINT) + 1)) AS u(k)),
-bound AS (SELECT stratum, max(k) AS k FROM tail WHERE p <= {level} / {n} / (SELECT count(*) FROM seen) GROUP BY stratum),
-chosen AS (SELECT stratum, {chosen} FROM (SELECT seen.*, coalesce(k, -1) AS k FROM seen LEFT JOIN bound USING (stratum))),
+tested AS (SELECT stratum, n, unnest(range(1, {len(steps) + 1})) AS step, unnest([{', '.join(f'x{j}' for j in range(len(steps)))}]) AS x FROM seen),
+tail AS (SELECT stratum, step, list_sum([{term} FOR k IN range(0, x + 1)]) AS p FROM tested),
+safe AS (SELECT stratum, max(step) AS step FROM (SELECT *, max(p) OVER (PARTITION BY stratum ORDER BY step) AS worst FROM tail)
+    WHERE worst <= {level} / (SELECT count(*) FROM seen) GROUP BY stratum),
+chosen AS (SELECT stratum, {chosen} FROM safe),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, concat_ws(',', {failed}) AS failed_rules
     FROM valued LEFT JOIN chosen USING (stratum))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.distributions import incomplete_beta
 from ledgerline.llm.common import WORD_GAP, let, staged
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -112,35 +114,14 @@ def metrics(
     ).select("doc_id", "stratum", "w.*", "l.*", "word_chars", "n_symbols", "n_exclaim", "n_upper", "n_letters", *carry)
 
 
-def binomial_limit(n: Column, risk: Column, level: Column) -> Column:
-    """The largest k with P(Bin(n, risk) <= k) <= level, or -1 if there is none.
+def binomial_tail(k: Column, n: Column, risk: Column) -> Column:
+    """P(Bin(``n``, ``risk``) <= ``k``), exactly, through the incomplete beta function; its cost does not grow with ``n``."""
+    return F.when(k >= n, F.lit(1.0)).otherwise(incomplete_beta(n - k, k + 1, 1 - risk))
 
-    Seeing at most that many rejections among n good documents shows, at the
-    given level, that the true rate is below ``risk``. The exact distribution
-    is added up from k = 0 in logarithms, so large n does not underflow.
-    """
-    top = F.ceil(n * risk).cast("int")
-    odds = F.log(risk / (1 - risk))
-    start = F.struct(
-        (n * F.log(1 - risk)).alias("term"),
-        F.lit(float("-inf")).alias("total"),
-        F.lit(-1).alias("limit"),
-        F.lit(True).alias("open"),
-    )
 
-    def step(state: Column, k: Column) -> Column:
-        term = F.when(k == 0, state["term"]).otherwise(state["term"] + F.log((n - k + 1) / k) + odds)
-        high, low = F.greatest(term, state["total"]), F.least(term, state["total"])
-        total = high + F.log1p(F.exp(low - high))
-        good = state["open"] & (total <= F.log(level))
-        return F.struct(
-            term.alias("term"),
-            total.alias("total"),
-            F.when(good, k).otherwise(state["limit"]).alias("limit"),
-            good.alias("open"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(0), top), start, step, lambda state: state["limit"])
+def steps_of(rules: Sequence[Rule]) -> list[list[float]]:
+    """One path from lenient to strict: the cutoffs of all rules at each step; a shorter rule stays at its last."""
+    return [[rule.cutoffs[min(i, len(rule.cutoffs) - 1)] for rule in rules] for i in range(max(len(r.cutoffs) for r in rules))]
 
 
 def cutoffs(
@@ -152,37 +133,35 @@ def cutoffs(
     id_col: str = "doc_id",
     label_col: str = "quality",
 ) -> DataFrame:
-    """One row per stratum: the chosen cutoff of each rule, null where none is safe.
-
-    The holdout is every labelled document; one counts as good if all its
-    labels say 1. Each rule may wrongly reject a share of ``risk`` / rules of a
-    stratum's good documents. For a rule the cutoffs are tested from lenient
-    to strict against that share with the exact binomial bound and the first
-    failure ends the sequence, so the sequence needs no further correction;
-    over rules and strata ``level`` is divided by their number (Bonferroni).
-    Together: with probability 1 - ``level`` no stratum loses more than
-    ``risk`` of its good documents to the chosen cutoffs.
+    """One row per stratum: good documents, the step of the path that is in force, and each rule's cutoff, null where none is safe.
+
+    The holdout is every labelled document; one counts as good if all its labels
+    say 1. All rules become stricter together along the path of ``steps_of``, which
+    is fixed before any label is seen. At each step the good documents that any
+    rule rejects are counted, and the hypothesis that the rules reject ``risk`` or
+    more of the stratum's good documents is tested by the exact binomial tail. The
+    first step that is not shown safe ends the path, so the path needs no
+    correction; over strata ``level`` is divided by their number (Bonferroni).
+    Together: with probability 1 - ``level`` no stratum loses more than ``risk`` of
+    its good documents to the chosen cutoffs. A stratum with 150 to 220 good
+    documents, by the number of strata, can choose at 2 %.
     """
     good = labels.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(F.col(label_col)).alias("quality"))
     good = good.filter("quality = 1").select("doc_id")
     held = measured.join(good, "doc_id").withColumn("stratum", F.coalesce("stratum", F.lit("")))
-    counts = [F.count(F.lit(1)).alias("n")]
-    for r, rule in enumerate(rules):
-        counts += [F.count_if(F.expr(rule.value) > c).alias(f"x{r}_{i}") for i, c in enumerate(rule.cutoffs)]
-    seen = held.groupBy("stratum").agg(*counts)
-    share = F.lit(risk / len(rules))
-    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # one row per stratum
-    limits = seen.withColumn("strata", strata).withColumn(
-        "limit", binomial_limit(F.col("n"), share, F.lit(level / len(rules)) / F.col("strata"))
+    steps = steps_of(rules)
+    rejected = [reduce(Column.__or__, [F.expr(r.value) > c for r, c in zip(rules, step)]) for step in steps]
+    seen = held.groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(x) for x in rejected]).alias("x")
     )
-    chosen = []
-    for r, rule in enumerate(rules):
-        best, open_ = F.lit(None).cast("double"), F.lit(True)
-        for i, cutoff in enumerate(rule.cutoffs):
-            open_ = open_ & (F.col(f"x{r}_{i}") <= F.col("limit"))
-            best = F.when(open_, F.lit(cutoff)).otherwise(best)
-        chosen.append(best.alias(rule.name))
-    return limits.select("stratum", F.col("n").alias("n_good"), "limit", *chosen)
+    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # one row per stratum
+    counted = seen.withColumn("level", F.lit(level) / strata)
+    safe = F.transform("x", lambda x: binomial_tail(x, F.col("n"), F.lit(risk)) <= F.col("level"))
+    ended = F.array_position(F.transform(safe, lambda s: ~s), True)
+    chosen = counted.withColumn("step", F.when(ended > 0, ended - 1).otherwise(F.lit(len(steps))).cast("int"))
+    table = F.array(*[F.array(*map(F.lit, step)) for step in steps])
+    now = F.when(F.col("step") > 0, F.element_at(table, F.greatest("step", F.lit(1))))
+    return chosen.select("stratum", F.col("n").alias("n_good"), "step", *[now[i].alias(rule.name) for i, rule in enumerate(rules)])
 
 
 def assess(
@@ -206,7 +185,7 @@ def assess(
     columns of the row come along.
     """
     measured = staged(metrics(df, id_col, text_col, stratum_col, carry), "quality")
-    chosen = cutoffs(measured, labels, rules, risk, level).drop("n_good", "limit")
+    chosen = cutoffs(measured, labels, rules, risk, level).drop("n_good", "step")
     rows = measured.withColumn("stratum", F.coalesce("stratum", F.lit(""))).join(chosen, "stratum", "left")
     failed = F.array(
         *[F.when(F.expr(rule.value) > F.col(rule.name), F.lit(rule.name)) for rule in rules]

@@ -23,21 +23,19 @@ def test_metrics(spark, texts):
     }
 
 
-@pytest.mark.parametrize(("n", "risk", "level"), [(0, 0.1, 0.05), (10, 0.1, 0.05), (200, 0.05, 0.01), (3000, 0.02, 0.001)])
-def test_binomial_limit(spark, n, risk, level):
-    total, want = 0.0, -1
-    for k in range(n + 1):
+@pytest.mark.parametrize(("n", "risk"), [(1, 0.1), (10, 0.1), (200, 0.05), (3000, 0.02)])
+def test_binomial_tail(spark, n, risk):
+    total, want = 0.0, []
+    for k in range(min(n, 80) + 1):
         total += comb(n, k) * risk**k * (1 - risk) ** (n - k)
-        if total > level:
-            break
-        want = k
-    got = spark.range(1).select(quality.binomial_limit(F.lit(n), F.lit(risk), F.lit(level)).alias("k")).first()["k"]
-    assert got == want
+        want.append(total)
+    got = spark.range(len(want)).select(quality.binomial_tail(F.col("id"), F.lit(n), F.lit(risk)).alias("p"), "id").collect()
+    assert [r.p for r in sorted(got, key=lambda r: r.id)] == pytest.approx(want, rel=1e-9)
 
 
-def test_binomial_limit_does_not_underflow(spark):
-    k = spark.range(1).select(quality.binomial_limit(F.lit(200_000), F.lit(0.05), F.lit(0.01)).alias("k")).first()["k"]
-    assert 9_700 < k < 9_800
+def test_binomial_tail_of_many(spark):
+    p = spark.range(1).select(quality.binomial_tail(F.lit(49_000_000), F.lit(1_000_000_000), F.lit(0.05)).alias("p")).first()["p"]
+    assert 0 <= p < 1e-100
 
 
 RULE = (quality.Rule("symbols", "n_symbols / greatest(n_words, 1)", (3.0, 2.0, 1.0, 0.0)),)
@@ -50,12 +48,37 @@ def test_cutoffs_keep_to_the_risk(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i in range(1000)] + [(1000, 0), (5000, 1)], "doc_id long, quality int")
     measured = quality.metrics(docs)
-    chosen = {r.stratum: r.symbols for r in quality.cutoffs(measured, labels, RULE, 0.05, 0.05).collect()}
-    assert chosen == {"en": 2.0, "de": None}
+    chosen = {r.stratum: (r.symbols, r.step) for r in quality.cutoffs(measured, labels, RULE, 0.05, 0.05).collect()}
+    assert chosen == {"en": (2.0, 2), "de": (None, 0)}
     kept = {r.doc_id: r for r in quality.assess(docs, labels, RULE, 0.05, 0.05).collect()}
     assert kept[0].base_failed and kept[5000].failed_rules == "" and kept[0].failed_rules == "symbols"
 
 
+TWO = (*RULE, quality.Rule("lines", "n_dup_lines / greatest(n_lines, 1)", (0.9, 0.5)))
+
+
+def test_rules_share_one_risk(spark):
+    """Each rule alone rejects little at its second step, both together too much: neither goes further than the first."""
+    rows = [(i, "## " * 60 if i < 6 else "a\n" * 60 if i < 12 else "# a" if i < 72 else "b", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    first = quality.cutoffs(quality.metrics(docs), labels, RULE, 0.05, 0.05).first()
+    both = quality.cutoffs(quality.metrics(docs), labels, TWO, 0.05, 0.05).first()
+    assert (first.step, first.symbols) == (3, 1.0)
+    assert (both.step, both.symbols, both.lines) == (2, 2.0, 0.5)
+    assert quality.steps_of(TWO) == [[3.0, 0.9], [2.0, 0.5], [1.0, 0.5], [0.0, 0.5]]
+
+
+@pytest.mark.parametrize(("n", "strata", "chosen"), [(148, 1, 0), (149, 1, 1), (216, 4, 0), (217, 4, 1)])
+def test_few_labels_are_enough(spark, n, strata, chosen):
+    """Without any false rejection the first step is safe from log(level) / log(1 - risk) good documents on."""
+    rows = [(1000 * s + i, "a b c", f"s{s}") for s in range(strata) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    steps = {r.step for r in quality.cutoffs(quality.metrics(docs), labels, RULE, 0.02, 0.05).collect()}
+    assert steps == ({4} if chosen else {0})
+
+
 def test_conflicting_labels_do_not_count_as_good(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(1, 1), (1, 0)], "doc_id long, quality int")
