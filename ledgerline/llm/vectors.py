@@ -29,8 +29,9 @@ PER_LIST, MOST_LISTS = 128, 2_048
 SUBSPACES = 8
 #: Members and queries that are compared at once, and rows of a block on small tables.
 BLOCK = 2_048
-#: Blocks aimed at on large tables, which then have more rows each; a vector is copied to as many at most.
+#: Blocks aimed at on large tables, which then have more rows each, up to BLOCK_BYTES in double precision; beyond, blocks grow in number.
 MOST_BLOCKS = 64
+BLOCK_BYTES = 32 << 20
 
 
 @dataclass
@@ -215,19 +216,42 @@ class Forest:
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
 
-def _linked(
-    q: np.ndarray, m: np.ndarray, codes: np.ndarray, lost: np.ndarray, index: Index, here: int, threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the queries and members of list ``here`` that link.
+def _tables(q: np.ndarray, index: Index) -> np.ndarray:
+    """Products of every code with each query: what the distances to all lists are looked up in (codes x queries)."""
+    return np.concatenate([book @ q[:, a:b].T for (a, b), book in zip(index.cuts, index.books)], axis=0).astype(np.float32)
+
+
+def _member_terms(codes: np.ndarray, lists: np.ndarray, index: Index) -> np.ndarray:
+    """Per member the part of a coded distance that no query changes: its decoded residual's square and product with the centroid."""
+    residual = decode(index, codes)
+    return np.einsum("ij,ij->i", residual, residual) + 2 * np.einsum("ij,ij->i", residual, index.centroids[lists])
 
-    A coded distance is off by no more than what coding loses of the member.
+
+def _linked(
+    q: np.ndarray, m: np.ndarray, tables: np.ndarray, base: np.ndarray, places: np.ndarray, terms: np.ndarray, bound: np.ndarray,
+    asking: np.ndarray, threshold: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ``asking`` queries and the members of one list that link.
+
+    The squared distance of query and coded member is |q - c|^2 (``base``) plus the
+    member's term less twice the product of q and the decoded residual, which is
+    looked up in ``tables``, whole rows of them, at ``places``. It is off by no more
+    than what coding loses of the member, which ``bound`` allows for.
     """
-    residual = q - index.centroids[here]
-    far = np.zeros((len(q), len(m)), np.float32)
-    for s, ((a, b), book) in enumerate(zip(index.cuts, index.books)):
-        far += squared(residual[:, a:b], book).astype(np.float32)[:, codes[:, s]]
-    left, right = np.nonzero(far <= (reach_of(threshold) + lost) ** 2 * (1 + 1e-5))
-    if 8 * len(left) > far.size:
+    if 4 * len(asking) < len(q):
+        tables, base, back = np.ascontiguousarray(tables[:, asking]), base[asking], asking
+    else:
+        back, skipped = np.arange(len(q)), np.ones(len(q), bool)
+        skipped[asking] = False
+        base = np.where(skipped, np.inf, base)
+    near = tables[places[:, 0]]
+    for s in range(1, places.shape[1]):
+        near += tables[places[:, s]]
+    # far <= bound, solved for the product
+    least = ((base[None, :] + terms[:, None]) - bound[:, None] - 1e-5) / 2
+    right, left = np.nonzero(near >= least.astype(np.float32))
+    left = back[left]
+    if 8 * len(left) > near.size:
         good = (q @ m.T)[left, right] >= threshold
     else:
         good = np.empty(len(left), bool)
@@ -249,7 +273,9 @@ def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, pr
     members = members.sort_by("list")
     q, m = unit_rows(queries.column("raw").to_pylist(), kind), unit_rows(members.column("raw").to_pylist(), kind)
     codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(members.num_rows, -1)
-    lost = members.column("lost").to_numpy()
+    bound = (reach_of(threshold) + members.column("lost").to_numpy()) ** 2 * (1 + 1e-5)
+    widths = np.array([len(book) for book in index.books])
+    places = codes.astype(np.int64) + (np.cumsum(widths) - widths)[None, :]
     q_list, m_list = queries.column("list").to_numpy(), members.column("list").to_numpy()
     q_node, m_node = queries.column("node").to_numpy(), members.column("node").to_numpy()
     q_n, m_n = queries.column("n").to_numpy(), members.column("n").to_numpy()
@@ -257,16 +283,21 @@ def _compared(queries: pa.Table, members: pa.Table, shared, threshold: float, pr
     nodes, place = np.unique(np.concatenate([q_node, m_node]), return_inverse=True)
     q_place, m_place, forest = place[: len(q)], place[len(q) :], Forest(len(nodes))
     ends = np.flatnonzero(np.diff(m_list, append=-1)) + 1
+    terms = _member_terms(codes, m_list, index)
     for at in range(0, len(q), BLOCK):
-        near = may_hold(q[at : at + BLOCK], index, q_list[at : at + BLOCK], reach_of(threshold), probes)
+        some = slice(at, at + BLOCK)
+        near = may_hold(q[some], index, q_list[some], reach_of(threshold), probes)
+        tables, base = _tables(q[some], index), squared(q[some], index.centroids)
         start = 0
         for end in ends.tolist():
             here = int(m_list[start])
-            asking = at + np.flatnonzero(near[:, here])
+            asking = np.flatnonzero(near[:, here])
             for low in range(start, end, BLOCK) if len(asking) else ():
-                high = min(low + BLOCK, end)
-                left, right = _linked(q[asking], m[low:high], codes[low:high], lost[low:high], index, here, threshold)
-                left, right = asking[left], low + right
+                held = slice(low, min(low + BLOCK, end))
+                left, right = _linked(
+                    q[some], m[held], tables, base[:, here], places[held], terms[held], bound[held], asking, threshold
+                )
+                left, right = at + left, low + right
                 # members of one list meet twice; they are compared where the smaller node is the query
                 keep = (q_list[left] != here) | (q_node[left] < m_node[right])
                 left, right = left[keep], right[keep]
@@ -304,7 +335,8 @@ def near_duplicates(
     ``sample`` vectors, all vectors are indexed and searched. ``probes`` limits
     the lists a vector visits, for a quicker search that misses links. Equal vectors are one
     member with a weight. Blocks of vectors are compared in tasks of their own,
-    so a list that holds a third of all vectors is shared by many tasks. Vectors that are
+    so a list that holds a third of all vectors is shared by many tasks. Vectors of
+    another length are indexed apart, one search per length. Vectors that are
     null, zero, or hold null or non-finite components have no links; so has a
     vector of another length with those of this one. Ids are whole numbers;
     rows with a null id are searched but never name a component, so one of
@@ -354,15 +386,16 @@ def _search(nodes: DataFrame, n: int, threshold: float, probes: int | None, samp
     placed = staged(nodes.mapInArrow(lambda b: _placed(b, shared, kind), _PLACED_TYPES), "index")
     # one small row per list
     sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, parts = blocks_of(sizes, len(index.centroids), max(block, -(-n // MOST_BLOCKS)))
+    wide = 8 * index.centroids.shape[1]
+    first, parts = blocks_of(sizes, len(index.centroids), max(block, min(-(-n // MOST_BLOCKS), BLOCK_BYTES // wide)))
     sent = placed.mapInArrow(
         lambda b: _sent(b, shared, first, parts, reach, probes, kind), f"{_PLACED_TYPES}, block long, visits array<long>"
     )
     sent = staged(sent, "visits")
     queries = sent.select("node", "n", "raw", "list", F.col("block").alias("q"), F.explode("visits").alias("m"))
-    # a row for each two blocks that meet, at most four times MOST_BLOCKS squared on large tables
+    # a row for each two blocks that meet
     meet = staged(queries.select("q", "m").distinct(), "blocks")
-    members = sent.drop("visits").withColumnRenamed("block", "m").join(F.broadcast(meet), "m")
+    members = sent.drop("visits").withColumnRenamed("block", "m").join(meet, "m")
     members = members.toDF(*members.columns)
     return (
         queries.groupBy("q", "m")
