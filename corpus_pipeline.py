@@ -70,8 +70,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths, each in a sequence of its own."""
-    return packing.pack(docs, tokenizer_path())
+    """Pieces of power-of-two lengths with their token ids (little-endian, 32 bits), each in a sequence of its own."""
+    return packing.pack(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
