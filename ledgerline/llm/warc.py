@@ -260,7 +260,8 @@ def read_records(spark: SparkSession, path: str, range_bytes: int = 32 << 20, wi
     ranges = files.select("path", "length", F.explode(starts).alias("start")).select(
         "path", "start", F.least("length", F.col("start") + range_bytes).alias("stop")
     )
-    spread = ranges.repartition(F.xxhash64("path", "start"))
+    # as many tasks as ranges: by size alone these few small rows would share one
+    spread = ranges.repartition(max(1, ranges.count()), "path", "start")
     kind = RECORDS + (", payload binary" if with_payload else "")
     return spread.mapInArrow(lambda batches: _read(batches, with_payload), kind)
 
