@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import os
 import sys
+from collections import Counter
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -51,18 +53,33 @@ def test_run_equals_brute_force(spark, small, docs, plain):
     tokenizer = Tokenizer.from_file(pipeline.tokenizer_path())
     want = []
     for doc, text in texts.items():
-        n, at = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1, 0
-        for length in packing.binary_lengths(n, 4096):
-            want.append((doc, at, length, n))
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID], "<u4")
+        at = 0
+        for length in packing.binary_lengths(len(ids), 4096):
+            want.append((doc, at, length, len(ids), ids[at : at + length].tobytes()))
             at += length
     rows = pipeline.run(spark, small).collect()
-    assert sorted((r.doc_id, r.start, r.length, r.doc_tokens) for r in rows) == sorted(want)
+    assert sorted((r.doc_id, r.start, r.length, r.doc_tokens, bytes(r.ids)) for r in rows) == sorted(want)
 
 
 @pytest.mark.parametrize("k", range(4))
 def test_stages_take_odd_rows_and_keep_the_columns(spark, small, odd, k):
+    """Null, empty, letterless and very long texts, a repeated row and a row without id: exactly those that the stage's rule keeps."""
     got = pipeline.STAGES[k][1](spark, odd.select(*COLUMNS, "n_words", "score", "key"), small)
-    assert got.columns == COLUMNS and got.count() <= odd.count()
+    assert got.columns == COLUMNS
+    ids = Counter(r.doc_id for r in got.collect())
+    if k == 0:  # of all texts with letters, those with a clear language
+        seen = langid.predict(odd.select(*COLUMNS), langid.fit(odd.select(*COLUMNS))).collect()
+        want = Counter(r.doc_id for r in seen if r.lang_pred != langid.UNKNOWN and r.score >= pipeline.LEAST_SCORE)
+        assert ids == want and not {1, 2, 3, 5} & set(ids)
+    elif k == 1:  # fifty words and more, less than half of them in repeated windows: none here
+        assert ids == Counter()
+    elif k == 2:  # texts without words share the zero fingerprint; the copies and the repeated row leave one each
+        assert ids == Counter({1: 1, 4: 1, 5: 1, 6: 1, 8: 1, None: 1})
+    else:  # a copy loses all its words and goes, as do texts without words
+        assert ids == Counter({4: 1, 5: 1, 6: 1, 8: 2, None: 1})
+        by_id = {r.doc_id: r for r in got.collect()}
+        assert by_id[6].text.split()[:3] == ["w0x0", "w1x1", "w2x2"] and by_id[4].text == "one"
 
 
 @pytest.mark.parametrize("k", range(5))
