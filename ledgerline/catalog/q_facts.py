@@ -27,7 +27,7 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_keys(views.game_details(spark, sf_dir), KEY)
+    return quality.duplicate_keys(views.game_details(spark, sf_dir, by_game=True), KEY)
 
 
 WHOLE = {"fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk", "turnovers", "pf",
@@ -142,7 +142,7 @@ def f18b(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q1(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = [
-        ("game_details", views.game_details(spark, sf_dir), KEY),
+        ("game_details", views.game_details(spark, sf_dir, by_game=True), KEY),
         ("player_seasons", views.player_seasons(spark, sf_dir), ["player_name", "season"]),
         ("web_events", views.web_events(spark, sf_dir), ["user_id", "event_time"]),
     ]

@@ -98,7 +98,7 @@ def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return patterns.game_sets(patterns.appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir)))
+    return patterns.game_sets(patterns.appearances(views.game_details(spark, sf_dir, by_game=True), views.games(spark, sf_dir)))
 
 
 @query(
@@ -115,7 +115,7 @@ def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def a6_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = patterns.appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    rows = patterns.appearances(views.game_details(spark, sf_dir, by_game=True), views.games(spark, sf_dir))
     return patterns.game_set_winners(patterns.game_sets(rows))
 
 
@@ -220,7 +220,7 @@ def a9(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def a10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = patterns.appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    rows = patterns.appearances(views.game_details(spark, sf_dir, by_game=True), views.games(spark, sf_dir))
     return patterns.scoring_streak(rows, 10)
 
 
