@@ -12,6 +12,7 @@ from ledgerline.catalog import views
 from ledgerline.catalog.registry import query
 from ledgerline.catalog.sqlviews import DETAIL_COLUMNS, PICK, first_row, using
 from ledgerline.operators import graph
+from ledgerline.operators.grouping import dealt
 from ledgerline.operators.patterns import appearances, one_per_game
 from ledgerline.sources import files, schemas
 
@@ -33,7 +34,7 @@ def edge_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def one_appearance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_per_game(views.game_details(spark, sf_dir))
+    return one_per_game(views.game_details(spark, sf_dir, by_game=True))
 
 
 def player_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +178,7 @@ def g8(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def g9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    rows = appearances(views.game_details(spark, sf_dir, by_game=True), views.games(spark, sf_dir))
     return edge_columns(graph.plays_on(rows), "first_season", "last_season", "games")
 
 
@@ -201,7 +202,7 @@ def g9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def g10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vertices and edges in the two tables of the graph, written twice as by a repeated job, with their composite keys checked."""
     one = one_appearance(spark, sf_dir)
-    played = appearances(views.game_details(spark, sf_dir), views.games(spark, sf_dir))
+    played = appearances(views.game_details(spark, sf_dir, by_game=True), views.games(spark, sf_dir))
     parts = {
         "vertices": [graph.game_vertices(views.games(spark, sf_dir)), player_vertices(spark, sf_dir), graph.team_vertices(views.teams(spark, sf_dir))],
         "edges": [graph.plays_in(one), graph.plays_on(played), graph.pair_edges(graph.player_pairs(one))],
@@ -214,7 +215,8 @@ def g10(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _ in range(2):
             schemas.replace_partitions(rows, table)
         counts = spark.table(table).groupBy(F.col(kind).alias("type")).agg(F.count(F.lit(1)).alias("n_rows"))
-        repeated = schemas.key_problems(spark.table(table), name).groupBy(F.col(kind).alias("type")).agg(F.count(F.lit(1)).alias("n_repeated_keys"))
+        by_key = dealt(spark.table(table).select(*schemas.TABLES[name].key), schemas.TABLES[name].key, rows.count(), 1_000_000)
+        repeated = schemas.key_problems(by_key, name).groupBy(F.col(kind).alias("type")).agg(F.count(F.lit(1)).alias("n_repeated_keys"))
         found = counts.join(repeated, "type", "left").select(
             F.lit(name).alias("of"), "type", "n_rows", F.coalesce("n_repeated_keys", F.lit(0)).cast("long").alias("n_repeated_keys")
         )

@@ -136,16 +136,29 @@ def drop(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+#: Partitions that one writing task keeps open; each has a buffer of its own.
+OPEN_FILES = 4
+
+
 def replace_partitions(df: DataFrame, target: str) -> None:
-    """Insert by column name, replacing only the partitions present in ``df``."""
+    """Insert by column name, replacing only the partitions present in ``df``.
+
+    A task keeps up to ``OPEN_FILES`` partitions open at a time; it sorts its
+    rows by partition only where it meets more.
+    """
     spark = df.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"  # the writer's own option does not allow reading the target
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    settings = {
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",  # the writer's own option does not allow reading the target
+        "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def shape_problems(df: DataFrame, name: str) -> list[str]:
