@@ -186,23 +186,26 @@ def max_edge_property(vertices: DataFrame, edges: DataFrame, label: str, prop: s
 
 
 def pair_with_career(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Player pair edges with the subject's points per game over the whole career."""
+    """Player pair edges with the subject's points per game over the whole career.
+
+    What the result needs is read from the maps before the join, so the join moves numbers only.
+    """
 
     def number(name: str) -> Column:
-        return F.try_element_at("properties", F.lit(name)).try_cast("long")
+        return F.col("properties")[name].try_cast("long")
 
     players = vertices.filter(F.col("type") == "player").select(
         F.col("identifier").alias("subject_identifier"),
-        F.try_element_at("properties", F.lit("player_name")).alias("subject"),
+        F.col("properties")["player_name"].alias("subject"),
         ratio(number("total_points"), number("number_of_games")).alias("career_average"),
     )
-    pairs = edges.filter((F.col("subject_type") == "player") & (F.col("object_type") == "player"))
-    return pairs.join(players, "subject_identifier").select(
+    pairs = edges.filter((F.col("subject_type") == "player") & (F.col("object_type") == "player")).select(
         "subject_identifier",
-        "subject",
         "object_identifier",
         "edge_type",
-        "career_average",
         number("subject_points").alias("total_points"),
         number("num_games").alias("num_games"),
     )
+    return pairs.join(players, "subject_identifier").select(
+        "subject_identifier", "subject", "object_identifier", "edge_type", "career_average", "total_points", "num_games"
+    )
