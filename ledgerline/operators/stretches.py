@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import ratio
-from ledgerline.operators.grouping import spread
+from ledgerline.operators.grouping import group_parts, spread, with_parts
 from ledgerline.operators.steps import snapshot_before
 
 Classify = Callable[[Column], Column]
@@ -42,6 +42,22 @@ def number_items(
     )
 
 
+def _numbered_apart(
+    rows: DataFrame, key: str, period: str, order: Sequence[str], max_rows: int
+) -> list[DataFrame]:
+    """``number_items`` in two frames of different keys.
+
+    A key of at most ``max_rows`` items is numbered and listed where one shuffle
+    by the key puts it; only larger keys go through the parts. The list of those
+    has at most rows / ``max_rows`` keys.
+    """
+    told = with_parts(rows, F.broadcast(group_parts(rows, [key], max_rows)), [key])
+    place = F.row_number().over(Window.partitionBy(key).orderBy(period, *order))
+    small = told.filter(F.col("_parts") == 1).select(*rows.columns, (place - 1).cast("long").alias("ordinal"))
+    large = told.filter(F.col("_parts") > 1).select(*rows.columns)
+    return [small, number_items(large, key, period, order, max_rows=max_rows)]
+
+
 def _stretches(numbered: DataFrame, key: str, period: str, item_cols: Sequence[str], width: int) -> DataFrame:
     """``key, stretch, items, last``: the items of each stretch in order and their latest period."""
     entry = F.struct("ordinal", F.struct(period, *item_cols).alias("item"))
@@ -84,8 +100,8 @@ def history_backfill(
     without key or period belong to no history; repeated rows are items each.
     """
     known = _known(rows, key, period).filter(F.col(period) <= as_of)
-    numbered = number_items(known, key, period, item_cols, max_rows=max_rows)
-    listed = _stretches(numbered, key, period, item_cols, width)
+    small, large = [_stretches(n, key, period, item_cols, width) for n in _numbered_apart(known, key, period, item_cols, max_rows)]
+    listed = small.unionByName(large)
     full = F.size("items") == width
     closed = listed.filter(full).select(key, "stretch", "items", F.col("last").cast("int").alias("closed_in"))
     tail = listed.filter(~full).select(F.col(key).alias("_key"), F.col("items").alias("_open"))
