@@ -349,7 +349,7 @@ def s11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def studied(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.match_details(spark, sf_dir).join(views.matches(spark, sf_dir), "match_id")
     tie = ["match_id", "player_gamertag", "player_total_kills", "player_total_deaths"]
-    return layout.layout_study(layout.interleaved(rows, MIXED), LAYOUTS, tie, FILTERS, LAYOUT_FILES)
+    return layout.layout_study(layout.interleaved(files.stored(rows, "matches-joined"), MIXED), LAYOUTS, tie, FILTERS, LAYOUT_FILES)
 
 
 def match_files(sf_dir: str) -> list[str]:
