@@ -312,3 +312,15 @@ def test_state_changes(spark):
     )
     got = [s for *_, s in rows(growth.state_changes(df, "k", "p", "on"))]
     assert got == ["New", "Retired", "Stayed Retired", "Returned from Retirement", "Continued Playing"]
+
+
+def test_ordinary_actors_are_numbered_and_listed_in_one_shuffle(spark):
+    many = [(7, f"f{i}", 2000 + i // 1000, i % 11, f"id{i:05}") for i in range(2000)]
+    df = spark.createDataFrame(many + FILM_ROWS, FILMS)
+    small, large = stretches._numbered_apart(df, "actor", "year", ITEMS, 64)
+    whole = stretches.number_items(df, "actor", "year", ITEMS, max_rows=64)
+    assert rows(small.unionByName(large), *whole.columns) == rows(whole)
+    assert {r.actor for r in large.select("actor").distinct().collect()} == {7}
+    listed = inspect.plan_text(stretches._stretches(small, "actor", "year", ITEMS, 8))
+    # one exchange of rows and one of the counts that tell large actors
+    assert len(re.findall(r"Exchange hashpartitioning", listed)) == 2

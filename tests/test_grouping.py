@@ -66,3 +66,13 @@ def test_lists_by_range_keep_every_item_in_bounded_lists(spark):
     assert max(len(r["items"]) for r in out) <= 100
     assert Counter(v for r in out for v in r["items"]) == Counter(range(900))
     assert all(r["items"] == sorted(r["items"]) and {v // 100 for v in r["items"]} == {r["part"]} for r in out)
+
+
+def test_dealt_takes_as_many_tasks_as_rows_need(spark):
+    df = skewed(spark, 1000)
+    for rows_per_task, tasks in ((100, 10), (10_000, 4)):
+        dealt = g.dealt(df, ["k"], 1000, rows_per_task)
+        assert f", {tasks}), REPARTITION_BY_NUM" in inspect.plan_text(dealt)
+        assert rows(dealt) == rows(df)
+        places = dealt.withColumn("p", F.spark_partition_id()).select("k", "p").distinct()
+        assert places.count() == df.select("k").distinct().count()

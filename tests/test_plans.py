@@ -44,3 +44,37 @@ def test_stored_tables_are_written_once(spark, small):
     tables = len(spark.catalog.listTables())
     second = contract.queries()["s12_bucket_join"](spark, small)
     assert len(spark.catalog.listTables()) == tables and first.count() == second.count()
+
+
+@pytest.mark.parametrize(
+    "name", ["f1_duplicate_keys", "q1_unique_key", "a6_game_sets", "a6_winners", "a10_longest_streak", "g8_pair_vs_career", "g9_plays_on"]
+)
+def test_details_are_joined_and_grouped_in_tasks_of_bounded_size(spark, small, name):
+    """Both sides of the join by game are dealt out by number; adaptive execution does not join those partitions."""
+    plan = inspect.plan_text(contract.queries()[name](spark, small))
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, \d+\), REPARTITION_BY_NUM", plan)
+    assert re.search(r"hashpartitioning\(game_id#\d+L, \d+\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"hashpartitioning\(l_orderkey#\d+L, \d+\), ENSURE", plan.split("Union")[0] if name == "q1_unique_key" else plan.split("max(player_name")[0])
+
+
+@pytest.mark.parametrize("name, key", [("d10_scd2_incremental", "player_name"), ("d14_actors_scd_incr", "actorid")])
+def test_histories_are_built_in_tasks_of_bounded_size(spark, small, name, key):
+    assert re.search(rf"hashpartitioning\({key}#\d+L?, \d+\), REPARTITION_BY_NUM", inspect.plan_text(contract.queries()[name](spark, small)))
+
+
+def test_pairs_join_careers_without_their_maps(spark, small):
+    plan = inspect.plan_text(contract.queries()["g8_pair_vs_career"](spark, small))
+    top = re.search(r"\w+Join", plan).start()
+    assert "properties" not in plan[:top] and re.search(r"properties#\d+\[subject_points\]", plan[top:])
+
+
+def test_layouts_read_the_joined_rows_from_store(spark, small, monkeypatch):
+    from ledgerline.sources import files, layout
+
+    stored, seen, keep = [], [], files.stored
+    monkeypatch.setattr(files, "stored", lambda df, label: stored.append(label) or keep(df, label))
+    order = layout.in_equal_files
+    monkeypatch.setattr(layout, "in_equal_files", lambda df, *args: seen.append(inspect.plan_text(df)) or order(df, *args))
+    contract.queries()["s11_layout_study"](spark, small)
+    assert stored == ["matches-joined"] and len(seen) == 4
+    assert all("Join" not in plan for plan in seen)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 import pytest
@@ -97,3 +98,19 @@ def test_typed_read_refuses_nulls(spark):
 def test_topic_options():
     got = topic_options("host:9092", "events", **{"kafka.security.protocol": "SASL_SSL"})
     assert got["startingOffsets"] == "latest" and got["kafka.security.protocol"] == "SASL_SSL"
+
+
+def test_replacing_partitions_sorts_only_beyond_the_open_files(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    setting, seen, insert = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.insertInto
+    monkeypatch.setattr(DataFrameWriter, "insertInto", lambda self, *a, **b: seen.append(spark.conf.get(setting)) or insert(self, *a, **b))
+    before = spark.conf.get(setting)
+    table = schemas.create(spark, "vertices", f"vertices_{uuid.uuid4().hex}")
+    kinds = [f"k{i}" for i in range(schemas.OPEN_FILES + 3)]
+    data = [(i, kind, {"n": str(i)}) for kind in kinds for i in range(20)]
+    for shift in (0, 1):
+        df = spark.createDataFrame([(i + shift, k, p) for i, k, p in data], spark.table(table).select("identifier", "type", "properties").schema)
+        schemas.replace_partitions(df.repartition(2), table)
+        assert sorted((r.identifier, r.type) for r in spark.table(table).collect()) == sorted((i + shift, k) for i, k, _ in data)
+    assert seen == [str(schemas.OPEN_FILES)] * 2 and spark.conf.get(setting) == before
